@@ -146,3 +146,72 @@ def gram_hashes(h: np.ndarray, n: int) -> np.ndarray:
     for i in range(n):
         out += mix(h[i : i + m] + _ODD[i]) * _ODD[n + i]
     return mix(out)
+
+
+class WordTable:
+    """word -> row of an array, rows of unseen words made many at a time.
+
+    `make(words)` returns one row per word. The table starts afresh when it
+    would pass CACHE_WORDS, so a worker's memory is bounded whatever it reads.
+    """
+
+    def __init__(self, make):
+        self.make, self.rows, self.values = make, {}, None
+
+    def index(self, words: list) -> np.ndarray:
+        new = set(words).difference(self.rows)
+        if new:
+            if self.rows and len(self.rows) + len(new) > CACHE_WORDS:
+                self.rows, self.values, new = {}, None, set(words)
+            new = list(new)
+            made = self.make(new)
+            n = len(self.rows)
+            if self.values is None:
+                self.values = made
+            else:
+                if n + len(new) > len(self.values):
+                    grown = np.zeros((max(2 * len(self.values), n + len(new)), *made.shape[1:]), made.dtype)
+                    grown[:n] = self.values[:n]
+                    self.values = grown
+                self.values[n : n + len(new)] = made
+            self.rows.update(zip(new, range(n, n + len(new))))
+        return np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))
+
+
+def byte_grams(words: list[bytes], sizes: tuple[int, ...], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """(word number, bucket) of every byte n-gram of `<word>`, words ascending."""
+    wrapped = [b"<" + w + b">" for w in words]
+    buf = np.frombuffer(b"".join(wrapped), np.uint8).astype(np.uint64) + np.uint64(1)
+    lens = np.fromiter(map(len, wrapped), np.int64, len(wrapped))
+    of = np.repeat(np.arange(len(words)), lens)
+    who, what = [], []
+    for n in sizes:
+        m = len(buf) - n + 1
+        if m <= 0:
+            continue
+        h = np.full(m, n, np.uint64)
+        for j in range(n):
+            h = h * np.uint64(1_000_003) + buf[j : j + m]
+        same = of[:m] == of[n - 1 :]
+        who.append(of[:m][same])
+        what.append((mix(h[same]) % np.uint64(buckets)).astype(np.int64))
+    if not who:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    who, what = np.concatenate(who), np.concatenate(what)
+    order = np.argsort(who, kind="stable")
+    return who[order], what[order]
+
+
+def sum_by(who: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Sum of `values` rows for each of 0..n-1; `who` ascends."""
+    starts = np.searchsorted(who, np.arange(n))
+    held = np.concatenate([np.zeros((1, values.shape[1]), np.float64), np.cumsum(values, axis=0, dtype=np.float64)])
+    return held[np.append(starts[1:], len(who))] - held[starts]
+
+
+def hash_sample(df: DataFrame, key: Column, rows: int, total: int, seed: int = 0) -> DataFrame:
+    """About `rows` of `total` rows, chosen by a hash of the key, never more."""
+    if total <= rows:
+        return df
+    spread = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 30))
+    return df.filter(spread < int((1 << 30) * min(1.0, 1.1 * rows / total))).orderBy(spread).limit(rows)
