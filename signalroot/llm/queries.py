@@ -10,6 +10,7 @@ from .common import table
 from .exact_dedup import exact_dedup
 from .html_text import html_text
 from .language_id import language_id
+from .packing import pack
 from .url_filter import oracle as url_oracle
 from .url_filter import url_filter
 
@@ -32,6 +33,10 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(table(spark, sf_dir, "pages"), URL_RULES).drop("margin")
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text(table(spark, sf_dir, "pages"))
 
@@ -40,6 +45,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op3_exact_dedup": op3_exact_dedup,
     "op7_url_filter": op7_url_filter,
+    "op9_packing": op9_packing,
     "op10_html_text": op10_html_text,
 }
 
