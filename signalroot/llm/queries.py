@@ -11,12 +11,17 @@ from .exact_dedup import exact_dedup
 from .html_text import html_text
 from .language_id import language_id
 from .packing import pack
+from .quality import quality_scores
 from .url_filter import oracle as url_oracle
 from .url_filter import url_filter
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(table(spark, sf_dir, "documents"))
 
@@ -42,6 +47,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
     "op2_language_id": op2_language_id,
     "op3_exact_dedup": op3_exact_dedup,
     "op7_url_filter": op7_url_filter,
