@@ -2,18 +2,12 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
-
 import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A side of a join is broadcast only when a count shows it has at most this
-#: many narrow rows (ids, digests); beyond, Spark shuffles both sides.
-BROADCAST_ROWS = 1_000_000
+from ..scratch import BROADCAST_ROWS, Scratch, release, sized  # noqa: F401  used through this module
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -21,9 +15,6 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: not on the words that are handled.
 CACHE_WORDS = 400_000
 
-_made: dict[str, list[str]] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -34,70 +25,6 @@ def ascii_lower(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; one of our own only if unset."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        held = spark.sparkContext.getCheckpointDir()
-        if held is None:
-            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="scratch-"))
-            held = spark.sparkContext.getCheckpointDir()
-        named = held
-    return named
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
-class Scratch:
-    """Parquet tables in the shared folder, which cut lineage.
-
-    A lost executor costs a re-read of such a table, not the stages behind it.
-    Tables that an operator's result still reads are removed at exit; `drop`
-    removes those that nothing reads any more.
-    """
-
-    def __init__(self, spark: SparkSession):
-        self.spark = spark
-        self.root = f"{shared_dir(spark)}/scratch-{uuid.uuid4().hex}"
-        if not _made:
-            atexit.register(_sweep)
-        _made.setdefault(spark.sparkContext.applicationId, []).append(self.root)
-
-    def table(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.root}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
-    def drop(self, *names: str) -> None:
-        for name in names:
-            _remove(self.spark, f"{self.root}/{name}")
-
-
-def _sweep() -> None:
-    spark = SparkSession.getActiveSession()
-    if spark is None or spark.sparkContext._jsc is None:
-        return
-    for root in _made.pop(spark.sparkContext.applicationId, []):
-        try:
-            _remove(spark, root)
-        except Exception:  # the JVM may be gone at exit; the folder is scratch
-            return
-
-
-def release(spark: SparkSession) -> None:
-    """Lets Spark delete shuffle files whose plans are no longer referenced."""
-    spark.sparkContext._jvm.System.gc()
-
-
-def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """`df` (a written table) with a broadcast hint if a count allows one."""
-    return F.broadcast(df) if df.count() <= rows else df
-
-
 def partitions(spark: SparkSession, units: float, per_partition: float) -> int:
     """Shuffle partitions for `units` of work: never fewer than configured."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(units / per_partition) + 1)
