@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 from .exact_dedup import exact_dedup
 from .html_text import html_text
+from .jaccard_join import jaccard_join
 from .language_id import language_id
 from .packing import pack
 from .quality import quality_scores
@@ -30,6 +31,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(table(spark, sf_dir, "documents"))
+
+
 #: Rules of the registered query, longest match wins.
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
 
@@ -50,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_language_id": op2_language_id,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_jaccard_join": op4_jaccard_join,
     "op7_url_filter": op7_url_filter,
     "op9_packing": op9_packing,
     "op10_html_text": op10_html_text,
@@ -60,5 +66,20 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = max(doc_id) OVER g AS kept, sha256({_LOWER}) AS text_sha256
         FROM documents WINDOW g AS (PARTITION BY {_LOWER})""",
+    "op4_jaccard_join": f"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        s AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 5 THEN [w] ELSE
+                   list_transform(range(1, len(w) - 3), lambda i: w[i:i + 4]) END) AS s
+            FROM w WHERE len(w) > 0),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+        pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+        links AS (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+        both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        reach AS (SELECT doc_id AS a, doc_id AS b FROM documents
+                  UNION SELECT r.a, e.b FROM reach r JOIN both_ways e ON e.a = r.b)
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, (SELECT min(b) FROM reach r WHERE r.a = d.doc_id) AS component_id
+        FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id""",
     "op7_url_filter": url_oracle(URL_RULES),
 }
