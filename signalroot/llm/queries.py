@@ -13,6 +13,7 @@ from .jaccard_join import jaccard_join
 from .language_id import language_id
 from .packing import pack
 from .quality import quality_scores
+from .substring_dedup import substring_dedup
 from .url_filter import oracle as url_oracle
 from .url_filter import url_filter
 
@@ -35,6 +36,10 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(table(spark, sf_dir, "documents"), with_text=False)
+
+
 #: Rules of the registered query, longest match wins.
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
 
@@ -56,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_jaccard_join": op4_jaccard_join,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_url_filter": op7_url_filter,
     "op9_packing": op9_packing,
     "op10_html_text": op10_html_text,
