@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,9 +70,9 @@ def gram_hashes(h: np.ndarray, n: int) -> np.ndarray:
     m = len(h) - n + 1
     if m <= 0:
         return np.empty(0, np.uint64)
-    out = np.zeros(m, np.uint64)
-    for i in range(n):
-        out += mix(h[i : i + m] + _ODD[i]) * _ODD[n + i]
+    out = h[:m] * _ODD[0]
+    for i in range(1, n):
+        out += h[i : i + m] * _ODD[i]
     return mix(out)
 
 
@@ -142,3 +143,96 @@ def hash_sample(df: DataFrame, key: Column, rows: int, total: int, seed: int = 0
         return df
     spread = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 30))
     return df.filter(spread < int((1 << 30) * min(1.0, 1.1 * rows / total))).orderBy(spread).limit(rows)
+
+
+_RNG = np.random.default_rng(20_240_229)
+_BYTE = _RNG.integers(1 << 62, (1 << 63) - 1, 256, np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+_PLACE = _RNG.integers(1 << 62, (1 << 63) - 1, 4096, np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_FOLD = np.arange(256, dtype=np.uint8)
+_FOLD[0x41:0x5B] += 0x20
+_ALNUM = np.array([c >= 0x80 or chr(c).isalnum() for c in range(256)])
+#: Bytes of text whose words are hashed at a time.
+SLICE_BYTES = 1 << 20
+
+
+def _hash_words(data: np.ndarray, bounds: np.ndarray, lower: bool, plain: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash of each word, words of each text, first byte and bytes of each word.
+
+    A word's hash is a sum over its bytes, each weighed by its place, so a few
+    passes over the bytes do for all words. `lower` folds A-Z; `plain` also folds
+    the Latin-1 letters and leaves punctuation out, dropping words without more.
+    """
+    n = len(bounds) - 1
+    none = np.empty(0, np.uint64), np.zeros(n, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+    if not len(data):
+        return none
+    space = _SPACE[data]
+    used = ~space
+    code = _FOLD[data] if lower or plain else data
+    if plain:
+        used &= _ALNUM[data]
+        wide = np.flatnonzero(data[:-1] == 0xC3) + 1
+        if len(wide):
+            second = data[wide]
+            code[wide[(second >= 0x80) & (second <= 0x9E) & (second != 0x97)]] |= 0x20
+        quote = np.flatnonzero(data[:-2] == 0xE2)
+        quote = quote[data[quote + 1] == 0x80]
+        for j in range(3):
+            used[quote + j] = False
+    starts = np.empty(len(data), bool)
+    starts[0] = True
+    starts[1:] = space[:-1]
+    inner = bounds[1:-1]
+    starts[inner[inner < len(data)]] = True
+    word = np.cumsum(starts, dtype=np.int32)
+    at = np.flatnonzero(used)
+    if not len(at):
+        return none
+    word = word[at]
+    first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+    place = np.arange(len(at)) - np.repeat(first, np.diff(np.r_[first, len(at)]))
+    h = mix(np.add.reduceat(_BYTE[code[at]] * _PLACE[place & 4095], first))
+    return h, np.bincount(np.searchsorted(bounds, at[first], "right") - 1, minlength=n), at[first], np.diff(np.r_[first, len(at)])
+
+
+def word_spans(column, lower: bool = False, plain: bool = False):
+    """Slices of a string column: (first row, word hashes, words of each text, bytes, starts, lengths).
+
+    A slice has about SLICE_BYTES; a longer text is read in parts cut at white
+    space, so memory follows the text's words, not many copies of its bytes.
+    """
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    column = column.cast(pa.large_binary())
+    if not len(column):
+        return
+    _, offsets, data = column.buffers()
+    ends = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    raw = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
+    lo = 0
+    while lo < len(column):
+        hi = min(max(lo + 1, int(np.searchsorted(ends, ends[lo] + SLICE_BYTES, "right")) - 1), len(column))
+        a, z = int(ends[lo]), int(ends[hi])
+        if hi == lo + 1 and z - a > 4 * SLICE_BYTES:
+            parts, at = [], a
+            while at < z:
+                end = min(at + SLICE_BYTES, z)
+                while end < z and not _SPACE[raw[end]]:  # never inside a word
+                    end += 1
+                h, _, start, size = _hash_words(raw[at:end], np.array([0, end - at]), lower, plain)
+                parts.append((h, start + (at - a), size))
+                at = end
+            h, start, size = (np.concatenate(x) for x in zip(*parts))
+            yield lo, h, np.array([len(h)]), raw[a:z], start, size
+        else:
+            h, n, start, size = _hash_words(raw[a:z], ends[lo : hi + 1] - a, lower, plain)
+            yield lo, h, n, raw[a:z], start, size
+        lo = hi
+
+
+def word_streams(column, lower: bool = False, plain: bool = False):
+    """Slices of a string column: (first row, [word hashes of each text])."""
+    for lo, h, n, *_ in word_spans(column, lower, plain):
+        yield lo, np.split(h, np.cumsum(n)[:-1])

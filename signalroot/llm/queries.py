@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .decontaminate import leaks
 from .exact_dedup import exact_dedup
 from .html_text import html_text
 from .jaccard_join import jaccard_join
@@ -48,6 +49,10 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(table(spark, sf_dir, "pages"), URL_RULES).drop("margin")
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
@@ -63,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_jaccard_join": op4_jaccard_join,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_url_filter": op7_url_filter,
+    "op8_decontaminate": op8_decontaminate,
     "op9_packing": op9_packing,
     "op10_html_text": op10_html_text,
 }
