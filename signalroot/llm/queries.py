@@ -13,6 +13,7 @@ from .html_text import html_text
 from .jaccard_join import jaccard_join
 from .language_id import language_id
 from .packing import pack
+from .pseudo_likelihood import pseudo_likelihood
 from .quality import quality_scores
 from .substring_dedup import substring_dedup
 from .url_filter import oracle as url_oracle
@@ -41,6 +42,10 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"), with_text=False)
 
 
+def op5_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudo_likelihood(table(spark, sf_dir, "documents"))
+
+
 #: Rules of the registered query, longest match wins.
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
 
@@ -66,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_jaccard_join": op4_jaccard_join,
+    "op5_pseudo_likelihood": op5_pseudo_likelihood,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_url_filter": op7_url_filter,
     "op8_decontaminate": op8_decontaminate,
