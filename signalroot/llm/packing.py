@@ -13,12 +13,15 @@ of two, which need no padding.
 
 from __future__ import annotations
 
+import gc
 import os
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,12 +41,18 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: Chunks whose ids a worker keeps, and word pieces; half of the chunks go when it is full.
+CACHE_CHUNKS, CACHE_PIECES = 1_500_000, 400_000
+_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+
+
 class Encoder:
-    """Token ids of a text, with the ids of each white-space chunk kept.
+    """Token ids of a text, with the ids of each white-space chunk kept as bytes.
 
-    The tokenizer drops white space and never merges across it, so the ids of a
-    text are those of its chunks one after another. Only characters that are
-    white space for the tokenizer as well cut chunks.
+    The tokenizer drops white space and never merges across the pieces that its
+    pattern cuts, so the ids of a text are those of its pieces one after another.
+    Unseen pieces are encoded many at a time in one string; each ends with the
+    only ids whose token has the end-of-word mark, which part them again.
     """
 
     def __init__(self, path: str):
@@ -51,42 +60,89 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.clear()
-
-    def clear(self) -> None:
-        self.rows: dict[bytes, int] = {}
-        self.starts = np.zeros(1, np.int64)
-        self.pool = np.empty(0, np.uint32)
-
-    def _learn(self, new: list[bytes]) -> None:
-        batch = self.tok.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-        ids = [e.ids for e in batch]
-        lens = np.fromiter(map(len, ids), np.int64, len(ids))
-        n = len(self.rows)
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lens)])
-        self.pool = np.concatenate([self.pool, np.fromiter((x for y in ids for x in y), np.uint32, int(lens.sum()))])
-        self.rows.update(zip(new, range(n, n + len(new))))
-
-    def prepare(self, docs: list[list[bytes]]) -> None:
-        """Learns the unseen chunks of many texts with one growth of the pool."""
-        new = set().union(*docs).difference(self.rows) if docs else set()
-        if len(self.rows) + len(new) > common.CACHE_WORDS:
-            self.clear()
-            new = set().union(*docs)
-        if new:
-            self._learn(list(new))
-
-    def ids(self, words: list[bytes]) -> np.ndarray:
-        """Ids of a prepared text and the id that ends it."""
-        at = np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))
-        starts = self.starts[at]
-        lens = self.starts[at + 1] - starts
-        ends = np.cumsum(lens)
-        total = int(ends[-1]) if len(ends) else 0
-        out = np.empty(total + 1, np.uint32)
-        out[:-1] = self.pool[np.arange(total) + np.repeat(starts - (ends - lens), lens)]
-        out[-1] = END_ID
-        return out
+        vocab = self.tok.get_vocab(with_added_tokens=False)
+        self.kind = np.dtype("<u2") if max(vocab.values()) < 1 << 16 else np.dtype("<u4")
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+        self.pieces: dict[str, bytes] = {}
+        # of the chunks, by ascending hash: where their ids are in the pool, and when they were last used
+        self.keys, self.pool = np.empty(0, np.uint64), np.empty(0, self.kind)
+        self.at = self.size = self.used = np.empty(0, np.int64)
+        self.turn = 0
+
+    def _plain(self, text: str) -> bytes:
+        return np.array(self.tok.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+
+    def _cut(self, chunk: bytes) -> list[str]:
+        word = chunk.decode("utf-8", "replace")
+        if not word.isascii():
+            word = unicodedata.normalize("NFC", word)
+        word = word.replace("\u03a3", "\u03c3").lower()  # the tokenizer has no final sigma
+        if word.isalpha():
+            return [word]
+        if word[-1] in ",.!?;:" and word[:-1].isalpha():
+            return [word[:-1], word[-1]]
+        return _PIECES.findall(word)
+
+    def _ids_of(self, chunks: list[bytes]) -> list[bytes]:
+        cut = [self._cut(c) if b"<|" not in c else None for c in chunks]
+        if len(self.pieces) > CACHE_PIECES:
+            self.pieces.clear()
+        have = self.pieces
+        unseen = list({p for c in cut if c for p in c if p not in have})
+        for lo in range(0, len(unseen), 4000):
+            some = unseen[lo : lo + 4000]
+            ids = np.array(self.tok.encode(" ".join(some), add_special_tokens=False).ids, self.kind)
+            stops = ((np.flatnonzero(self.ends[ids]) + 1) * self.kind.itemsize).tolist()
+            if len(stops) == len(some):
+                data = ids.tobytes()
+                have.update((p, data[a:z]) for p, a, z in zip(some, [0, *stops], stops))
+            else:  # a piece that the tokenizer's own normaliser changes further
+                have.update((p, self._plain(p)) for p in some)
+        return [self._plain(c.decode("utf-8", "replace")) if p is None else have[p[0]] if len(p) == 1 else b"".join([have[x] for x in p]) for c, p in zip(chunks, cut)]
+
+    def _shrink(self) -> None:
+        """Leaves out the chunks that were used least lately."""
+        keep = np.flatnonzero(self.used > np.median(self.used))
+        size = self.size[keep]
+        take = np.arange(int(size.sum())) + np.repeat(self.at[keep] - (np.cumsum(size) - size), size)
+        self.keys, self.used, self.size, self.pool = self.keys[keep], self.used[keep], size, self.pool[take]
+        self.at = np.cumsum(size) - size
+
+    def ids(self, h: np.ndarray, raw: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all chunks, ids of each chunk), given the chunks' hashes and bytes."""
+        self.turn += 1
+        if len(self.keys) > CACHE_CHUNKS:
+            self._shrink()
+        distinct, first, where = np.unique(h, return_index=True, return_inverse=True)
+        k = np.searchsorted(self.keys, distinct)
+        known = np.zeros(len(distinct), bool)
+        inside = k < len(self.keys)
+        known[inside] = self.keys[k[inside]] == distinct[inside]
+        if not known.all():
+            new = first[~known]
+            data = raw.tobytes()
+            got = self._ids_of([data[a : a + n] for a, n in zip(start[new].tolist(), size[new].tolist())])
+            n = np.fromiter(map(len, got), np.int64, len(got)) // self.kind.itemsize
+            at = len(self.pool) + np.cumsum(n) - n
+            self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(got), self.kind)])
+            put = k[~known]
+            self.keys = np.insert(self.keys, put, distinct[~known])
+            self.at, self.size = np.insert(self.at, put, at), np.insert(self.size, put, n)
+            self.used = np.insert(self.used, put, self.turn)
+            k = np.searchsorted(self.keys, distinct)
+        self.used[k] = self.turn
+        n = self.size[k][where]
+        take = np.repeat(self.at[k][where] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        return self.pool[take], n
+
+    def encode(self, column: pa.Array) -> Iterator[tuple[int, list[np.ndarray]]]:
+        """Slices of a text column: (first row, ids of each text with the id that ends it)."""
+        for lo, h, words, raw, start, size in common.word_spans(column):
+            ids, n = self.ids(h, raw, start, size)
+            stops = np.append(0, np.cumsum(n))[np.append(0, np.cumsum(words))]
+            ids = np.insert(ids, stops[1:], self.kind.type(END_ID))
+            yield lo, np.split(ids, (stops[1:] + np.arange(1, len(stops)))[:-1])
 
 
 class Bm25:
@@ -202,17 +258,21 @@ def _run(path: str, window: int, shard_docs: int):
         return len(sequences)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()  # millions of short lists without a cycle among them
+        try:
+            yield from shards(batches)
+        finally:
+            gc.enable()
+
+    def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoders.get(path) or _encoders.setdefault(path, Encoder(path))
         base = TaskContext.get().partitionId() << 40
         ids: list[pa.Array] = []
         docs: list[np.ndarray] = []
         held = 0
         for b in batches:
-            for lo in range(0, b.num_rows, 256):
-                part = b.slice(lo, 256)
-                words = [x.split() if x else [] for x in part.column(1).to_pylist()]
-                encoder.prepare(words)
-                got = [encoder.ids(w) for w in words]
+            for lo, got in encoder.encode(b.column(1)):
+                part = b.slice(lo, len(got))
                 at = 0
                 while at < len(got):  # a shard closes at a number of documents or of ids
                     begin = at
