@@ -1,0 +1 @@
+"""Provenance-first analytics over collections of recorded signals, on Spark DataFrames."""
