@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -62,7 +64,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_ODD = np.array([0x9E3779B97F4A7C15 * (2 * i + 1) & (2**64 - 1) | 1 for i in range(64)], np.uint64)
+#: Weights of the places of a run of words: unrelated, so that no sums of them coincide.
+_ODD = np.random.default_rng(7).integers(1 << 62, (1 << 63) - 1, 64, np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def gram_hashes(h: np.ndarray, n: int) -> np.ndarray:
@@ -236,3 +239,16 @@ def word_streams(column, lower: bool = False, plain: bool = False):
     """Slices of a string column: (first row, [word hashes of each text])."""
     for lo, h, n, *_ in word_spans(column, lower, plain):
         yield lo, np.split(h, np.cumsum(n)[:-1])
+
+
+def without_gc(run):
+    """Wraps a batch function that makes millions of short-lived objects and no cycles."""
+
+    def quiet(batches):
+        gc.disable()
+        try:
+            yield from run(batches)
+        finally:
+            gc.enable()
+
+    return quiet

@@ -6,9 +6,9 @@ share its anchor, and about one run in five is an anchor.
 
 1. Candidates. Hashes of anchors meet in a shuffle; those seen in two documents
    send the positions of their occurrences back to the documents.
-2. Confirmation. For each such occurrence, the words around it (all windows that
-   contain it) go to the shard of the anchor. The shard compares windows word by
-   word; those that occur in two documents are confirmed phrases.
+2. Confirmation. For each such occurrence, the words around it (the windows that
+   it is the anchor of) go to the shard of the anchor. The shard compares them
+   word by word; what two documents have is a confirmed phrase.
 3. Automata. Each shard compiles its phrases into an Aho-Corasick automaton over
    word numbers and streams its passages through it; every occurrence whose
    phrase also starts in a document with a smaller id marks its 13 words.
@@ -22,6 +22,7 @@ once per chunk. Shards follow the input in number.
 from __future__ import annotations
 
 import hashlib
+from collections import defaultdict
 from collections.abc import Iterator
 
 import ahocorasick
@@ -35,26 +36,32 @@ from pyspark.sql import types as T
 from . import common
 
 WINDOW, ANCHOR = 13, 5
-#: Anchors, documents and passage words that a task holds before it emits them.
-CHUNK_ANCHORS, CHUNK_DOCS, CHUNK_WORDS = 1_000_000, 20_000, 500_000
-#: Words of the passages that one automaton streams.
-AUTOMATON_WORDS = 1_500_000
+#: Anchors and passages that a task holds before it emits them.
+CHUNK_ANCHORS, CHUNK_PASSAGES = 1_000_000, 100_000
+#: Words of the distinct passages that one automaton is made from and streams.
+AUTOMATON_WORDS = 1_000_000
 
 
-def anchors(h: np.ndarray, window: int = WINDOW, anchor: int = ANCHOR) -> tuple[np.ndarray, np.ndarray]:
-    """(positions, hashes) of the anchors of all windows, given the words' hashes."""
+def anchor_field(h: np.ndarray, sizes: np.ndarray, window: int = WINDOW, anchor: int = ANCHOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(run hashes, least run hash of each window, positions of anchors) of texts in a row.
+
+    `h` are the words' hashes of all texts, `sizes` their words; windows that
+    would cross from one text into the next have the least hash 0.
+    """
     g = common.gram_hashes(h, anchor)
     span = window - anchor + 1
     m = len(g) - span + 1
     if m <= 0:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
-    least, where = g[:m].copy(), np.zeros(m, np.int64)
+        return g, np.empty(0, np.uint64), np.empty(0, np.int64)
+    least = g[:m].copy()
     for j in range(1, span):
-        better = g[j : j + m] < least
-        least[better] = g[j : j + m][better]
-        where[better] = j
-    at = np.unique(np.arange(m) + where)
-    return at, g[at]
+        np.minimum(least, g[j : j + m], out=least)
+    ends = np.repeat(np.cumsum(sizes), sizes)[:m]
+    least[np.arange(m) + window > ends] = 0
+    most = np.zeros(len(g), np.uint64)
+    for j in range(span):
+        np.maximum(most[j : j + m], least, out=most[j : j + m])
+    return g, least, np.flatnonzero((most == g) & (most > 0))
 
 
 def _pack7(x: np.ndarray) -> bytes:
@@ -86,11 +93,8 @@ def _candidates(window: int, anchor: int, bits: int):
     """(id, text) -> anchors for the shards, and positions known to recur in the chunk."""
     shift = np.uint64(64 - bits)
 
-    def emit(ids: list, where: list, marks: list) -> pa.RecordBatch:
-        ids = np.array(ids, np.int64)
-        at, sig = np.concatenate(where), np.concatenate(marks)
-        who = np.repeat(np.arange(len(ids)), [len(x) for x in where])
-        order = np.lexsort((who, sig))
+    def emit(ids: np.ndarray, who: np.ndarray, at: np.ndarray, sig: np.ndarray) -> pa.RecordBatch:
+        order = np.argsort(sig, kind="stable")  # occurrences of an anchor stay in the order of rows
         sig, who, at = sig[order], who[order], at[order]
         start, end = _runs(sig)
         several = np.zeros(len(sig), bool)
@@ -118,22 +122,22 @@ def _candidates(window: int, anchor: int, bits: int):
         return _batch(kind=pa.array(kind, pa.int32()), key=pa.array(bucket, pa.int64()), data=pa.array(data, pa.binary()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, where, marks, n = [], [], [], 0
+        held, n, rows = [], 0, 0
         for b in batches:
-            for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                words = text.split() if text and i is not None else []
-                if len(words) < window:
-                    continue
-                at, sig = anchors(common.hashes(words), window, anchor)
-                ids.append(i)
-                where.append(at)
-                marks.append(sig)
+            ids, known = b.column(0).fill_null(0).to_numpy(), b.column(0).is_valid().to_numpy(zero_copy_only=False)
+            for lo, h, words, *_ in common.word_spans(b.column(1)):
+                g, _, at = anchor_field(h, words, window, anchor)
+                first = np.cumsum(words) - words
+                row = np.repeat(np.arange(len(words)), words)[at]
+                mine = known[lo + row]
+                held.append((ids[lo : lo + len(words)], row[mine] + rows, (at - first[row])[mine], g[at][mine]))
+                rows += len(words)
                 n += len(at)
-                if n >= CHUNK_ANCHORS or len(ids) >= CHUNK_DOCS:
-                    yield emit(ids, where, marks)
-                    ids, where, marks, n = [], [], [], 0
-        if ids:
-            yield emit(ids, where, marks)
+                if n >= CHUNK_ANCHORS:
+                    yield emit(*(np.concatenate(x) for x in zip(*held)))
+                    held, n, rows = [], 0, 0
+        if held:
+            yield emit(*(np.concatenate(x) for x in zip(*held)))
 
     return run
 
@@ -180,149 +184,214 @@ def _recurring(bits: int):
     return run
 
 
-def _positions(parts: list[bytes] | None) -> np.ndarray:
-    return np.unique(np.frombuffer(b"".join(parts), "<u4")).astype(np.int64) if parts else np.empty(0, np.int64)
+def _numbers(parts: list[bytes] | None) -> np.ndarray:
+    return np.frombuffer(b"".join(parts), "<u4").astype(np.int64) if parts else np.empty(0, np.int64)
 
 
-def _passages(window: int, anchor: int, shards: int):
-    """(id, text, positions) -> passages for the shards, and starts settled in the chunk."""
+def _by_id(ids: list[int], starts: list[int], counts: list[int]) -> pa.RecordBatch:
+    """Runs of windows (start, number) packed into a row for each id."""
+    i, run = np.array(ids, np.int64), np.stack([np.array(starts, np.int64), np.array(counts, np.int64)], axis=1).astype("<u4")
+    order = np.argsort(i, kind="stable")
+    i, run = i[order], run[order]
+    a, z = _runs(i)
+    return _batch(id=pa.array(i[a], pa.int64()), data=pa.array([run[x:y].tobytes() for x, y in zip(a, z)], pa.binary()))
 
-    def emit(docs: list) -> Iterator[pa.RecordBatch]:
-        least: dict[bytes, int] = {}
-        found = [_windows(words, at, window, anchor) for _, words, at in docs]
-        for (i, _, _), (_, texts) in zip(docs, found):
-            for w in texts:
-                if least.get(w, i) >= i:
-                    least[w] = i
-        kind, key, shard, start, data = [], [], [], [], []
-        for (i, words, at), (starts, texts) in zip(docs, found):
-            smaller = np.array([least[w] < i for w in texts], bool)
-            if smaller.any():
-                kind.append(_HIT)
-                key.append(i)
-                shard.append(hash(i) % shards)
-                start.append(0)
-                data.append(np.array(starts)[smaller].astype("<u4").tobytes())
-            own = set(np.array(starts, np.int64)[~smaller].tolist())
-            if not own:
-                continue
-            for p in at.tolist():
-                lo, hi = max(0, p - (window - anchor)), min(len(words) - window, p)
-                if any(s in own for s in range(lo, hi + 1)):
-                    kind.append(_SHARD)
-                    key.append(i)
-                    shard.append(common.xxhash.xxh3_64_intdigest(b" ".join(words[p : p + anchor])) % shards)
-                    start.append(lo)
-                    data.append(b" ".join(words[lo : hi + window]))
-        yield _batch(kind=pa.array(kind, pa.int32()), id=pa.array(key, pa.int64()), shard=pa.array(shard, pa.int64()), start=pa.array(start, pa.int64()), data=pa.array(data, pa.binary()))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        docs, n = [], 0
-        for b in batches:
-            for i, text, parts in zip(*(c.to_pylist() for c in b.columns)):
-                words, at = text.split(), _positions(parts)
-                at = at[at + anchor <= len(words)]  # rows that repeat an id share positions
-                docs.append((i, words, at))
-                n += len(words)
-                if n >= CHUNK_WORDS:
-                    yield from emit(docs)
-                    docs, n = [], 0
-        if docs:
-            yield from emit(docs)
+def _passages(window: int, anchor: int):
+    """(id, text, positions) -> passages for the shards, and runs settled in the chunk.
 
-    return run
+    The passage of an anchor is the words of the windows that it is the anchor of.
+    """
+    span = window - anchor + 1
 
+    def emit(held: list) -> pa.RecordBatch:
+        least: dict[bytes, int] = {}
+        for i, _, _, _, text in held:
+            if least.get(text, i) >= i:
+                least[text] = i
+        done, sent = [], []
+        for x in held:
+            (done if least[x[4]] < x[0] else sent).append(x)
+        settled = _by_id(*zip(*((i, lo, n) for i, _, lo, n, _ in done))) if done else None
+        k = len(settled) if settled else 0
+        columns = list(zip(*sent)) if sent else [[], [], [], [], []]
+        return _batch(
+            kind=pa.array([_HIT] * k + [_SHARD] * len(sent), pa.int32()),
+            id=pa.concat_arrays([settled.column("id"), pa.array(columns[0], pa.int64())]) if k else pa.array(columns[0], pa.int64()),
+            anchor=pa.array(list(range(k)) + list(columns[1]), pa.int64()),
+            start=pa.array([0] * k + list(columns[2]), pa.int64()),
+            data=pa.concat_arrays([settled.column("data"), pa.array(columns[4], pa.binary())]) if k else pa.array(columns[4], pa.binary()),
+        )
 
-def _windows(words: list[bytes], at: np.ndarray, window: int, anchor: int) -> tuple[list[int], list[bytes]]:
-    """Starts and words of the distinct windows that contain an anchor at one of the positions."""
-    if len(words) < window or not len(at):
-        return [], []
-    starts = np.unique((at[:, None] - np.arange(window - anchor + 1)).ravel())
-    starts = starts[(starts >= 0) & (starts <= len(words) - window)].tolist()
-    return starts, [b" ".join(words[s : s + window]) for s in starts]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[int, int, int, int, bytes]] = []
+        for b in batches:
+            ids, parts = b.column(0).to_pylist(), b.column(2).to_pylist()
+            for lo, h, words, raw, start, size in common.word_spans(b.column(1)):
+                g, least, _ = anchor_field(h, words, window, anchor)
+                data = raw.tobytes()
+                first = np.cumsum(words) - words
+                signed = g.view(np.int64)
+                for k, n in enumerate(words.tolist()):
+                    at = np.unique(_numbers(parts[lo + k]))
+                    at = at[at + anchor <= n] + first[k]  # rows that repeat an id share positions
+                    if n < window or not len(at):
+                        continue
+                    near = at[:, None] + np.arange(1 - span, 1)
+                    own = (near >= first[k]) & (near <= first[k] + n - window)
+                    own &= least[np.clip(near, 0, len(least) - 1)] == g[at][:, None]
+                    some = own.any(axis=1)
+                    begin = near[:, 0] + own.argmax(axis=1)
+                    stop = near[:, 0] + span - own[:, ::-1].argmax(axis=1)
+                    for p, x, y in zip(at[some].tolist(), begin[some].tolist(), stop[some].tolist()):
+                        last = y + window - 2
+                        text = b" ".join(data[start[x] : start[last] + size[last]].split())
+                        held.append((ids[lo + k], int(signed[p]), x - int(first[k]), y - x, text))
+                    if len(held) >= CHUNK_PASSAGES:
+                        yield emit(held)
+                        held = []
+        if held:
+            yield emit(held)
+
+    return common.without_gc(run)
 
 
 class PhraseAutomaton:
     """Aho-Corasick automaton over word numbers; a phrase carries its smallest document."""
 
     def __init__(self, phrases: dict[tuple[int, ...], int]):
-        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-        for k, phrase in enumerate(phrases):
-            self.automaton.add_word(phrase, k)
-        self.least = list(phrases.values())
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+        for phrase, least in phrases.items():
+            self.automaton.add_word(phrase, (len(phrase), least))
         if phrases:
             self.automaton.make_automaton()
 
-    def occurrences(self, words: tuple[int, ...]) -> Iterator[tuple[int, int]]:
-        """(position of the last word, smallest document) of every phrase in `words`."""
-        if self.least:
-            for end, k in self.automaton.iter(words):
-                yield end, self.least[k]
+    def occurrences(self, words: tuple[int, ...]) -> Iterator[tuple[int, tuple[int, int]]]:
+        """(position of the last word, (words, smallest document)) of every phrase in `words`."""
+        return self.automaton.iter(words) if len(self.automaton) else iter(())
+
 
+def confirmed(groups: list[list[bytes]], least: dict[bytes, int], shared: set[bytes], coded: dict[bytes, tuple[int, ...]], window: int) -> dict[tuple[int, ...], int]:
+    """Phrases whose words are in two documents, with the smallest of these.
 
-def shard_marks(passages: list[tuple[int, int, bytes]], window: int) -> list[tuple[int, np.ndarray]]:
-    """(id, starts) of windows whose words also start in a document with a smaller id."""
-    numbers: dict[bytes, int] = {}
-    coded = [tuple(numbers.setdefault(w, len(numbers) + 1) for w in text.split(b" ")) for _, _, text in passages]
-    first: dict[tuple[int, ...], int] = {}
+    A group has the distinct passages of one anchor. A passage of two documents
+    is one phrase; what two passages share is confirmed window by window.
+    """
     phrases: dict[tuple[int, ...], int] = {}
-    for (i, _, _), words in zip(passages, coded):
-        for s in range(len(words) - window + 1):
-            w = words[s : s + window]
-            seen = first.setdefault(w, i)
-            if seen != i:  # confirmed: the same words in two documents
-                phrases[w] = min(phrases.get(w, seen), i)
-                first[w] = min(seen, i)
-    automaton = PhraseAutomaton(phrases)
-    marks: dict[int, list[int]] = {}
-    for (i, start, _), words in zip(passages, coded):
-        for end, least in automaton.occurrences(words):
-            if least < i:
-                marks.setdefault(i, []).append(start + end - window + 1)
-    return [(i, np.unique(np.array(s, np.int64))) for i, s in marks.items()]
+    for group in groups:
+        for text in group:
+            if text in shared:
+                phrases[coded[text]] = least[text]
+        if len(group) < 2:
+            continue
+        seen: dict[tuple[int, ...], tuple[int, bool]] = {}
+        for text in group:
+            words, i = coded[text], least[text]
+            for s in range(len(words) - window + 1):
+                w = words[s : s + window]
+                low, twice = seen.get(w, (i, False))
+                seen[w] = (min(low, i), twice or low != i)
+        for w, (low, twice) in seen.items():
+            if twice:
+                phrases[w] = min(low, phrases.get(w, low))
+    return phrases
+
+
+def shard_marks(rows: list[tuple[int, int, int, bytes]], window: int) -> tuple[list[int], list[int], list[int]]:
+    """Runs (id, start, number) of windows whose words also start in a document with a smaller id.
+
+    `rows` are (anchor, id, start, passage), those of an anchor together.
+    """
+    least: dict[bytes, int] = {}
+    shared: set[bytes] = set()
+    groups: list[list[bytes]] = []
+    now = None
+    for anchor, i, _, text in rows:
+        if anchor != now:
+            groups.append([])
+            now = anchor
+        low = least.get(text)
+        if low is None:
+            least[text] = i
+            groups[-1].append(text)
+        elif low != i:
+            shared.add(text)
+            least[text] = min(low, i)
+    numbers: dict[bytes, int] = defaultdict(lambda: len(numbers) + 1)
+    wanted = [g for g in groups if len(g) > 1 or g and g[0] in shared]
+    coded = {text: tuple(map(numbers.__getitem__, text.split(b" "))) for g in wanted for text in g}
+    automaton = PhraseAutomaton(confirmed(wanted, least, shared, coded, window))
+    first: dict[bytes, list[int | None]] = {}
+    for text, words in coded.items():
+        marks: list[int | None] = [None] * (len(words) - window + 1)
+        for end, (n, low) in automaton.occurrences(words):
+            for s in range(end - n + 1, end - window + 2):
+                if marks[s] is None or low < marks[s]:
+                    marks[s] = low
+        first[text] = marks
+    ids, starts, counts = [], [], []
+    for _, i, start, text in rows:
+        marks = first.get(text)
+        if marks is None:
+            continue
+        s = 0
+        while s < len(marks):
+            if marks[s] is None or marks[s] >= i:
+                s += 1
+                continue
+            e = s
+            while e < len(marks) and marks[e] is not None and marks[e] < i:
+                e += 1
+            ids.append(i)
+            starts.append(start + s)
+            counts.append(e - s)
+            s = e
+    return ids, starts, counts
 
 
 def _locate(window: int):
-    """Passages of the shards -> (id, starts)."""
+    """Passages of the shards -> (id, runs of windows)."""
 
-    def emit(marks) -> Iterator[pa.RecordBatch]:
-        if marks:
-            yield _batch(id=pa.array([i for i, _ in marks], pa.int64()), data=pa.array([s.astype("<u4").tobytes() for _, s in marks], pa.binary()))
+    def emit(rows) -> Iterator[pa.RecordBatch]:
+        ids, starts, counts = shard_marks(rows, window)
+        if ids:
+            yield _by_id(ids, starts, counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[int, int, bytes]] = []
+        held: list[tuple[int, int, int, bytes]] = []
         now, n = None, 0
         for b in batches:
             yield _settled(b, "id")
-            for kind, i, shard, start, data in zip(*(c.to_pylist() for c in b.columns)):
+            for kind, i, anchor, start, data in zip(*(c.to_pylist() for c in b.columns)):
                 if kind == _HIT:
                     continue
-                if shard != now and n >= AUTOMATON_WORDS:  # shards are sorted: cut between two of them
-                    yield from emit(shard_marks(held, window))
+                if anchor != now and n >= AUTOMATON_WORDS:  # rows are sorted: cut between two anchors
+                    yield from emit(held)
                     held, n = [], 0
-                now = shard
-                held.append((i, start, data))
+                now = anchor
+                held.append((anchor, i, start, data))
                 n += data.count(b" ") + 1
-        yield from emit(shard_marks(held, window))
+        if held:
+            yield from emit(held)
 
-    return run
+    return common.without_gc(run)
 
 
 def _remove(window: int, with_text: bool):
-    """(id, text, starts) -> n_words, n_removed, what is kept and its digest."""
+    """(id, text, runs) -> n_words, n_removed, what is kept and its digest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n_words, n_removed, texts = [], [], []
             for text, parts in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
                 words = text.split() if text else []
-                gone = np.zeros(len(words) + 1, np.int64)
-                starts = _positions(parts)
-                starts = starts[starts + window <= len(words)]
-                np.add.at(gone, starts, 1)
-                np.add.at(gone, starts + window, -1)
-                keep = np.cumsum(gone)[: len(words)] == 0
-                kept = [w for w, k in zip(words, keep.tolist()) if k] if len(starts) else words
+                kept = words
+                if parts and len(words) >= window:
+                    start, count = _numbers(parts).reshape(-1, 2).T
+                    inside = start + window <= len(words)  # rows that repeat an id share runs
+                    start, stop = start[inside], np.minimum(start + count - 1 + window, len(words))[inside]
+                    gone = np.bincount(start, minlength=len(words) + 1) - np.bincount(stop, minlength=len(words) + 1)
+                    kept = [w for w, k in zip(words, (np.cumsum(gone) == 0).tolist()) if k]
                 n_words.append(len(words))
                 n_removed.append(len(words) - len(kept))
                 texts.append(b" ".join(kept))
@@ -361,12 +430,11 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     common.release(spark)
     near = hits.groupBy("id").agg(F.collect_list("data").alias("parts"))
     passages = rows.filter("text IS NOT NULL").join(near.hint("shuffle_hash"), "id").select("id", "text", "parts")
-    shards = 64 * parts
-    schema = T.StructType([T.StructField("kind", T.IntegerType())] + [T.StructField(c, T.LongType()) for c in ("id", "shard", "start")] + [T.StructField("data", T.BinaryType())])
-    sent = passages.mapInArrow(_passages(window, anchor, shards), schema)
+    schema = T.StructType([T.StructField("kind", T.IntegerType())] + [T.StructField(c, T.LongType()) for c in ("id", "anchor", "start")] + [T.StructField("data", T.BinaryType())])
+    sent = passages.mapInArrow(_passages(window, anchor), schema)
     starts = scratch.table(
-        sent.repartition(parts, F.when(F.col("kind") == _SHARD, F.col("shard")).otherwise(F.xxhash64("id")))
-        .sortWithinPartitions("shard")
+        sent.repartition(parts, F.when(F.col("kind") == _SHARD, F.col("anchor")).otherwise(F.xxhash64("id")))
+        .sortWithinPartitions("anchor")
         .mapInArrow(_locate(window), "id long, data binary"),
         "starts",
     )
