@@ -75,12 +75,17 @@ def _mean(x: Column) -> Column:
 def correlation(x: Column | str, y: Column | str) -> Column:
     """Pearson's r of the common prefix, centred first; null for fewer than two samples or a constant side."""
     a, b = common_prefix(x, y)
-    ma, mb = _mean(a), _mean(b)
-    both = F.zip_with(a, b, lambda p, q: F.struct((p.cast("double") - ma).alias("p"), (q.cast("double") - mb).alias("q")))
+    with_means = lambda w: F.struct(w["a"].alias("a"), w["b"].alias("b"), _mean(w["a"]).alias("ma"), _mean(w["b"]).alias("mb"))
+    # a lambda over a one-element array evaluates what it binds once, not once per sample
+    bound = F.transform(F.transform(F.array(F.struct(a.alias("a"), b.alias("b"))), with_means), _pearson)
+    return F.when(F.size(a) >= 2, bound[0])
+
+
+def _pearson(w: Column) -> Column:
+    both = F.zip_with(w["a"], w["b"], lambda p, q: F.struct((p.cast("double") - w["ma"]).alias("p"), (q.cast("double") - w["mb"]).alias("q")))
     zero = F.struct(F.lit(0.0).alias("pq"), F.lit(0.0).alias("pp"), F.lit(0.0).alias("qq"))
     add = lambda s, v: F.struct((s["pq"] + v["p"] * v["q"]).alias("pq"), (s["pp"] + v["p"] * v["p"]).alias("pp"), (s["qq"] + v["q"] * v["q"]).alias("qq"))
-    r = F.aggregate(both, zero, add, lambda s: F.try_divide(s["pq"], F.sqrt(s["pp"]) * F.sqrt(s["qq"])))
-    return F.when((F.size(a) >= 2) & ~F.isnan(r), r)
+    return F.aggregate(both, zero, add, lambda s: F.nullif(F.try_divide(s["pq"], F.sqrt(s["pp"]) * F.sqrt(s["qq"])), F.lit(float("nan"))))
 
 
 def largest_difference(x: Column | str, y: Column | str) -> Column:

@@ -69,14 +69,16 @@ def correlate(targets: DataFrame, candidates: DataFrame, threshold: float = THRE
     `targets` are (record_id, wave), `candidates` (record_id, wave, ordinal);
     of equal scores the smallest ordinal wins. Every target meets every candidate,
     so the product of the counts is checked first: beyond `max_pairs` the
-    comparison is refused. Under the cap, the targets fit a broadcast.
+    comparison is refused. The smaller side is broadcast: under the cap it has
+    at most the square root of `max_pairs` rows.
     """
     n, m = targets.count(), candidates.count()
     if n * m > max_pairs:
         raise PairCapExceeded(f"{n} targets by {m} candidates is more than {max_pairs} pairs")
     t = targets.select(F.col("record_id").alias("target"), F.col("wave").alias("wave_t"))
     c = candidates.select(F.col("record_id").alias("candidate"), F.col("wave").alias("wave_c"), "ordinal")
-    met = c.join(F.broadcast(t), F.col("target") != F.col("candidate")).withColumn("score", correlation("wave_t", "wave_c"))
+    large, small = (c, t) if n <= m else (t, c)
+    met = large.join(F.broadcast(small), F.col("target") != F.col("candidate")).withColumn("score", correlation("wave_t", "wave_c"))
     good = met.filter(F.col("score") >= threshold).select("target", "candidate", "score", "ordinal")
     best = good.groupBy("target").agg(F.max_by(F.struct("candidate", "score"), F.struct("score", -F.col("ordinal"))).alias("best"))
     rows = best.select(F.col("target"), "best.*").select(*pair("target", "candidate"), F.lit("correlation").alias("sieve"), "score", F.lit(scope).alias("scope"))

@@ -6,9 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+_KINDS = {"string": T.StringType(), "long": T.LongType(), "double": T.DoubleType(), "boolean": T.BooleanType()}
+_KINDS |= {f"array<{k}>": T.ArrayType(v) for k, v in list(_KINDS.items())}
+
+
 def _schema(text: str) -> T.StructType:
-    """`name type` pairs, comma separated; every column is nullable."""
-    return T.StructType.fromDDL(text)
+    """`name type` pairs, comma separated; every column is nullable. Needs no session."""
+    return T.StructType([T.StructField(name, _KINDS[kind]) for name, kind in (pair.split() for pair in text.split(","))])
 
 
 TABLES: dict[str, T.StructType] = {
@@ -34,9 +38,8 @@ TABLES: dict[str, T.StructType] = {
 #: One row per parsed header, before it is shaped into tables.
 HEADER = _schema(
     "record_id string, source_id string, native_record_id string, header_path string, signal_paths array<string>, n_leads long, sampling_rate_hz double, "
-    "n_samples long, units_declared array<string>, units_are_declared boolean, all_millivolts boolean, age string, sex string, dx array<string>, "
-    "leads array<struct<position: long, name_native: string, name_canonical: string, units_declared: string, gain: double, baseline: long, adc_zero: long, format: string, file: string>>"
-)
+    "n_samples long, units_declared array<string>, units_are_declared boolean, all_millivolts boolean, age string, sex string, dx array<string>"
+).add("leads", T.ArrayType(_schema("position long, name_native string, name_canonical string, units_declared string, gain double, baseline long, adc_zero long, format string, file string")))
 
 
 def empty(spark: SparkSession, table: str) -> DataFrame:
