@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import fnmatch
 import hashlib
 from collections.abc import Iterator
 
@@ -52,10 +53,29 @@ def sha256_file(path: str) -> str:
     return seen.hexdigest()
 
 
+def empty_files(spark: SparkSession, directory: str, glob: str, n_read: int) -> list[str]:
+    """Relative paths of files without a byte, which Spark's reader passes over.
+
+    They are listed one by one only if the folder holds more files than were read.
+    """
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(directory)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.getContentSummary(root).getFileCount() == n_read:
+        return []
+    base, found, files = fs.makeQualified(root).toString().rstrip("/") + "/", [], fs.listFiles(root, True)
+    while files.hasNext():
+        f = files.next()
+        name = f.getPath().getName()
+        if f.getLen() == 0 and fnmatch.fnmatchcase(name, glob) and not name.startswith((".", "_")):
+            found.append(f.getPath().toString().removeprefix(base))
+    return found
+
+
 def file_digests(spark: SparkSession, directory: str, glob: str = "*", large: bool = False) -> DataFrame:
     """(relative_path, digest) of all files below a folder.
 
-    `large` reads files in chunks on the executors instead of whole into a
+    Files without a byte count too. `large` reads files in chunks on the executors instead of whole into a
     column, for files over 2 GB in a folder that all executors see.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(directory)
@@ -64,7 +84,11 @@ def file_digests(spark: SparkSession, directory: str, glob: str = "*", large: bo
     else:
         found = files.select("path", F.sha2("content", 256).alias("digest"))
     root = directory.rstrip("/") + "/"
-    return found.select(F.substring_index("path", root, -1).alias("relative_path"), "digest")
+    digests = found.select(F.substring_index("path", root, -1).alias("relative_path"), "digest")
+    empty = empty_files(spark, directory, glob, files.select("path").count())
+    if not empty:
+        return digests
+    return digests.unionByName(spark.createDataFrame([(p, hashlib.sha256(b"").hexdigest()) for p in empty], "relative_path string, digest string"))
 
 
 def verify(declared: DataFrame, observed: DataFrame, subset: bool = False) -> DataFrame:

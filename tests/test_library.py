@@ -85,6 +85,9 @@ def test_build(spark, tmp_path):
     assert delivery.connect(spark, f"file://{tmp_path}/out") == [t for t in TABLES if t in made]
     assert delivery.trace(spark, "x/a:r1")["relative_path"] == "r1.dat"
     assert delivery.trace(spark, "none") is None
+    (tmp_path / "e").mkdir()
+    (tmp_path / "e" / "empty.dat").write_bytes(b"")
+    assert [r.digest for large in (False, True) for r in manifest.file_digests(spark, f"{tmp_path}/e", large=large).collect()] == [hashlib.sha256(b"").hexdigest()] * 2
     observed = manifest.file_digests(spark, f"{tmp_path}/d")
     declared = manifest.parse_lines(manifest.read_lines(spark, f"{tmp_path}/SUMS"))
     assert manifest.report(manifest.verify(declared, observed)).first().holds
@@ -207,3 +210,47 @@ def test_empty_tables_have_schemas(spark):
     h = spark.createDataFrame([], HEADER)
     for made, name in ((tables.records(h), "record"), (tables.leads(h), "lead"), (tables.labels(h), "label")):
         assert made.schema.names == TABLES[name].names and made.count() == 0
+
+
+def test_arrivals(spark, tmp_path):
+    from signalroot.streaming import arrivals
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.bin").write_bytes(b"abc")
+    (tmp_path / "in" / "b.bin").write_bytes(b"other")
+    declared = spark.createDataFrame([("a.bin", hashlib.sha256(b"abc").hexdigest()), ("b.bin", "0" * 64), ("c.bin", "1" * 64)], "relative_path string, digest string")
+    query = arrivals.verify_arrivals(arrivals.arriving(spark, f"{tmp_path}/in"), declared, f"{tmp_path}/out", f"{tmp_path}/state")
+    query.awaitTermination(60)
+    got = {r.relative_path: r.outcome for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    assert got == {"a.bin": "matched", "b.bin": "mismatched"}
+
+
+def test_command_line(spark, tmp_path, monkeypatch, capsys):
+    from signalroot import __main__ as cli
+
+    monkeypatch.setenv(catalog.DATA_ENV, str(tmp_path))
+    assert cli.main(["verify", "--source", "physionet/ludb", "--locks", str(tmp_path)]) == 2
+    root = tmp_path / "ludb"
+    _record(root / "data", "1", np.random.default_rng(0).integers(-900, 900, (5200, 12)))
+    files = [p for p in root.rglob("*") if p.is_file()]
+    sums = "".join(f"{hashlib.sha256(p.read_bytes()).hexdigest()} {p.relative_to(root)}\n" for p in files)
+    (root / "SHA256SUMS.txt").write_text(sums)
+    args = ["--source", "physionet/ludb", "--locks", str(tmp_path), "--out", f"{tmp_path}/out"]
+    assert cli.main(["verify", *args]) == 0
+    assert cli.main(["build", *args]) == 0 and cli.main(["derive", *args]) == 0
+    assert cli.main(["trace", *args, "--record", "physionet/ludb:1"]) == 0 and cli.main(["trace", *args, "--record", "x"]) == 1
+    assert '"relative_path": "data/1.dat"' in capsys.readouterr().out
+    (root / "data" / "1.dat").write_bytes(b"changed")
+    assert cli.main(["verify", *args]) == 1
+
+
+def test_screen(spark):
+    rng = np.random.default_rng(6)
+    waves = {k: rng.normal(size=200).astype(np.float32).tolist() for k in "pqr"}
+    row = lambda i, s, d, w: (i, s, d, w)
+    schema = "record_id string, source_id string, signal_digest string, wave array<float>"
+    left = spark.createDataFrame([row("a:1", "a", "d1", waves["p"]), row("a:2", "a", "d2", waves["q"]), row("a:3", "a", None, None)], schema)
+    right = spark.createDataFrame([row("b:1", "b", "d1", waves["p"]), row("b:2", "b", "d9", [3 * x for x in waves["q"]]), row("b:3", "b", "d8", waves["r"])], schema)
+    files = spark.createDataFrame([("a:3", "a", "f"), ("b:3", "b", "f")], "record_id string, source_id string, digest string")
+    links, note = build.screen(left, right, files)
+    assert note is None and [(r.record_a, r.record_b, r.sieve) for r in links.collect()] == [("a:1", "b:1", "signal"), ("a:2", "b:2", "correlation"), ("a:3", "b:3", "file")]
