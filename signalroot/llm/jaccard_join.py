@@ -19,8 +19,9 @@ Work inside a list is linear: a list is a star around its smallest member, first
 in the chunk of rows that a task holds and then over all chunks, so a list that
 very many documents share reaches the shuffle once per chunk. One star edge per
 document, the one with most common lists, is verified exactly on the texts; then
-only lists whose members are still in different components give pairs, between
-components, until none is left unverified.
+lists whose members are still in different components get other centres, and at
+last those that are still apart give pairs, between components. Of these, pairs with too few common lists for the pigeonhole count
+are out, and the others are verified, so no pair is left undecided.
 """
 
 from __future__ import annotations
@@ -43,6 +44,12 @@ SHINGLE, PERCENT = 5, 80
 CHUNK_SIGNATURES, CHUNK_DOCS = 1_000_000, 20_000
 #: A list longer than this is left out by documents that have slack for it.
 LONG_LIST = 8
+#: Times that lists still apart get new centres before pairs are made.
+CENTRE_ROUNDS = 1
+#: Times the allowed difference beyond which a document doesn't keep its pivot.
+FAR = 2
+#: Common lists that make a star edge worth verifying before the others.
+FIRST_LISTS = 4
 
 _INFO, _LIST, _EDGE, _SAME = 0, 1, 2, 3
 
@@ -63,9 +70,9 @@ class Plan:
         most = bands(percent)[band + 1] - 1
         need = most * (100 - percent) // percent + 1  # H + 1 units
         self.slack = max(2, -(-need // 8)) if need > 1 else 0  # spent on small subsets
-        self.spare = max(1, -(-need // 20)) if need > 1 else 0  # spent on long lists
+        self.spare = max(1, -(-need // 12)) if need > 1 else 0  # spent on long lists
         units = need + self.slack + self.spare
-        self.wide = need // 16
+        self.wide = need // 64
         self.single = units - 2 * self.wide
         if not cut:
             return
@@ -79,14 +86,14 @@ def plan(band: int, percent: int, cut: bool = True) -> Plan:
     return Plan(band, percent, cut)
 
 
-def shingles(words: list[bytes], n: int = SHINGLE) -> np.ndarray:
-    """Sorted distinct hashes of the n-word shingles; a shorter text is one shingle."""
-    if not words:
-        return np.empty(0, np.uint64)
-    h = common.hashes(words)
-    if len(words) < n:
-        return common.gram_hashes(h, len(words)) ^ np.uint64(len(words))
-    return np.unique(common.gram_hashes(h, n))
+def shingles(h: np.ndarray, n: int = SHINGLE) -> np.ndarray:
+    """Sorted distinct hashes of the n-word shingles, from those of the words; a shorter text is one shingle."""
+    if not len(h):
+        return h
+    if len(h) < n:
+        return common.gram_hashes(h, len(h)) ^ np.uint64(len(h))
+    g = np.sort(common.gram_hashes(h, n))
+    return g[np.r_[True, g[1:] != g[:-1]]]
 
 
 def exact_shingles(words: list[bytes], n: int = SHINGLE) -> set:
@@ -188,8 +195,10 @@ def _map(percent: int, bits: int):
         fresh = lambda: ([], [], [], [], [], [])
         state, n, seen, base = fresh(), 0, {}, 0
         for b in batches:
-            for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                s = shingles(text.lower().split()) if text else np.empty(0, np.uint64)
+            ids = b.column(0).to_pylist()
+            texts = (x for _, some in common.word_streams(b.column(1), lower=True) for x in some)
+            for i, h in zip(ids, texts):
+                s = shingles(h)
                 if i is None:
                     state[2].append(len(s))
                     continue
@@ -287,6 +296,7 @@ def verified(pairs: DataFrame, rows: DataFrame, percent: int, scratch: common.Sc
     both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("y")), "b")
     links = scratch.table(both.select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long").distinct(), name)
     scratch.drop(f"{name}_ids")
+    common.release(scratch.spark)
     return links
 
 
@@ -311,7 +321,7 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     same = found.filter((F.col("kind") == _SAME) & (F.col("a") != F.col("b"))).select("a", "b")
 
     # one star edge per document: that with most common lists, then the smallest centre
-    shared = edges.filter("n = 1 AND a != b").groupBy("a", "b").count()
+    shared = edges.filter("n = 1 AND a != b").groupBy("a", "b").count().filter(F.col("count") >= FIRST_LISTS)
     first = scratch.table(
         shared.groupBy("b").agg(F.max_by("a", F.struct("count", -F.col("a"))).alias("a")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(),
         "first",
@@ -320,37 +330,144 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     scratch.drop("links1")
     components = scratch.table(connected_components(links), "components1")
 
-    # lists whose members are still apart
-    label = common.sized(components)
-    mark = lambda df, end: df.join(label.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}")), end, "left").withColumn(f"of_{end}", F.coalesce(f"of_{end}", end))
-    marked = mark(mark(edges.select("sig", "a", "b"), "a"), "b")
-    apart = scratch.table(marked.filter("of_a != of_b").select("sig").distinct(), "apart")
-    open_lists = marked.join(common.sized(apart), "sig", "left_semi")
-    members = scratch.table(
-        open_lists.select("sig", F.col("a").alias("id"), F.col("of_a").alias("of")).unionByName(open_lists.select("sig", F.col("b").alias("id"), F.col("of_b").alias("of"))).distinct(),
-        "members",
-    )
+    # lists whose members are still apart: their most popular members are the next centres
+    tried = [first]
+    for turn in range(CENTRE_ROUNDS):
+        members = _apart(edges, components, scratch, f"members{turn}")
+        again = scratch.table(_centres(members).join(_union(tried), ["a", "b"], "left_anti"), f"again{turn}")
+        more = verified(again, rows, percent, scratch, f"more{turn}")
+        tried.append(again)
+        if more.isEmpty():
+            break
+        links = scratch.table(links.unionByName(more), f"links_with{turn}")
+        components = scratch.table(connected_components(links), f"components_with{turn}")
+    else:
+        members = _apart(edges, components, scratch, "members")
     lengths = members.groupBy("sig").agg(F.count(F.lit(1)).alias("length"))
-    band = F.shiftrightunsigned("sig", 1).bitwiseAND(F.lit(255))
+    band = F.shiftrightunsigned("sig", 1).bitwiseAND(F.lit(255)).cast("int")
     ranked = members.join(lengths, "sig").withColumn("band", band).withColumn("wide", F.col("sig").bitwiseAND(F.lit(1)))
-    rank = F.row_number().over(Window.partitionBy("id", "band", "wide").orderBy(F.desc("length"), "sig"))
-    budget = _spare_of(F.col("band"), percent)
-    kept = scratch.table(ranked.withColumn("rank", rank).filter((F.col("wide") == 1) | (F.col("length") <= LONG_LIST) | (F.col("rank") > budget)).select("sig", "id", "of"), "kept")
-    left, right = kept.select("sig", F.col("id").alias("a"), F.col("of").alias("of_a")), kept.select("sig", F.col("id").alias("b"), F.col("of").alias("of_b"))
-    pairs = left.join(right, "sig").filter("of_a < of_b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    mine = Window.partitionBy("id", "band", "wide")
+    rank = F.row_number().over(mine.orderBy(F.desc("length"), "sig"))
+    drop = (F.col("wide") == 0) & (F.col("length") > LONG_LIST) & (F.col("rank") <= _spare(F.col("band"), percent))
+    judged = ranked.withColumn("rank", rank).withColumn("drop", drop).withColumn("dropped", F.sum(F.col("drop").cast("int")).over(Window.partitionBy("id", "band")))
+    kept = scratch.table(judged.filter(~F.col("drop")).select("sig", "id", "of", "band", "wide", "dropped"), "kept")
+    pivots = scratch.table(_pivots(members), "pivots")
+    placed = scratch.table(_placed(pivots, members.select("id", "of").distinct(), rows, scratch), "placed")
+    piloted = kept.join(common.sized(scratch.table(placed.select("id", "pivot").distinct(), "final_pivots")), "id")
+    end = lambda x: piloted.select("sig", *[F.col(c).alias(f"{c}_{x}") for c in ("id", "of", "dropped", "pivot")], *(["band", "wide"] if x == "a" else []))
+    met = end("a").join(end("b"), "sig").filter("of_a < of_b AND pivot_a != pivot_b")
+    met = met.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b"), "band", (F.col("wide") + 1).alias("units"), F.greatest("dropped_a", "dropped_b").alias("gone"))
+    # a true pair has spare + 1 units in common lists; what either end left out may be missing
+    met = met.groupBy("a", "b", "band").agg(F.sum("units").alias("units"), F.max("gone").alias("gone"))
+    across = met.filter(F.col("units") + F.col("gone") > _spare(F.col("band"), percent)).select("a", "b")
+    pairs = across.unionByName(_around_pivots(placed, percent)).distinct()
     close = _close(pairs, common.sized(scratch.table(_sizes_of(sizes, kept), "kept_sizes")), percent)
-    second = scratch.table(close.join(first, ["a", "b"], "left_anti"), "second")
-    scratch.drop("apart", "members")
+    second = scratch.table(close.join(_union(tried), ["a", "b"], "left_anti"), "second")
     more = verified(second, rows, percent, scratch, "links2")
     if not more.isEmpty():
         components = scratch.table(connected_components(links.unionByName(more)), "components2")
     return sizes, components
 
 
-def _spare_of(band, percent: int):
+def _union(tables: list[DataFrame]) -> DataFrame:
+    out = tables[0]
+    for t in tables[1:]:
+        out = out.unionByName(t)
+    return out
+
+
+def _apart(edges: DataFrame, components: DataFrame, scratch: common.Scratch, name: str) -> DataFrame:
+    """(sig, id, of): members, with their components, of the lists that hold more than one component."""
+    label = common.sized(components)
+    marked = edges.select("sig", "a", "b")
+    for end in ("a", "b"):
+        marked = marked.join(label.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}")), end, "left").withColumn(f"of_{end}", F.coalesce(f"of_{end}", end))
+    apart = scratch.table(marked.filter("of_a != of_b").select("sig").distinct(), f"{name}_lists")
+    inside = marked.join(common.sized(apart), "sig", "left_semi")
+    both = inside.select("sig", F.col("a").alias("id"), F.col("of_a").alias("of")).unionByName(inside.select("sig", F.col("b").alias("id"), F.col("of_b").alias("of")))
+    return scratch.table(both.distinct(), name)
+
+
+def _tops(members: DataFrame) -> DataFrame:
+    """(sig, c, of_c): the most popular member of each list, and its component."""
+    lengths = members.groupBy("sig").agg(F.count(F.lit(1)).alias("length"))
+    popular = members.join(lengths, "sig").groupBy("id").agg(F.sum("length").alias("rank"))
+    top = members.join(popular, "id").groupBy("sig").agg(F.max_by(F.struct(F.col("id").alias("c"), F.col("of").alias("of_c")), F.struct("rank", -F.col("id"))).alias("top"))
+    return top.select("sig", "top.*")
+
+
+def _centres(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of a member and, of the most popular members of its lists, the one it meets most often.
+
+    A document is as popular as its lists are long: in a group of copies that
+    were edited one by one, that is the text they were made from.
+    """
+    centre = _tops(members)
+    met = members.join(centre, "sig").filter("of != of_c").groupBy("id", "c").count()
+    best = met.groupBy("id").agg(F.max_by("c", F.struct("count", -F.col("c"))).alias("c"))
+    return best.select(F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b")).distinct()
+
+
+def _pivots(members: DataFrame) -> DataFrame:
+    """(id, pivot): of the most popular members of a document's lists, the one it meets most often; maybe itself."""
+    centre = _tops(members)
+    met = members.join(centre, "sig").groupBy("id", "c").count()
+    return met.groupBy("id").agg(F.max_by("c", F.struct("count", -F.col("c"))).alias("pivot"))
+
+
+def _edits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, pivot, text, text of the pivot) -> sizes, insertions and deletions against the pivot."""
+    for b in batches:
+        sets = [[shingles(h) for _, some in common.word_streams(b.column(c), lower=True) for h in some] for c in (2, 3)]
+        gained = [np.setdiff1d(x, y, assume_unique=True) for x, y in zip(*sets)]
+        lost = [np.setdiff1d(y, x, assume_unique=True) for x, y in zip(*sets)]
+        n, m, a, d = (np.fromiter(map(len, v), np.int64, b.num_rows) for v in (*sets, gained, lost))
+        far = (100 + PERCENT) * (a + d) > FAR * (100 - PERCENT) * (n + m)  # then it is a pivot of its own
+        pivot = np.where(far, b.column(0).to_numpy(), b.column(1).to_numpy())
+        m[far], a[far], d[far] = n[far], 0, 0
+        some = lambda sides: pa.array([[] if f else x.view(np.int64) for x, f in zip(sides, far)], pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(pivot), *map(pa.array, (n, m, a, d)), some(gained), some(lost)], names=["id", "pivot", "s", "s_pivot", "a", "d", "gained", "lost"])
+
+
+def _placed(pivots: DataFrame, members: DataFrame, rows: DataFrame, scratch: common.Scratch) -> DataFrame:
+    """Every open document (id, of) with how its set differs from its pivot's: `a` shingles more, `d` fewer."""
+    ids = scratch.table(pivots.select("id").unionByName(pivots.select(F.col("pivot").alias("id"))).distinct(), "placed_ids")
+    texts = rows.join(common.sized(ids), "id", "left_semi")
+    both = pivots.join(texts.select("id", F.col("text").alias("x")), "id").join(texts.select(F.col("id").alias("pivot"), F.col("text").alias("y")), "pivot")
+    kinds = "id long, pivot long, s long, s_pivot long, a long, d long, gained array<bigint>, lost array<bigint>"
+    return both.select("id", "pivot", "x", "y").mapInArrow(_edits, kinds).join(members, "id")
+
+
+def _around_pivots(placed: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of one pivot, in different components, whose sets may be similar enough.
+
+    What two sets gain over their pivot and what they lose are disjoint, so the
+    sets differ in a_x + a_y - 2 common gains, and at least |d_x - d_y| losses.
+    Either they share gains, which are rare, or the gains and losses alone decide;
+    then both are linked with the pivot, or one of them nearly is.
+    """
+    much, less = 100 + percent, 100 - percent
+    side = lambda df, x, *more: df.select("pivot", *more, *[F.col(c).alias(f"{c}_{x}") for c in ("id", "of", "s", "a", "d")])
+    fits = lambda shared: F.expr(f"{much} * (a_x + a_y + abs(d_x - d_y) - 2 * {shared}) <= {less} * (s_x + s_y)")
+    pair = (F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b"))
+    bounds = placed.groupBy("pivot").agg(F.max(F.expr("d - a")).alias("most"), F.max("s").alias("largest"))
+    outer = placed.filter(f"{much} * (a + d) > {less} * (s + s_pivot)").join(bounds, "pivot").filter(f"{much} * least(a + d - most, a) <= {less} * (s + largest)")
+    sets = lambda df, x: side(df, x, F.col("gained").alias(f"gained_{x}"), F.col("lost").alias(f"lost_{x}"))
+    # where gains and losses alone would allow a link, the common ones settle it
+    common_ones = "size(array_intersect(gained_x, gained_y)) + size(array_intersect(lost_x, lost_y))"
+    exactly = F.expr(f"{much} * (a_x + a_y + d_x + d_y - 2 * ({common_ones})) <= {less} * (s_x + s_y)")
+    alone = sets(outer, "x").join(sets(placed, "y"), "pivot").filter((F.col("of_x") != F.col("of_y")) & fits("0") & exactly).select(*pair)
+    direct = placed.filter(f"id != pivot AND {much} * (a + d) <= {less} * (s + s_pivot)").select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b"))
+    gains = placed.withColumn("gain", F.explode("gained"))
+    met = side(gains, "x", "gain").join(side(gains, "y", "gain"), ["pivot", "gain"]).filter("of_x < of_y")
+    met = met.groupBy("pivot", *[f"{c}_{x}" for x in "xy" for c in ("id", "s", "a", "d")]).agg(F.count(F.lit(1)).alias("shared"))
+    return direct.unionByName(alone).unionByName(met.filter(fits("shared")).select(*pair))
+
+
+def _spare(band, percent: int):
     """How many long lists a document may leave out, by band, as an expression."""
     known = range(min(len(bands(percent)) - 1, 255))
-    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for k in known for x in (k, plan(k, percent, False).spare)]), band.cast("int")), F.lit(0))
+    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for k in known for x in (k, plan(k, percent, False).spare)]), band), F.lit(0))
 
 
 def _sizes_of(sizes: DataFrame, kept: DataFrame) -> DataFrame:
