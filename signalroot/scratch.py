@@ -52,6 +52,7 @@ class Scratch:
     def table(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
         df.write.mode("overwrite").parquet(path)
+        release(self.spark)  # the stages behind the table won't be read again
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
