@@ -47,7 +47,7 @@ LONG_LIST = 8
 #: Times that lists still apart get new centres before pairs are made.
 CENTRE_ROUNDS = 1
 #: Times the allowed difference beyond which a document doesn't keep its pivot.
-FAR = 2
+FAR = 6
 #: Common lists that make a star edge worth verifying before the others.
 FIRST_LISTS = 4
 
