@@ -41,7 +41,7 @@ from . import common
 
 SHINGLE, PERCENT = 5, 80
 #: Signatures and documents that a task holds before it emits them.
-CHUNK_SIGNATURES, CHUNK_DOCS = 1_000_000, 20_000
+CHUNK_SIGNATURES, CHUNK_DOCS = 400_000, 20_000
 #: A list longer than this is left out by documents that have slack for it.
 LONG_LIST = 8
 #: Times that lists still apart get new centres before pairs are made.
@@ -306,7 +306,7 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     scratch = common.Scratch(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"))
     n_bytes = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = common.partitions(spark, n_bytes / 10, 1.5e6)  # about one signature in ten bytes
+    parts = common.partitions(spark, n_bytes / 10, 7.5e5)  # about one signature in ten bytes
     bits = max(8, int(np.ceil(np.log2(4 * parts))))
     schema = T.StructType([T.StructField("kind", T.IntegerType())] + [T.StructField(c, T.LongType()) for c in ("sig", "a", "b", "n")])
     # lists meet by their bucket; what needs no meeting is spread
