@@ -62,32 +62,76 @@ def faults_of(window: np.ndarray) -> tuple[list[str], list[str]]:
     return flat, saturated
 
 
-def judge(content: bytes, leads: list[dict], rate: float, n_samples: int) -> dict:
-    n = min(round(WINDOW_S * rate), n_samples)
-    window, missing = window_of(decode(content, leads[0]["format"], leads, n_samples, n), [x["name_canonical"] for x in leads])
+def window_length(rate: float, n_samples: int) -> int:
+    return min(round(WINDOW_S * rate), n_samples)
+
+
+def judge(signal: np.ndarray, leads: list[dict]) -> dict:
+    """`signal`: float64[window, leads], leads in the header's order."""
+    window, missing = window_of(signal, [x["name_canonical"] for x in leads])
     if window is None:
         return {"missing_leads": missing, "flat_leads": [], "saturated_leads": [], "n_nonfinite": 0, "n_samples_read": 0, "signal_digest": None, "wave": None}
     flat, saturated = faults_of(window)
     return {
-        "missing_leads": [], "flat_leads": flat, "saturated_leads": saturated, "n_nonfinite": int(np.sum(~np.isfinite(window))), "n_samples_read": n,
+        "missing_leads": [], "flat_leads": flat, "saturated_leads": saturated, "n_nonfinite": int(np.sum(~np.isfinite(window))), "n_samples_read": len(signal),
         "signal_digest": digest_of(window), "wave": window[0].tolist(),
     }
 
 
+def _frame(rows: list[dict]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=["record_id", "missing_leads", "flat_leads", "saturated_leads", "n_nonfinite", "n_samples_read", "signal_digest", "wave"])
+
+
 def _judge_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Records with all leads in one file."""
+    for pdf in batches:
+        rows = []
+        for r in pdf.itertuples():
+            leads = list(r.leads)
+            rows.append({"record_id": r.record_id} | judge(decode(r.content, leads[0]["format"], leads, r.n_samples, window_length(r.sampling_rate_hz, r.n_samples)), leads))
+        yield _frame(rows)
+
+
+def _decode_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The window of the leads that lie in one of a record's files, as bytes of float64[window, leads]."""
+    for pdf in batches:
+        rows = []
+        for r in pdf.itertuples():
+            own = [x for x in r.leads if x["file"] == r.file]
+            signal = decode(r.content, own[0]["format"], own, r.n_samples, window_length(r.sampling_rate_hz, r.n_samples))
+            rows.append((r.record_id, r.leads, r.n_files, r.file, signal.tobytes()))
+        yield pd.DataFrame(rows, columns=["record_id", "leads", "n_files", "file", "samples"])
+
+
+def _judge_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Records whose leads lie in several files, which are put together in the header's order."""
     for pdf in batches:
-        rows = [{"record_id": r.record_id} | judge(r.content, list(r.leads), r.sampling_rate_hz, r.n_samples) for r in pdf.itertuples()]
-        yield pd.DataFrame(rows, columns=["record_id", "missing_leads", "flat_leads", "saturated_leads", "n_nonfinite", "n_samples_read", "signal_digest", "wave"])
+        rows = []
+        for r in pdf.itertuples():
+            leads = list(r.leads)
+            columns: list[np.ndarray | None] = [None] * len(leads)
+            for part in r.parts:
+                at = [k for k, x in enumerate(leads) if x["file"] == part["file"]]
+                for k, column in zip(at, np.frombuffer(part["samples"]).reshape(-1, len(at)).T):
+                    columns[k] = column
+            rows.append({"record_id": r.record_id} | judge(np.stack(columns, axis=1), leads))
+        yield _frame(rows)
 
 
 def judged(spark: SparkSession, headers: DataFrame, directory: str) -> DataFrame:
-    """Faults, fingerprint and first lead of every record whose signal file is there.
+    """Faults, fingerprint and first lead of every record whose signal files are all there.
 
-    Records with their leads in one file are read; their files are joined by path.
+    Files are joined by path. Of records with leads in several files, each file's
+    window is decoded first, and the windows meet by record.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(directory).filter(~F.endswith("path", F.lit(".hea")))
     root = directory.rstrip("/") + "/"
     content = files.select(F.substring_index("path", root, -1).alias("signal_path"), "content")
     folder = F.regexp_extract("header_path", r"^(.*/)[^/]*$", 1)
-    rows = headers.filter(F.size("signal_paths") == 1).withColumn("signal_path", F.concat(folder, F.col("signal_paths")[0]))
-    return rows.join(content, "signal_path").select("record_id", "leads", "sampling_rate_hz", "n_samples", "content").mapInPandas(_judge_batches, JUDGED)
+    rows = headers.select("record_id", "leads", "sampling_rate_hz", "n_samples", folder.alias("folder"), F.size("signal_paths").alias("n_files"), F.explode("signal_paths").alias("file"))
+    rows = rows.withColumn("signal_path", F.concat("folder", "file")).join(content, "signal_path").select("record_id", "leads", "sampling_rate_hz", "n_samples", "n_files", "file", "content")
+    whole = rows.filter("n_files = 1").mapInPandas(_judge_batches, JUDGED)
+    lead = headers.schema["leads"].dataType.simpleString()
+    parts = rows.filter("n_files > 1").mapInPandas(_decode_parts, f"record_id string, leads {lead}, n_files int, file string, samples binary")
+    together = parts.groupBy("record_id").agg(F.first("leads").alias("leads"), F.first("n_files").alias("n_files"), F.collect_list(F.struct("file", "samples")).alias("parts"))
+    return whole.unionByName(together.filter(F.size("parts") == F.col("n_files")).select("record_id", "leads", "parts").mapInPandas(_judge_parts, JUDGED))

@@ -94,6 +94,20 @@ def test_build(spark, tmp_path):
     assert manifest.verify(declared, manifest.file_digests(spark, f"{tmp_path}/d", large=True)).filter("outcome = 'unlisted'").count() == 3
 
 
+def test_leads_in_several_files(spark, tmp_path):
+    x = np.random.default_rng(3).integers(-900, 900, (5200, 14))
+    names = [*S.CANONICAL_LEADS, "vx", "vy"]
+    of = ["r.xyz" if k in (1, 12, 13) else "r.dat" for k in range(14)]  # one canonical lead lies in the other file
+    for name in ("r", "lost"):
+        lines = [f"{name} 14 500 5200"] + [f"{f.replace('r.', name + '.')} 16 100(0)/mV 16 0 0 0 0 {n}" for f, n in zip(of, names)]
+        (tmp_path / f"{name}.hea").write_text("\n".join(lines) + "\n")
+    for f in ("r.dat", "r.xyz"):
+        (tmp_path / f).write_bytes(x[:, [k for k in range(14) if of[k] == f]].astype("<i2").tobytes())
+    (tmp_path / "lost.dat").write_bytes((tmp_path / "r.dat").read_bytes())  # its other file isn't there
+    got = signals.judged(spark, headers.scan(spark, str(tmp_path), "s/a"), str(tmp_path)).collect()
+    assert [(r.record_id, r.signal_digest, r.n_samples_read) for r in got] == [("s/a:r", signals.digest_of((x[:5000, :12].T / 100).astype(np.float32)), 5000)]
+
+
 def test_digest_equals_expression(spark):
     rng = np.random.default_rng(1)
     w = rng.normal(0, 1, (2, 50)).astype(np.float32)
