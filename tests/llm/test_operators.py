@@ -340,6 +340,19 @@ def test_decontamination(spark):
     assert kept.count() == sum(not r.contaminated for r in got) and kept.columns == documents(spark, []).columns
 
 
+def test_decontamination_keeps_every_passage_that_the_exact_checks_accept():
+    terms = np.arange(1, 21, dtype=np.uint64) << np.uint64(50)
+    idf = np.full(decontaminate.TERMS, 0.1, np.float32)
+    idf[decontaminate.bucket(terms[:8])] = 10  # the rare words are replaced
+    item = decontaminate.Item(7, terms, terms[14:])
+    finder = decontaminate.Finder(decontaminate.Block([item], np.ones((decontaminate.TERMS, 1), np.float32), idf))
+    other = np.arange(100, 108, dtype=np.uint64) << np.uint64(50)
+    passage = np.r_[other, terms[8:]]
+    assert decontaminate.judge(item, passage.tolist(), {})[1]
+    filler = np.arange(200, 300, dtype=np.uint64) << np.uint64(50)
+    assert [set(x) for x in finder([passage, np.r_[filler, passage, filler], filler, np.repeat(terms[14:15], 40)])] == [{7}, {7}, set(), set()]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 5), max_size=30), st.lists(st.integers(0, 5), max_size=30))
 def test_lcs(a, b):
