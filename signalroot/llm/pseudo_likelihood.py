@@ -7,9 +7,11 @@ hash and are told apart inside one by their corpus frequencies, so the
 probabilities are those of words.
 
 Word counts are gathered over all documents in a shuffle that grows with the
-input. The network is trained by rounds of parallel SGD in numpy: every task
+input, and kept as a written table. The network is trained by rounds of parallel SGD in numpy: every task
 trains on a fixed share of the positions of all its documents, and the weights
-are averaged, weighted by positions. Scoring is one pass without a shuffle.
+are averaged, weighted by positions. Scoring is one pass by the network; the words outside the
+vocabulary, merged over a chunk of documents, then meet the counts by hash, and
+the sums return to their chunk.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,6 +40,8 @@ SLICES = 16
 #: Distinct words that a task counts before it emits them.
 CHUNK_WORDS = 500_000
 BUCKET_BITS = 12
+#: A chunk of scored documents is closed at so many of them, or so many words outside the vocabulary.
+CHUNK_DOCS, CHUNK_RARE = 50_000, 500_000
 OFFSETS = [o for o in range(-SIDE, SIDE + 1) if o]
 
 
@@ -79,7 +84,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of a bucket's words over all tasks -> its most frequent words, and sums by shared output."""
+    """Counts of words over all tasks -> most frequent words, sums by shared output, all words by bucket."""
     parts = []
     for b in batches:
         for data in b.column(1).to_pylist():
@@ -91,14 +96,23 @@ def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     top = np.lexsort((h, -n))[:VOCABULARY]
     out = shared_out(h)
     total, distinct = np.bincount(out, n, SHARED_OUT), np.bincount(out, minlength=SHARED_OUT)
+    cut = (h >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+    a = np.flatnonzero(np.r_[True, cut[1:] != cut[:-1]])
+    for x, y in zip(a, np.r_[a[1:], len(h)]):
+        data = h[x:y].astype("<u8").tobytes() + n[x:y].astype("<i8").tobytes()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([2], pa.int32()), pa.array([cut[x]], pa.int64()), pa.array([int(n[x:y].sum())], pa.int64()), pa.array([y - x], pa.int64()), pa.array([data], pa.binary())],
+            names=["kind", "key", "n", "distinct", "data"],
+        )
     yield pa.RecordBatch.from_arrays(
         [
             pa.array(np.r_[np.zeros(len(top), np.int32), np.ones(SHARED_OUT, np.int32)]),
             pa.array(np.r_[h[top].view(np.int64), np.arange(SHARED_OUT)]),
             pa.array(np.r_[n[top], total.astype(np.int64)]),
             pa.array(np.r_[np.zeros(len(top), np.int64), distinct]),
+            pa.nulls(len(top) + SHARED_OUT, pa.binary()),
         ],
-        names=["kind", "key", "n", "distinct"],
+        names=["kind", "key", "n", "distinct", "data"],
     )
 
 
@@ -110,7 +124,8 @@ class Vocabulary:
     own: np.ndarray
     output: np.ndarray
     inside: np.ndarray
-    rest: np.ndarray  # log P(word | shared output) of any other word
+    rest: np.ndarray  # mean of P(word | shared output) over the other words, as a logarithm
+    whole: np.ndarray  # log of the words that share an output, and one more
 
     @classmethod
     def build(cls, h: np.ndarray, n: np.ndarray, total: np.ndarray, distinct: np.ndarray) -> Vocabulary:
@@ -128,7 +143,13 @@ class Vocabulary:
         inside = np.r_[np.zeros(k), np.log(n[k:]) - np.log(total[out[k:]] + 1)]
         output = np.r_[np.arange(k), OWN + out[k:]]
         order = np.argsort(h)
-        return cls(h[order], np.arange(len(h))[order], output[order], inside[order], rest)
+        return cls(h[order], np.arange(len(h))[order], output[order], inside[order], rest, np.log(total + 1))
+
+    def rare(self, h: np.ndarray) -> np.ndarray:
+        """Which words are outside the vocabulary."""
+        if not len(self.keys):
+            return np.ones(len(h), bool)
+        return self.keys[np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)] != h
 
     def __call__(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Input number, output number and log P(word | output) of words."""
@@ -239,12 +260,19 @@ def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> tuple[Vocabulary, np.ndarray]:
     """Vocabulary and weights, from all documents."""
+    scratch = common.Scratch(docs.sparkSession)
+    vocabulary, weights, _ = _learn(docs, text_col, rounds, scratch)
+    scratch.drop("counts")
+    return vocabulary, weights
+
+
+def _learn(docs: DataFrame, text_col: str, rounds: int, scratch: common.Scratch) -> tuple[Vocabulary, np.ndarray, DataFrame]:
+    """Vocabulary, weights, and the table of all words' counts."""
     spark = docs.sparkSession
-    scratch = common.Scratch(spark)
     rows = docs.select(F.col(text_col).cast("string").cast("binary").alias("text"))
     parts = min(1 << BUCKET_BITS, int(spark.conf.get("spark.sql.shuffle.partitions")))
     counts = scratch.table(
-        rows.mapInArrow(_count, "bucket long, data binary").repartition(parts, "bucket").mapInArrow(_totals, "kind int, key long, n long, distinct long"), "counts"
+        rows.mapInArrow(_count, "bucket long, data binary").repartition(parts, "bucket").mapInArrow(_totals, "kind int, key long, n long, distinct long, data binary"), "counts"
     )
     top = counts.filter("kind = 0").orderBy(F.desc("n"), "key").limit(VOCABULARY).collect()  # of a fixed size
     sums = counts.filter("kind = 1").groupBy("key").agg(F.sum("n").alias("n"), F.sum("distinct").alias("distinct")).collect()
@@ -253,7 +281,6 @@ def fit(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> tuple[
         total[r["key"]], distinct[r["key"]] = r["n"], r["distinct"]
     h = np.array([r["key"] for r in top], np.int64).view(np.uint64)
     vocabulary = Vocabulary.build(h, np.array([r["n"] for r in top], np.int64), total, distinct)
-    scratch.drop("counts")
     weights = Network().weights
     for turn in range(rounds):
         shared = spark.sparkContext.broadcast((vocabulary, weights))
@@ -262,7 +289,7 @@ def fit(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> tuple[
         if got:
             weights = np.concatenate([got[k][1:] / got[k][0] for k in range(SLICES)]).astype(np.float32)
         shared.unpersist()
-    return vocabulary, weights
+    return vocabulary, weights, counts.filter("kind = 2").select(F.col("key").alias("bucket"), "data")
 
 
 def _score(shared):
@@ -284,6 +311,95 @@ def _score(shared):
     return run
 
 
+def _score_parts(shared):
+    """(id, text) -> rows of scores without P(word | output) of rare words (part null), and the rare words of a chunk by bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, weights = shared.value
+        net = Network(weights)
+        chunk, nth, held, size = TaskContext.get().partitionId() << 32, 0, [], 0
+
+        def words_of() -> Iterator[pa.RecordBatch]:
+            doc, h = (np.concatenate(x) for x in zip(*held))
+            order = np.lexsort((doc, h))
+            doc, h = doc[order], h[order]
+            first = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])])
+            n = np.diff(np.r_[first, len(h)])
+            doc, h = doc[first], h[first]
+            cut = (h >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+            a = np.flatnonzero(np.r_[True, cut[1:] != cut[:-1]])
+            z = np.r_[a[1:], len(h)]
+            data = [h[x:y].astype("<u8").tobytes() + doc[x:y].astype("<u4").tobytes() + n[x:y].astype("<u4").tobytes() for x, y in zip(a, z)]
+            none = len(a)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(none, chunk)), pa.nulls(none, pa.int64()), pa.nulls(none, kind), pa.nulls(none, pa.int64()), pa.nulls(none, pa.float64()), pa.array(cut[a]), pa.array(data, pa.binary())],
+                names=PARTS,
+            )
+
+        kind = None
+        for b in batches:
+            kind = b.schema.field(0).type
+            for lo, h, words, *_ in common.word_spans(b.column(1), lower=True):
+                scores, k = np.zeros(len(words)), len(words)
+                if len(h):
+                    x, y, inside = vocabulary(h)
+                    rare = vocabulary.rare(h)
+                    # a rare word's own count is added where the counts are; here is what it is divided by
+                    inside[rare] = -vocabulary.whole[shared_out(h[rare])]
+                    of = np.repeat(np.arange(k), words)
+                    scores = np.bincount(of, net.log_prob(_contexts(x, words), y) + inside, k)
+                    held.append((nth + of[rare], h[rare]))
+                    size += int(rare.sum())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(k, chunk)), pa.array(np.arange(nth, nth + k)), b.column(0).slice(lo, k), pa.array(words.astype(np.int64)), pa.array(scores), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary())],
+                    names=PARTS,
+                )
+                nth += k
+                if size >= CHUNK_RARE or nth >= CHUNK_DOCS:
+                    if size:
+                        yield from words_of()
+                    chunk, nth, held, size = chunk + 1, 0, [], 0
+        if size:
+            yield from words_of()
+
+    return run
+
+
+PARTS = ["chunk", "nth", "id", "n_tokens", "log_prob", "bucket", "data"]
+
+
+def _look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(bucket, chunk, data), a bucket's counts (chunk null) before its words -> sums of log counts of a chunk's documents."""
+    now, keys, logs = None, np.empty(0, np.uint64), np.empty(0)
+    for b in batches:
+        chunks, out = [], []
+        for cut, chunk, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
+            raw = data.as_buffer()
+            if chunk is None:
+                both = np.frombuffer(raw, "<u8").reshape(2, -1)
+                now, keys, logs = cut, both[0], np.log(both[1].astype(float))
+                continue
+            m = raw.size // 16
+            h, (doc, n) = np.frombuffer(raw, "<u8", m), np.frombuffer(raw, "<u4", 2 * m, 8 * m).reshape(2, m)
+            assert cut == now  # every word was counted
+            each = n * logs[np.searchsorted(keys, h)]
+            docs, where = np.unique(doc, return_inverse=True)
+            chunks.append(chunk)
+            out.append(docs.astype("<u4").tobytes() + np.bincount(where, each).astype("<f8").tobytes())
+        yield pa.RecordBatch.from_arrays([pa.array(chunks, pa.int64()), pa.array(out, pa.binary())], names=["chunk", "data"])
+
+
+def _put_together(rows: pa.Table, sums: pa.Table) -> pa.Table:
+    """The rows of a chunk with the sums of its buckets."""
+    rows = rows.sort_by("nth")  # 0, 1, ...
+    scores, tokens = rows["log_prob"].to_numpy().copy(), rows["n_tokens"].to_numpy()
+    for data in sorted(sums["data"].to_pylist()):
+        m = len(data) // 12
+        scores[np.frombuffer(data, "<u4", m)] += np.frombuffer(data, "<f8", m, 4 * m)
+    mean = pa.array(scores / np.maximum(tokens, 1), mask=tokens == 0)
+    return pa.table([rows["id"], rows["n_tokens"], pa.array(scores), mean], names=["id", "n_tokens", "log_prob", "mean_log_prob"])
+
+
 def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS) -> DataFrame:
     """One row per input row: id, n_tokens, log_prob, mean_log_prob.
 
@@ -296,7 +412,20 @@ def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     - equal counts go into the vocabulary by hash; whole texts are read.
     - an empty table gives an empty result; other columns are not read.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, text_col, rounds))
+    spark = docs.sparkSession
+    scratch = common.Scratch(spark)
+    vocabulary, weights, counts = _learn(docs, text_col, rounds, scratch)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"))
-    schema = T.StructType([T.StructField("id", rows.schema["id"].dataType), T.StructField("n_tokens", T.LongType()), T.StructField("log_prob", T.DoubleType()), T.StructField("mean_log_prob", T.DoubleType())])
-    return rows.mapInArrow(_score(shared), schema).withColumnRenamed("id", id_col)
+    kind = rows.schema["id"].dataType
+    schema = T.StructType(
+        [T.StructField("chunk", T.LongType()), T.StructField("nth", T.LongType()), T.StructField("id", kind), T.StructField("n_tokens", T.LongType()), T.StructField("log_prob", T.DoubleType())]
+        + [T.StructField("bucket", T.LongType()), T.StructField("data", T.BinaryType())]
+    )
+    made = scratch.table(rows.mapInArrow(_score_parts(spark.sparkContext.broadcast((vocabulary, weights))), schema), "scored")
+    words = made.filter("bucket is not null").select("bucket", "chunk", "data")
+    parts = common.partitions(spark, 0, 1)
+    dealt = counts.select("bucket", F.lit(None).cast("long").alias("chunk"), "data").unionByName(words).repartition(parts, "bucket").sortWithinPartitions("bucket", F.asc_nulls_first("chunk"))
+    sums = dealt.mapInArrow(_look_up, "chunk long, data binary")
+    scored = made.filter("nth is not null").select("chunk", "nth", "id", "n_tokens", "log_prob")
+    schema = T.StructType([T.StructField("id", kind), T.StructField("n_tokens", T.LongType()), T.StructField("log_prob", T.DoubleType()), T.StructField("mean_log_prob", T.DoubleType())])
+    return scored.groupBy("chunk").cogroup(sums.groupBy("chunk")).applyInArrow(_put_together, schema).withColumnRenamed("id", id_col)

@@ -300,6 +300,28 @@ def _score(vocabulary, weights, text):
     return out
 
 
+def test_pseudo_likelihood_uses_the_own_count_of_every_word(spark, monkeypatch):
+    monkeypatch.setattr(pseudo_likelihood, "CHUNK_RARE", 700)  # many chunks
+    words = [f"w{i}" for i in range(3 * pseudo_likelihood.VOCABULARY)]
+    names = np.array(words)
+    h = np.concatenate([x for _, got in common.word_streams(pa_array(words), lower=True) for x in got])
+    out = pseudo_likelihood.shared_out(h)
+    rare = [int(i) for i in np.flatnonzero(out == out[-1])[-3:]]  # of one output; the last one is more common
+    texts = [" ".join(names[lo : lo + 64]) for lo in range(0, len(words), 64)] * 2
+    texts += [words[rare[2]]] + [" ".join(words[: pseudo_likelihood.VOCABULARY + 300])] * 3
+    rows = [(k, t) for k, t in enumerate(texts)] + [(-1, words[rare[0]]), (-2, words[rare[2]]), (-2, words[rare[2]])]
+    got = {r.doc_id: r for r in pseudo_likelihood.pseudo_likelihood(documents(spark, rows), rounds=1).collect()}
+    assert len(got) == len(texts) + 2
+    # alone in a text, words of one output differ by the logarithm of their counts: 3 and 5
+    assert abs(got[-2].log_prob - got[-1].log_prob - np.log(5 / 3)) < 1e-6
+
+
+def pa_array(words):
+    import pyarrow as pa
+
+    return pa.array([w.encode() for w in words])
+
+
 def test_vocabulary_is_a_distribution():
     rng = np.random.default_rng(5)
     h = rng.integers(1, 1 << 63, 9000).astype(np.uint64)
