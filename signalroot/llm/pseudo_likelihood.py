@@ -8,8 +8,9 @@ probabilities are those of words.
 
 Word counts are gathered over all documents in a shuffle that grows with the
 input, and kept as a written table. The network is trained by rounds of parallel SGD in numpy: every task
-trains on a fixed share of the positions of all its documents, and the weights
-are averaged, weighted by positions. Scoring is one pass by the network; the words outside the
+trains on the round's share of the positions of all its documents, and the
+weights are averaged, weighted by positions; over the rounds every position of
+the corpus is a target once. Scoring is one pass by the network; the words outside the
 vocabulary, merged over a chunk of documents, then meet the counts by hash, and
 the sums return to their chunk.
 """
@@ -33,8 +34,8 @@ VOCABULARY, OWN = 4096, 96
 #: Outputs and inputs that the other words share by hash.
 SHARED_OUT, SHARED_IN = 32, 256
 SIDE, DIM, SEED = 2, 24, 3
-#: Rounds of averaging, and the share of positions (one in so many) trained on in each.
-ROUNDS, ONE_IN, BATCH, RATE = 2, 32, 256, 0.3
+#: Rounds of averaging; each trains on its share of the positions, all rounds on every position once.
+ROUNDS, BATCH, RATE = 2, 256, 0.3
 #: Slices in which weights are summed over tasks.
 SLICES = 16
 #: Distinct words that a task counts before it emits them.
@@ -194,7 +195,10 @@ class Network:
         self.out -= step * (h.T @ p)
         self.bias -= step * p.sum(axis=0)
         for o in range(len(OFFSETS)):
-            np.subtract.at(self.emb[o], context[:, o], np.float32(rate / 16) * back)
+            order = np.argsort(context[:, o])
+            c = context[order, o]
+            first = np.flatnonzero(np.r_[True, c[1:] != c[:-1]])
+            self.emb[o, c[first]] -= np.float32(rate / 16) * np.add.reduceat(back[order], first)
 
     def log_prob(self, context: np.ndarray, y: np.ndarray) -> np.ndarray:
         """log P(output y | neighbours) of many positions."""
@@ -220,8 +224,17 @@ def _contexts(x: np.ndarray, words: np.ndarray) -> np.ndarray:
     return np.stack([padded[at + o] for o in OFFSETS], axis=1)
 
 
-def _fit(shared, turn: int):
-    """Trains from the shared weights on one position in ONE_IN; (slice, positions and weights * positions)."""
+def targets(h: np.ndarray, words: np.ndarray, turn: int, rounds: int) -> np.ndarray:
+    """Positions that round `turn` trains on, by text and place in it: each position is in one round."""
+    ends = np.cumsum(words)
+    place = (np.arange(len(h)) - np.repeat(ends - words, words)).astype(np.uint64)
+    held = np.append(np.uint64(0), np.cumsum(common.mix(h + place)))
+    key = common.mix(np.repeat(held[ends] - held[ends - words], words) + place)
+    return np.flatnonzero(key % np.uint64(rounds) == turn)
+
+
+def _fit(shared, turn: int, rounds: int):
+    """Trains from the shared weights on a round's positions; (slice, positions and weights * positions)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, start = shared.value
@@ -232,7 +245,7 @@ def _fit(shared, turn: int):
                 if not len(h):
                     continue
                 x, y, _ = vocabulary(h)
-                pick = np.flatnonzero(common.mix(np.arange(len(h), dtype=np.uint64) + h[0] + np.uint64(turn)) % np.uint64(ONE_IN) == 0)
+                pick = targets(h, words, turn, rounds)
                 context = _contexts(x, words)[pick]
                 order = np.argsort(common.mix(pick.astype(np.uint64)))
                 for lo in range(0, len(order), BATCH):
@@ -284,7 +297,7 @@ def _learn(docs: DataFrame, text_col: str, rounds: int, scratch: common.Scratch)
     weights = Network().weights
     for turn in range(rounds):
         shared = spark.sparkContext.broadcast((vocabulary, weights))
-        sums = rows.mapInArrow(_fit(shared, turn), "slice int, data binary").repartition(SLICES, "slice").mapInArrow(_add_up, "slice int, data binary")
+        sums = rows.mapInArrow(_fit(shared, turn, rounds), "slice int, data binary").repartition(SLICES, "slice").mapInArrow(_add_up, "slice int, data binary")
         got = {r["slice"]: np.frombuffer(r["data"], "<f8") for r in sums.toLocalIterator()}  # SLICES rows of a fixed size
         if got:
             weights = np.concatenate([got[k][1:] / got[k][0] for k in range(SLICES)]).astype(np.float32)

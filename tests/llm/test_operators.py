@@ -322,6 +322,24 @@ def pa_array(words):
     return pa.array([w.encode() for w in words])
 
 
+def test_pseudo_likelihood_trains_on_every_position():
+    import pyarrow as pa
+
+    texts = [b"one two three", b"", b"four", b"one two three four five six seven"] * 20
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], names=["text"])
+    none = np.zeros(pseudo_likelihood.SHARED_OUT)
+    v = pseudo_likelihood.Vocabulary.build(np.empty(0, np.uint64), np.empty(0, np.int64), none, none)
+    shared = type("S", (), {"value": (v, pseudo_likelihood.Network().weights)})
+    seen = sum(np.frombuffer(out["data"][0].as_py(), "<f4")[0] for turn in range(3) for out in pseudo_likelihood._fit(shared, turn, 3)(iter([batch])))
+    assert seen == 20 * 11
+    # the choice doesn't hang on how rows are batched
+    (_, h, words, *_), = common.word_spans(batch.column(0), lower=True)
+    for turn in range(3):
+        together = pseudo_likelihood.targets(h, words, turn, 3)
+        alone = pseudo_likelihood.targets(h[4:11], words[3:4], turn, 3)
+        assert set(alone) == {k - 4 for k in together if 4 <= k < 11} == {k - 15 for k in together if 15 <= k < 22}
+
+
 def test_vocabulary_is_a_distribution():
     rng = np.random.default_rng(5)
     h = rng.integers(1, 1 << 63, 9000).astype(np.uint64)
