@@ -84,20 +84,31 @@ def tree() -> trees.Node:
     return trees.grow(rows[:, :-1], -(2 * rows[:, -1] - 1), np.ones(len(rows)), depth=7, ridge=0.01)
 
 
-def _boiler(name: str, attrs: str, inside: bool) -> bool:
+#: What says that something is boilerplate: names around its article, which hold if there is
+#: other main text; a word among the names (class, id, role); all of the names; a tag, or being hidden.
+WEAK, NAMED, WHOLLY, CERTAIN = 1, 2, 3, 4
+_FILLER = frozenset("area areas list section block box container item items posts articles stories s".split())
+
+
+def _boiler(name: str, attrs: str, inside: bool, named: bool) -> int:
+    """0, NAMED, WHOLLY or CERTAIN; without `named` the words of class, id and role don't count."""
     if name in BOILER_TAGS or (name == "header" and not inside):
-        return True
+        return CERTAIN
     if not attrs:
-        return False
+        return 0
+    found, names = 0, set()
     for key, a, b, c in _NAMED.findall(attrs):
         key, value = key.lower(), (a or b or c).lower()
         if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and "display:none" in value.replace(" ", ""):
-            return True
-        if key in ("class", "id", "role") and name not in ("body", "html") and not BOILER_WORDS.isdisjoint(_SPLIT.split(value)):
+            return CERTAIN
+        if not named or key not in ("class", "id", "role"):
+            continue
+        names.update(_SPLIT.split(value))
+        if name not in ("body", "html") and not BOILER_WORDS.isdisjoint(_SPLIT.split(value)):
             if inside and name in ("header", "h1") and not {"comment", "comments", "ad", "ads"} & set(_SPLIT.split(value)):
                 continue
-            return True
-    return False
+            found = NAMED
+    return WHOLLY if found and names <= BOILER_WORDS | _FILLER | {""} else found
 
 
 def blocks(page: str) -> list[tuple[str, int, int, int, int, int]]:
@@ -105,7 +116,8 @@ def blocks(page: str) -> list[tuple[str, int, int, int, int, int]]:
     out: list[tuple[str, int, int, int, int, int]] = []
     parts: list[str] = []
     linked: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # of open elements: name, boilerplate, inside
+    stack: list[tuple[str, int, bool]] = []  # of open elements: name, boilerplate, inside
+    weak: list[int] = []
     links, own, heading, at = 0, False, False, 0
 
     def text(until: int) -> None:
@@ -119,8 +131,10 @@ def blocks(page: str) -> list[tuple[str, int, int, int, int, int]]:
     def flush() -> None:
         words = "".join(parts).split()
         if words:
-            boiler, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-            out.append((" ".join(words), len(words), len("".join(linked).split()), int(boiler or own), int(inside), int(heading)))
+            boiler, inside = (stack[-1][1], stack[-1][2]) if stack else (0, False)
+            if boiler == WEAK and not own:
+                weak.append(len(out))
+            out.append((" ".join(words), len(words), len("".join(linked).split()), int(boiler > WEAK or own), int(inside), int(heading)))
         parts.clear()
         linked.clear()
 
@@ -160,13 +174,22 @@ def blocks(page: str) -> list[tuple[str, int, int, int, int, int]]:
         elif name in BLOCK_TAGS:
             flush()
             links = 0
-            boiler, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-            mine = _boiler(name, m["attrs"], inside)
+            boiler, inside = (stack[-1][1], stack[-1][2]) if stack else (0, False)
+            # names of layout wrappers, and of an article or main itself, say nothing of what it
+            # holds; an article inside an article is a comment or a teaser, for which they do
+            first = name in MAIN_TAGS and not any(s[0] == "article" for s in stack)
+            if first and boiler in (NAMED, WHOLLY):
+                boiler = WEAK if boiler == WHOLLY and name == "article" else 0
+            mine = _boiler(name, m["attrs"], inside, not first)
             heading = name[0] == "h" and name[1:].isdigit()
-            own = mine and (heading or name == "p")
+            own = mine > 0 and (heading or name == "p")
             if name not in ("p", "hr") and not heading and name not in VOID_TAGS:
-                stack.append((name, boiler or mine, inside or name in MAIN_TAGS))
+                stack.append((name, max(boiler, mine), inside or name in MAIN_TAGS))
     flush()
+    held = set(weak)
+    if any(b[4] and not b[3] and i not in held for i, b in enumerate(out)):
+        for i in weak:
+            out[i] = (*out[i][:3], 1, *out[i][4:])
     return out
 
 
@@ -190,6 +213,8 @@ def main_text(page: str | None) -> str:
 
 def _inside_article(page, found):
     narrow = blocks(re.sub(r"<(/?)main\b", r"<\1section", page, flags=re.I))
+    if len(narrow) == len(found):
+        narrow = [(*a[:4], *b[4:]) for a, b in zip(found, narrow)]
     return narrow if len(narrow) == len(found) and any(b[4] and not b[3] for b in narrow) else found
 
 

@@ -208,6 +208,18 @@ def test_html_text(page, want):
     assert html_text.main_text(page) == want
 
 
+@pytest.mark.parametrize("page", [
+    '<div class="content has-sidebar"><article>%s</article></div>', '<div id="content-sidebar-wrap"><main>%s</main></div>', '<article class="post comments-open">%s</article>',
+    '<main class="with-sidebar"><div class="content has-sidebar"><article>%s</article></div></main>', '<div class="has-sidebar"><div class="comments-open"><article id="search">%s</article></div></div>',
+])
+def test_html_text_wrappers_do_not_decide(page):
+    held = '<p>Short text.</p><div class="ad">Buy now</div><section class="comments"><article class="comment"><p>Nice post</p></article></section>'
+    assert html_text.main_text(f"<body>{page % held}<div class=sidebar>More of this</div></body>") == "Short text."
+    assert html_text.main_text(f"<body>{page % held}<div id=comments><article>Another reader's post</article></div></body>") == "Short text."
+    assert html_text.main_text(f"<body><div hidden>{page % held}</div></body>") == ""
+    assert html_text.main_text("<div class=sidebar><article><p>Nothing else here</p></article></div>") == "Nothing else here"
+
+
 def test_html_text_query(spark):
     got = html_text.html_text(spark.createDataFrame([(1, "u", PAGES[0][0], "x"), (None, None, None, "x")], "page_id long, url string, html string, text string")).collect()
     assert [(r.page_id, r.url, r.n_chars) for r in got] == [(1, "u", len(PAGES[0][1])), (None, None, 0)]
