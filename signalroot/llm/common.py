@@ -164,7 +164,8 @@ def _hash_words(data: np.ndarray, bounds: np.ndarray, lower: bool, plain: bool)
     """Hash of each word, words of each text, first byte and bytes of each word.
 
     A word's hash is a sum over its bytes, each weighed by its place, so a few
-    passes over the bytes do for all words. `lower` folds A-Z; `plain` also folds
+    passes over the bytes do for all words; words with more bytes than there are
+    weights are hashed one by one. `lower` folds A-Z; `plain` also folds
     the Latin-1 letters and leaves punctuation out, dropping words without more.
     """
     n = len(bounds) - 1
@@ -196,8 +197,11 @@ def _hash_words(data: np.ndarray, bounds: np.ndarray, lower: bool, plain: bool)
     word = word[at]
     first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
     place = np.arange(len(at)) - np.repeat(first, np.diff(np.r_[first, len(at)]))
-    h = mix(np.add.reduceat(_BYTE[code[at]] * _PLACE[place & 4095], first))
-    return h, np.bincount(np.searchsorted(bounds, at[first], "right") - 1, minlength=n), at[first], np.diff(np.r_[first, len(at)])
+    size = np.diff(np.r_[first, len(at)])
+    h = mix(np.add.reduceat(_BYTE[code[at]] * _PLACE[place & (len(_PLACE) - 1)], first))
+    for k in np.flatnonzero(size > len(_PLACE)).tolist():  # past the weights, places would repeat
+        h[k] = xxhash.xxh3_64_intdigest(code[at[first[k] : first[k] + size[k]]].tobytes())
+    return h, np.bincount(np.searchsorted(bounds, at[first], "right") - 1, minlength=n), at[first], size
 
 
 def word_spans(column, lower: bool = False, plain: bool = False):

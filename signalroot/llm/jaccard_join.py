@@ -9,19 +9,19 @@ one-deletion neighbours, so they also match if they differ in one element. With
 H_k + 1 + slack units, a true pair matches in more than `slack` units.
 
 Cost-based allocation spends that slack: each document leaves out its most
-expensive segments, in an order both documents of a pair agree on. First, when
-signatures are made, those with the smallest subsets, whose lists are longest;
-then, after the lists are known, the longest lists. In either order a pair's
-common segments that one side leaves out are a prefix of those the other side
-could, so at least one common segment stays, and no link is lost.
+expensive segments, those with the smallest subsets, whose lists are longest, in
+an order both documents of a pair agree on. A pair's common segments that one
+side leaves out are a prefix of those the other side could, so at least one
+common segment stays, and no link is lost.
 
 Work inside a list is linear: a list is a star around its smallest member, first
 in the chunk of rows that a task holds and then over all chunks, so a list that
 very many documents share reaches the shuffle once per chunk. One star edge per
 document, the one with most common lists, is verified exactly on the texts; then
-lists whose members are still in different components get other centres, and at
-last those that are still apart give pairs, between components. Of these, pairs with too few common lists for the pigeonhole count
-are out, and the others are verified, so no pair is left undecided.
+lists whose members are still in different components get other centres. The
+members of lists that are still apart are compared by what they differ in from
+a pivot of the list, under a prefix filter (`_across`), and what that leaves is
+verified, so no pair is left undecided.
 """
 
 from __future__ import annotations
@@ -42,12 +42,8 @@ from . import common
 SHINGLE, PERCENT = 5, 80
 #: Signatures and documents that a task holds before it emits them.
 CHUNK_SIGNATURES, CHUNK_DOCS = 400_000, 20_000
-#: A list longer than this is left out by documents that have slack for it.
-LONG_LIST = 8
 #: Times that lists still apart get new centres before pairs are made.
 CENTRE_ROUNDS = 1
-#: Times the allowed difference beyond which a document doesn't keep its pivot.
-FAR = 6
 #: Common lists that make a star edge worth verifying before the others.
 FIRST_LISTS = 4
 
@@ -70,8 +66,7 @@ class Plan:
         most = bands(percent)[band + 1] - 1
         need = most * (100 - percent) // percent + 1  # H + 1 units
         self.slack = max(2, -(-need // 8)) if need > 1 else 0  # spent on small subsets
-        self.spare = max(1, -(-need // 12)) if need > 1 else 0  # spent on long lists
-        units = need + self.slack + self.spare
+        units = need + self.slack
         self.wide = need // 64
         self.single = units - 2 * self.wide
         if not cut:
@@ -195,9 +190,8 @@ def _map(percent: int, bits: int):
         fresh = lambda: ([], [], [], [], [], [])
         state, n, seen, base = fresh(), 0, {}, 0
         for b in batches:
-            ids = b.column(0).to_pylist()
-            texts = (x for _, some in common.word_streams(b.column(1), lower=True) for x in some)
-            for i, h in zip(ids, texts):
+            words = (x for _, some in common.word_streams(b.column(1), lower=True) for x in some)
+            for i, text, h in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), words):
                 s = shingles(h)
                 if i is None:
                     state[2].append(len(s))
@@ -206,10 +200,10 @@ def _map(percent: int, bits: int):
                 state[1].append(len(s))
                 if len(s):
                     key = common.xxhash.xxh3_128_digest(s.tobytes())
-                    if key in seen:
-                        state[5].append((seen[key], i))
-                    else:
-                        seen[key] = i
+                    if key in seen and seen[key][1].lower().split() == text.lower().split():
+                        state[5].append((seen[key][0], i))
+                    else:  # also where only the hashes are the same
+                        seen[key] = i, text
                         sig = signatures(s, percent)
                         state[3].append(sig)
                         state[4].append(len(state[0]) - 1)
@@ -302,6 +296,8 @@ def verified(pairs: DataFrame, rows: DataFrame, percent: int, scratch: common.Sc
 
 def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(sizes, components): (id, n_shingles) of each row, (node, component) of each linked id."""
+    if not 50 <= percent <= 100:
+        raise ValueError("percent must be between 50 and 100")
     spark = docs.sparkSession
     scratch = common.Scratch(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"))
@@ -343,26 +339,8 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         components = scratch.table(connected_components(links), f"components_with{turn}")
     else:
         members = _apart(edges, components, scratch, "members")
-    lengths = members.groupBy("sig").agg(F.count(F.lit(1)).alias("length"))
-    band = F.shiftrightunsigned("sig", 1).bitwiseAND(F.lit(255)).cast("int")
-    ranked = members.join(lengths, "sig").withColumn("band", band).withColumn("wide", F.col("sig").bitwiseAND(F.lit(1)))
-    mine = Window.partitionBy("id", "band", "wide")
-    rank = F.row_number().over(mine.orderBy(F.desc("length"), "sig"))
-    drop = (F.col("wide") == 0) & (F.col("length") > LONG_LIST) & (F.col("rank") <= _spare(F.col("band"), percent))
-    judged = ranked.withColumn("rank", rank).withColumn("drop", drop).withColumn("dropped", F.sum(F.col("drop").cast("int")).over(Window.partitionBy("id", "band")))
-    kept = scratch.table(judged.filter(~F.col("drop")).select("sig", "id", "of", "band", "wide", "dropped"), "kept")
-    pivots = scratch.table(_pivots(members), "pivots")
-    placed = scratch.table(_placed(pivots, members.select("id", "of").distinct(), rows, scratch), "placed")
-    piloted = kept.join(common.sized(scratch.table(placed.select("id", "pivot").distinct(), "final_pivots")), "id")
-    end = lambda x: piloted.select("sig", *[F.col(c).alias(f"{c}_{x}") for c in ("id", "of", "dropped", "pivot")], *(["band", "wide"] if x == "a" else []))
-    met = end("a").join(end("b"), "sig").filter("of_a < of_b AND pivot_a != pivot_b")
-    met = met.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b"), "band", (F.col("wide") + 1).alias("units"), F.greatest("dropped_a", "dropped_b").alias("gone"))
-    # a true pair has spare + 1 units in common lists; what either end left out may be missing
-    met = met.groupBy("a", "b", "band").agg(F.sum("units").alias("units"), F.max("gone").alias("gone"))
-    across = met.filter(F.col("units") + F.col("gone") > _spare(F.col("band"), percent)).select("a", "b")
-    pairs = across.unionByName(_around_pivots(placed, percent)).distinct()
-    close = _close(pairs, common.sized(scratch.table(_sizes_of(sizes, kept), "kept_sizes")), percent)
-    second = scratch.table(close.join(_union(tried), ["a", "b"], "left_anti"), "second")
+    pairs = scratch.table(_across(members, rows, percent, scratch), "across")
+    second = scratch.table(pairs.join(_union(tried), ["a", "b"], "left_anti"), "second")
     more = verified(second, rows, percent, scratch, "links2")
     if not more.isEmpty():
         components = scratch.table(connected_components(links.unionByName(more)), "components2")
@@ -408,77 +386,80 @@ def _centres(members: DataFrame) -> DataFrame:
     return best.select(F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b")).distinct()
 
 
-def _pivots(members: DataFrame) -> DataFrame:
-    """(id, pivot): of the most popular members of a document's lists, the one it meets most often; maybe itself."""
-    centre = _tops(members)
-    met = members.join(centre, "sig").groupBy("id", "c").count()
-    return met.groupBy("id").agg(F.max_by("c", F.struct("count", -F.col("c"))).alias("pivot"))
-
-
-def _edits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, pivot, text, text of the pivot) -> sizes, insertions and deletions against the pivot."""
-    for b in batches:
-        sets = [[shingles(h) for _, some in common.word_streams(b.column(c), lower=True) for h in some] for c in (2, 3)]
-        gained = [np.setdiff1d(x, y, assume_unique=True) for x, y in zip(*sets)]
-        lost = [np.setdiff1d(y, x, assume_unique=True) for x, y in zip(*sets)]
-        n, m, a, d = (np.fromiter(map(len, v), np.int64, b.num_rows) for v in (*sets, gained, lost))
-        far = (100 + PERCENT) * (a + d) > FAR * (100 - PERCENT) * (n + m)  # then it is a pivot of its own
-        pivot = np.where(far, b.column(0).to_numpy(), b.column(1).to_numpy())
-        m[far], a[far], d[far] = n[far], 0, 0
-        some = lambda sides: pa.array([[] if f else x.view(np.int64) for x, f in zip(sides, far)], pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(pivot), *map(pa.array, (n, m, a, d)), some(gained), some(lost)], names=["id", "pivot", "s", "s_pivot", "a", "d", "gained", "lost"])
-
-
-def _placed(pivots: DataFrame, members: DataFrame, rows: DataFrame, scratch: common.Scratch) -> DataFrame:
-    """Every open document (id, of) with how its set differs from its pivot's: `a` shingles more, `d` fewer."""
-    ids = scratch.table(pivots.select("id").unionByName(pivots.select(F.col("pivot").alias("id"))).distinct(), "placed_ids")
-    texts = rows.join(common.sized(ids), "id", "left_semi")
-    both = pivots.join(texts.select("id", F.col("text").alias("x")), "id").join(texts.select(F.col("id").alias("pivot"), F.col("text").alias("y")), "pivot")
-    kinds = "id long, pivot long, s long, s_pivot long, a long, d long, gained array<bigint>, lost array<bigint>"
-    return both.select("id", "pivot", "x", "y").mapInArrow(_edits, kinds).join(members, "id")
+def _pivots(members: DataFrame, scratch: common.Scratch) -> DataFrame:
+    """(id, of, pivot): pivots of every document, such that two of one list have a pivot in common.
 
+    First the one it meets most often of the most popular members of its lists.
+    Where the members of a list got different ones, they also get the list's own
+    most popular member. That is at most one row per member of a list.
+    """
+    met = scratch.table(members.join(_tops(members).select("sig", "c"), "sig"), "met")
+    main = met.groupBy("id", "c").count().groupBy("id").agg(F.max_by("c", F.struct("count", -F.col("c"))).alias("pivot"))
+    main = scratch.table(main, "main_pivots")
+    split = met.join(common.sized(main), "id").groupBy("sig").agg(F.min("pivot").alias("low"), F.max("pivot").alias("high")).filter("low != high")
+    own = met.join(common.sized(scratch.table(split.select("sig"), "split")), "sig", "left_semi").select("id", F.col("c").alias("pivot"))
+    return main.unionByName(own).distinct().join(members.select("id", "of").distinct(), "id")
 
-def _around_pivots(placed: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of one pivot, in different components, whose sets may be similar enough.
 
-    What two sets gain over their pivot and what they lose are disjoint, so the
-    sets differ in a_x + a_y - 2 common gains, and at least |d_x - d_y| losses.
-    Either they share gains, which are rare, or the gains and losses alone decide;
-    then both are linked with the pivot, or one of them nearly is.
+def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, of, pivot, text, text of the pivot) -> sizes, and the shingles that only one of the texts has."""
+    held: dict[int, np.ndarray] = {}
+    for b in batches:
+        sets = [shingles(h) for _, some in common.word_streams(b.column(3), lower=True) for h in some]
+        pivots = b.column(2).to_pylist()
+        new = [k for k, p in enumerate(pivots) if p not in held and p not in pivots[:k]] if len(held) < 1024 else None
+        if new is None:
+            held.clear()
+            new = [k for k, p in enumerate(pivots) if p not in pivots[:k]]
+        texts = (h for _, some in common.word_streams(b.column(4).take(pa.array(new, pa.int64())), lower=True) for h in some)
+        held.update((pivots[k], shingles(h)) for k, h in zip(new, texts))
+        both = [np.setxor1d(x, held[p], assume_unique=True) for x, p in zip(sets, pivots)]
+        count = lambda xs: pa.array(np.fromiter(map(len, xs), np.int64, len(xs)))
+        apart = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum([len(x) for x in both])], pa.int32()), pa.array(np.concatenate([*both, np.empty(0, np.uint64)]).view(np.int64)))
+        yield pa.RecordBatch.from_arrays([*b.columns[:3], count(sets), count([held[p] for p in pivots]), count(both), apart], names=["id", "of", "pivot", "s", "s_pivot", "d", "apart"])
+
+
+def _across(members: DataFrame, rows: DataFrame, percent: int, scratch: common.Scratch) -> DataFrame:
+    """Pairs (a, b) of one list, in different components, whose sets are similar enough by their hashes.
+
+    Let D be the shingles in which a document and its pivot differ, d their
+    number and T the difference that two sizes allow. Documents with d <= T are
+    linked with the pivot. Others, the outer ones, link only with a document
+    whose D has (d + d' - T) / 2 shingles or more in common with theirs, so both
+    have one of them among the rarest of their D (a prefix filter): the one with
+    the smaller d' among T / 2 + 1 at most, the other among T + 1, as d and d'
+    differ by T at most. Copies that were edited one by one share what is left
+    of the pivot, but hardly any of their edits, so few pairs meet.
     """
     much, less = 100 + percent, 100 - percent
-    side = lambda df, x, *more: df.select("pivot", *more, *[F.col(c).alias(f"{c}_{x}") for c in ("id", "of", "s", "a", "d")])
-    fits = lambda shared: F.expr(f"{much} * (a_x + a_y + abs(d_x - d_y) - 2 * {shared}) <= {less} * (s_x + s_y)")
-    pair = (F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b"))
-    bounds = placed.groupBy("pivot").agg(F.max(F.expr("d - a")).alias("most"), F.max("s").alias("largest"))
-    outer = placed.filter(f"{much} * (a + d) > {less} * (s + s_pivot)").join(bounds, "pivot").filter(f"{much} * least(a + d - most, a) <= {less} * (s + largest)")
-    sets = lambda df, x: side(df, x, F.col("gained").alias(f"gained_{x}"), F.col("lost").alias(f"lost_{x}"))
-    # where gains and losses alone would allow a link, the common ones settle it
-    common_ones = "size(array_intersect(gained_x, gained_y)) + size(array_intersect(lost_x, lost_y))"
-    exactly = F.expr(f"{much} * (a_x + a_y + d_x + d_y - 2 * ({common_ones})) <= {less} * (s_x + s_y)")
-    alone = sets(outer, "x").join(sets(placed, "y"), "pivot").filter((F.col("of_x") != F.col("of_y")) & fits("0") & exactly).select(*pair)
-    direct = placed.filter(f"id != pivot AND {much} * (a + d) <= {less} * (s + s_pivot)").select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b"))
-    gains = placed.withColumn("gain", F.explode("gained"))
-    met = side(gains, "x", "gain").join(side(gains, "y", "gain"), ["pivot", "gain"]).filter("of_x < of_y")
-    met = met.groupBy("pivot", *[f"{c}_{x}" for x in "xy" for c in ("id", "s", "a", "d")]).agg(F.count(F.lit(1)).alias("shared"))
-    return direct.unionByName(alone).unionByName(met.filter(fits("shared")).select(*pair))
-
-
-def _spare(band, percent: int):
-    """How many long lists a document may leave out, by band, as an expression."""
-    known = range(min(len(bands(percent)) - 1, 255))
-    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for k in known for x in (k, plan(k, percent, False).spare)]), band), F.lit(0))
-
-
-def _sizes_of(sizes: DataFrame, kept: DataFrame) -> DataFrame:
-    return sizes.join(kept.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.min("n_shingles").alias("low"), F.max("n_shingles").alias("high"))
-
-
-def _close(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose sizes allow the similarity (an id of several rows has a range of sizes)."""
-    for end in ("a", "b"):
-        pairs = pairs.join(sizes.select(F.col("id").alias(end), F.col("low").alias(f"low_{end}"), F.col("high").alias(f"high_{end}")), end)
-    return pairs.filter(f"high_a * 100 >= {percent} * low_b AND high_b * 100 >= {percent} * low_a").select("a", "b")
+    pivots = scratch.table(_pivots(members, scratch), "pivots")
+    ids = scratch.table(pivots.select("id").unionByName(pivots.select(F.col("pivot").alias("id"))).distinct(), "placed_ids")
+    texts = rows.join(common.sized(ids), "id", "left_semi")
+    chosen = texts.join(common.sized(scratch.table(pivots.select(F.col("pivot").alias("id")).distinct(), "pivot_ids")), "id", "left_semi")
+    chosen = chosen.groupBy(F.col("id").alias("pivot")).agg(F.min("text").alias("y"))
+    both = pivots.join(texts.select("id", F.col("text").alias("x")), "id").join(chosen, "pivot").select("id", "of", "pivot", "x", "y")
+    placed = scratch.table(both.mapInArrow(_differences, "id long, of long, pivot long, s long, s_pivot long, d long, apart array<bigint>"), "placed")
+    outer = F.expr(f"{much} * d > {less} * (s + s_pivot)")
+    direct = placed.filter(~outer & (F.col("id") != F.col("pivot"))).select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b"))
+
+    bounds = placed.groupBy("pivot").agg(F.max("s").alias("s_most"), F.min("d").alias("d_least"), F.min(F.when(outer, F.col("d"))).alias("d_outer")).filter("d_outer IS NOT NULL")
+    allowed = F.floor(F.lit(less) * (F.col("s") + F.least("s_most", F.floor(F.col("s") * 100 / percent))) / much)
+    open_ = placed.join(common.sized(scratch.table(bounds, "bounds")), "pivot").withColumn("t", allowed).withColumn("outer", outer).withColumn("row", F.xxhash64("apart"))
+    first = lambda other: F.col("d") + 1 - F.greatest(F.lit(1), F.ceil((other + F.col("d") - F.col("t")) / 2))  # noqa: E731  how many of the rarest
+    open_ = open_.withColumn("shorter", first(F.greatest("d_outer", "d"))).withColumn("longer", first(F.greatest(F.col("d_least"), F.col("d") - F.col("t"))))
+    each = open_.select("pivot", "id", "row", "of", "s", "d", "outer", "shorter", "longer", F.explode("apart").alias("e"))
+    counts = scratch.table(each.groupBy("pivot", "e").count().filter("count > 1"), "counts")
+    mine = Window.partitionBy("pivot", "id", "row").orderBy(F.coalesce("count", F.lit(1)), "e")
+    ranked = each.join(common.sized(counts), ["pivot", "e"], "left").withColumn("rank", F.dense_rank().over(mine))
+    rare = scratch.table(ranked.filter("count IS NOT NULL AND rank <= greatest(shorter, longer)"), "rare")
+    end = lambda x, role: rare.filter(F.col("rank") <= F.col(role)).select("pivot", "e", *[F.col(c).alias(f"{c}_{x}") for c in ("id", "row", "of", "s", "d", "outer")])
+    met = end("x", "shorter").join(end("y", "longer"), ["pivot", "e"]).filter("of_x != of_y AND (d_x < d_y OR d_x = d_y AND id_x < id_y) AND (outer_x OR outer_y)")
+    met = met.filter(f"100 * least(s_x, s_y) >= {percent} * greatest(s_x, s_y)").select("pivot", "id_x", "row_x", "id_y", "row_y").distinct()
+    sets = placed.withColumn("row", F.xxhash64("apart"))
+    end = lambda x: sets.select("pivot", *[F.col(c).alias(f"{c}_{x}") for c in ("id", "row", "s", "d", "apart")])
+    met = met.join(end("x"), ["pivot", "id_x", "row_x"]).join(end("y"), ["pivot", "id_y", "row_y"])
+    close = met.filter(f"{much} * (d_x + d_y - 2 * size(array_intersect(apart_x, apart_y))) <= {less} * (s_x + s_y)")
+    return direct.unionByName(close.select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b"))).distinct()
 
 
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
