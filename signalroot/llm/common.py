@@ -204,10 +204,10 @@ def _hash_words(data: np.ndarray, bounds: np.ndarray, lower: bool, plain: bool)
     return h, np.bincount(np.searchsorted(bounds, at[first], "right") - 1, minlength=n), at[first], size
 
 
-def word_spans(column, lower: bool = False, plain: bool = False):
+def word_spans(column, lower: bool = False, plain: bool = False, slice_bytes: int = SLICE_BYTES):
     """Slices of a string column: (first row, word hashes, words of each text, bytes, starts, lengths).
 
-    A slice has about SLICE_BYTES; a longer text is read in parts cut at white
+    A slice has about `slice_bytes`; a longer text is read in parts cut at white
     space, so memory follows the text's words, not many copies of its bytes.
     """
     if isinstance(column, pa.ChunkedArray):
@@ -220,7 +220,7 @@ def word_spans(column, lower: bool = False, plain: bool = False):
     raw = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
     lo = 0
     while lo < len(column):
-        hi = min(max(lo + 1, int(np.searchsorted(ends, ends[lo] + SLICE_BYTES, "right")) - 1), len(column))
+        hi = min(max(lo + 1, int(np.searchsorted(ends, ends[lo] + slice_bytes, "right")) - 1), len(column))
         a, z = int(ends[lo]), int(ends[hi])
         if hi == lo + 1 and z - a > 4 * SLICE_BYTES:
             parts, at = [], a
@@ -239,9 +239,9 @@ def word_spans(column, lower: bool = False, plain: bool = False):
         lo = hi
 
 
-def word_streams(column, lower: bool = False, plain: bool = False):
+def word_streams(column, lower: bool = False, plain: bool = False, slice_bytes: int = SLICE_BYTES):
     """Slices of a string column: (first row, [word hashes of each text])."""
-    for lo, h, n, *_ in word_spans(column, lower, plain):
+    for lo, h, n, *_ in word_spans(column, lower, plain, slice_bytes):
         yield lo, np.split(h, np.cumsum(n)[:-1])
 
 

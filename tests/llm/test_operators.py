@@ -392,6 +392,32 @@ def test_decontamination(spark):
     assert kept.count() == sum(not r.contaminated for r in got) and kept.columns == documents(spark, []).columns
 
 
+def test_decontamination_recall_of_paraphrases(spark):
+    """Passages with 10 to 40 % of their words replaced and the answer kept, of short items and of long ones."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("length(text) > 6000").orderBy("doc_id").limit(40)
+    texts = [r.text for r in docs.collect()]
+    source = [(r.item_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet").orderBy("item_id").limit(40).collect()]
+    words = [t.split() for t in texts]
+    source += [(900 + k, " ".join(words[k][100 : 100 + n])) for k, n in enumerate((80, 120, 200, 300, 600, 700))]
+    rng, rows, planted = random.Random(4), [], []
+    for rate in (10, 20, 30, 40):
+        for item, text in source:
+            w = text.split()
+            tail = len(decontaminate.answer_of(text).split())
+            free = range(len(w) - tail) if tail < len(w) // 2 else range(len(w))
+            for k in rng.sample(free, min(len(free), len(w) * rate // 100)):
+                w[k] = rng.choice(words[len(words) // 2 + item % 10])
+            filler = words[-1 - item % 10]
+            rows.append((len(rows), " ".join([*filler[:150], *w, *filler[150:300]])))
+            planted.append((rate, item))
+    benchmark = spark.createDataFrame(source, "item_id long, text string")
+    got = {r.doc_id: set(r.item_ids) for r in decontaminate.leaks(documents(spark, rows), benchmark).collect()}
+    for rate in (10, 20, 30, 40):
+        hits = [item in got[k] for k, (r, item) in enumerate(planted) if r == rate]
+        assert sum(hits) >= 0.9 * len(hits), (rate, sum(hits), len(hits))
+    assert not [k for k, (_, item) in enumerate(planted) if got[k] - {item}]
+
+
 def test_decontamination_keeps_every_passage_that_the_exact_checks_accept():
     terms = np.arange(1, 21, dtype=np.uint64) << np.uint64(50)
     idf = np.full(decontaminate.TERMS, 0.1, np.float32)
