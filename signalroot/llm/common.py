@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 
 import numpy as np
@@ -245,6 +246,28 @@ def word_streams(column, lower: bool = False, plain: bool = False, slice_bytes:
         yield lo, np.split(h, np.cumsum(n)[:-1])
 
 
+def _trim() -> None:
+    """Gives freed memory back to the system: workers are used again by later stages."""
+    word_hash.clear()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        return
+
+
+def tidy(run):
+    """Wraps a batch function that holds much memory, which is free again after the task."""
+
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            _trim()
+
+    return tidied
+
+
 def without_gc(run):
     """Wraps a batch function that makes millions of short-lived objects and no cycles."""
 

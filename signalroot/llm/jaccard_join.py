@@ -288,7 +288,7 @@ def verified(pairs: DataFrame, rows: DataFrame, percent: int, scratch: common.Sc
     ids = scratch.table(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), f"{name}_ids")
     texts = rows.join(common.sized(ids), "id", "left_semi")
     both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("y")), "b")
-    links = scratch.table(both.select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long").distinct(), name)
+    links = scratch.table(both.select("a", "b", "x", "y").mapInArrow(common.tidy(_verify(percent)), "a long, b long").distinct(), name)
     scratch.drop(f"{name}_ids")
     common.release(scratch.spark)
     return links
@@ -306,9 +306,9 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     bits = max(8, int(np.ceil(np.log2(4 * parts))))
     schema = T.StructType([T.StructField("kind", T.IntegerType())] + [T.StructField(c, T.LongType()) for c in ("sig", "a", "b", "n")])
     # lists meet by their bucket; what needs no meeting is spread
-    mapped = rows.mapInArrow(_map(percent, bits), "kind int, bucket long, data binary")
+    mapped = rows.mapInArrow(common.tidy(_map(percent, bits)), "kind int, bucket long, data binary")
     found = scratch.table(
-        mapped.repartition(parts, F.when(F.col("kind") == _LIST, F.col("bucket")).otherwise(F.xxhash64("data"))).mapInArrow(_reduce(percent, bits), schema),
+        mapped.repartition(parts, F.when(F.col("kind") == _LIST, F.col("bucket")).otherwise(F.xxhash64("data"))).mapInArrow(common.tidy(_reduce(percent, bits)), schema),
         "found",
     )
     common.release(spark)
@@ -438,7 +438,7 @@ def _across(members: DataFrame, rows: DataFrame, percent: int, scratch: common.S
     chosen = texts.join(common.sized(scratch.table(pivots.select(F.col("pivot").alias("id")).distinct(), "pivot_ids")), "id", "left_semi")
     chosen = chosen.groupBy(F.col("id").alias("pivot")).agg(F.min("text").alias("y"))
     both = pivots.join(texts.select("id", F.col("text").alias("x")), "id").join(chosen, "pivot").select("id", "of", "pivot", "x", "y")
-    placed = scratch.table(both.mapInArrow(_differences, "id long, of long, pivot long, s long, s_pivot long, d long, apart array<bigint>"), "placed")
+    placed = scratch.table(both.mapInArrow(common.tidy(_differences), "id long, of long, pivot long, s long, s_pivot long, d long, apart array<bigint>"), "placed")
     outer = F.expr(f"{much} * d > {less} * (s + s_pivot)")
     direct = placed.filter(~outer & (F.col("id") != F.col("pivot"))).select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b"))
 

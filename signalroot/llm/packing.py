@@ -359,4 +359,4 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"))
     schema = T.StructType([T.StructField("id", rows.schema["id"].dataType)] + [T.StructField(n, T.LongType()) for n in ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")])
-    return rows.mapInArrow(_run(path or tokenizer_path(), window, shard_docs), schema).withColumnRenamed("id", id_col)
+    return rows.mapInArrow(common.tidy(_run(path or tokenizer_path(), window, shard_docs)), schema).withColumnRenamed("id", id_col)

@@ -202,7 +202,7 @@ def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _collect(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    got = rows.mapInArrow(_featurise, "text binary, meta binary, y double").collect()
+    got = rows.mapInArrow(common.tidy(_featurise), "text binary, meta binary, y double").collect()
     got.sort(key=lambda r: (r["text"], r["meta"], r["y"] or 0))  # training doesn't depend on the order of rows
     stack = lambda c, d: np.array([np.frombuffer(r[c], np.float32) for r in got], np.float32).reshape(-1, d)
     return stack("text", TEXT_DIM), stack("meta", META_DIM), np.array([r["y"] or 0.0 for r in got])
@@ -268,7 +268,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     shared = spark.sparkContext.broadcast(fit(docs, labels, id_col, text_col, label_col))
     rows = _rows(docs, id_col, text_col)
     fields = [T.StructField("id", rows.schema["id"].dataType)] + [T.StructField(c, T.DoubleType()) for c in ("text_score", "meta_score", "score")]
-    return rows.mapInArrow(_score(shared, threshold), T.StructType([*fields, T.StructField("kept", T.BooleanType())])).withColumnRenamed("id", id_col)
+    return rows.mapInArrow(common.tidy(_score(shared, threshold)), T.StructType([*fields, T.StructField("kept", T.BooleanType())])).withColumnRenamed("id", id_col)
 
 
 def quality_filter(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", threshold: float = 0.5) -> DataFrame:
@@ -283,4 +283,4 @@ def quality_filter(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
             cols = [b.column(text).cast(pa.binary()).to_pylist()] + [[None] * b.num_rows if i is None else b.column(i).to_pylist() for i in meta]
             yield b.filter(pa.array([scorer(*r)[2] >= threshold for r in zip(*cols)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(common.tidy(run), docs.schema)

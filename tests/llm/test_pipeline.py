@@ -36,3 +36,27 @@ def test_exact_stage_keeps_one_of_repeated_rows(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted(((r.doc_id, r.text) for r in corpus_pipeline.exact(spark, docs, SF).collect()), key=str)
     assert got == sorted([(2, "a b"), (3, "c"), (None, "d"), (4, None)], key=str)
+
+
+def test_stages_on_awkward_tables(spark):
+    """Nulls, repeated rows, a long text, columns named like those the stages work with, and no rows."""
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
+    base = " ".join(f"word{k % 37} is {k}" for k in range(60))
+    rows = [(1, base), (2, base), (2, base), (3, base + " more"), (4, None), (5, ""), (6, f"{base[:100]} {item} {base[:100]}"), (None, base), (None, None), (7, "long " * 50_000), (8, "ß é　x")]
+    clash = "other_id string, dropped_id int, again_id int, id string, a int, component_id int, keep_id int, kept string, label_id int, cand int, fp int, sha string"
+    docs = spark.createDataFrame([(i, t, *["x" if " string" in c else 1 for c in clash.split(",")]) for i, t in rows], f"doc_id long, text string, {clash}")
+    for name, stage in corpus_pipeline.STAGES:
+        got = stage(spark, docs, SF)
+        if name == "packing":
+            assert {r.doc_id for r in got.collect()} == {i for i, _ in rows}
+        else:
+            assert got.columns == docs.columns, name
+            ids = [r.doc_id for r in got.collect()]
+            want = {
+                "exact_dedup": [2, 3, 5, 6, None, None, 7, 8],
+                "jaccard_join": [1, 4, 5, 6, None, None, 7, 8],
+                "decontaminate": [1, 2, 2, 3, 4, 5, None, None, 7, 8],
+            }.get(name, ids)
+            assert sorted(ids, key=str) == sorted(want, key=str), name
+        empty = stage(spark, docs.limit(0), SF)
+        assert empty.count() == 0 and empty.columns == got.columns
