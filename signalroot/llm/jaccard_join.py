@@ -44,6 +44,10 @@ SHINGLE, PERCENT = 5, 80
 CHUNK_SIGNATURES, CHUNK_DOCS = 400_000, 20_000
 #: Times that lists still apart get new centres before pairs are made.
 CENTRE_ROUNDS = 1
+#: Times that documents take over the pivot of their pivot.
+PIVOT_STEPS = 2
+#: Documents of a pivot from which their order is fitted, how many of them, and shingles that go last.
+CROWD, CROWD_SAMPLE, POPULAR = 32, 256, 512
 #: Common lists that make a star edge worth verifying before the others.
 FIRST_LISTS = 4
 
@@ -329,7 +333,7 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # lists whose members are still apart: their most popular members are the next centres
     tried = [first]
     for turn in range(CENTRE_ROUNDS):
-        members = _apart(edges, components, scratch, f"members{turn}")
+        members = _open(edges, components, scratch, f"members{turn}")
         again = scratch.table(_centres(members).join(_union(tried), ["a", "b"], "left_anti"), f"again{turn}")
         more = verified(again, rows, percent, scratch, f"more{turn}")
         tried.append(again)
@@ -338,7 +342,7 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         links = scratch.table(links.unionByName(more), f"links_with{turn}")
         components = scratch.table(connected_components(links), f"components_with{turn}")
     else:
-        members = _apart(edges, components, scratch, "members")
+        members = _open(edges, components, scratch, "members")
     pairs = scratch.table(_across(members, rows, percent, scratch), "across")
     second = scratch.table(pairs.join(_union(tried), ["a", "b"], "left_anti"), "second")
     more = verified(second, rows, percent, scratch, "links2")
@@ -354,7 +358,7 @@ def _union(tables: list[DataFrame]) -> DataFrame:
     return out
 
 
-def _apart(edges: DataFrame, components: DataFrame, scratch: common.Scratch, name: str) -> DataFrame:
+def _open(edges: DataFrame, components: DataFrame, scratch: common.Scratch, name: str) -> DataFrame:
     """(sig, id, of): members, with their components, of the lists that hold more than one component."""
     label = common.sized(components)
     marked = edges.select("sig", "a", "b")
@@ -389,47 +393,93 @@ def _centres(members: DataFrame) -> DataFrame:
 def _pivots(members: DataFrame, scratch: common.Scratch) -> DataFrame:
     """(id, of, pivot): pivots of every document, such that two of one list have a pivot in common.
 
-    First the one it meets most often of the most popular members of its lists.
-    Where the members of a list got different ones, they also get the list's own
-    most popular member. That is at most one row per member of a list.
+    First the one it meets most often of the most popular members of its lists,
+    or that one's own pivot. Where the members of a list got different ones, they
+    also get the pivot of the list's most popular member. That is at most one row
+    per member of a list.
     """
     met = scratch.table(members.join(_tops(members).select("sig", "c"), "sig"), "met")
     main = met.groupBy("id", "c").count().groupBy("id").agg(F.max_by("c", F.struct("count", -F.col("c"))).alias("pivot"))
     main = scratch.table(main, "main_pivots")
-    split = met.join(common.sized(main), "id").groupBy("sig").agg(F.min("pivot").alias("low"), F.max("pivot").alias("high")).filter("low != high")
-    own = met.join(common.sized(scratch.table(split.select("sig"), "split")), "sig", "left_semi").select("id", F.col("c").alias("pivot"))
-    return main.unionByName(own).distinct().join(members.select("id", "of").distinct(), "id")
-
-
-def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, of, pivot, text, text of the pivot) -> sizes, and the shingles that only one of the texts has."""
-    held: dict[int, np.ndarray] = {}
-    for b in batches:
-        sets = [shingles(h) for _, some in common.word_streams(b.column(3), lower=True) for h in some]
-        pivots = b.column(2).to_pylist()
-        new = [k for k, p in enumerate(pivots) if p not in held and p not in pivots[:k]] if len(held) < 1024 else None
-        if new is None:
-            held.clear()
-            new = [k for k, p in enumerate(pivots) if p not in pivots[:k]]
-        texts = (h for _, some in common.word_streams(b.column(4).take(pa.array(new, pa.int64())), lower=True) for h in some)
-        held.update((pivots[k], shingles(h)) for k, h in zip(new, texts))
-        both = [np.setxor1d(x, held[p], assume_unique=True) for x, p in zip(sets, pivots)]
-        count = lambda xs: pa.array(np.fromiter(map(len, xs), np.int64, len(xs)))
-        apart = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum([len(x) for x in both])], pa.int32()), pa.array(np.concatenate([*both, np.empty(0, np.uint64)]).view(np.int64)))
-        yield pa.RecordBatch.from_arrays([*b.columns[:3], count(sets), count([held[p] for p in pivots]), count(both), apart], names=["id", "of", "pivot", "s", "s_pivot", "d", "apart"])
+    for turn in range(PIVOT_STEPS):
+        up = common.sized(main).select(F.col("id").alias("pivot"), F.col("pivot").alias("next"))
+        main = scratch.table(main.join(up, "pivot").select("id", F.col("next").alias("pivot")), f"main_pivots{turn}")
+    split = met.join(common.sized(main), "id").groupBy("sig").agg(F.min("pivot").alias("low"), F.max("pivot").alias("high"), F.first("c").alias("c")).filter("low != high")
+    theirs = scratch.table(split.select("sig", F.col("c").alias("id")).join(common.sized(main), "id").select("sig", "pivot"), "split")
+    own = met.join(common.sized(theirs), "sig").select("id", "pivot")
+    return main.select("id", "pivot").unionByName(own).distinct().join(members.select("id", "of").distinct(), "id")
+
+
+def _apart(x: np.ndarray, pivot: np.ndarray) -> np.ndarray:
+    """The shingles that only one of two sets has, those of the first set first."""
+    return np.concatenate([np.setdiff1d(x, pivot, assume_unique=True), np.setdiff1d(pivot, x, assume_unique=True)])
+
+
+def _sets(column) -> list[np.ndarray]:
+    return [shingles(h) for _, some in common.word_streams(column, lower=True) for h in some]
+
+
+def _popular(table: pa.Table) -> pa.Table:
+    """(pivot, x, y) of one pivot -> the shingles that differ from it in most of these documents, ascending."""
+    pivot = _sets(table.column("y").slice(0, 1))[0]
+    found, n = np.unique(np.concatenate([_apart(x, pivot) for x in _sets(table.column("x"))]), return_counts=True)
+    order = np.argsort(n, kind="stable")[np.count_nonzero(n < 2) :][-POPULAR:]
+    return pa.table({"pivot": table.column("pivot").slice(0, 1), "popular": pa.array([found[order].view(np.int64)], pa.list_(pa.int64()))})
+
+
+def _differences(percent: int):
+    """(id, of, pivot, text, text of the pivot, popular) -> sizes, d, and the first of the d shingles that only one text has.
+
+    Their order is the same for all documents of a pivot: first those that the
+    pivot hasn't, as edits are rarer than what is left of it, and at last the popular ones.
+    """
+    much, less = 100 + percent, 100 - percent
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, tuple] = {}
+        for b in batches:
+            pivots = b.column(2).to_pylist()
+            if len(held) > 256:
+                held.clear()
+            new = {p: k for k, p in enumerate(pivots) if p not in held}
+            known = b.take(pa.array(new.values(), pa.int64()))
+            for p, y, late in zip(new, _sets(known.column(4)), known.column(5)):
+                late = np.array(late.values, np.int64).view(np.uint64) if late.is_valid else np.empty(0, np.uint64)
+                order = np.argsort(late, kind="stable")
+                held[p] = y, late[order], order + 1
+            sizes, d, first = [], [], []
+            for x, p in zip(_sets(b.column(3)), pivots):
+                y, late, rank = held[p]
+                apart = _apart(x, y)
+                if len(late):
+                    at = np.minimum(np.searchsorted(late, apart), len(late) - 1)
+                    apart = apart[np.argsort(np.where(late[at] == apart, rank[at], 0), kind="stable")]
+                t = less * (len(x) + len(x) * 100 // percent) // much
+                sizes.append((len(x), len(y)))
+                d.append(len(apart))
+                first.append(apart[: max(t + 1, 0)])
+            s, s_pivot = np.array(sizes, np.int64).reshape(-1, 2).T
+            ends = np.r_[0, np.cumsum([len(x) for x in first])]
+            first = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*first, np.empty(0, np.uint64)]).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], *map(pa.array, (s, s_pivot)), pa.array(d, pa.int64()), first], names=["id", "of", "pivot", "s", "s_pivot", "d", "first"])
+
+    return run
 
 
 def _across(members: DataFrame, rows: DataFrame, percent: int, scratch: common.Scratch) -> DataFrame:
-    """Pairs (a, b) of one list, in different components, whose sets are similar enough by their hashes.
+    """Pairs (a, b) of one list, in different components, that may be similar enough; no other pair is.
 
     Let D be the shingles in which a document and its pivot differ, d their
-    number and T the difference that two sizes allow. Documents with d <= T are
+    number and t the difference that two sizes allow. Documents with d <= t are
     linked with the pivot. Others, the outer ones, link only with a document
-    whose D has (d + d' - T) / 2 shingles or more in common with theirs, so both
-    have one of them among the rarest of their D (a prefix filter): the one with
-    the smaller d' among T / 2 + 1 at most, the other among T + 1, as d and d'
-    differ by T at most. Copies that were edited one by one share what is left
-    of the pivot, but hardly any of their edits, so few pairs meet.
+    whose D has (d + d' - t) / 2 shingles or more in common with theirs. Then the
+    two have one of the first shingles of their D in common (a prefix filter): of
+    the one with the smaller d the first t / 2 + 1, of the other the first t + 1,
+    as d and d' differ by t at most. Any order does, if it is the same for a
+    pivot's documents; in this one the rare ones come first, as far as
+    `CROWD_SAMPLE` of a pivot's documents show which those are. Copies that were
+    edited one by one share what is left of the pivot, but hardly any of their
+    edits, so few pairs meet.
     """
     much, less = 100 + percent, 100 - percent
     pivots = scratch.table(_pivots(members, scratch), "pivots")
@@ -437,29 +487,30 @@ def _across(members: DataFrame, rows: DataFrame, percent: int, scratch: common.S
     texts = rows.join(common.sized(ids), "id", "left_semi")
     chosen = texts.join(common.sized(scratch.table(pivots.select(F.col("pivot").alias("id")).distinct(), "pivot_ids")), "id", "left_semi")
     chosen = chosen.groupBy(F.col("id").alias("pivot")).agg(F.min("text").alias("y"))
-    both = pivots.join(texts.select("id", F.col("text").alias("x")), "id").join(chosen, "pivot").select("id", "of", "pivot", "x", "y")
-    placed = scratch.table(both.mapInArrow(common.tidy(_differences), "id long, of long, pivot long, s long, s_pivot long, d long, apart array<bigint>"), "placed")
-    outer = F.expr(f"{much} * d > {less} * (s + s_pivot)")
-    direct = placed.filter(~outer & (F.col("id") != F.col("pivot"))).select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b"))
-
-    bounds = placed.groupBy("pivot").agg(F.max("s").alias("s_most"), F.min("d").alias("d_least"), F.min(F.when(outer, F.col("d"))).alias("d_outer")).filter("d_outer IS NOT NULL")
+    chosen = scratch.table(chosen, "chosen")
+    own = texts.select("id", F.col("text").alias("x"))
+    crowds = scratch.table(pivots.groupBy("pivot").count().filter(F.col("count") > CROWD).select("pivot"), "crowds")
+    nth = F.row_number().over(Window.partitionBy("pivot").orderBy(F.xxhash64("id")))
+    some = pivots.join(common.sized(crowds), "pivot").select("id", "pivot").withColumn("nth", nth).filter(F.col("nth") <= CROWD_SAMPLE)
+    some = some.join(own, "id").join(chosen, "pivot").select("pivot", "x", "y")
+    popular = scratch.table(some.groupBy("pivot").applyInArrow(_popular, "pivot long, popular array<bigint>"), "popular")
+    both = pivots.join(own, "id").join(chosen.join(popular, "pivot", "left"), "pivot").select("id", "of", "pivot", "x", "y", "popular")
+    kinds = "id long, of long, pivot long, s long, s_pivot long, d long, first array<bigint>"
+    placed = scratch.table(both.mapInArrow(common.tidy(_differences(percent)), kinds), "placed").withColumn("outer", F.expr(f"{much} * d > {less} * (s + s_pivot)"))
+    direct = placed.filter(~F.col("outer") & (F.col("id") != F.col("pivot"))).select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b"))
+
+    bounds = placed.groupBy("pivot").agg(F.max("s").alias("s_most"), F.min("d").alias("d_least"), F.min(F.when(F.col("outer"), F.col("d"))).alias("d_outer")).filter("d_outer IS NOT NULL")
     allowed = F.floor(F.lit(less) * (F.col("s") + F.least("s_most", F.floor(F.col("s") * 100 / percent))) / much)
-    open_ = placed.join(common.sized(scratch.table(bounds, "bounds")), "pivot").withColumn("t", allowed).withColumn("outer", outer).withColumn("row", F.xxhash64("apart"))
-    first = lambda other: F.col("d") + 1 - F.greatest(F.lit(1), F.ceil((other + F.col("d") - F.col("t")) / 2))  # noqa: E731  how many of the rarest
-    open_ = open_.withColumn("shorter", first(F.greatest("d_outer", "d"))).withColumn("longer", first(F.greatest(F.col("d_least"), F.col("d") - F.col("t"))))
-    each = open_.select("pivot", "id", "row", "of", "s", "d", "outer", "shorter", "longer", F.explode("apart").alias("e"))
-    counts = scratch.table(each.groupBy("pivot", "e").count().filter("count > 1"), "counts")
-    mine = Window.partitionBy("pivot", "id", "row").orderBy(F.coalesce("count", F.lit(1)), "e")
-    ranked = each.join(common.sized(counts), ["pivot", "e"], "left").withColumn("rank", F.dense_rank().over(mine))
-    rare = scratch.table(ranked.filter("count IS NOT NULL AND rank <= greatest(shorter, longer)"), "rare")
-    end = lambda x, role: rare.filter(F.col("rank") <= F.col(role)).select("pivot", "e", *[F.col(c).alias(f"{c}_{x}") for c in ("id", "row", "of", "s", "d", "outer")])
-    met = end("x", "shorter").join(end("y", "longer"), ["pivot", "e"]).filter("of_x != of_y AND (d_x < d_y OR d_x = d_y AND id_x < id_y) AND (outer_x OR outer_y)")
-    met = met.filter(f"100 * least(s_x, s_y) >= {percent} * greatest(s_x, s_y)").select("pivot", "id_x", "row_x", "id_y", "row_y").distinct()
-    sets = placed.withColumn("row", F.xxhash64("apart"))
-    end = lambda x: sets.select("pivot", *[F.col(c).alias(f"{c}_{x}") for c in ("id", "row", "s", "d", "apart")])
-    met = met.join(end("x"), ["pivot", "id_x", "row_x"]).join(end("y"), ["pivot", "id_y", "row_y"])
-    close = met.filter(f"{much} * (d_x + d_y - 2 * size(array_intersect(apart_x, apart_y))) <= {less} * (s_x + s_y)")
-    return direct.unionByName(close.select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b"))).distinct()
+    near = placed.join(common.sized(scratch.table(bounds, "bounds")), "pivot").withColumn("t", allowed)
+    how_many = lambda other: F.greatest(F.lit(0), F.col("d") + 1 - F.greatest(F.lit(1), F.ceil((other + F.col("d") - F.col("t")) / 2))).cast("int")
+
+    def end(x: str, other) -> DataFrame:
+        return near.select(F.explode(F.slice("first", 1, how_many(other))).alias("e"), *[F.col(c).alias(f"{c}_{x}") for c in ("pivot", "id", "of", "s", "d", "outer")]).withColumn("key", F.xxhash64(f"pivot_{x}", "e")).drop("e", f"pivot_{x}")
+
+    met = end("x", F.greatest("d_outer", "d")).join(end("y", F.greatest(F.col("d_least"), F.col("d") - F.col("t"))), "key")
+    met = met.filter("of_x != of_y AND (d_x < d_y OR d_x = d_y AND id_x < id_y) AND (outer_x OR outer_y)")
+    met = met.filter(f"100 * least(s_x, s_y) >= {percent} * greatest(s_x, s_y) AND {much} * (d_y - d_x) <= {less} * (s_x + s_y)")
+    return direct.unionByName(met.select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b"))).distinct()
 
 
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:

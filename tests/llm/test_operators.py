@@ -10,6 +10,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -110,6 +111,45 @@ def test_jaccard_join(spark):
     assert jaccard_join.jaccard_join(documents(spark, rows[:0])).count() == 0
 
 
+def test_jaccard_join_tells_long_words_apart(spark):
+    """Words of more bytes than there are place weights, in one task: equal parts in another order are other words."""
+    x, y = "a" * 4096 + "b" * 4096, "b" * 4096 + "a" * 4096
+    rest = " one two three four five"
+    rows = [(1, x), (2, y), (3, x.upper()), (4, x + rest), (5, y + rest), (6, y + rest + " ")]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_join(documents(spark, rows).coalesce(1)).collect()}
+    assert got == {1: (1, 1), 2: (1, 2), 3: (1, 1), 4: (2, 4), 5: (2, 5), 6: (2, 5)}
+
+
+def test_jaccard_join_of_a_crowd_with_a_common_passage(spark):
+    """Documents that share a passage and little else, and copies edited one by one, against all pairs."""
+    rng = random.Random(8)
+    vocabulary = [f"v{k}" for k in range(4000)]
+    text = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    passage, base = text(40), text(120)
+    rows = []
+    for _ in range(60):
+        rows.append(text(25) + passage + text(25))
+    for _ in range(120):
+        w = list(base)
+        for k in rng.sample(range(len(w)), rng.randrange(1, 7)):
+            w[k] = rng.choice(vocabulary)
+        rows.append(w)
+    for _ in range(40):  # copies of copies, and shortened ones
+        w = list(rng.choice(rows[60:]))
+        w[rng.randrange(len(w))] = rng.choice(vocabulary)
+        rows.append(w[: rng.randrange(100, 121)])
+    rows = [(k, " ".join(w)) for k, w in enumerate(rows)]
+    sets = {i: jaccard_join.exact_shingles(t.encode().split()) for i, t in rows}
+    least = {i: i for i in sets}
+    for a, b in itertools.combinations(sets, 2):
+        both = len(sets[a] & sets[b])
+        if 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both) and least[a] != least[b]:
+            lo, hi = sorted((least[a], least[b]))
+            least = {i: lo if c == hi else c for i, c in least.items()}
+    got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_join(documents(spark, rows)).collect()}
+    assert got == least and len(set(least.values())) > 70
+
+
 def test_jaccard_join_loses_no_link_at_the_threshold(spark):
     rng = random.Random(9)
     rows = []
@@ -352,6 +392,24 @@ def test_pseudo_likelihood_trains_on_every_position():
         assert set(alone) == {k - 4 for k in together if 4 <= k < 11} == {k - 15 for k in together if 15 <= k < 22}
 
 
+def test_encoder_equals_the_tokenizer_on_any_text():
+    from tokenizers import Tokenizer
+
+    rng = random.Random(6)
+    kinds = [(0x20, 0x7F), (0x80, 0x600), (0x80, 0xD800), (0xE000, 0x10000), (0x10000, 0x110000)]
+    texts = ["".join(chr(rng.randrange(*rng.choice(kinds))) for _ in range(rng.randrange(1, 40))) for _ in range(6000)]
+    texts += [f"{chr(c)} a{chr(c)}b é{chr(c)}" for c in range(1, 0x3100)]
+    texts += ["a" * 4096 + "b" * 4096, "b" * 4096 + "a" * 4096, "", " ", "it's <|endoftext|> don't", "ΑΣ ΣΑΣ", "\u208f\u209d a\u209e"]
+    path = packing.tokenizer_path()
+    plain, encoder = Tokenizer.from_file(path), packing.Encoder(path)
+    for lo, got in encoder.encode(pa.array([t.encode() for t in texts], pa.large_binary())):
+        for t, ids in zip(texts[lo:], got):
+            assert ids.tolist() == [*plain.encode(t, add_special_tokens=False).ids, 1], t
+    chunk = [np.frombuffer(b"one two", np.uint8), np.array([0, 4]), np.array([3, 3])]
+    ids, n = encoder.ids(np.array([5, 5], np.uint64), *chunk)  # two chunks with one hash
+    assert ids.tolist() == plain.encode("one two", add_special_tokens=False).ids
+
+
 def test_vocabulary_is_a_distribution():
     rng = np.random.default_rng(5)
     h = rng.integers(1, 1 << 63, 9000).astype(np.uint64)
