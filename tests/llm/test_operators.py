@@ -276,10 +276,48 @@ def test_url_filter(spark):
     urls = ["http://WWW.example.com/en/1?x=/de/", "https://a.example.com/en/1", "http://example.com", "http://notexample.com/en/", "x://h.net/es/#a", "http://best-casino-win.org/", "http://museum.example.org/x", None, "nothing", "http://"]
     got = url_filter.url_filter(spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string"), rules).orderBy("page_id").collect()
     assert [(r.rule, r.verdict) for r in got[:5]] == [("www.example.com/en/", "allow"), ("example.com/en/", "block"), (None, got[2].verdict), ("com/", "allow"), ("net/es/", "block")]
-    assert (got[5].verdict, got[6].verdict) == ("block", "allow")
+    rates, forest = dict(url_filter.suffix_rates(url_filter.composed_urls())), url_filter.model(url_filter.composed_urls())
     for r, u in zip(got, urls):
         assert (r.host, r.path) == url_filter.split_url(u)
-        assert abs(r.margin - sum(trees.score(t, url_filter.features(u)) for t in url_filter.model())) < 1e-9
+        assert abs(r.margin - sum(trees.score(t, url_filter.features(u, rates)) for t in forest)) < 1e-9
+
+
+def test_url_trees_on_urls_of_other_words():
+    """Held-out accuracy; no one feature tells the classes apart, and all six kinds are used."""
+    labelled = url_filter.composed_urls()
+    rates, forest = dict(url_filter.suffix_rates(labelled)), url_filter.model(labelled)
+    words = tuple("harbor cinder pillow marble thistle acorn beacon compass dolphin ember falcon granite hammock ivory juniper".split())
+    held = url_filter.composed_urls(800, 5, words)
+    x, y = np.array([url_filter.features(u, rates) for u, _ in held]), np.array([b for _, b in held])
+    right = np.mean([(sum(trees.score(t, r) for t in forest) > 0) == b for r, b in zip(x, y)])
+    alone = max(max(np.mean((v > t) == y), np.mean((v <= t) == y)) for v in x.T for t in np.unique(v))
+    assert right >= 0.85 and alone < right
+    used = set()
+
+    def walk(node):
+        if node and node.feature >= 0:
+            used.add(url_filter.NAMES[node.feature])
+            walk(node.low)
+            walk(node.high)
+
+    for t in forest:
+        walk(t)
+    assert {"url_len", "host_len", "depth", "digit_ratio", "entropy", "params", "suffix_rate"} <= used
+
+
+def test_url_filter_on_awkward_input(spark):
+    kinds = "page_id long, url string, host string, path string, rule string, u string, rest string, margin int"
+    urls = ["http://a.o'neil.com/it's/x", "http://a.o'neil.com/", "http://b\\c.com/", "http://x.com/" + "p/" * 100_000, None, "", "http://x.com/1", "http://x.com/1"]
+    rows = [(None if i == 6 else 1, u, *"abcde", 3) for i, u in enumerate(urls)]
+    pages = spark.createDataFrame(rows, kinds)
+    rules = [("block", "o'neil.com/it's/"), ("allow", "b\\c.com/")]
+    got = url_filter.url_filter(pages, rules).collect()
+    assert [r.rule for r in got] == ["o'neil.com/it's/", None, "b\\c.com/", None, None, None, None, None]
+    assert [r.path for r in got[:2]] == ["/it's/x", "/"] and got[3].path == "/" + "p/" * 100_000 and (got[4].host, got[4].path) == ("", "")
+    assert [r.page_id for r in got] == [1] * 6 + [None, 1] and got[6].verdict == got[7].verdict
+    plain = url_filter.url_filter(pages, [], labelled=()).collect()
+    assert {(r.rule, r.verdict, r.margin) for r in plain} == {(None, "allow", 0.0)}
+    assert url_filter.url_filter(pages.limit(0), rules).collect() == []
 
 
 def test_language_id(spark):
