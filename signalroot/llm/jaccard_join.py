@@ -42,6 +42,9 @@ from . import common
 SHINGLE, PERCENT = 5, 80
 #: Signatures and documents that a task holds before it emits them.
 CHUNK_SIGNATURES, CHUNK_DOCS = 400_000, 20_000
+#: Bytes of a signature that are sent; the bucket, whose bits grow with the input, has the first ones, so
+#: that one signature in a million meets another by chance at every size. Such pairs fail the verification.
+SENT = 5
 #: Times that lists still apart get new centres before pairs are made.
 CENTRE_ROUNDS = 1
 #: Times that documents take over the pivot of their pivot.
@@ -102,7 +105,7 @@ def exact_shingles(words: list[bytes], n: int = SHINGLE) -> set:
 
 
 def signatures(s: np.ndarray, percent: int) -> np.ndarray:
-    """Signatures of a set, as 55 bits of hash, 8 of the band, 1 for two-unit segments."""
+    """Signatures of a set; the salts of segments tell bands and segments apart."""
     starts = bands(percent)
     band = int(np.searchsorted(starts, len(s), "right")) - 1
     mixed = common.mix(s)
@@ -122,26 +125,33 @@ def signatures(s: np.ndarray, percent: int) -> np.ndarray:
         one = sig[: p.single]
         if p.slack:
             one = one[np.lexsort((one, size[: p.single]))[p.slack :]]
-        parts = [(one, 0)]
+        out.append(one)
         if p.wide:
             lo, n = cut[p.single], size[p.single :]
             gone = common.mix(np.repeat(sums[p.single :] + p.salt[p.single :], n) - mixed[lo:])
-            parts += [(sig[p.single :], 1), (gone, 1)]
-        tag = np.uint64(min(k, 255) << 1)
-        out += [((x >> np.uint64(9)) << np.uint64(9)) | tag | np.uint64(flag) for x, flag in parts]
+            out += [sig[p.single :], gone]
     return np.unique(np.concatenate(out))
 
 
-def _pack7(x: np.ndarray) -> bytes:
-    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7]).tobytes()
+def _pack(x: np.ndarray) -> bytes:
+    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :SENT]).tobytes()
 
 
-def _unpack7(data: bytes) -> np.ndarray:
-    out = np.zeros((len(data) // 7, 8), np.uint8)
-    out[:, :7] = np.frombuffer(data, np.uint8).reshape(-1, 7)
+def _unpack(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // SENT, 8), np.uint8)
+    out[:, :SENT] = np.frombuffer(data, np.uint8).reshape(-1, SENT)
     return out.reshape(-1).view("<u8").copy()
 
 
+def _planes(x: np.ndarray) -> bytes:
+    """Integers as their first bytes, their second bytes and so on: planes of zeros take no room in a shuffle file."""
+    return np.ascontiguousarray(x.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def _whole(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).reshape(-1).view("<i8")
+
+
 def _near(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     """Whether two set sizes allow the similarity at all."""
     return np.minimum(a, b) * 100 >= percent * np.maximum(a, b)
@@ -158,23 +168,24 @@ def _stars(sig: np.ndarray, doc: np.ndarray):
 
 def _map(percent: int, bits: int):
     shift = np.uint64(64 - bits)
+    told = np.uint64((1 << 64) - (1 << (64 - bits)) | (1 << 8 * SENT) - 1)
 
     def emit(state, base: int):
         ids, sizes, nulls, sigs, owner, same = state
         ids, sizes = np.array(ids, np.int64), np.array(sizes, np.int64)
-        rows: list[tuple[int, int, bytes]] = [(_INFO, base, ids.tobytes() + sizes.tobytes())]
+        rows: list[tuple[int, int, bytes]] = [(_INFO, base, _planes(np.concatenate([ids, sizes])))]
         if nulls:
             rows.append((_INFO, -1, np.array(nulls, np.int64).tobytes()))
         if same:
             rows.append((_SAME, base, np.array(same, np.int64).tobytes()))
         if sigs:
-            sig = np.concatenate(sigs)
+            sig = np.concatenate(sigs) & told
             who = np.repeat(np.array(owner, np.int64), [len(x) for x in sigs])
             head, other, keep = _stars(sig, ids[who])
             if len(head):
                 ok = _near(sizes[who[head]], sizes[who[other]], percent)
-                edge = np.stack([sig[other].view(np.int64), ids[who[head]], ids[who[other]], ok.astype(np.int64)])
-                rows.append((_EDGE, base, edge.tobytes()))
+                edge = np.concatenate([sig[other].view(np.int64), ids[who[head]], ids[who[other]], ok.astype(np.int64)])
+                rows.append((_EDGE, base, _planes(edge)))
             keep = np.sort(keep)
             sig, who = sig[keep], who[keep]
             bucket = (sig >> shift).astype(np.int64)
@@ -186,7 +197,7 @@ def _map(percent: int, bits: int):
                 first = np.flatnonzero(np.r_[True, w[1:] != w[:-1]])
                 n = np.diff(np.r_[first, len(w)])
                 head = np.array([len(first)], "<i8").tobytes()
-                rows.append((_LIST, int(bucket[a]), head + ids[w[first]].tobytes() + sizes[w[first]].tobytes() + n.astype("<i8").tobytes() + _pack7(sig[a:z])))
+                rows.append((_LIST, int(bucket[a]), head + _planes(np.concatenate([ids[w[first]], sizes[w[first]], n])) + _pack(sig[a:z])))
         kind, at, data = zip(*rows)
         return pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(at, pa.int64()), pa.array(data, pa.binary())], names=["kind", "bucket", "data"])
 
@@ -236,18 +247,18 @@ def _reduce(percent: int, bits: int):
                     x = np.frombuffer(data, np.int64)
                     yield rows(_INFO, n=x, size=len(x))
                 elif kind == _INFO:
-                    a, n = np.frombuffer(data, np.int64).reshape(2, -1)
+                    a, n = _whole(data).reshape(2, -1)
                     yield rows(_INFO, a=a, n=n, size=len(a))
                 elif kind == _SAME:
                     a, b = np.frombuffer(data, np.int64).reshape(-1, 2).T
                     yield rows(_SAME, a=a, b=b, size=len(a))
                 elif kind == _EDGE:
-                    sig, a, b, ok = np.frombuffer(data, np.int64).reshape(4, -1)
+                    sig, a, b, ok = _whole(data).reshape(4, -1)
                     yield rows(_EDGE, sig, a, b, ok, len(a))
                 else:
                     d = int(np.frombuffer(data, "<i8", 1)[0])
-                    ids, sizes, n = np.frombuffer(data, "<i8", 3 * d, 8).reshape(3, d)
-                    sig = _unpack7(data[8 + 24 * d :]) | (np.uint64(bucket) << np.uint64(64 - bits))
+                    ids, sizes, n = _whole(data[8 : 8 + 24 * d]).reshape(3, d)
+                    sig = _unpack(data[8 + 24 * d :]) | (np.uint64(bucket) << np.uint64(64 - bits))
                     held.append((sig, np.repeat(ids, n), np.repeat(sizes, n)))
         if held:
             sig, doc, size = (np.concatenate(x) for x in zip(*held))
