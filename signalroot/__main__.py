@@ -13,7 +13,8 @@ import sys
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from .lock import holding
+from .lock import Lock
+from .operators import groups, labels
 from .plans import build, reports
 from .schemas import TABLES
 from .sources import catalog, delivery, headers, manifest
@@ -45,14 +46,15 @@ def main(argv: list[str] | None = None) -> int:
             return 2
         digests = delivery.read(spark, options.out, "quality").select("record_id", F.col("signal_digest").alias("digest"))
         links = delivery.read(spark, options.out, "duplicate_link") if "duplicate_link" in have else spark.createDataFrame([], TABLES["duplicate_link"])
-        from .operators import groups
-
-        with holding("heavy", options.locks, "derive"):
-            delivery.write({"signal_group": groups.signal_groups(digests, links)}, options.out)
+        with Lock("heavy", options.locks, "derive"):
+            made = {"signal_group": groups.signal_groups(digests, links)}
+            if "label" in have:
+                made["label_propagated"] = labels.propagate(delivery.read(spark, options.out, "label"), links, delivery.read(spark, options.out, "record"))
+            delivery.write(made, options.out)
         return 0
     if not entries or not all(os.path.exists(e["manifest"]) for e in entries):
         return 2
-    with holding("heavy", options.locks, options.action):
+    with Lock("heavy", options.locks, options.action):
         if options.action == "build":
             delivery.write(build.build(spark, options.source), options.out)
             return 0

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 # The twelve leads in their canonical order.
 CANONICAL_LEADS = ("I", "II", "III", "aVR", "aVL", "aVF", "V1", "V2", "V3", "V4", "V5", "V6")
-WITHIN, ACROSS = "within", "across"
+# Scopes of a link, and the sieves that find links, in their order.
+WITHIN, ACROSS = "within-distribution", "across-distributions"
+BY_FILE, BY_SIGNAL, BY_CORRELATION = "source-file", "signal", "correlation"
 
 
 def _col(x: Column | str) -> Column:

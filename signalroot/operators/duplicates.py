@@ -110,8 +110,8 @@ def _matches(shared, threshold: float, held_are_targets: bool):
 def correlate(targets: DataFrame, candidates: DataFrame, threshold: float = THRESHOLD, max_pairs: int = MAX_PAIRS, scope: str = S.ACROSS) -> DataFrame:
     """For each target its best candidate by correlation, if that reaches `threshold`.
 
-    `targets` are (record_id, wave), `candidates` (record_id, wave, ordinal);
-    of equal scores the smallest ordinal wins. Every target meets every candidate,
+    `targets` are (record_id, wave), `candidates` (record_id, wave[, ordinal]); of
+    equal scores the smallest ordinal wins, then the smallest id. Every target meets every candidate,
     so the product of the counts is checked first: beyond `max_pairs` the
     comparison is refused. The smaller side is broadcast: under the cap it has
     at most the square root of `max_pairs` rows.
@@ -119,12 +119,12 @@ def correlate(targets: DataFrame, candidates: DataFrame, threshold: float = THRE
     n, m = targets.count(), candidates.count()
     if n * m > max_pairs:
         raise PairCapExceeded(f"{n} targets by {m} candidates is more than {max_pairs} pairs")
-    t, c = targets.select("record_id", "wave", F.lit(0).cast("long").alias("ordinal")), candidates.select("record_id", "wave", "ordinal")
+    t, c = targets.select("record_id", "wave", F.lit(0).cast("long").alias("ordinal")), candidates.select("record_id", "wave", "ordinal" if "ordinal" in candidates.columns else F.lit(0).cast("long").alias("ordinal"))
     large, small = (c, t) if n <= m else (t, c)
     held = [(r["record_id"], np.array(r["wave"], np.float64), r["ordinal"]) for r in small.collect() if r["wave"] is not None]
     shared = targets.sparkSession.sparkContext.broadcast(held)
     good = large.mapInPandas(_matches(shared, threshold, n <= m), "target string, candidate string, score double, ordinal long")
-    best = good.groupBy("target").agg(F.max_by(F.struct("candidate", "score"), F.struct("score", -F.col("ordinal"))).alias("best"))
+    best = good.groupBy("target").agg(F.min_by(F.struct("candidate", "score"), F.struct(-F.col("score"), "ordinal", "candidate")).alias("best"))
     rows = best.select(F.col("target"), "best.*").select(*pair("target", "candidate"), F.lit("correlation").alias("sieve"), "score", F.lit(scope).alias("scope"))
     return shaped(rows, "duplicate_link")
 

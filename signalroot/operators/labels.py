@@ -12,7 +12,8 @@ from ..schemas import shaped
 def propagate(label: DataFrame, links: DataFrame, record: DataFrame) -> DataFrame:
     """Labels of linked records for records that have none, one hop, with their origin.
 
-    A target takes all labels, repeats too, of its smallest labelled neighbour.
+    A target takes all labels, repeats too, of its smallest labelled neighbour;
+    their source_field and asserted_by say that they travelled, and from where.
     """
     labelled = label.select("record_id").distinct()
     directed = links.select(F.col("record_a").alias("target"), F.col("record_b").alias("origin")).unionByName(links.select(F.col("record_b").alias("target"), F.col("record_a").alias("origin")))
@@ -20,7 +21,8 @@ def propagate(label: DataFrame, links: DataFrame, record: DataFrame) -> DataFram
     useful = bare.join(labelled.withColumnRenamed("record_id", "origin"), "origin", "left_semi")
     chosen = useful.groupBy("target").agg(F.min("origin").alias("via_record_id"))
     copied = chosen.join(label.withColumnRenamed("record_id", "via_record_id"), "via_record_id").withColumnRenamed("target", "record_id")
-    return shaped(copied.join(record.select("record_id", "source_id"), "record_id", "left"), "label_propagated").orderBy("record_id")
+    told = copied.withColumns({"source_field": F.concat(F.lit("propagated from "), "via_record_id"), "asserted_by": F.lit("linked record")})
+    return shaped(told.join(record.select("record_id", "source_id"), "record_id", "left"), "label_propagated").orderBy("record_id")
 
 
 def counts_per_source(label: DataFrame, record: DataFrame) -> DataFrame:

@@ -46,7 +46,7 @@ def leads(headers: DataFrame) -> DataFrame:
     return shaped(headers.select("record_id", F.explode("leads").alias("l")).select("record_id", "l.*"), "lead")
 
 
-def labels(headers: DataFrame, vocabulary: str = "SNOMED CT", field: str = "Dx", asserted_by: str = "header") -> DataFrame:
+def labels(headers: DataFrame, vocabulary: str = "SNOMED CT", field: str = "header comment Dx", asserted_by: str = "corpus") -> DataFrame:
     """One row per declared code, repeats kept; records without codes give none."""
     rows = headers.select("record_id", F.lit(vocabulary).alias("vocabulary"), F.explode("dx").alias("code"), F.lit(field).alias("source_field"), F.lit(asserted_by).alias("asserted_by"))
     return shaped(rows, "label")

@@ -36,21 +36,15 @@ def screen(left: DataFrame, right: DataFrame, files: DataFrame, threshold: float
     """
     both = left.unionByName(right)
     across = lambda df: df.filter(F.col("scope") == S.ACROSS)
-    by_file = across(duplicates.pairs_by_digest(files, "file"))
+    by_file = across(duplicates.pairs_by_digest(files, S.BY_FILE))
     by_signal = across(duplicates.pairs_by_digest(both.select("record_id", "source_id", F.col("signal_digest").alias("digest")), "signal"))
     found = Scratch(both.sparkSession).table(duplicates.merge(by_file, by_signal), "found")
     waves = lambda df: df.filter("wave IS NOT NULL").select("record_id", "wave")
     rest = lambda df: waves(df).join(duplicates.unmatched(df, found), "record_id", "left_semi")
-    by_wave, note = duplicates.correlate_both(_ordered(waves(left)), _ordered(waves(right)), rest(left), rest(right), threshold=threshold)
+    by_wave, note = duplicates.correlate_both(waves(left), waves(right), rest(left), rest(right), threshold=threshold)
     return duplicates.merge(by_file, by_signal, *([by_wave] if by_wave is not None else [])), note
 
 
-def _ordered(waves: DataFrame) -> DataFrame:
-    """Ordinals in the order of record ids, as the candidates of a scan come."""
-    ids = waves.select("record_id").sort("record_id").rdd.zipWithIndex().map(lambda x: (x[0][0], x[1]))
-    return waves.join(waves.sparkSession.createDataFrame(ids, "record_id string, ordinal long"), "record_id")
-
-
 def first_declared(parsed: DataFrame, declared: DataFrame) -> DataFrame:
     """(record_id, source_id, digest): the first signal file of a record, in path order, that the manifest lists."""
     folder = F.regexp_extract("header_path", r"^(.*/)[^/]*$", 1)

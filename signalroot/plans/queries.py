@@ -17,7 +17,7 @@ from ..functions import scalars as S
 from ..operators import duplicates, groups, labels
 from ..schemas import shaped
 from ..scratch import Scratch
-from ..sources import delivery, manifest
+from ..sources import catalog, delivery, manifest
 from . import reports
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,17 +63,17 @@ _LABELS = """
     label AS (SELECT source || ':' || doc_id AS record_id, unnest(list_filter([CASE WHEN quality = 1 THEN 'good' END, CASE WHEN toxic = 1 THEN 'toxic' END], lambda x: x IS NOT NULL)) AS code
               FROM documents JOIN labels USING (doc_id))"""
 _LINKS = """
-    links AS (SELECT a.record_id AS record_a, b.record_id AS record_b, CASE WHEN a.source_id = b.source_id THEN 'within' ELSE 'across' END AS scope
+    links AS (SELECT a.record_id AS record_a, b.record_id AS record_b, CASE WHEN a.source_id = b.source_id THEN 'within-distribution' ELSE 'across-distributions' END AS scope
               FROM d a JOIN d b ON a.digest = b.digest AND a.record_id < b.record_id)"""
 
 
-# Provenance in one join
-@_query("""SELECT l_orderkey || ':' || l_linenumber || ':' || l_partkey || ':' || l_suppkey AS record_id, CAST(o_custkey AS BIGINT) AS source_id, o_orderstatus AS role, o_totalprice AS size
-           FROM lineitem JOIN orders ON o_orderkey = l_orderkey""")
+# Provenance of every record in one join
+@_query("""SELECT l_orderkey || ':' || l_linenumber || ':' || l_partkey || ':' || l_suppkey AS record_id, CAST(o_custkey AS VARCHAR) AS source_id,
+           o_orderpriority AS relative_path, o_orderstatus AS sha256_declared FROM lineitem JOIN orders ON o_orderkey = l_orderkey""")
 def trace_one_join(spark, sf_dir):
-    record = _t(spark, sf_dir, "lineitem").select(F.concat_ws(":", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("record_id"), "l_orderkey")
-    file = _t(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("source_id"), F.col("o_orderstatus").alias("role"), F.col("o_totalprice").alias("size"))
-    return record.join(file, F.col("l_orderkey") == F.col("o_orderkey")).select("record_id", "source_id", "role", "size")
+    record = _t(spark, sf_dir, "lineitem").select(F.concat_ws(":", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("record_id"), F.col("l_orderkey").alias("signal_file_id"))
+    file = _t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("file_id"), F.col("o_custkey").cast("string").alias("source_id"), F.col("o_orderpriority").alias("relative_path"), F.col("o_orderstatus").alias("sha256_declared"))
+    return delivery.traced(record, file)
 
 
 # Files, each once, the first wins
@@ -156,16 +156,16 @@ def sieve_file_digest(spark, sf_dir):
 @_query(f"""WITH {_DIGESTS}, p AS (
       SELECT a.record_id AS record_a, b.record_id AS record_b, a.source_id = b.source_id AS same, bool_or(a.digest = b.digest) AS exact
       FROM d a JOIN d b ON a.loose = b.loose AND a.record_id < b.record_id GROUP BY ALL)
-    SELECT record_a, record_b, CASE WHEN exact THEN 'file' ELSE 'signal' END AS sieve, 1.0::DOUBLE AS score, CASE WHEN same THEN 'within' ELSE 'across' END AS scope FROM p""")
+    SELECT record_a, record_b, CASE WHEN exact THEN 'source-file' ELSE 'signal' END AS sieve, 1.0::DOUBLE AS score, CASE WHEN same THEN 'within-distribution' ELSE 'across-distributions' END AS scope FROM p""")
 def merge_sieves(spark, sf_dir):
     d = _digests(spark, sf_dir)
     loose = d.select("record_id", "source_id", F.col("loose").alias("digest"))
-    return duplicates.merge(duplicates.pairs_by_digest(d, "file"), duplicates.pairs_by_digest(loose, "signal"))
+    return duplicates.merge(duplicates.pairs_by_digest(d, S.BY_FILE), duplicates.pairs_by_digest(loose, "signal"))
 
 
 # Links by sieve and scope
 @_query(f"""WITH {_DIGESTS}, p AS (SELECT a.source_id = b.source_id AS same, a.digest = b.digest AS exact FROM d a JOIN d b ON a.loose = b.loose AND a.record_id < b.record_id)
-    SELECT count(*) AS n_links, count(*) FILTER (exact) AS n_file, count(*) FILTER (NOT exact) AS n_signal, 0::BIGINT AS n_correlation,
+    SELECT count(*) AS n_links, count(*) FILTER (exact) AS n_source_file, count(*) FILTER (NOT exact) AS n_signal, 0::BIGINT AS n_correlation,
            count(*) FILTER (same) AS n_within, count(*) FILTER (NOT same) AS n_across FROM p""")
 def screen_summary(spark, sf_dir):
     return reports.screen_summary(merge_sieves(spark, sf_dir))
@@ -197,7 +197,8 @@ def signal_groups(spark, sf_dir):
 
 
 # invariant: no link crosses two groups
-@_query("SELECT 0::BIGINT AS n_crossing")
+@_query(f"""{_GROUPS} SELECT count(*) FILTER (x.signal_group_id <> y.signal_group_id) AS n_crossing
+    FROM e JOIN g x ON x.record_id = e.a JOIN g y ON y.record_id = e.b WHERE e.a < e.b""")
 def split_key_safe(spark, sf_dir):
     found, links = _groups(spark, sf_dir)
     return reports.crossing_links(links, found).agg(F.count(F.lit(1)).alias("n_crossing"))
@@ -213,7 +214,7 @@ def group_summary(spark, sf_dir):
 # Labels over links, one hop, smallest origin
 @_query(f"""WITH {_DIGESTS}, {_LABELS}, {_LINKS}, both_ways AS (SELECT record_a AS t, record_b AS o FROM links UNION ALL SELECT record_b, record_a FROM links),
     c AS (SELECT t, min(o) AS o FROM both_ways WHERE t NOT IN (SELECT record_id FROM label) AND o IN (SELECT record_id FROM label) GROUP BY t)
-    SELECT c.t AS record_id, d.source_id, 'flags' AS vocabulary, code, 'labels' AS source_field, 'table' AS asserted_by, c.o AS via_record_id
+    SELECT c.t AS record_id, d.source_id, 'flags' AS vocabulary, code, 'propagated from ' || c.o AS source_field, 'linked record' AS asserted_by, c.o AS via_record_id
     FROM c JOIN label ON label.record_id = c.o JOIN d ON d.record_id = c.t""")
 def propagate_labels(spark, sf_dir):
     d = _digests(spark, sf_dir)
@@ -384,7 +385,7 @@ def quantised_fingerprint(spark, sf_dir):
     r AS (SELECT t.vec_id AS t, c.vec_id AS c, corr(t.x, c.x) AS r FROM v t JOIN v c ON t.k = c.k AND t.vec_id % 2 = 0 AND c.vec_id % 2 = 1 GROUP BY ALL),
     b AS (SELECT *, row_number() OVER (PARTITION BY t ORDER BY r DESC, c) AS k FROM r WHERE r >= 0.35)
     SELECT CAST(least(lpad(CAST(t AS VARCHAR), 9, '0'), lpad(CAST(c AS VARCHAR), 9, '0')) AS VARCHAR) AS record_a, greatest(lpad(CAST(t AS VARCHAR), 9, '0'), lpad(CAST(c AS VARCHAR), 9, '0')) AS record_b,
-           'correlation' AS sieve, round(r, 6) AS score, 'across' AS scope FROM b WHERE k = 1""")
+           'correlation' AS sieve, round(r, 6) AS score, 'across-distributions' AS scope FROM b WHERE k = 1""")
 def correlation_best_match(spark, sf_dir):
     e = _t(spark, sf_dir, "embeddings").select(F.format_string("%09d", "vec_id").alias("record_id"), F.col("embedding").alias("wave"), F.col("vec_id").alias("ordinal"))
     found = duplicates.correlate(e.filter("ordinal % 2 = 0"), e.filter("ordinal % 2 = 1"), threshold=0.35)
@@ -411,26 +412,31 @@ def units_summary(spark, sf_dir):
     return c.select("conv_id", S.joined(S.distinct_units("units")).alias("units_declared"), S.units_are_declared("units").alias("units_are_declared"), S.all_millivolts("units").alias("all_millivolts"))
 
 
-# Corpora with exactly two distributions
-@_query("SELECT c_mktsegment AS corpus, n_regionkey AS region, count(DISTINCT n_name) AS n FROM customer JOIN nation ON n_nationkey = c_nationkey GROUP BY ALL HAVING count(DISTINCT n_name) = 5")
+# Corpora with exactly two distributions: texts that two sources have
+@_query("""SELECT corpus, string_agg(source_id, '|' ORDER BY source_id) AS source_ids FROM (SELECT DISTINCT sha256(text) AS corpus, source AS source_id FROM documents WHERE source IS NOT NULL)
+           GROUP BY corpus HAVING count(*) = 2""")
 def paired_corpora(spark, sf_dir):
-    c = _t(spark, sf_dir, "customer").join(_t(spark, sf_dir, "nation"), F.col("n_nationkey") == F.col("c_nationkey"))
-    return c.groupBy(F.col("c_mktsegment").alias("corpus"), F.col("n_regionkey").alias("region")).agg(F.count_distinct("n_name").alias("n")).filter("n = 5")
+    listed = _t(spark, sf_dir, "documents").filter("source IS NOT NULL").select(F.sha2("text", 256).alias("corpus"), F.col("source").alias("source_id")).distinct()
+    return catalog.paired_corpora(listed).withColumn("source_ids", S.joined("source_ids"))
 
 
-# Frames of several distributions stacked
+# Rows of several distributions, chosen in one scan
 @_query("SELECT lang AS source_id, count(*) AS n, sum(n_chars)::BIGINT AS n_chars FROM documents WHERE lang IN ('en', 'fr', 'de', 'es') GROUP BY lang")
 def scan_union_all(spark, sf_dir):
-    d = _t(spark, sf_dir, "documents")
-    parts = [d.filter(F.col("lang") == x).select(F.col("lang").alias("source_id"), "n_chars") for x in ("en", "fr", "de", "es")]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.groupBy("source_id").agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("n_chars"))
+    d = catalog.only(_t(spark, sf_dir, "documents").withColumnRenamed("lang", "source_id"), ["en", "fr", "de", "es"])
+    return d.groupBy("source_id").agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("n_chars"))
+
+
+# U4: names that records of two sides share
+@_query("SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS native_record_id FROM customer JOIN supplier ON s_suppkey = c_custkey")
+def shared_native_ids(spark, sf_dir):
+    left = _t(spark, sf_dir, "customer").select(F.concat(F.lit("a:"), F.col("c_custkey").cast("string")).alias("record_id"))
+    right = _t(spark, sf_dir, "supplier").select(F.concat(F.lit("b:"), F.col("s_suppkey").cast("string")).alias("record_id"))
+    return reports.shared_native_ids(left, right)
 
 
-# A seeded sample (the sample is the operator); Spark's hash, so no SQL
-@_query()
+# A seeded sample (the sample is the operator)
+@_query("SELECT doc_id, source FROM documents ORDER BY sha256('20260908:' || doc_id), doc_id LIMIT 25")
 def seeded_sample(spark, sf_dir):
     return reports.hash_sample(_t(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id", 25, 20260908)
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import ACROSS, WITHIN
+from ..functions import scalars as S
+from ..functions.scalars import ACROSS, BY_CORRELATION, BY_FILE, BY_SIGNAL, WITHIN
 
 
 def some(list_text: Column | str) -> Column:
@@ -54,8 +55,14 @@ def within_summary(digests: DataFrame, by: list[str]) -> DataFrame:
 
 
 def screen_summary(links: DataFrame) -> DataFrame:
-    sieve = lambda s: F.count_if(F.col("sieve") == s).alias(f"n_{s}")
-    return links.agg(F.count(F.lit(1)).alias("n_links"), *map(sieve, ("file", "signal", "correlation")), F.count_if(F.col("scope") == WITHIN).alias("n_within"), F.count_if(F.col("scope") == ACROSS).alias("n_across"))
+    sieve = lambda s: F.count_if(F.col("sieve") == s).alias(f"n_{s.replace('-', '_')}")
+    return links.agg(F.count(F.lit(1)).alias("n_links"), *map(sieve, (BY_FILE, BY_SIGNAL, BY_CORRELATION)), F.count_if(F.col("scope") == WITHIN).alias("n_within"), F.count_if(F.col("scope") == ACROSS).alias("n_across"))
+
+
+def shared_native_ids(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Names that records (record_id) of both sides have behind their source, sorted."""
+    name = S.right_of("record_id", ":").alias("native_record_id")
+    return left.select(name).intersect(right.select(name)).orderBy("native_record_id")
 
 
 def database_report(tables: dict[str, DataFrame]) -> DataFrame:
@@ -79,5 +86,5 @@ def crossing_links(links: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def hash_sample(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
-    """n rows chosen by a seeded hash of the key: the same rows however the input is dealt."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    """n rows chosen by SHA-256 of seed and key: the same rows however the input is dealt, and in any engine."""
+    return df.orderBy(F.sha2(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")), 256), key).limit(n)

@@ -5,15 +5,10 @@ from __future__ import annotations
 import json
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..schemas import TABLES
 
-TRACE = """
-    SELECT r.record_id, f.source_id, f.relative_path, f.sha256_declared
-    FROM record r JOIN source_file f ON f.file_id = r.signal_file_id
-    WHERE r.record_id = :record_id"""
-
-
 def write(tables: dict[str, DataFrame], directory: str) -> None:
     """One Parquet folder per table; what was there is replaced."""
     for name, df in tables.items():
@@ -42,9 +37,15 @@ def connect(spark: SparkSession, directory: str) -> list[str]:
     return names
 
 
+def traced(record: DataFrame, source_file: DataFrame) -> DataFrame:
+    """(record_id, source_id, relative_path, sha256_declared) of every record, in one join."""
+    found = record.select("record_id", F.col("signal_file_id").alias("file_id")).join(source_file, "file_id")
+    return found.select("record_id", "source_id", "relative_path", "sha256_declared")
+
+
 def trace(spark: SparkSession, record_id: str) -> dict | None:
-    """Where a record's signal comes from, or None."""
-    row = spark.sql(TRACE, args={"record_id": record_id}).first()
+    """Where a record's signal comes from, by the views of `connect`, or None."""
+    row = traced(spark.table("record").filter(F.col("record_id") == record_id), spark.table("source_file")).first()
     return row.asDict() if row else None
 
 

@@ -51,7 +51,7 @@ def test_headers(spark):
     assert tables.records(parsed).first().duration_s == 10.0
     files = tables.source_files(parsed, spark.createDataFrame([("s/a", "g1/r.mat", "d")], "source_id string, relative_path string, digest string"))
     assert {(r.role, r.sha256_declared) for r in files.collect()} == {("header", None), ("signal", "d")}
-    assert [r.code for r in tables.labels(parsed).collect()] == ["1", "2", "", "2"]
+    assert [(r.code, r.source_field, r.asserted_by) for r in tables.labels(parsed).collect()] == [(c, "header comment Dx", "corpus") for c in ("1", "2", "", "2")]
     assert tables.leads(parsed).count() == 2
     assert reports.header_summary(parsed).first().n_non_canonical_leads == 1
 
@@ -178,8 +178,8 @@ def test_propagation(spark):
     label = spark.createDataFrame([("b", "v", "1", "f", "h"), ("b", "v", "1", "f", "h"), ("c", "v", "2", "f", "h")], TABLES["label"])
     links = spark.createDataFrame([("a", "c", "s", 1.0, "across"), ("a", "b", "s", 1.0, "within"), ("b", "c", "s", 1.0, "across"), ("a", "d", "s", 1.0, "across")], TABLES["duplicate_link"])
     record = spark.createDataFrame([("a", "s1")], "record_id string, source_id string")
-    got = [(r.record_id, r.source_id, r.code, r.via_record_id) for r in labels.propagate(label, links, record).collect()]
-    assert got == [("a", "s1", "1", "b"), ("a", "s1", "1", "b")]
+    got = [tuple(r) for r in labels.propagate(label, links, record).collect()]
+    assert got == [("a", "s1", "v", "1", "propagated from b", "linked record", "b")] * 2
 
 
 def test_catalogue(spark):
@@ -210,14 +210,16 @@ def test_mappings(spark, tmp_path):
 
 
 def test_lock(tmp_path):
-    with lock.holding("heavy", tmp_path, "x"):
-        assert lock.held_by("heavy", tmp_path).alive
-        with pytest.raises(RuntimeError), lock.holding("heavy", tmp_path):
+    with lock.Lock("heavy", tmp_path, "x"):
+        assert lock.holder("heavy", tmp_path)["command"] == "x"
+        with pytest.raises(RuntimeError, match="at work"), lock.Lock("heavy", tmp_path):
             pass
-    (tmp_path / "heavy.lock").write_text("nonsense")
-    with lock.holding("heavy", tmp_path) as path:
-        assert path.exists()
-    assert not path.exists()
+    assert lock.holder("heavy", tmp_path) is None and lock.holder("none", tmp_path) is None
+    (tmp_path / "heavy.lock").write_text("nonsense")  # left by a process that is gone
+    with pytest.raises(ValueError), lock.Lock("heavy", tmp_path):
+        raise ValueError
+    with lock.Lock("heavy", tmp_path) as held:
+        assert held.path.exists()
 
 
 def test_empty_tables_have_schemas(spark):
@@ -267,4 +269,5 @@ def test_screen(spark):
     right = spark.createDataFrame([row("b:1", "b", "d1", waves["p"]), row("b:2", "b", "d9", [3 * x for x in waves["q"]]), row("b:3", "b", "d8", waves["r"])], schema)
     files = spark.createDataFrame([("a:3", "a", "f"), ("b:3", "b", "f")], "record_id string, source_id string, digest string")
     links, note = build.screen(left, right, files)
-    assert note is None and [(r.record_a, r.record_b, r.sieve) for r in links.collect()] == [("a:1", "b:1", "signal"), ("a:2", "b:2", "correlation"), ("a:3", "b:3", "file")]
+    assert note is None and [(r.record_a, r.record_b, r.sieve) for r in links.collect()] == [("a:1", "b:1", "signal"), ("a:2", "b:2", "correlation"), ("a:3", "b:3", "source-file")]
+    assert [r[0] for r in reports.shared_native_ids(left, right).collect()] == ["1", "2", "3"]
