@@ -10,12 +10,12 @@ executors hold one table of n-gram logits (buckets x languages) and add up.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,7 +31,8 @@ EPOCHS, RATE, SEED = 6, 8.0, 7
 #: Share of accepted calibration rows that must be right.
 PRECISION = 0.99
 UND = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+#: Letters, not the numerals and marks that `\w` also takes.
+_LETTER = regex.compile(r"\p{L}")
 
 
 @dataclass

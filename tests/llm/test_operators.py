@@ -608,3 +608,8 @@ def test_long_texts_are_hashed_whole(monkeypatch):
     monkeypatch.setattr(common, "SLICE_BYTES", 64)
     parts = [x for _, some in common.word_streams(pa.array(texts)) for x in some]
     assert all(np.array_equal(a, b) for a, b in zip(whole, parts)) and len(whole) == 3
+
+
+def test_letters_are_not_numerals():
+    found = [t for t in ("²", "½ Ⅷ", "12 _ !", "é", "1 ж", "字") if language_id._LETTER.search(t)]
+    assert found == ["é", "1 ж", "字"]
