@@ -1,6 +1,8 @@
-"""python -m signalroot verify|scan|build|trace: passes over the catalogue.
+"""python -m signalroot verify|scan|build|derive|screen|label|copies|trace: passes over the catalogue.
 
-Exit codes: 0 all holds, 1 something doesn't, 2 an input is absent.
+`build` reads signals; `screen` links again from delivered fingerprints, `derive` from delivered links; `label` adds the
+tables that need code tables; `copies` opens a sample of the groups in one source that share a fingerprint.
+Exit codes: 0 all holds, 1 something doesn't or nothing repeats, 2 an input is absent.
 """
 
 from __future__ import annotations
@@ -15,17 +17,21 @@ from pyspark.sql import functions as F
 
 from .lock import Lock
 from .operators import groups, labels
-from .plans import build, reports
-from .schemas import TABLES
-from .sources import catalog, delivery, headers, manifest
+from .plans import build, copies, reports
+from .schemas import empty, shaped
+from .scratch import Scratch
+from .sources import catalog, delivery, headers, manifest, mappings
 
 
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="signalroot", description=__doc__)
-    parser.add_argument("action", choices=["verify", "scan", "build", "derive", "trace"])
+    parser.add_argument("action", choices=["verify", "scan", "build", "derive", "screen", "label", "copies", "trace"])
     parser.add_argument("--source", action="append", help="a source id; may be repeated")
     parser.add_argument("--out", default="delivery", help="folder of the delivered tables")
     parser.add_argument("--record", help="record id to trace")
+    parser.add_argument("--sample", type=int, default=20, help="how many groups `copies` opens")
+    parser.add_argument("--seed", type=int, default=0, help="which groups `copies` opens")
+    parser.add_argument("--mappings", default=os.environ.get(mappings.MAPPINGS_ENV, "mappings"), help="folder of the code tables")
     parser.add_argument("--locks", default=os.environ.get("SIGNALROOT_LOCK_DIR", ".locks"))
     options = parser.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
@@ -40,35 +46,96 @@ def main(argv: list[str] | None = None) -> int:
         for e in entries:
             _print(reports.header_summary(headers.scan(spark, e["directory"], e["source_id"])).withColumn("source_id", F.lit(e["source_id"])))
         return 0
-    if options.action == "derive":
-        have = delivery.present(spark, options.out)
-        if "record" not in have or "quality" not in have:
+    if options.action in ("derive", "label"):
+        have = {name: delivery.read(spark, options.out, name) for name in delivery.present(spark, options.out)}
+        if "record" not in have or ("quality" if options.action == "derive" else "label") not in have:
             return 2
-        digests = delivery.read(spark, options.out, "quality").select("record_id", F.col("signal_digest").alias("digest"))
-        links = delivery.read(spark, options.out, "duplicate_link") if "duplicate_link" in have else spark.createDataFrame([], TABLES["duplicate_link"])
-        with Lock("heavy", options.locks, "derive"):
-            made = {"signal_group": groups.signal_groups(digests, links)}
-            if "label" in have:
-                made["label_propagated"] = labels.propagate(delivery.read(spark, options.out, "label"), links, delivery.read(spark, options.out, "record"))
-            delivery.write(made, options.out)
+        if options.action == "label" and not os.path.isdir(options.mappings):
+            return 2
+        with Lock("heavy", options.locks, options.action):
+            if options.action == "label":
+                delivery.write(build.label_pass(spark, have, options.mappings), options.out)
+                _print_labels(spark, options)
+            else:
+                _derive(spark, have, options.out)
         return 0
+    if options.action == "copies":
+        if "quality" not in delivery.present(spark, options.out) or not entries:
+            return 2
+        with Lock("heavy", options.locks, options.action):
+            held = [_copies(spark, e, options) for e in entries]
+        return 0 if any(held) else 1
     if not entries or not all(os.path.exists(e["manifest"]) for e in entries):
         return 2
     with Lock("heavy", options.locks, options.action):
         if options.action == "build":
-            delivery.write(build.build(spark, options.source), options.out)
+            made, screens = build.build(spark, options.source)
+            delivery.write(made, options.out)
+            _print_build(spark, options.out, screens)
+            return 0
+        if options.action == "screen":
+            if "quality" not in delivery.present(spark, options.out):
+                return 2
+            quality = delivery.read(spark, options.out, "quality")
+            links, screens = build.linked([build.reswept(spark, e, build.declared_of(spark, e), quality) for e in entries])
+            delivery.write({"duplicate_link": shaped(links, "duplicate_link")}, options.out)
+            have = {name: delivery.read(spark, options.out, name) for name in delivery.present(spark, options.out)}
+            _derive(spark, have, options.out)
+            _print_build(spark, options.out, screens)
             return 0
         holds = True
         for e in entries:
-            declared = manifest.parse_lines(manifest.read_lines(spark, e["manifest"]), e["manifest_prefix"])
-            result = manifest.report(manifest.verify(declared, manifest.file_digests(spark, e["directory"])))
+            result = manifest.report(manifest.verify(build.declared_of(spark, e), manifest.file_digests(spark, e["directory"])))
             _print(result.withColumn("source_id", F.lit(e["source_id"])))
             holds &= bool(result.first()["holds"])
         return 0 if holds else 1
 
 
+def _derive(spark: SparkSession, have: dict, out: str) -> None:
+    """The groups, and what labels there are to propagate, from delivered tables and links."""
+    links = have.get("duplicate_link", empty(spark, "duplicate_link"))
+    made = {"signal_group": groups.signal_groups(have["quality"].select("record_id", F.col("signal_digest").alias("digest")), links)}
+    if "label" in have:
+        made["label_propagated"] = labels.propagate(have["label"], links, have["record"])
+    delivery.write(made, out)
+
+
+def _copies(spark: SparkSession, entry, options) -> bool:
+    """Prints what a sample of the groups of one source shows; False if nothing repeats there."""
+    quality = delivery.read(spark, options.out, "quality").filter(F.startswith("record_id", F.lit(f"{entry['source_id']}:")))
+    groups = copies.repeated(quality.select("record_id", F.col("signal_digest").alias("digest")))
+    n = groups.count()
+    if not n:
+        print(f"{entry['source_id']} repeats nothing", file=sys.stderr)
+        return False
+    pairs = copies.chosen(groups, options.sample, options.seed)
+    compared = Scratch(spark).table(copies.opened(spark, pairs, entry["directory"], entry["source_id"]), "compared")
+    _print(copies.summary(compared).withColumns({"source_id": F.lit(entry["source_id"]), "n_groups": F.lit(n), "seed": F.lit(options.seed)}))
+    _print(compared)
+    return True
+
+
+def _print_build(spark: SparkSession, out: str, screens: list[build.Screened]) -> None:
+    tables = {name: delivery.read(spark, out, name) for name in delivery.present(spark, out)}
+    _print(reports.database_report(tables))
+    _print(reports.database_figures(tables))
+    _print(reports.traced_example(delivery.traced(tables["record"], tables["source_file"])))
+    for s in screens:
+        ids = [side.judged.select("record_id", "source_id") for side in (s.left, s.right)]
+        _print(reports.screen_report(*ids, s.links, s.note).withColumns({"corpus": F.lit(s.corpus), "left": F.lit(s.left.source_id), "right": F.lit(s.right.source_id)}))
+
+
+def _print_labels(spark: SparkSession, options) -> None:
+    t = {name: delivery.read(spark, options.out, name) for name in delivery.present(spark, options.out)}
+    _print(reports.label_report(t["label"], t["label_propagated"], t["label_map"], t["patient"]))
+    published = mappings.published_counts(spark, os.path.join(options.mappings, mappings.SCORED))
+    compared = labels.compare_with_published(published, labels.counts_per_source(t["label"], t["record"]))
+    _print(labels.agreement(compared))
+    _print(labels.disagreements(compared))
+
+
 def _print(report) -> None:
-    for row in report.collect():  # one row
+    for row in report.collect():  # a report's few rows
         print(json.dumps(row.asDict(recursive=True)))
 
 

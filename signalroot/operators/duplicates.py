@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..schemas import shaped
+from ..schemas import empty, shaped
 
 MAX_PAIRS, THRESHOLD = 5_000_000, 0.99
 
@@ -116,7 +116,10 @@ def correlate(targets: DataFrame, candidates: DataFrame, threshold: float = THRE
     comparison is refused. The smaller side is broadcast: under the cap it has
     at most the square root of `max_pairs` rows.
     """
-    n, m = targets.count(), candidates.count()
+    n = targets.count()
+    m = candidates.count() if n else 0  # without targets the other side isn't read
+    if not n * m:
+        return empty(targets.sparkSession, "duplicate_link")
     if n * m > max_pairs:
         raise PairCapExceeded(f"{n} targets by {m} candidates is more than {max_pairs} pairs")
     t, c = targets.select("record_id", "wave", F.lit(0).cast("long").alias("ordinal")), candidates.select("record_id", "wave", "ordinal" if "ordinal" in candidates.columns else F.lit(0).cast("long").alias("ordinal"))

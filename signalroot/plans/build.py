@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from itertools import groupby
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,11 +12,30 @@ from ..functions import scalars as S
 from ..operators import duplicates, groups, labels, tables
 from ..schemas import empty, shaped
 from ..scratch import Scratch
-from ..sources import catalog, headers, manifest, signals
+from ..sources import catalog, headers, manifest, mappings, signals
+
+
+class Swept(NamedTuple):
+    """What the links of a distribution come from: judged records, and the declared digest of a signal file each."""
+
+    source_id: str
+    corpus: str
+    judged: DataFrame
+    files: DataFrame
+
+
+class Screened(NamedTuple):
+    """The links across two packagings of a corpus; the note says why a comparison was refused."""
 
+    corpus: str
+    left: Swept
+    right: Swept
+    links: DataFrame
+    note: str | None
 
-def sweep(spark: SparkSession, entry, declared: DataFrame) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Tables of one distribution (a catalogue row), and what its signals showed.
+
+def sweep(spark: SparkSession, entry, declared: DataFrame) -> tuple[dict[str, DataFrame], Swept]:
+    """Tables of one distribution (a catalogue row), and what the screens need of it.
 
     Headers are parsed and signals decoded once: both go to the shared folder
     before the tables are derived.
@@ -25,7 +47,19 @@ def sweep(spark: SparkSession, entry, declared: DataFrame) -> tuple[dict[str, Da
         "source_file": tables.source_files(parsed, declared.withColumn("source_id", F.lit(entry["source_id"]))),
         "record": tables.records(parsed), "lead": tables.leads(parsed), "label": tables.labels(parsed), "quality": tables.quality(judged),
     }
-    return made, judged.withColumn("source_id", F.lit(entry["source_id"]))
+    return made, Swept(entry["source_id"], entry["corpus"], judged.withColumn("source_id", F.lit(entry["source_id"])), first_declared(parsed, declared))
+
+
+def reswept(spark: SparkSession, entry, declared: DataFrame, quality: DataFrame) -> Swept:
+    """As `sweep`, with the fingerprints of a delivered quality table.
+
+    Only headers are read here; signals are decoded only if the screen is left
+    with records that no digest links.
+    """
+    parsed = Scratch(spark).table(headers.scan(spark, entry["directory"], entry["source_id"]), "headers")
+    known = parsed.select("record_id", "source_id").join(quality.select("record_id", "signal_digest"), "record_id")
+    waves = signals.judged(spark, parsed, entry["directory"]).select("record_id", "wave")
+    return Swept(entry["source_id"], entry["corpus"], known.join(waves, "record_id", "left"), first_declared(parsed, declared))
 
 
 def screen(left: DataFrame, right: DataFrame, files: DataFrame, threshold: float = duplicates.THRESHOLD) -> tuple[DataFrame, str | None]:
@@ -53,22 +87,68 @@ def first_declared(parsed: DataFrame, declared: DataFrame) -> DataFrame:
     return listed.groupBy("record_id", "source_id").agg(F.min_by("digest", "nth").alias("digest"))
 
 
-def build(spark: SparkSession, source_ids: list[str] | None = None, catalogue: DataFrame | None = None) -> dict[str, DataFrame]:
-    """All tables of the chosen distributions, with fingerprint links inside each."""
-    catalogue = catalog.sources(spark) if catalogue is None else catalogue
+def within(digests: DataFrame) -> DataFrame:
+    """Fingerprint links inside each distribution; `digests` is (record_id, source_id, digest)."""
+    own = digests.withColumn("digest", F.concat("source_id", F.lit(" "), "digest"))  # null stays null
+    return duplicates.pairs_by_digest(own, S.BY_SIGNAL)
+
+
+def screens(swept: list[Swept]) -> list[Screened]:
+    """A screen of each corpus that has exactly two of these distributions, by corpus."""
+    done = []
+    for corpus, both in groupby(sorted(swept, key=lambda s: s.corpus), key=lambda s: s.corpus):  # the sort keeps the catalogue's order inside a corpus
+        both = list(both)
+        if len(both) == 2:
+            left, right = both
+            links, note = screen(left.judged, right.judged, left.files.unionByName(right.files))
+            done.append(Screened(corpus, left, right, Scratch(links.sparkSession).table(links, "across"), note))
+    return done
+
+
+def linked(swept: list[Swept]) -> tuple[DataFrame, list[Screened]]:
+    """All links, inside distributions and across pairs of them, and the screens they came from."""
+    seen = None
+    for one in swept:
+        digests = one.judged.select("record_id", "source_id", F.col("signal_digest").alias("digest"))
+        seen = digests if seen is None else seen.unionByName(digests)
+    done = screens(swept)
+    links = within(seen)
+    for one in done:
+        links = links.unionByName(one.links)
+    return links, done
+
+
+def declared_of(spark: SparkSession, entry) -> DataFrame:
+    """(relative_path, digest) of a catalogue row's manifest."""
+    return manifest.parse_lines(manifest.read_lines(spark, entry["manifest"]), entry["manifest_prefix"])
+
+
+def build(spark: SparkSession, source_ids: list[str] | None = None, catalogue: DataFrame | None = None) -> tuple[dict[str, DataFrame], list[Screened]]:
+    """The tables that need no code table, of the chosen distributions, and the screens of paired corpora."""
+    catalogue = catalog.only(catalog.sources(spark) if catalogue is None else catalogue, source_ids)
     made: dict[str, DataFrame] = {"source": catalog.source_table(catalogue)}
-    signals_seen: DataFrame | None = None
-    for entry in catalog.only(catalogue, source_ids).collect():  # the catalogue has a dozen rows
-        declared = manifest.parse_lines(manifest.read_lines(spark, entry["manifest"]), entry["manifest_prefix"])
-        one, judged = sweep(spark, entry, declared)
-        signals_seen = judged if signals_seen is None else signals_seen.unionByName(judged)
+    swept = []
+    for entry in catalogue.collect():  # the catalogue has a dozen rows
+        one, seen = sweep(spark, entry, declared_of(spark, entry))
+        swept.append(seen)
         for name, df in one.items():
             made[name] = made[name].unionByName(df) if name in made else df
-    if signals_seen is None:
-        return made | {name: empty(spark, name) for name in ("duplicate_link", "signal_group", "label_propagated")}
-    digests = signals_seen.select("record_id", "source_id", F.col("signal_digest").alias("digest"))
-    links = duplicates.pairs_by_digest(digests, "signal")
+    if not swept:
+        return made | {name: empty(spark, name) for name in ("duplicate_link", "signal_group")}, []
+    links, done = linked(swept)
     made["duplicate_link"] = shaped(links, "duplicate_link")
-    made["signal_group"] = groups.signal_groups(digests.select("record_id", "digest"), links)
-    made["label_propagated"] = labels.propagate(made["label"], links, made["record"])
-    return made
+    made["signal_group"] = groups.signal_groups(made["quality"].select("record_id", F.col("signal_digest").alias("digest")), links)
+    return made, done
+
+
+def label_pass(spark: SparkSession, tables: dict[str, DataFrame], code_tables: str, pins: dict[str, dict] | None = None, catalogue: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Propagated labels, code map and patients, from delivered tables and the folder of code tables."""
+    paths = mappings.verified_mappings(code_tables, pins)
+    patient = empty(spark, "patient")
+    for entry in (catalog.sources(spark) if catalogue is None else catalogue).collect():  # a dozen rows
+        patient = patient.unionByName(mappings.patients(spark, entry))
+    links = tables["duplicate_link"] if "duplicate_link" in tables else empty(spark, "duplicate_link")
+    return {
+        "label_propagated": labels.propagate(tables["label"], links, tables["record"]),
+        "label_map": mappings.label_map(spark, paths, pins), "patient": patient,
+    }

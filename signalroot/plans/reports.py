@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..functions.scalars import ACROSS, BY_CORRELATION, BY_FILE, BY_SIGNAL, WITHIN
+from ..operators.duplicates import unmatched
 
 
 def some(list_text: Column | str) -> Column:
@@ -88,3 +89,51 @@ def crossing_links(links: DataFrame, groups: DataFrame) -> DataFrame:
 def hash_sample(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     """n rows chosen by SHA-256 of seed and key: the same rows however the input is dealt, and in any engine."""
     return df.orderBy(F.sha2(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")), 256), key).limit(n)
+
+
+def database_figures(tables: dict[str, DataFrame]) -> DataFrame:
+    """One row of figures over delivered tables; links and groups by kind, files that no manifest lists."""
+    links = tables["duplicate_link"].agg(F.count_if(F.col("scope") == WITHIN).alias("n_within"), F.count_if(F.col("scope") == ACROSS).alias("n_across"))
+    files = tables["source_file"].agg(F.count_if(F.col("sha256_declared").isNull()).alias("n_files_without_a_declared_digest"))
+    records = tables["record"].agg(F.count(F.lit(1)).alias("n_records"))
+    return records.crossJoin(group_summary(tables["signal_group"])).crossJoin(links).crossJoin(files)  # single rows
+
+
+def traced_example(traced: DataFrame, seed: int = 20260908) -> DataFrame:
+    """One record with its source file, drawn by seed."""
+    return hash_sample(traced, "record_id", 1, seed)
+
+
+def _counted(df: DataFrame, section: str, key: Column, n: Column) -> DataFrame:
+    return df.groupBy(key.cast("string").alias("key")).agg(n.cast("long").alias("n")).select(F.lit(section).alias("section"), "key", "n")
+
+
+def label_report(label: DataFrame, propagated: DataFrame, label_map: DataFrame, patient: DataFrame) -> DataFrame:
+    """(section, key, n): rows of the label tables, by source where they have one; whole counts have the key `all`."""
+    rows, everything = F.count(F.lit(1)), F.lit("all")
+    parts = [
+        _counted(label, "label rows", everything, rows), _counted(propagated, "propagated rows", everything, rows),
+        _counted(propagated, "records given a label", everything, F.count_distinct("record_id")),
+        _counted(propagated.filter("source_id IS NOT NULL"), "propagated by source", F.col("source_id"), rows),
+        _counted(label_map, "map rows", everything, rows), _counted(label_map.filter("map_source IS NOT NULL"), "map rows by file", F.col("map_source"), rows),
+        _counted(patient, "patients", everything, F.count_distinct("patient_id")), _counted(patient.filter("source_id IS NOT NULL"), "patients by source", F.col("source_id"), F.count_distinct("patient_id")),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out.orderBy("section", "key")
+
+
+def screen_lists(left: DataFrame, right: DataFrame, links: DataFrame) -> DataFrame:
+    """(list, source_id, name): records (record_id, source_id) of each side without a link, and names that both sides use."""
+    rest = lambda df: unmatched(df, links).join(df.select("record_id", "source_id"), "record_id").select(F.lit("unmatched").alias("list"), "source_id", F.col("record_id").alias("name"))
+    shared = shared_native_ids(left, right).select(F.lit("shared").alias("list"), F.lit(None).cast("string").alias("source_id"), F.col("native_record_id").alias("name"))
+    return rest(left).unionByName(rest(right)).unionByName(shared)
+
+
+def screen_report(left: DataFrame, right: DataFrame, links: DataFrame, note: str | None) -> DataFrame:
+    """One row: records of both sides, links by sieve, and the sizes of `screen_lists`."""
+    sides = left.select(F.lit("left").alias("side")).unionByName(right.select(F.lit("right").alias("side")))
+    records = sides.agg(F.count_if(F.col("side") == "left").alias("n_left"), F.count_if(F.col("side") == "right").alias("n_right"))
+    lists = screen_lists(left, right, links).agg(F.count_if(F.col("list") == "unmatched").alias("n_unmatched"), F.count_if(F.col("list") == "shared").alias("n_shared_native_ids"))
+    return records.crossJoin(screen_summary(links)).crossJoin(lists).withColumn("note", F.lit(note))  # single rows

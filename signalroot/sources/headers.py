@@ -40,13 +40,17 @@ def _lead(line: Column, position: Column, unit: Column) -> Column:
     )
 
 
+def comments_of(text: Column | str) -> Column:
+    """Comment lines without their marks, in order."""
+    return F.transform(F.filter(F.split(text, r"\r?\n"), lambda x: F.startswith(F.trim(x), F.lit("#"))), lambda x: F.trim(F.regexp_replace(F.trim(x), "^#+", "")))
+
+
 def parse(texts: DataFrame) -> DataFrame:
     """One row of schemas.HEADER per header text (source_id, header_path, text)."""
     lines = F.filter(F.split("text", r"\r?\n"), lambda x: (F.trim(x) != "") & ~F.startswith(F.trim(x), F.lit("#")))
     first = F.split(F.trim(F.try_element_at(lines, F.lit(1))), r"\s+")
     at = lambda k: F.coalesce(F.try_element_at(first, F.lit(k)), F.lit(""))
-    comments = F.transform(F.filter(F.split("text", r"\r?\n"), lambda x: F.startswith(F.trim(x), F.lit("#"))), lambda x: F.trim(F.regexp_replace(F.trim(x), "^#+", "")))
-    rows = texts.withColumns({"lines": lines, "comments": comments}).withColumns({
+    rows = texts.withColumns({"lines": lines, "comments": comments_of("text")}).withColumns({
         "n_leads": at(2).cast("long"), "sampling_rate_hz": F.coalesce(_number(at(3), r"^([0-9.eE]+)", "double"), F.lit(250.0)), "n_samples": _number(at(4), r"^(\d+)", "long"),
     })
     rows = rows.withColumn("units", declared_units("text", F.col("n_leads").cast("int")))

@@ -118,18 +118,52 @@ def _judge_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield _frame(rows)
 
 
+def _contents(spark: SparkSession, headers: DataFrame, directory: str) -> DataFrame:
+    """A row per record and signal file that is there, with the file's bytes."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(directory).filter(~F.endswith("path", F.lit(".hea")))
+    root = directory.rstrip("/") + "/"
+    content = files.select(F.substring_index("path", root, -1).alias("signal_path"), "content")
+    folder = F.regexp_extract("header_path", r"^(.*/)[^/]*$", 1)
+    rows = headers.select("record_id", "leads", "sampling_rate_hz", "n_samples", folder.alias("folder"), F.size("signal_paths").alias("n_files"), F.explode("signal_paths").alias("file"))
+    return rows.withColumn("signal_path", F.concat("folder", "file")).join(content, "signal_path").select("record_id", "leads", "sampling_rate_hz", "n_samples", "n_files", "file", "content")
+
+
+def _whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        rows = []
+        for r in pdf.itertuples():
+            own = [x for x in r.leads if x["file"] == r.file]
+            at = [k for k, x in enumerate(r.leads) if x["file"] == r.file]
+            rows.append((r.record_id, r.n_files, len(r.leads), at, decode(r.content, own[0]["format"], own, r.n_samples, r.n_samples).tobytes()))
+        yield pd.DataFrame(rows, columns=["record_id", "n_files", "n_leads", "at", "samples"])
+
+
+def whole(spark: SparkSession, headers: DataFrame, directory: str) -> DataFrame:
+    """(record_id, n_leads, parts): every sample of the given records whose files are all there.
+
+    A part is one file: `at`, its leads' places in the header, and float64[n, leads] as bytes.
+    """
+    parts = _contents(spark, headers, directory).mapInPandas(_whole, "record_id string, n_files int, n_leads int, at array<int>, samples binary")
+    met = parts.groupBy("record_id").agg(F.first("n_files").alias("n_files"), F.first("n_leads").alias("n_leads"), F.collect_list(F.struct("at", "samples")).alias("parts"))
+    return met.filter(F.size("parts") == F.col("n_files")).drop("n_files")
+
+
+def matrix(n_leads: int, parts) -> np.ndarray:
+    """float64[n, leads] of a row of `whole`, in the header's order."""
+    columns: list[np.ndarray | None] = [None] * n_leads
+    for part in parts:
+        for k, column in zip(part["at"], np.frombuffer(part["samples"]).reshape(-1, len(part["at"])).T):
+            columns[k] = column
+    return np.stack(columns, axis=1)
+
+
 def judged(spark: SparkSession, headers: DataFrame, directory: str) -> DataFrame:
     """Faults, fingerprint and first lead of every record whose signal files are all there.
 
     Files are joined by path. Of records with leads in several files, each file's
     window is decoded first, and the windows meet by record.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(directory).filter(~F.endswith("path", F.lit(".hea")))
-    root = directory.rstrip("/") + "/"
-    content = files.select(F.substring_index("path", root, -1).alias("signal_path"), "content")
-    folder = F.regexp_extract("header_path", r"^(.*/)[^/]*$", 1)
-    rows = headers.select("record_id", "leads", "sampling_rate_hz", "n_samples", folder.alias("folder"), F.size("signal_paths").alias("n_files"), F.explode("signal_paths").alias("file"))
-    rows = rows.withColumn("signal_path", F.concat("folder", "file")).join(content, "signal_path").select("record_id", "leads", "sampling_rate_hz", "n_samples", "n_files", "file", "content")
+    rows = _contents(spark, headers, directory)
     whole = rows.filter("n_files = 1").mapInPandas(_judge_batches, JUDGED)
     lead = headers.schema["leads"].dataType.simpleString()
     parts = rows.filter("n_files > 1").mapInPandas(_decode_parts, f"record_id string, leads {lead}, n_files int, file string, samples binary")

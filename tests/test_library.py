@@ -14,7 +14,7 @@ from signalroot.functions import arrays as A
 from signalroot.functions import scalars as S
 from signalroot.operators import duplicates, groups, labels, tables
 from signalroot.operators.components import connected_components
-from signalroot.plans import build, reports
+from signalroot.plans import build, copies, reports
 from signalroot.schemas import HEADER, TABLES
 from signalroot.sources import catalog, delivery, headers, manifest, mappings, signals
 
@@ -74,7 +74,8 @@ def test_build(spark, tmp_path):
     (tmp_path / "SUMS").write_text("".join(f"{d} {p}\n" for p, d in listed.items()))
     entry = ("x/a", "a", "x", "1", "p", None, "a", str(tmp_path), "d", "SUMS", "")
     spark_catalogue = spark.createDataFrame([entry], catalog.COLUMNS).withColumns({"directory": F.concat("root", F.lit("/d")), "manifest": F.concat("root", F.lit("/SUMS")), "url": F.lit("")})
-    made = build.build(spark, catalogue=spark_catalogue)
+    made, screens = build.build(spark, catalogue=spark_catalogue)
+    assert screens == []
     assert made["record"].count() == 3 and made["lead"].count() == 35 and made["source_file"].filter("sha256_declared is not null").count() == 3
     quality = {r.record_id: r for r in made["quality"].collect()}
     window = (x[:5000, :].T / 100).astype(np.float32)
@@ -253,7 +254,8 @@ def test_command_line(spark, tmp_path, monkeypatch, capsys):
     (root / "SHA256SUMS.txt").write_text(sums)
     args = ["--source", "physionet/ludb", "--locks", str(tmp_path), "--out", f"{tmp_path}/out"]
     assert cli.main(["verify", *args]) == 0
-    assert cli.main(["build", *args]) == 0 and cli.main(["derive", *args]) == 0
+    assert cli.main(["build", *args]) == 0 and cli.main(["derive", *args]) == 0 and cli.main(["screen", *args]) == 0
+    assert cli.main(["copies", *args]) == 1 and cli.main(["label", *args, "--mappings", f"{tmp_path}/none"]) == 2
     assert cli.main(["trace", *args, "--record", "physionet/ludb:1"]) == 0 and cli.main(["trace", *args, "--record", "x"]) == 1
     assert '"relative_path": "data/1.dat"' in capsys.readouterr().out
     (root / "data" / "1.dat").write_bytes(b"changed")
@@ -271,3 +273,94 @@ def test_screen(spark):
     links, note = build.screen(left, right, files)
     assert note is None and [(r.record_a, r.record_b, r.sieve) for r in links.collect()] == [("a:1", "b:1", "signal"), ("a:2", "b:2", "correlation"), ("a:3", "b:3", "source-file")]
     assert [r[0] for r in reports.shared_native_ids(left, right).collect()] == ["1", "2", "3"]
+
+
+def _pair(root, rng):
+    """Two packagings of one corpus: a copied file, a copied signal in another file, a scaled first lead, and one record alone each."""
+    x = [rng.integers(-900, 900, (5200, 12)) for _ in range(5)]
+    _record(root / "l" / "d", "1", x[0])
+    _record(root / "l" / "d", "2", x[1])
+    _record(root / "l" / "d", "3", x[2])
+    _record(root / "l" / "d", "9", x[0])
+    near = x[2].copy()
+    near[:, 0] *= 2
+    longer = np.vstack([x[1], x[4][:100]])
+    _record(root / "r" / "d", "1", x[0])
+    _record(root / "r" / "d", "b", longer)
+    _record(root / "r" / "d", "c", near)
+    _record(root / "r" / "d", "d", x[3])
+    entries = []
+    for side in "lr":
+        files = sorted(p for p in (root / side / "d").iterdir() if p.suffix == ".dat")
+        (root / side / "SUMS").write_text("".join(f"{hashlib.sha256(p.read_bytes()).hexdigest()} {p.name}\n" for p in files))
+        entries.append((f"{side}/x", "x", side, "1", "p", None, side, str(root / side), "d", "SUMS", ""))
+    return entries
+
+
+def test_build_screens_paired_corpora(spark, tmp_path):
+    entries = _pair(tmp_path, np.random.default_rng(11))
+    catalogue = spark.createDataFrame(entries, catalog.COLUMNS).withColumns({"directory": F.concat("root", F.lit("/d")), "manifest": F.concat("root", F.lit("/SUMS")), "url": F.lit("")})
+    made, screens = build.build(spark, catalogue=catalogue)
+    links = {(r.record_a, r.record_b): (r.sieve, r.scope) for r in made["duplicate_link"].collect()}
+    assert links == {
+        ("l/x:1", "l/x:9"): ("signal", S.WITHIN), ("l/x:1", "r/x:1"): ("source-file", S.ACROSS), ("l/x:9", "r/x:1"): ("source-file", S.ACROSS),
+        ("l/x:2", "r/x:b"): ("signal", S.ACROSS), ("l/x:3", "r/x:c"): ("correlation", S.ACROSS),
+    }
+    (one,) = screens
+    ids = [side.judged.select("record_id", "source_id") for side in (one.left, one.right)]
+    row = reports.screen_report(*ids, one.links, one.note).first()
+    assert (row.n_left, row.n_right, row.n_links, row.n_source_file, row.n_signal, row.n_correlation, row.n_unmatched, row.n_shared_native_ids, row.note) == (4, 4, 4, 2, 1, 1, 1, 1, None)
+    assert {tuple(r) for r in reports.screen_lists(*ids, one.links).collect()} == {("unmatched", "r/x", "r/x:d"), ("shared", None, "1")}
+    figures = reports.database_figures(made).first()
+    assert (figures.n_records, figures.n_groups, figures.largest, figures.n_within, figures.n_across) == (8, 4, 3, 1, 4) and figures.n_files_without_a_declared_digest == 8
+    again, _ = build.linked([build.reswept(spark, e, build.declared_of(spark, e), made["quality"]) for e in catalogue.collect()])
+    assert {(r.record_a, r.record_b): (r.sieve, r.scope) for r in again.collect()} == links
+
+
+def test_copies(spark, tmp_path):
+    _pair(tmp_path, np.random.default_rng(12))
+    judged = signals.judged(spark, headers.scan(spark, f"{tmp_path}/l/d", "l"), f"{tmp_path}/l/d")
+    groups = copies.repeated(judged.select("record_id", F.col("signal_digest").alias("digest")))
+    assert [tuple(r) for r in copies.chosen(groups).collect()] == [("l:1", "l:9")] and copies.chosen(groups, 0).count() == 0
+    pairs = spark.createDataFrame([("l:1", "l:9"), ("l:1", "l:2")], "record_a string, record_b string")
+    compared = copies.opened(spark, pairs, f"{tmp_path}/l/d", "l")
+    other, same = compared.collect()
+    assert (same.record_b, same.identical_samples, same.max_absolute_difference, same.lead_one_correlation, same.same_comments, same.shape_a) == ("l:9", True, 0.0, 1.0, True, [5200, 12])
+    assert not other.identical_samples and other.same_shape and abs(other.lead_one_correlation) < 0.1 and other.comments_a == ["Dx: 7"]
+    said = copies.summary(compared).first()
+    assert (said.n_checked, said.n_identical_samples, said.n_same_comments) == (2, 1, 2) and said.lowest_correlation == other.lead_one_correlation
+    nan = np.array([[1.0, np.nan], [2.0, 5.0], [4.0, 5.0]])
+    told = copies.compare(nan, np.array([[1.0, 3.0], [2.0, 5.0], [4.0, 5.0]]))
+    assert told["identical_samples"] and told["max_absolute_difference"] == 0.0  # only where both are finite
+    short = copies.compare(nan, nan[:2])
+    assert not short["same_shape"] and not short["identical_samples"] and short["max_absolute_difference"] == 0.0
+    narrow = copies.compare(nan, nan[:, :1])
+    assert narrow["max_absolute_difference"] is None and narrow["lead_one_correlation"] == 1.0
+    assert copies.compare(nan[:1], nan[:1])["lead_one_correlation"] is None
+
+
+def test_label_pass(spark, tmp_path):
+    texts = {
+        mappings.SCORED: "Dx,SNOMEDCTCode,Abbreviation," + ",".join(mappings.PARTITIONS) + "\nfib,7,AF,1,2,3,4,5,6,7,8\n",
+        mappings.AHA: "AHA_Code,SNOMEDCTCode,Dx\n1,10,x\n", mappings.SCP: "Acronym,Dx Statement,id1\nNORM,normal,4065390.0\n",
+    }
+    pins = {}
+    for name, text in texts.items():
+        (tmp_path / name).write_text(text)
+        pins[name] = mappings.MAPPINGS[name] | {"map_sha256": hashlib.sha256(text.encode()).hexdigest()}
+    (tmp_path / "ptbxl_database.csv").write_text("ecg_id,patient_id,age,sex\n1,15.0,60,1\n2,15.0,61,1\n3,,,0\n")
+    _record(tmp_path / "ptb" / "patient001", "s0010", np.zeros((10, 12), int))
+    schema = "source_id string, root string, directory string"
+    catalogue = spark.createDataFrame([(mappings.WITH_CSV, str(tmp_path), "none"), (mappings.WITH_FOLDERS, "", f"{tmp_path}/ptb"), ("x/a", "", "none")], schema)
+    record = spark.createDataFrame([("a:1", "a"), ("b:1", "b")], "record_id string, source_id string")
+    tables = {
+        "record": record, "label": spark.createDataFrame([("a:1", "SNOMED CT", "7", "Dx", "corpus")], TABLES["label"]),
+        "duplicate_link": spark.createDataFrame([("a:1", "b:1", "signal", 1.0, S.ACROSS)], TABLES["duplicate_link"]),
+    }
+    made = build.label_pass(spark, tables, str(tmp_path), pins, catalogue)
+    assert [f"{r.record_id} {r.code} {r.source_id}" for r in made["label_propagated"].collect()] == ["b:1 7 b"]
+    patients = {(r.patient_id, r.record_id) for r in made["patient"].collect()}
+    assert {("physionet/ptb-xl:15", "physionet/ptb-xl:00001_hr"), ("physionet/ptbdb:patient001", "physionet/ptbdb:s0010")} <= patients and len(patients) == 4
+    got = {(r.section, r.key): r.n for r in reports.label_report(tables["label"], made["label_propagated"], made["label_map"], made["patient"]).collect()}
+    assert got["map rows", "all"] == 3 and got["map rows by file", mappings.SCORED] == 1 and got["patients", "all"] == 2 and got["patients by source", mappings.WITH_CSV] == 1
+    assert got["propagated by source", "b"] == got["records given a label", "all"] == got["label rows", "all"] == 1
