@@ -168,6 +168,8 @@ class Vocabulary:
 #: Input number of what is before and after a text.
 EDGE = VOCABULARY + SHARED_IN
 OUTPUTS = OWN + SHARED_OUT
+#: Where the vectors of each neighbour begin, in rows of all of them.
+ROWS = np.arange(len(OFFSETS)) * (EDGE + 1)
 
 
 class Network:
@@ -185,20 +187,23 @@ class Network:
 
     def train(self, context: np.ndarray, y: np.ndarray, rate: float) -> None:
         """One step of SGD on a batch; context: int[batch, neighbours]."""
-        h = np.tanh(sum(self.emb[o, context[:, o]] for o in range(len(OFFSETS))))
-        z = h @ self.out + self.bias
-        p = np.exp(z - z.max(axis=1, keepdims=True))
-        p /= p.sum(axis=1, keepdims=True)
-        p[np.arange(len(y)), y] -= 1
-        back = (p @ self.out.T) * (1 - h * h)
+        keys = (context + ROWS).T.ravel()
+        vectors = self.emb.reshape(-1, DIM).take(keys, axis=0).reshape(len(OFFSETS), len(y), DIM)
+        h = np.tanh(vectors.sum(axis=0))
+        z = h @ self.out
+        z += self.bias
+        np.exp(z, out=z)  # as in log_prob, it can't overflow
+        z *= 1 / z.sum(axis=1, keepdims=True)
+        z[np.arange(len(y)), y] -= 1
+        back = z @ self.out.T
+        back *= 1 - h * h
+        back *= np.float32(-rate / 16)
         step = np.float32(rate / len(y))
-        self.out -= step * (h.T @ p)
-        self.bias -= step * p.sum(axis=0)
-        for o in range(len(OFFSETS)):
-            order = np.argsort(context[:, o])
-            c = context[order, o]
-            first = np.flatnonzero(np.r_[True, c[1:] != c[:-1]])
-            self.emb[o, c[first]] -= np.float32(rate / 16) * np.add.reduceat(back[order], first)
+        self.out -= step * (h.T @ z)
+        self.bias -= step * z.sum(axis=0)
+        # one add over single numbers: numpy has a fast path for it, not for rows
+        cells = (keys * DIM)[:, None] + np.arange(DIM)
+        np.add.at(self.emb.reshape(-1), cells.ravel(), np.tile(back.ravel(), len(OFFSETS)))
 
     def log_prob(self, context: np.ndarray, y: np.ndarray) -> np.ndarray:
         """log P(output y | neighbours) of many positions."""
