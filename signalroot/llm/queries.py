@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .byte_bpe import byte_bpe
 from .common import table
 from .decontaminate import leaks
 from .exact_dedup import exact_dedup
@@ -66,6 +67,10 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text(table(spark, sf_dir, "pages"))
 
 
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_language_id": op2_language_id,
@@ -77,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_packing": op9_packing,
     "op10_html_text": op10_html_text,
+    "op12_byte_bpe": op12_byte_bpe,
 }
 
 ORACLES: dict[str, str] = {
