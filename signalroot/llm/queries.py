@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .byte_bpe import byte_bpe
 from .common import table
+from .conversation_repair import ORACLE as REPAIR_ORACLE
+from .conversation_repair import conversation_repair
 from .decontaminate import leaks
 from .exact_dedup import exact_dedup
 from .html_text import html_text
@@ -67,6 +69,10 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text(table(spark, sf_dir, "pages"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair(table(spark, sf_dir, "conversations"))
+
+
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe(table(spark, sf_dir, "documents"))
 
@@ -82,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_packing": op9_packing,
     "op10_html_text": op10_html_text,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_byte_bpe": op12_byte_bpe,
 }
 
@@ -106,4 +113,5 @@ ORACLES: dict[str, str] = {
         SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, (SELECT min(b) FROM reach r WHERE r.a = d.doc_id) AS component_id
         FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id""",
     "op7_url_filter": url_oracle(URL_RULES),
+    "op11_conversation_repair": REPAIR_ORACLE,
 }
