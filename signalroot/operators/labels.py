@@ -25,6 +25,22 @@ def propagate(label: DataFrame, links: DataFrame, record: DataFrame) -> DataFram
     return shaped(told.join(record.select("record_id", "source_id"), "record_id", "left"), "label_propagated").orderBy("record_id")
 
 
+def propagate_by_digest(label: DataFrame, digests: DataFrame) -> DataFrame:
+    """As `propagate` along the links of equal digest, without making those pairs.
+
+    `digests` is (record_id, source_id, digest), a row per record. Each digest has
+    one smallest labelled record, so work is linear in the records however large
+    a group is; a digest that nobody labelled drops out before any label moves.
+    """
+    labelled = label.select("record_id").distinct()
+    origin = digests.filter("digest IS NOT NULL").join(labelled, "record_id", "left_semi").groupBy("digest").agg(F.min("record_id").alias("via_record_id"))
+    bare = digests.join(labelled, "record_id", "left_anti")
+    chosen = bare.join(origin, "digest").select("record_id", "source_id", "via_record_id")
+    copied = chosen.join(label.withColumnRenamed("record_id", "via_record_id"), "via_record_id")
+    told = copied.withColumns({"source_field": F.concat(F.lit("propagated from "), "via_record_id"), "asserted_by": F.lit("linked record")})
+    return shaped(told, "label_propagated")
+
+
 def counts_per_source(label: DataFrame, record: DataFrame) -> DataFrame:
     """Label rows by (source_id, code)."""
     return label.join(record.select("record_id", "source_id"), "record_id", "left").groupBy("source_id", "code").agg(F.count(F.lit(1)).alias("n"))
