@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..schemas import empty, shaped
+from ..schemas import shaped
+from .correlation import best_matches
 
-MAX_PAIRS, THRESHOLD = 5_000_000, 0.99
+THRESHOLD = 0.99
 
 
 class PairCapExceeded(ValueError):
@@ -66,69 +63,23 @@ def unmatched(records: DataFrame, links: DataFrame, id_col: str = "record_id") -
     return records.select(id_col).join(ends, id_col, "left_anti").orderBy(id_col)
 
 
-def _unit(waves: list[np.ndarray], n: int) -> np.ndarray:
-    """First n samples of each wave, centred and scaled to length one; NaN for a constant one."""
-    x = np.array([w[:n] for w in waves])
-    x = x - x.mean(axis=1, keepdims=True)
-    size = np.sqrt((x * x).sum(axis=1, keepdims=True))
-    return np.divide(x, size, out=np.full_like(x, np.nan), where=size > 0)
-
-
-def _by_length(waves: list[np.ndarray]) -> dict[int, np.ndarray]:
-    found: dict[int, list[int]] = {}
-    for k, w in enumerate(waves):
-        found.setdefault(len(w), []).append(k)
-    return {n: np.array(ks) for n, ks in found.items()}
-
-
-def _matches(shared, threshold: float, held_are_targets: bool):
-    """Pairs of a batch with the broadcast side whose correlation reaches the threshold."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = shared.value
-        lengths = _by_length([w for _, w, _ in held])
-        for pdf in batches:
-            pdf = pdf[pdf["wave"].notna()]
-            mine = [np.asarray(w, np.float64) for w in pdf["wave"]]
-            ids, ordinals = pdf["record_id"].tolist(), pdf["ordinal"].tolist()
-            out = []
-            for size, rows in _by_length(mine).items():
-                for other, ks in lengths.items():
-                    n = min(size, other)  # the common prefix
-                    if n < 2:
-                        continue
-                    r = _unit([mine[i] for i in rows], n) @ _unit([held[k][1] for k in ks], n).T
-                    for i, k in zip(*np.nonzero(r >= threshold)):
-                        a, b = int(rows[i]), held[ks[k]]
-                        if ids[a] != b[0]:
-                            out.append((b[0], ids[a], float(r[i, k]), ordinals[a]) if held_are_targets else (ids[a], b[0], float(r[i, k]), b[2]))
-            yield pd.DataFrame(out, columns=["target", "candidate", "score", "ordinal"])
-
-    return run
-
-
-def correlate(targets: DataFrame, candidates: DataFrame, threshold: float = THRESHOLD, max_pairs: int = MAX_PAIRS, scope: str = S.ACROSS) -> DataFrame:
-    """For each target its best candidate by correlation, if that reaches `threshold`.
+def correlate(targets: DataFrame, candidates: DataFrame, threshold: float = THRESHOLD, max_pairs: int | None = None, scope: str = S.ACROSS) -> DataFrame:
+    """For each target its best candidate by correlation, if that reaches `threshold`, through `correlation.best_matches`.
 
     `targets` are (record_id, wave), `candidates` (record_id, wave[, ordinal]); of
-    equal scores the smallest ordinal wins, then the smallest id. Every target meets every candidate,
-    so the product of the counts is checked first: beyond `max_pairs` the
-    comparison is refused. The smaller side is broadcast: under the cap it has
-    at most the square root of `max_pairs` rows.
+    equal scores the smallest ordinal wins, then the smallest id. With `max_pairs`
+    a comparison of more pairs than that is refused, before any wave is read.
     """
-    n = targets.count()
-    m = candidates.count() if n else 0  # without targets the other side isn't read
-    if not n * m:
-        return empty(targets.sparkSession, "duplicate_link")
-    if n * m > max_pairs:
-        raise PairCapExceeded(f"{n} targets by {m} candidates is more than {max_pairs} pairs")
-    t, c = targets.select("record_id", "wave", F.lit(0).cast("long").alias("ordinal")), candidates.select("record_id", "wave", "ordinal" if "ordinal" in candidates.columns else F.lit(0).cast("long").alias("ordinal"))
-    large, small = (c, t) if n <= m else (t, c)
-    held = [(r["record_id"], np.array(r["wave"], np.float64), r["ordinal"]) for r in small.collect() if r["wave"] is not None]
-    shared = targets.sparkSession.sparkContext.broadcast(held)
-    good = large.mapInPandas(_matches(shared, threshold, n <= m), "target string, candidate string, score double, ordinal long")
-    best = good.groupBy("target").agg(F.min_by(F.struct("candidate", "score"), F.struct(-F.col("score"), "ordinal", "candidate")).alias("best"))
-    rows = best.select(F.col("target"), "best.*").select(*pair("target", "candidate"), F.lit("correlation").alias("sieve"), "score", F.lit(scope).alias("scope"))
+    if max_pairs is not None:
+        n = targets.count()
+        m = candidates.count() if n else 0
+        if n * m > max_pairs:
+            raise PairCapExceeded(f"{n} targets by {m} candidates is more than {max_pairs} pairs")
+    ordinal = F.col("ordinal") if "ordinal" in candidates.columns else F.lit(0)
+    t = targets.select(F.col("record_id").alias("id"), F.lit(0).alias("ordinal"), "wave")
+    c = candidates.select(F.col("record_id").alias("id"), ordinal.alias("ordinal"), "wave")
+    best = best_matches(t, c, threshold)
+    rows = best.select(*pair("target", "candidate"), F.lit("correlation").alias("sieve"), "score", F.lit(scope).alias("scope"))
     return shaped(rows, "duplicate_link")
 
 

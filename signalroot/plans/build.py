@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import cache
 from itertools import groupby
 from typing import NamedTuple
 
@@ -16,12 +18,18 @@ from ..sources import catalog, headers, manifest, mappings, signals
 
 
 class Swept(NamedTuple):
-    """What the links of a distribution come from: judged records, and the declared digest of a signal file each."""
+    """What the links of a distribution come from: judged records, and the declared digest of a signal file each.
+
+    `unread` are the records (record_id, error) whose signal can't be read, as far
+    as signals were read; `waves` gives (record_id, wave) when a screen needs it.
+    """
 
     source_id: str
     corpus: str
     judged: DataFrame
     files: DataFrame
+    unread: DataFrame
+    waves: Callable[[], DataFrame]
 
 
 class Screened(NamedTuple):
@@ -38,44 +46,59 @@ def sweep(spark: SparkSession, entry, declared: DataFrame) -> tuple[dict[str, Da
     """Tables of one distribution (a catalogue row), and what the screens need of it.
 
     Headers are parsed and signals decoded once: both go to the shared folder
-    before the tables are derived.
+    before the tables are derived. A record that can't be read has all rows but
+    the one of quality.
     """
     scratch = Scratch(spark)
     parsed = scratch.table(headers.scan(spark, entry["directory"], entry["source_id"]), "headers")
-    judged = scratch.table(signals.judged(spark, parsed, entry["directory"]), "judged")
+    every = scratch.table(signals.judged(spark, parsed, entry["directory"]), "judged")
+    judged, unread = every.filter("error IS NULL").drop("error"), every.filter("error IS NOT NULL").select("record_id", "error")
     made = {
         "source_file": tables.source_files(parsed, declared.withColumn("source_id", F.lit(entry["source_id"]))),
         "record": tables.records(parsed), "lead": tables.leads(parsed), "label": tables.labels(parsed), "quality": tables.quality(judged),
     }
-    return made, Swept(entry["source_id"], entry["corpus"], judged.withColumn("source_id", F.lit(entry["source_id"])), first_declared(parsed, declared))
+    return made, Swept(entry["source_id"], entry["corpus"], judged.withColumn("source_id", F.lit(entry["source_id"])), first_declared(parsed, declared), unread, lambda: judged.select("record_id", "wave"))
 
 
 def reswept(spark: SparkSession, entry, declared: DataFrame, quality: DataFrame) -> Swept:
     """As `sweep`, with the fingerprints of a delivered quality table.
 
-    Only headers are read here; signals are decoded only if the screen is left
+    Only headers are read here. Signals are decoded, once, if the screen is left
     with records that no digest links.
     """
-    parsed = Scratch(spark).table(headers.scan(spark, entry["directory"], entry["source_id"]), "headers")
+    scratch = Scratch(spark)
+    parsed = scratch.table(headers.scan(spark, entry["directory"], entry["source_id"]), "headers")
     known = parsed.select("record_id", "source_id").join(quality.select("record_id", "signal_digest"), "record_id")
-    waves = signals.judged(spark, parsed, entry["directory"]).select("record_id", "wave")
-    return Swept(entry["source_id"], entry["corpus"], known.join(waves, "record_id", "left"), first_declared(parsed, declared))
+
+    @cache
+    def waves() -> DataFrame:
+        return scratch.table(signals.judged(spark, parsed, entry["directory"]).filter("error IS NULL").select("record_id", "wave"), "waves")
+
+    unread = spark.createDataFrame([], "record_id string, error string")
+    return Swept(entry["source_id"], entry["corpus"], known, first_declared(parsed, declared), unread, waves)
 
 
-def screen(left: DataFrame, right: DataFrame, files: DataFrame, threshold: float = duplicates.THRESHOLD) -> tuple[DataFrame, str | None]:
+def screen(left: DataFrame, right: DataFrame, files: DataFrame, threshold: float = duplicates.THRESHOLD, waves: tuple | None = None) -> tuple[DataFrame, str | None]:
     """Links across two packagings of a corpus: by file digest, fingerprint, then correlation.
 
-    `left` and `right` are judged records (record_id, source_id, signal_digest,
-    wave); `files` is (record_id, source_id, digest) of declared signal files.
+    `left` and `right` are judged records (record_id, source_id, signal_digest);
+    `files` is (record_id, source_id, digest) of declared signal files. `waves`
+    gives (record_id, wave) of each side if called; without it the records have a
+    column of that name.
     """
-    both = left.unionByName(right)
+    both = left.select("record_id", "source_id", "signal_digest").unionByName(right.select("record_id", "source_id", "signal_digest"))
     across = lambda df: df.filter(F.col("scope") == S.ACROSS)
     by_file = across(duplicates.pairs_by_digest(files, S.BY_FILE))
     by_signal = across(duplicates.pairs_by_digest(both.select("record_id", "source_id", F.col("signal_digest").alias("digest")), "signal"))
-    found = Scratch(both.sparkSession).table(duplicates.merge(by_file, by_signal), "found")
-    waves = lambda df: df.filter("wave IS NOT NULL").select("record_id", "wave")
-    rest = lambda df: waves(df).join(duplicates.unmatched(df, found), "record_id", "left_semi")
-    by_wave, note = duplicates.correlate_both(waves(left), waves(right), rest(left), rest(right), threshold=threshold)
+    scratch = Scratch(both.sparkSession)
+    found = scratch.table(duplicates.merge(by_file, by_signal), "found")
+    rest = [scratch.table(duplicates.unmatched(side, found), name) for side, name in ((left, "left"), (right, "right"))]
+    if all(side.isEmpty() for side in rest):
+        return found, None
+    held = [side() for side in waves] if waves else [side.select("record_id", "wave") for side in (left, right)]
+    held = [side.filter("wave IS NOT NULL") for side in held]
+    own = [wave.join(ids, "record_id", "left_semi") for wave, ids in zip(held, rest)]
+    by_wave, note = duplicates.correlate_both(*held, *own, threshold=threshold)
     return duplicates.merge(by_file, by_signal, *([by_wave] if by_wave is not None else [])), note
 
 
@@ -100,7 +123,7 @@ def screens(swept: list[Swept]) -> list[Screened]:
         both = list(both)
         if len(both) == 2:
             left, right = both
-            links, note = screen(left.judged, right.judged, left.files.unionByName(right.files))
+            links, note = screen(left.judged, right.judged, left.files.unionByName(right.files), waves=(left.waves, right.waves))
             done.append(Screened(corpus, left, right, Scratch(links.sparkSession).table(links, "across"), note))
     return done
 
@@ -123,8 +146,8 @@ def declared_of(spark: SparkSession, entry) -> DataFrame:
     return manifest.parse_lines(manifest.read_lines(spark, entry["manifest"]), entry["manifest_prefix"])
 
 
-def build(spark: SparkSession, source_ids: list[str] | None = None, catalogue: DataFrame | None = None) -> tuple[dict[str, DataFrame], list[Screened]]:
-    """The tables that need no code table, of the chosen distributions, and the screens of paired corpora."""
+def build(spark: SparkSession, source_ids: list[str] | None = None, catalogue: DataFrame | None = None) -> tuple[dict[str, DataFrame], list[Screened], DataFrame]:
+    """The tables that need no code table, of the chosen distributions; the screens of paired corpora; what couldn't be read (record_id, error)."""
     catalogue = catalog.only(catalog.sources(spark) if catalogue is None else catalogue, source_ids)
     made: dict[str, DataFrame] = {"source": catalog.source_table(catalogue)}
     swept = []
@@ -134,11 +157,14 @@ def build(spark: SparkSession, source_ids: list[str] | None = None, catalogue: D
         for name, df in one.items():
             made[name] = made[name].unionByName(df) if name in made else df
     if not swept:
-        return made | {name: empty(spark, name) for name in ("duplicate_link", "signal_group")}, []
+        return made | {name: empty(spark, name) for name in ("duplicate_link", "signal_group")}, [], spark.createDataFrame([], "record_id string, error string")
     links, done = linked(swept)
     made["duplicate_link"] = shaped(links, "duplicate_link")
     made["signal_group"] = groups.signal_groups(made["quality"].select("record_id", F.col("signal_digest").alias("digest")), links)
-    return made, done
+    unread = swept[0].unread
+    for one in swept[1:]:
+        unread = unread.unionByName(one.unread)
+    return made, done, unread
 
 
 def label_pass(spark: SparkSession, tables: dict[str, DataFrame], code_tables: str, pins: dict[str, dict] | None = None, catalogue: DataFrame | None = None) -> dict[str, DataFrame]:

@@ -30,25 +30,33 @@ def chosen(groups: DataFrame, n: int = 20, seed: int = 0) -> DataFrame:
     return drawn.select(F.col("members")[0].alias("record_a"), F.col("members")[1].alias("record_b"))
 
 
+def _agreement(x: np.ndarray, y: np.ndarray) -> float | None:
+    """Pearson's r where both are finite; None for fewer than two such samples or a constant side."""
+    good = np.isfinite(x) & np.isfinite(y)
+    x, y = x[good], y[good]
+    if len(x) < 2 or x.min() == x.max() or y.min() == y.max():
+        return None
+    return round(float(np.corrcoef(x, y)[0, 1]), 9)
+
+
 def compare(a: np.ndarray, b: np.ndarray) -> dict:
-    """What separates a copy from a second acquisition; both are float64[samples, leads].
+    """How two records differ, lead by lead; both are float64[samples, leads].
 
-    Samples meet over the shorter length, where both are finite. Records with
-    different numbers of leads differ in shape and have no difference; a
-    correlation of fewer than two samples or of a constant lead is null.
+    A lead's largest difference is taken over the shorter length, where both
+    sides are finite. Records with unlike numbers of leads have no difference.
     """
-    told = {"same_shape": a.shape == b.shape, "shape_a": list(a.shape), "shape_b": list(b.shape), "identical_samples": False, "max_absolute_difference": None, "lead_one_correlation": None}
-    n = min(len(a), len(b))
-    a, b = a[:n], b[:n]
-    first = np.isfinite(a[:, 0]) & np.isfinite(b[:, 0])
-    x, y = a[first, 0], b[first, 0]
-    if len(x) > 1 and np.ptp(x) > 0 and np.ptp(y) > 0:
-        told["lead_one_correlation"] = round(float(np.corrcoef(x, y)[0, 1]), 9)
-    if a.shape == b.shape:
-        difference = np.abs(a - b)[np.isfinite(a) & np.isfinite(b)]
-        told["identical_samples"] = told["same_shape"] and not difference.any()
-        told["max_absolute_difference"] = float(difference.max()) if len(difference) else None
-    return told
+    gaps: list[float] = []
+    if a.shape[1] == b.shape[1]:
+        for x, y in zip(a.T, b.T):
+            apart = np.abs(x[: len(y)] - y[: len(x)])
+            apart = apart[np.isfinite(apart)]
+            gaps += [float(apart.max())] if len(apart) else []
+    same = a.shape == b.shape
+    r = _agreement(a[: len(b), 0], b[: len(a), 0])
+    return {
+        "same_shape": same, "shape_a": list(a.shape), "shape_b": list(b.shape), "identical_samples": same and not any(gaps),
+        "max_absolute_difference": max(gaps, default=None), "lead_one_correlation": r,
+    }
 
 
 def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -57,18 +65,18 @@ def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for r in pdf.itertuples():
             said = {"record_a": r.record_a, "record_b": r.record_b, "comments_a": list(r.comments_a), "comments_b": list(r.comments_b)}
             same = {"same_comments": said["comments_a"] == said["comments_b"]}
-            rows.append(said | same | compare(signals.matrix(r.n_leads_a, r.parts_a), signals.matrix(r.n_leads_b, r.parts_b)))
+            rows.append(said | same | compare(signals.matrix(r.n_leads_a, r.samples_a), signals.matrix(r.n_leads_b, r.samples_b)))
         yield pd.DataFrame(rows, columns=[c.split()[0] for c in COMPARED.split(", ")])
 
 
 def opened(spark: SparkSession, pairs: DataFrame, directory: str, source_id: str) -> DataFrame:
-    """The comparison of each pair (record_a, record_b) of a distribution, by pair."""
+    """The comparison of each pair (record_a, record_b) of a distribution whose records can be read, by pair."""
     texts = headers.read_texts(spark, directory, source_id)
     parsed = headers.parse(texts).join(texts.select("header_path", headers.comments_of("text").alias("comments")), "header_path")
     ends = pairs.select(F.col("record_a").alias("record_id")).unionByName(pairs.select(F.col("record_b").alias("record_id"))).distinct()
     wanted = parsed.join(ends, "record_id", "left_semi")
-    read = signals.whole(spark, wanted, directory).join(wanted.select("record_id", "comments"), "record_id")
-    side = lambda k: read.select(F.col("record_id").alias(f"record_{k}"), *(F.col(c).alias(f"{c}_{k}") for c in ("n_leads", "parts", "comments")))
+    read = signals.whole(spark, wanted, directory).filter("error IS NULL").join(wanted.select("record_id", "comments"), "record_id")
+    side = lambda k: read.select(F.col("record_id").alias(f"record_{k}"), *(F.col(c).alias(f"{c}_{k}") for c in ("n_leads", "samples", "comments")))
     return pairs.join(side("a"), "record_a").join(side("b"), "record_b").mapInPandas(_compare, COMPARED).orderBy("record_a", "record_b")
 
 

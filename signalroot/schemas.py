@@ -39,7 +39,7 @@ TABLES: dict[str, T.StructType] = {
 HEADER = _schema(
     "record_id string, source_id string, native_record_id string, header_path string, signal_paths array<string>, n_leads long, sampling_rate_hz double, "
     "n_samples long, units_declared array<string>, units_are_declared boolean, all_millivolts boolean, age string, sex string, dx array<string>"
-).add("leads", T.ArrayType(_schema("position long, name_native string, name_canonical string, units_declared string, gain double, baseline long, adc_zero long, format string, file string")))
+).add("leads", T.ArrayType(_schema("position long, name_native string, name_canonical string, units_declared string, gain double, baseline long, adc_zero long, format string, file string, initial_value long")))
 
 
 def empty(spark: SparkSession, table: str) -> DataFrame:

@@ -36,7 +36,7 @@ def _lead(line: Column, position: Column, unit: Column) -> Column:
     return F.struct(
         position.cast("long").alias("position"), at(9).alias("name_native"), S.canonical_lead(at(9)).alias("name_canonical"), unit.alias("units_declared"),
         F.when(gain == 0, 200.0).otherwise(gain).alias("gain"), F.coalesce(_number(at(3), r"\((-?\d+)\)", "long"), zero).alias("baseline"), zero.alias("adc_zero"),
-        at(2).alias("format"), at(1).alias("file"),
+        at(2).alias("format"), at(1).alias("file"), _number(at(6), r"^(-?\d+)$", "long").alias("initial_value"),
     )
 
 

@@ -1,40 +1,29 @@
 """Signal files: the first ten seconds of the canonical leads, judged and fingerprinted.
 
-Format 16 (little-endian 16-bit samples, leads interleaved) is decoded, plain or
-inside a MATLAB version 4 file (`16+24`). Only the samples of the window are
-converted. Records are decoded a few at a time in Arrow batches.
+A task opens the files of its records itself and reads only the bytes of the
+window, so no content goes through a join or a shuffle, whatever the number of
+files a record has. Formats are in `formats`; one may differ from file to file. A
+record that can't be read becomes a row with its reason.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.arrays import NO_SAMPLE, SATURATED_SHARE, STEPS_PER_MV, WINDOW_S
 from ..functions.scalars import CANONICAL_LEADS
+from . import files, formats
 
-#: Missing samples of format 16.
-INVALID = -32768
-JUDGED = "record_id string, missing_leads array<string>, flat_leads array<string>, saturated_leads array<string>, n_nonfinite long, n_samples_read long, signal_digest string, wave array<float>"
-
-
-def decode(content: bytes, fmt: str, leads: list[dict], n_samples: int, n_window: int) -> np.ndarray:
-    """float64[n_window, leads] in physical units."""
-    offset = fmt.partition("+")[2]
-    if fmt.partition("+")[0] != "16":
-        raise ValueError(f"signal format {fmt!r} isn't supported")
-    raw = np.frombuffer(content, "<i2", n_window * len(leads), int(offset or 0)).reshape(n_window, len(leads))
-    gain = np.array([x["gain"] for x in leads])
-    base = np.array([x["baseline"] for x in leads])
-    out = (raw.astype(np.float64) - base) / gain
-    out[raw == INVALID] = np.nan
-    return out
-
+JUDGED = "record_id string, missing_leads array<string>, flat_leads array<string>, saturated_leads array<string>, n_nonfinite long, n_samples_read long, signal_digest string, wave array<float>, error string"
+WHOLE = "record_id string, n_leads int, samples binary, error string"
+#: Records for a task, and in a batch that goes out.
+RECORDS, BATCH = 2_000, 64
 
 def window_of(signal: np.ndarray, names: list[str | None]) -> tuple[np.ndarray | None, list[str]]:
     """float32[12, n] in canonical order, or None and the missing leads; of a repeated name the last holds."""
@@ -78,94 +67,118 @@ def judge(signal: np.ndarray, leads: list[dict]) -> dict:
     }
 
 
-def _frame(rows: list[dict]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=["record_id", "missing_leads", "flat_leads", "saturated_leads", "n_nonfinite", "n_samples_read", "signal_digest", "wave"])
-
-
-def _judge_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Records with all leads in one file."""
-    for pdf in batches:
-        rows = []
-        for r in pdf.itertuples():
-            leads = list(r.leads)
-            rows.append({"record_id": r.record_id} | judge(decode(r.content, leads[0]["format"], leads, r.n_samples, window_length(r.sampling_rate_hz, r.n_samples)), leads))
-        yield _frame(rows)
-
-
-def _decode_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The window of the leads that lie in one of a record's files, as bytes of float64[window, leads]."""
-    for pdf in batches:
-        rows = []
-        for r in pdf.itertuples():
-            own = [x for x in r.leads if x["file"] == r.file]
-            signal = decode(r.content, own[0]["format"], own, r.n_samples, window_length(r.sampling_rate_hz, r.n_samples))
-            rows.append((r.record_id, r.leads, r.n_files, r.file, signal.tobytes()))
-        yield pd.DataFrame(rows, columns=["record_id", "leads", "n_files", "file", "samples"])
-
-
-def _judge_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Records whose leads lie in several files, which are put together in the header's order."""
-    for pdf in batches:
-        rows = []
-        for r in pdf.itertuples():
-            leads = list(r.leads)
-            columns: list[np.ndarray | None] = [None] * len(leads)
-            for part in r.parts:
-                at = [k for k, x in enumerate(leads) if x["file"] == part["file"]]
-                for k, column in zip(at, np.frombuffer(part["samples"]).reshape(-1, len(at)).T):
-                    columns[k] = column
-            rows.append({"record_id": r.record_id} | judge(np.stack(columns, axis=1), leads))
-        yield _frame(rows)
-
-
-def _contents(spark: SparkSession, headers: DataFrame, directory: str) -> DataFrame:
-    """A row per record and signal file that is there, with the file's bytes."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(directory).filter(~F.endswith("path", F.lit(".hea")))
-    root = directory.rstrip("/") + "/"
-    content = files.select(F.substring_index("path", root, -1).alias("signal_path"), "content")
-    folder = F.regexp_extract("header_path", r"^(.*/)[^/]*$", 1)
-    rows = headers.select("record_id", "leads", "sampling_rate_hz", "n_samples", folder.alias("folder"), F.size("signal_paths").alias("n_files"), F.explode("signal_paths").alias("file"))
-    return rows.withColumn("signal_path", F.concat("folder", "file")).join(content, "signal_path").select("record_id", "leads", "sampling_rate_hz", "n_samples", "n_files", "file", "content")
+#: (size, read) of a record's file: its length, and bytes from a place on.
+Opener = Callable[[str], tuple[Callable[[], int], Callable[[int, int | None], bytes]]]
+
+
+def signal_of(row: dict, opened: Opener, whole: bool = False) -> np.ndarray:
+    """float64[samples, leads] of a header row, leads in its order: of the window, or of the whole record."""
+    leads, n_frames = row["leads"] or [], row["n_samples"]
+    if not leads:
+        raise formats.Unreadable("no leads")
+    at: dict[str, list[int]] = {}
+    for k, lead in enumerate(leads):
+        at.setdefault(lead["file"], []).append(k)
+    held = {name: (opened(name), [leads[k] for k in places]) for name, places in at.items()}
+    if n_frames is None:
+        n_frames = min(formats.frames_in(size(), own) for (size, _), own in held.values())
+    n_window = n_frames if whole else window_length(row["sampling_rate_hz"], n_frames)
+    out = np.empty((n_window, len(leads)))
+    for name, ((_, read), own) in held.items():
+        out[:, at[name]] = formats.decode(read(*formats.span(own, n_frames, n_window)), own, n_frames, n_window)
+    return out
 
 
-def _whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        rows = []
-        for r in pdf.itertuples():
-            own = [x for x in r.leads if x["file"] == r.file]
-            at = [k for k, x in enumerate(r.leads) if x["file"] == r.file]
-            rows.append((r.record_id, r.n_files, len(r.leads), at, decode(r.content, own[0]["format"], own, r.n_samples, r.n_samples).tobytes()))
-        yield pd.DataFrame(rows, columns=["record_id", "n_files", "n_leads", "at", "samples"])
+def _beside(directory: str, header_path: str) -> Opener:
+    """Files in the folder of a header."""
+    folder = f"{directory.rstrip('/')}/{header_path}".rpartition("/")[0]
 
+    def opened(name: str):
+        path = f"{folder}/{name}"
+        return lambda: files.size(path), lambda start, size: files.read(path, start, size)
 
-def whole(spark: SparkSession, headers: DataFrame, directory: str) -> DataFrame:
-    """(record_id, n_leads, parts): every sample of the given records whose files are all there.
+    return opened
+
+
+def _given(contents: list[dict]) -> Opener:
+    """Files whose bytes came with the row."""
+    held = {c["file"]: c["content"] for c in contents}
+
+    def opened(name: str):
+        if held.get(name) is None:
+            raise FileNotFoundError(name)
+        return lambda: len(held[name]), lambda start, size: held[name][start:] if size is None else held[name][start : start + size]
+
+    return opened
+
+
+def _each(made: Callable[[dict, Opener], dict], directory: str, schema: pa.Schema):
+    """Batches of header rows -> what `made` says of each record, or why it can't be read."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, BATCH):
+                rows = []
+                for row in batch.slice(lo, BATCH).to_pylist():
+                    try:
+                        told = made(row, _given(row["contents"]) if "contents" in row else _beside(directory, row["header_path"]))
+                    except (OSError, ValueError, pa.ArrowException) as failed:
+                        told = {"error": f"{type(failed).__name__}: {failed}"}
+                    rows.append({"record_id": row["record_id"]} | told)
+                yield pa.RecordBatch.from_pylist(rows, schema)
+
+    return run
+
+
+def _applied(spark: SparkSession, headers: DataFrame, directory: str, made, schema: str) -> DataFrame:
+    rows = headers.select("record_id", "header_path", "leads", "sampling_rate_hz", "n_samples", "signal_paths")
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), headers.count() // RECORDS + 1)
+    if files.reachable(directory):
+        rows = rows.repartition(n)  # header rows are small, reading signals isn't
+    else:
+        rows = _with_contents(spark, rows, directory)
+    arrow = pa.schema([pa.field(name, _ARROW[kind]) for name, kind in (c.split() for c in schema.split(", "))])
+    return rows.mapInArrow(_each(made, directory, arrow), schema)
 
-    A part is one file: `at`, its leads' places in the header, and float64[n, leads] as bytes.
+
+_ARROW = {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "array<string>": pa.list_(pa.string()), "array<float>": pa.list_(pa.float32())}
+
+
+def _with_contents(spark: SparkSession, rows: DataFrame, directory: str) -> DataFrame:
+    """Header rows with the bytes of their files, read by Spark: for file systems that only its readers know.
+
+    Here whole files go through one join and one grouping by record.
     """
-    parts = _contents(spark, headers, directory).mapInPandas(_whole, "record_id string, n_files int, n_leads int, at array<int>, samples binary")
-    met = parts.groupBy("record_id").agg(F.first("n_files").alias("n_files"), F.first("n_leads").alias("n_leads"), F.collect_list(F.struct("at", "samples")).alias("parts"))
-    return met.filter(F.size("parts") == F.col("n_files")).drop("n_files")
+    read = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(directory).filter(~F.endswith("path", F.lit(".hea")))
+    content = read.select(F.substring_index("path", directory.rstrip("/") + "/", -1).alias("signal_path"), "content")
+    folder = F.regexp_extract("header_path", r"^(.*/)[^/]*$", 1)
+    paths = rows.select("record_id", folder.alias("folder"), F.explode_outer("signal_paths").alias("file")).withColumn("signal_path", F.concat("folder", "file"))
+    met = paths.join(content, "signal_path", "left").groupBy("record_id").agg(F.collect_list(F.struct("file", "content")).alias("contents"))
+    return rows.join(met, "record_id")
 
 
-def matrix(n_leads: int, parts) -> np.ndarray:
-    """float64[n, leads] of a row of `whole`, in the header's order."""
-    columns: list[np.ndarray | None] = [None] * n_leads
-    for part in parts:
-        for k, column in zip(part["at"], np.frombuffer(part["samples"]).reshape(-1, len(part["at"])).T):
-            columns[k] = column
-    return np.stack(columns, axis=1)
+def _judged(row: dict, opened: Opener) -> dict:
+    return judge(signal_of(row, opened), row["leads"])
 
 
 def judged(spark: SparkSession, headers: DataFrame, directory: str) -> DataFrame:
-    """Faults, fingerprint and first lead of every record whose signal files are all there.
+    """Faults, fingerprint and first lead of every record; `error` is null, or says why a record can't be read.
 
-    Files are joined by path. Of records with leads in several files, each file's
-    window is decoded first, and the windows meet by record.
+    Only the window is asked for: what is wrong behind it isn't seen.
     """
-    rows = _contents(spark, headers, directory)
-    whole = rows.filter("n_files = 1").mapInPandas(_judge_batches, JUDGED)
-    lead = headers.schema["leads"].dataType.simpleString()
-    parts = rows.filter("n_files > 1").mapInPandas(_decode_parts, f"record_id string, leads {lead}, n_files int, file string, samples binary")
-    together = parts.groupBy("record_id").agg(F.first("leads").alias("leads"), F.first("n_files").alias("n_files"), F.collect_list(F.struct("file", "samples")).alias("parts"))
-    return whole.unionByName(together.filter(F.size("parts") == F.col("n_files")).select("record_id", "leads", "parts").mapInPandas(_judge_parts, JUDGED))
+    return _applied(spark, headers, directory, _judged, JUDGED)
+
+
+def _matrix(row: dict, opened: Opener) -> dict:
+    signal = signal_of(row, opened, whole=True)
+    return {"n_leads": signal.shape[1], "samples": signal.tobytes()}
+
+
+def whole(spark: SparkSession, headers: DataFrame, directory: str) -> DataFrame:
+    """(record_id, n_leads, samples, error): every sample of the given records as bytes of float64[n, leads]."""
+    return _applied(spark, headers, directory, _matrix, WHOLE)
+
+
+def matrix(n_leads: int, samples: bytes) -> np.ndarray:
+    """float64[n, leads] of a row of `whole`, in the header's order."""
+    return np.frombuffer(samples).reshape(-1, n_leads)

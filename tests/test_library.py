@@ -74,7 +74,8 @@ def test_build(spark, tmp_path):
     (tmp_path / "SUMS").write_text("".join(f"{d} {p}\n" for p, d in listed.items()))
     entry = ("x/a", "a", "x", "1", "p", None, "a", str(tmp_path), "d", "SUMS", "")
     spark_catalogue = spark.createDataFrame([entry], catalog.COLUMNS).withColumns({"directory": F.concat("root", F.lit("/d")), "manifest": F.concat("root", F.lit("/SUMS")), "url": F.lit("")})
-    made, screens = build.build(spark, catalogue=spark_catalogue)
+    made, screens, unread = build.build(spark, catalogue=spark_catalogue)
+    assert unread.count() == 0
     assert screens == []
     assert made["record"].count() == 3 and made["lead"].count() == 35 and made["source_file"].filter("sha256_declared is not null").count() == 3
     quality = {r.record_id: r for r in made["quality"].collect()}
@@ -105,7 +106,9 @@ def test_leads_in_several_files(spark, tmp_path):
     for f in ("r.dat", "r.xyz"):
         (tmp_path / f).write_bytes(x[:, [k for k in range(14) if of[k] == f]].astype("<i2").tobytes())
     (tmp_path / "lost.dat").write_bytes((tmp_path / "r.dat").read_bytes())  # its other file isn't there
-    got = signals.judged(spark, headers.scan(spark, str(tmp_path), "s/a"), str(tmp_path)).collect()
+    judged = signals.judged(spark, headers.scan(spark, str(tmp_path), "s/a"), str(tmp_path))
+    assert [(r.record_id, "lost.xyz" in r.error) for r in judged.filter("error IS NOT NULL").collect()] == [("s/a:lost", True)]
+    got = judged.filter("error IS NULL").collect()
     assert [(r.record_id, r.signal_digest, r.n_samples_read) for r in got] == [("s/a:r", signals.digest_of((x[:5000, :12].T / 100).astype(np.float32)), 5000)]
 
 
@@ -300,7 +303,7 @@ def _pair(root, rng):
 def test_build_screens_paired_corpora(spark, tmp_path):
     entries = _pair(tmp_path, np.random.default_rng(11))
     catalogue = spark.createDataFrame(entries, catalog.COLUMNS).withColumns({"directory": F.concat("root", F.lit("/d")), "manifest": F.concat("root", F.lit("/SUMS")), "url": F.lit("")})
-    made, screens = build.build(spark, catalogue=catalogue)
+    made, screens, _ = build.build(spark, catalogue=catalogue)
     links = {(r.record_a, r.record_b): (r.sieve, r.scope) for r in made["duplicate_link"].collect()}
     assert links == {
         ("l/x:1", "l/x:9"): ("signal", S.WITHIN), ("l/x:1", "r/x:1"): ("source-file", S.ACROSS), ("l/x:9", "r/x:1"): ("source-file", S.ACROSS),
