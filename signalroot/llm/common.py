@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import ctypes
 import gc
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,26 @@ def partitions(spark: SparkSession, units: float, per_partition: float) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(units / per_partition) + 1)
 
 
+#: Spark's bound on the bytes of rows that go to a Python worker at once.
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession, size: str = "4m") -> Iterator[None]:
+    """What is written inside goes through Python workers in batches of `size`; the setting is put back.
+
+    A batch stands in the JVM's direct memory, in the worker as Arrow and once
+    more as what the worker makes of it, so long texts in the usual 64 MB cost
+    several times that for each core.
+    """
+    before = spark.conf.get(_BATCH_BYTES)
+    spark.conf.set(_BATCH_BYTES, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH_BYTES, before)
+
+
 class Lookup(dict):
     """word -> value, computed at the first sight of a word in this worker."""
 
