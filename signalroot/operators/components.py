@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..scratch import Scratch
+from ..scratch import Scratch, sized
 
 
 def _toward_min(edges: DataFrame) -> DataFrame:
@@ -54,3 +54,26 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     roots = now.select(F.col("b").alias("node")).distinct().select("node", F.col("node").alias("component"))
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
+
+
+def extended(components: DataFrame, edges: DataFrame) -> DataFrame:
+    """(node, component) after further edges (a, b), given the components before them.
+
+    A component's name is its smallest node, so new edges are first contracted to
+    the names of their ends; only those names are connected anew, and only the
+    components that joined another one are renamed. Work follows the new edges,
+    beside one pass over the nodes.
+    """
+    scratch = Scratch(edges.sparkSession)
+    new = edges.select("a", "b").filter("a IS NOT NULL AND b IS NOT NULL")
+    named = new
+    for end in ("a", "b"):
+        known = components.select(F.col("node").alias(end), F.col("component").alias("name"))
+        named = named.join(known, end, "left").withColumn(end, F.coalesce("name", end)).drop("name")
+    # an end without a component is a node of its own: its loop keeps it
+    ends = new.select(F.col("a").alias("node")).unionByName(new.select(F.col("b").alias("node"))).distinct()
+    joined = scratch.table(connected_components(named), "joined").select(F.col("node").alias("component"), F.col("component").alias("to"))
+    moved = joined.filter("component != to")
+    before = components.join(sized(scratch.table(moved, "moved")), "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+    fresh = ends.join(components.select("node"), "node", "left_anti")
+    return before.unionByName(fresh.join(joined, F.col("node") == F.col("component")).select("node", F.col("to").alias("component")))

@@ -21,16 +21,27 @@ def groups(digests: DataFrame, id_col: str = "record_id", digest_col: str = "dig
     return digests.filter(F.col(digest_col).isNotNull()).groupBy(F.col(digest_col).alias("digest")).agg(F.array_sort(F.collect_list(id_col)).alias("members"))
 
 
+#: Members of a digest group in a block; the pairs of two blocks are one piece of a join.
+BLOCK = 1024
+
+
 def pairs_by_digest(digests: DataFrame, sieve: str) -> DataFrame:
     """All pairs of records that share a digest, as links of score 1.
 
     `digests` is (record_id, source_id, digest). The pairs of a group are the
     operator's result; `chain_by_digest` has what components need, in linear size.
+    A group of more than `BLOCK` members is cut into blocks by a hash of the id,
+    and every two blocks meet under a key of their own: the first with itself and
+    all later ones, so each pair is made once and no task has a group's square.
     """
-    a = digests.filter("digest IS NOT NULL").select("digest", F.col("record_id").alias("record_a"), F.col("source_id").alias("source_a"))
-    b = a.select("digest", F.col("record_a").alias("record_b"), F.col("source_a").alias("source_b"))
-    met = a.join(b, "digest").filter("record_a < record_b")
-    return shaped(met.withColumns({"sieve": F.lit(sieve), "score": F.lit(1.0), "scope": S.scope("source_a", "source_b")}), "duplicate_link")
+    rows = digests.filter("digest IS NOT NULL").select("digest", F.col("record_id").alias("id"), F.col("source_id").alias("source"))
+    large = rows.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > BLOCK).select("digest", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    cut = rows.join(large, "digest", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    first = cut.select("digest", F.col("mine").alias("x"), F.explode(F.sequence(F.col("mine"), F.col("blocks") - 1)).alias("y"), F.col("id").alias("id_a"), F.col("source").alias("source_a"))
+    second = cut.select("digest", F.explode(F.sequence(F.lit(0), F.col("mine"))).alias("x"), F.col("mine").alias("y"), F.col("id").alias("id_b"), F.col("source").alias("source_b"))
+    met = first.join(second, ["digest", "x", "y"]).filter("x < y AND id_a != id_b OR id_a < id_b")
+    ends = dict(zip(("record_a", "record_b"), pair("id_a", "id_b")))
+    return shaped(met.withColumns(ends | {"sieve": F.lit(sieve), "score": F.lit(1.0), "scope": S.scope("source_a", "source_b")}), "duplicate_link")
 
 
 def chain_by_digest(digests: DataFrame, id_col: str = "record_id", digest_col: str = "digest") -> DataFrame:

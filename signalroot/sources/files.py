@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from urllib.parse import unquote
 
 from pyarrow import fs
 
@@ -13,9 +12,9 @@ CHUNK_BYTES = 1 << 20
 
 
 def _local(path: str) -> str | None:
-    """A local path without its scheme; None if another file system is meant."""
+    """A local path without its scheme; None if another file system is meant. Paths are as Hadoop prints them, nothing is escaped."""
     if path.startswith("file:"):
-        return unquote("/" + path.removeprefix("file:").lstrip("/"))
+        return "/" + path.removeprefix("file:").lstrip("/")
     return None if re.match(r"[A-Za-z][A-Za-z0-9+.-]*://", path) else path
 
 

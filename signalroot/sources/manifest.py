@@ -6,50 +6,58 @@ import fnmatch
 import hashlib
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CHUNK_BYTES = 1 << 20
+from ..scratch import Scratch
+from . import files
+
+#: Bytes that a task hashes, about.
+TASK_BYTES = 1 << 28
 MATCHED, MISMATCHED, MISSING, UNLISTED = "matched", "mismatched", "missing", "unlisted"
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(line_no, line) of one text file."""
-    text = spark.read.option("wholetext", True).text(path)
-    return text.select(F.posexplode(F.split("value", r"\r?\n")).alias("line_no", "line"))
+    """(line_no, line) of a text file, or of all files of a folder, of any size.
+
+    A large file is read in blocks by many tasks; line_no is (file, block's first
+    byte, place), which orders lines as the files do.
+    """
+    text = spark.read.text(path)
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place"))
+    return text.select(place.alias("line_no"), F.col("value").alias("line"))
 
 
 def parse_lines(lines: DataFrame, prefix: str = "") -> DataFrame:
     """(relative_path, digest) of manifest lines (line_no, line).
 
     A line is a digest of 64 characters, a space, and a path with an optional
-    mark; blank lines don't count, any other line is an error even outside the
-    prefix. Only paths under `prefix` stay, without it; of a repeated path the
-    last line holds.
+    mark; empty lines don't count, any other line is an error even outside the
+    prefix. Digests stay as they are written. Only paths under `prefix` stay,
+    without it; of a repeated path the last line holds.
     """
     parts = F.split("line", " ", 2)
     digest, rest = parts[0], F.try_element_at(parts, F.lit(2))
     bad = rest.isNull() | (F.length(digest) != 64)
     path = F.regexp_replace(rest, r"^[ *]+", "")
-    rows = lines.filter(F.trim("line") != "").select(
-        "line_no", F.when(bad, F.raise_error(F.concat(F.lit("not a manifest line: "), "line"))).otherwise(path).alias("path"), F.lower(digest).alias("digest")
+    rows = lines.filter("line != ''").select(
+        "line_no", F.when(bad, F.raise_error(F.concat(F.lit("not a manifest line: "), "line"))).otherwise(path).alias("path"), digest.alias("digest")
     )
     mine = rows.filter(F.startswith("path", F.lit(prefix))).select("line_no", F.substr("path", F.lit(len(prefix) + 1)).alias("relative_path"), "digest")
     return mine.groupBy("relative_path").agg(F.max_by("digest", "line_no").alias("digest"))
 
 
-def _hash_paths(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        pdf["digest"] = [sha256_file(p) for p in pdf["path"]]
-        yield pdf[["path", "digest"]]
+def _hash_paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for path in batch.column("path").to_pylist():
+            yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([sha256_of(files.chunks(path))])], ["path", "digest"])
 
 
-def sha256_file(path: str) -> str:
+def sha256_of(chunks: Iterator[bytes]) -> str:
     seen = hashlib.sha256()
-    with open(path.removeprefix("file:"), "rb") as f:
-        while block := f.read(CHUNK_BYTES):
-            seen.update(block)
+    for chunk in chunks:
+        seen.update(chunk)
     return seen.hexdigest()
 
 
@@ -72,20 +80,25 @@ def empty_files(spark: SparkSession, directory: str, glob: str, n_read: int) ->
     return found
 
 
-def file_digests(spark: SparkSession, directory: str, glob: str = "*", large: bool = False) -> DataFrame:
-    """(relative_path, digest) of all files below a folder.
+def file_digests(spark: SparkSession, directory: str, glob: str = "*") -> DataFrame:
+    """(relative_path, digest) of all files below a folder, of any length, empty ones too.
 
-    Files without a byte count too. `large` reads files in chunks on the executors instead of whole into a
-    column, for files over 2 GB in a folder that all executors see.
+    Spark lists the files; tasks open them and hash them in chunks, so a task's
+    memory is a chunk whatever the file. Work is dealt by bytes. Where only
+    Spark's reader knows the file system, whole files become a column instead,
+    which holds no more than 2 GB.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(directory)
-    if large:
-        found = files.select("path").mapInPandas(_hash_paths, "path string, digest string")
+    read = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(directory)
+    listed = Scratch(spark).table(read.select("path", "length"), "listed")
+    n, size = listed.agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0))).first()
+    if files.reachable(directory):
+        tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // TASK_BYTES + 1)
+        found = listed.repartition(tasks, F.rand(7)).mapInArrow(_hash_paths, "path string, digest string")
     else:
-        found = files.select("path", F.sha2("content", 256).alias("digest"))
+        found = read.select("path", F.sha2("content", 256).alias("digest"))
     root = directory.rstrip("/") + "/"
     digests = found.select(F.substring_index("path", root, -1).alias("relative_path"), "digest")
-    empty = empty_files(spark, directory, glob, files.select("path").count())
+    empty = empty_files(spark, directory, glob, n)
     if not empty:
         return digests
     return digests.unionByName(spark.createDataFrame([(p, hashlib.sha256(b"").hexdigest()) for p in empty], "relative_path string, digest string"))

@@ -89,11 +89,11 @@ def test_build(spark, tmp_path):
     assert delivery.trace(spark, "none") is None
     (tmp_path / "e").mkdir()
     (tmp_path / "e" / "empty.dat").write_bytes(b"")
-    assert [r.digest for large in (False, True) for r in manifest.file_digests(spark, f"{tmp_path}/e", large=large).collect()] == [hashlib.sha256(b"").hexdigest()] * 2
+    assert [r.digest for r in manifest.file_digests(spark, f"{tmp_path}/e").collect()] == [hashlib.sha256(b"").hexdigest()]
     observed = manifest.file_digests(spark, f"{tmp_path}/d")
     declared = manifest.parse_lines(manifest.read_lines(spark, f"{tmp_path}/SUMS"))
     assert manifest.report(manifest.verify(declared, observed)).first().holds
-    assert manifest.verify(declared, manifest.file_digests(spark, f"{tmp_path}/d", large=True)).filter("outcome = 'unlisted'").count() == 3
+    assert manifest.verify(declared, manifest.file_digests(spark, f"{tmp_path}/d")).filter("outcome = 'unlisted'").count() == 3
 
 
 def test_leads_in_several_files(spark, tmp_path):
@@ -131,8 +131,10 @@ def test_faults(spark):
 def test_manifest_lines(spark):
     digest = "a" * 64
     lines = lambda *x: spark.createDataFrame(list(enumerate(x)), "line_no long, line string")
-    got = manifest.parse_lines(lines(f"{digest} p/a", "", f"{'b' * 64} *p/a", f"{digest}  q/c"), "p/").collect()
-    assert [(r.relative_path, r.digest) for r in got] == [("a", "b" * 64)]
+    got = manifest.parse_lines(lines(f"{digest} p/a", "", f"{'B' * 64} *p/a", f"{digest}  q/c"), "p/").collect()
+    assert [(r.relative_path, r.digest) for r in got] == [("a", "B" * 64)]  # as written
+    with pytest.raises(Exception, match="not a manifest line"):
+        manifest.parse_lines(lines(f"{digest} p/a", "   ")).collect()
     with pytest.raises(Exception, match="not a manifest line"):
         manifest.parse_lines(lines(f"{digest} p/a", "short q/b"), "p/").collect()
     d = spark.createDataFrame([("a", "1"), ("b", "2"), ("c", "3")], "relative_path string, digest string")

@@ -154,9 +154,9 @@ def test_only_spark_reads_the_folder(spark, tmp_path, monkeypatch):
 
 
 def test_files_open_by_any_local_spelling(tmp_path):
-    path = tmp_path / "a b.bin"
+    path = tmp_path / "a b%20c.bin"
     path.write_bytes(bytes(range(256)) * 20_000)
-    for spelt in (str(path), f"file:{path}", f"file://{path}", f"file:///{str(path)[1:].replace(' ', '%20')}"):
+    for spelt in (str(path), f"file:{path}", f"file://{path}"):
         assert files.size(spelt) == 5_120_000 and files.read(spelt, 255, 3) == b"\xff\x00\x01" and sum(map(len, files.chunks(spelt))) == 5_120_000
     assert files.read(str(path), 6_000_000) == b"" and not files.reachable("viewfs://x/y") and files.reachable(str(path))
 
