@@ -69,6 +69,11 @@ def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=[c.split()[0] for c in COMPARED.split(", ")])
 
 
+def compared(pairs: DataFrame) -> DataFrame:
+    """COMPARED of rows with both sides' record, n_leads, samples (bytes of float64[n, leads]) and comments, marked _a and _b."""
+    return pairs.mapInPandas(_compare, COMPARED)
+
+
 def opened(spark: SparkSession, pairs: DataFrame, directory: str, source_id: str) -> DataFrame:
     """The comparison of each pair (record_a, record_b) of a distribution whose records can be read, by pair."""
     texts = headers.read_texts(spark, directory, source_id)
@@ -77,7 +82,7 @@ def opened(spark: SparkSession, pairs: DataFrame, directory: str, source_id: str
     wanted = parsed.join(ends, "record_id", "left_semi")
     read = signals.whole(spark, wanted, directory).filter("error IS NULL").join(wanted.select("record_id", "comments"), "record_id")
     side = lambda k: read.select(F.col("record_id").alias(f"record_{k}"), *(F.col(c).alias(f"{c}_{k}") for c in ("n_leads", "samples", "comments")))
-    return pairs.join(side("a"), "record_a").join(side("b"), "record_b").mapInPandas(_compare, COMPARED).orderBy("record_a", "record_b")
+    return compared(pairs.join(side("a"), "record_a").join(side("b"), "record_b")).orderBy("record_a", "record_b")
 
 
 def summary(compared: DataFrame) -> DataFrame:

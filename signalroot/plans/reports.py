@@ -104,13 +104,15 @@ def traced_example(traced: DataFrame, seed: int = 20260908) -> DataFrame:
     return hash_sample(traced, "record_id", 1, seed)
 
 
-def _counted(df: DataFrame, section: str, key: Column, n: Column) -> DataFrame:
-    return df.groupBy(key.cast("string").alias("key")).agg(n.cast("long").alias("n")).select(F.lit(section).alias("section"), "key", "n")
+def _counted(df: DataFrame, section: str, key: Column | None, n: Column) -> DataFrame:
+    """(section, key, n) by a key; of the whole, an empty table too, without one."""
+    grouped = df.agg(n.cast("long").alias("n")).withColumn("key", F.lit("all")) if key is None else df.groupBy(key.cast("string").alias("key")).agg(n.cast("long").alias("n"))
+    return grouped.select(F.lit(section).alias("section"), "key", "n")
 
 
 def label_report(label: DataFrame, propagated: DataFrame, label_map: DataFrame, patient: DataFrame) -> DataFrame:
     """(section, key, n): rows of the label tables, by source where they have one; whole counts have the key `all`."""
-    rows, everything = F.count(F.lit(1)), F.lit("all")
+    rows, everything = F.count(F.lit(1)), None
     parts = [
         _counted(label, "label rows", everything, rows), _counted(propagated, "propagated rows", everything, rows),
         _counted(propagated, "records given a label", everything, F.count_distinct("record_id")),
