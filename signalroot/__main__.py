@@ -32,9 +32,12 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--sample", type=int, default=20, help="size of the sample that `copies` draws")
     parser.add_argument("--seed", type=int, default=0, help="draws another sample for `copies`")
     parser.add_argument("--mappings", default=os.environ.get(mappings.MAPPINGS_ENV, "mappings"), help="folder of the code tables")
+    parser.add_argument("--reports", help="folder that reports are written to as JSON, beside being printed")
+    parser.add_argument("--cache", help="folder of judged records; `build` decodes only what is new or changed there")
     parser.add_argument("--locks", default=os.environ.get("SIGNALROOT_LOCK_DIR", ".locks"))
     options = parser.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
+    say = Reports(options.reports)
     wanted = catalog.only(catalog.sources(spark), options.source)
     if options.action == "trace":
         delivery.connect(spark, options.out)
@@ -44,7 +47,9 @@ def main(argv: list[str] | None = None) -> int:
     entries = wanted.collect()  # a dozen rows
     if options.action == "scan":
         for e in entries:
-            _print(reports.header_summary(headers.scan(spark, e["directory"], e["source_id"])).withColumn("source_id", F.lit(e["source_id"])))
+            found = Scratch(spark).table(headers.scan(spark, e["directory"], e["source_id"]), "headers")
+            say(reports.header_summary(found).withColumn("source_id", F.lit(e["source_id"])), "record_scan", e)
+            say(reports.unit_spellings(found).withColumn("source_id", F.lit(e["source_id"])), "unit_spellings", e)
         return 0
     if options.action in ("derive", "label"):
         have = {name: delivery.read(spark, options.out, name) for name in delivery.present(spark, options.out)}
@@ -55,7 +60,7 @@ def main(argv: list[str] | None = None) -> int:
         with Lock("heavy", options.locks, options.action):
             if options.action == "label":
                 delivery.write(build.label_pass(spark, have, options.mappings), options.out)
-                _print_labels(spark, options)
+                _print_labels(spark, options, say)
             else:
                 _derive(spark, have, options.out)
         return 0
@@ -63,16 +68,16 @@ def main(argv: list[str] | None = None) -> int:
         if "quality" not in delivery.present(spark, options.out) or not entries:
             return 2
         with Lock("heavy", options.locks, options.action):
-            held = [_copies(spark, e, options) for e in entries]
+            held = [_copies(spark, e, options, say) for e in entries]
         return 0 if any(held) else 1
     if not entries or not all(os.path.exists(e["manifest"]) for e in entries):
         return 2
     with Lock("heavy", options.locks, options.action):
         if options.action == "build":
-            made, screens, unread = build.build(spark, options.source)
+            made, screens, unread = build.build(spark, options.source, cache=options.cache)
             delivery.write(made, options.out)
-            _print_build(spark, options.out, screens)
-            _print(unread.groupBy("error").agg(F.count(F.lit(1)).alias("n_unread"), F.min("record_id").alias("first_unread")).orderBy("error"))
+            _print_build(spark, options.out, screens, say)
+            say(unread.groupBy("error").agg(F.count(F.lit(1)).alias("n_unread"), F.min("record_id").alias("first_unread")).orderBy("error"), "unread")
             return 0
         if options.action == "screen":
             if "quality" not in delivery.present(spark, options.out):
@@ -82,12 +87,13 @@ def main(argv: list[str] | None = None) -> int:
             delivery.write({"duplicate_link": shaped(links, "duplicate_link")}, options.out)
             have = {name: delivery.read(spark, options.out, name) for name in delivery.present(spark, options.out)}
             _derive(spark, have, options.out)
-            _print_build(spark, options.out, screens)
+            _print_build(spark, options.out, screens, say)
             return 0
         holds = True
         for e in entries:
             result = manifest.report(manifest.verify(build.declared_of(spark, e), manifest.file_digests(spark, e["directory"])))
-            _print(result.withColumn("source_id", F.lit(e["source_id"])))
+            result = Scratch(spark).table(result, "report")  # files are hashed once
+            say(result.withColumn("source_id", F.lit(e["source_id"])), "manifest_report", e)
             holds &= bool(result.first()["holds"])
         return 0 if holds else 1
 
@@ -101,8 +107,8 @@ def _derive(spark: SparkSession, have: dict, out: str) -> None:
     delivery.write(made, out)
 
 
-def _copies(spark: SparkSession, entry, options) -> bool:
-    """Prints what a sample of the groups of one source shows; False if nothing repeats there."""
+def _copies(spark: SparkSession, entry, options, say) -> bool:
+    """Reports what a sample of the groups of one source shows; False if nothing repeats there."""
     quality = delivery.read(spark, options.out, "quality").filter(F.startswith("record_id", F.lit(f"{entry['source_id']}:")))
     groups = copies.repeated(quality.select("record_id", F.col("signal_digest").alias("digest")))
     n = groups.count()
@@ -111,33 +117,47 @@ def _copies(spark: SparkSession, entry, options) -> bool:
         return False
     pairs = copies.chosen(groups, options.sample, options.seed)
     compared = Scratch(spark).table(copies.opened(spark, pairs, entry["directory"], entry["source_id"]), "compared")
-    _print(copies.summary(compared).withColumns({"source_id": F.lit(entry["source_id"]), "n_groups": F.lit(n), "seed": F.lit(options.seed)}))
-    _print(compared)
+    say(copies.summary(compared).withColumns({"source_id": F.lit(entry["source_id"]), "n_groups": F.lit(n), "seed": F.lit(options.seed)}), "copies", entry)
+    say(compared, "copies_compared", entry)
     return True
 
 
-def _print_build(spark: SparkSession, out: str, screens: list[build.Screened]) -> None:
+def _print_build(spark: SparkSession, out: str, screens: list[build.Screened], say) -> None:
     tables = {name: delivery.read(spark, out, name) for name in delivery.present(spark, out)}
-    _print(reports.database_report(tables))
-    _print(reports.database_figures(tables))
-    _print(reports.traced_example(delivery.traced(tables["record"], tables["source_file"])))
+    quality = tables["quality"].join(tables["record"].select("record_id", "source_id"), "record_id")
+    say(reports.quality_summary(quality, ["source_id"]).orderBy("source_id"), "quality_scan")
+    say(reports.within_summary(quality.select("source_id", F.col("signal_digest").alias("digest")), ["source_id"]).orderBy("source_id"), "within_scan")
+    say(reports.database_report(tables), "database_tables")
+    say(reports.database_figures(tables), "database_report")
+    say(reports.traced_example(delivery.traced(tables["record"], tables["source_file"])), "traced_example")
     for s in screens:
         ids = [side.judged.select("record_id", "source_id") for side in (s.left, s.right)]
-        _print(reports.screen_report(*ids, s.links, s.note).withColumns({"corpus": F.lit(s.corpus), "left": F.lit(s.left.source_id), "right": F.lit(s.right.source_id)}))
+        found = reports.screen_report(*ids, s.links, s.note)
+        say(found.withColumns({"corpus": F.lit(s.corpus), "left": F.lit(s.left.source_id), "right": F.lit(s.right.source_id)}), f"duplicate_scan/corpus={s.corpus}")
 
 
-def _print_labels(spark: SparkSession, options) -> None:
+def _print_labels(spark: SparkSession, options, say) -> None:
     t = {name: delivery.read(spark, options.out, name) for name in delivery.present(spark, options.out)}
-    _print(reports.label_report(t["label"], t["label_propagated"], t["label_map"], t["patient"]))
+    say(reports.label_report(t["label"], t["label_propagated"], t["label_map"], t["patient"]), "label_report")
     published = mappings.published_counts(spark, os.path.join(options.mappings, mappings.SCORED))
     compared = labels.compare_with_published(published, labels.counts_per_source(t["label"], t["record"]))
-    _print(labels.agreement(compared))
-    _print(labels.disagreements(compared))
+    say(labels.agreement(compared), "published_cells")
+    say(labels.disagreements(compared), "published_disagreements")
 
 
-def _print(report) -> None:
-    for row in report.collect():  # a report's few rows
-        print(json.dumps(row.asDict(recursive=True)))
+class Reports:
+    """Prints small reports, and writes them below a folder if there is one."""
+
+    def __init__(self, directory: str | None):
+        self.directory = directory
+
+    def __call__(self, report, name: str, entry=None) -> None:
+        report = Scratch(report.sparkSession).table(report, "report")  # computed once, for both
+        for row in report.collect():  # a report's few rows
+            print(json.dumps(row.asDict(recursive=True)))
+        if self.directory:
+            part = f"/source={entry['source_id'].replace('/', '_')}" if entry else ""
+            delivery.write_report(report, self.directory, name + part)
 
 
 if __name__ == "__main__":

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 from functools import cache
 from itertools import groupby
@@ -16,6 +17,8 @@ from ..schemas import empty, shaped
 from ..scratch import Scratch
 from ..sources import catalog, headers, manifest, mappings, signals
 
+log = logging.getLogger(__name__)
+
 
 class Swept(NamedTuple):
     """What the links of a distribution come from: judged records, and the declared digest of a signal file each.
@@ -42,22 +45,63 @@ class Screened(NamedTuple):
     note: str | None
 
 
-def sweep(spark: SparkSession, entry, declared: DataFrame) -> tuple[dict[str, DataFrame], Swept]:
+def states(spark: SparkSession, parsed: DataFrame, directory: str) -> DataFrame:
+    """(record_id, state): a digest of path, length and modification time of a record's header and signal files.
+
+    Spark lists the files, nothing is opened. A change that keeps length and time
+    isn't seen.
+    """
+    read = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(directory)
+    listed = read.select(F.substring_index("path", directory.rstrip("/") + "/", -1).alias("path"), "length", F.unix_micros("modificationTime").alias("time"))
+    folder = F.regexp_extract("header_path", r"^(.*/)[^/]*$", 1)
+    mine = F.array_append(F.transform("signal_paths", lambda name: F.concat(folder, name)), F.col("header_path"))
+    found = parsed.select("record_id", F.explode(mine).alias("path")).join(listed, "path", "left")
+    return found.groupBy("record_id").agg(F.sha2(F.to_json(F.array_sort(F.collect_list(F.struct("path", "length", "time")))), 256).alias("state"))
+
+
+#: The judged records of earlier builds, by source.
+CACHED = f"{signals.JUDGED}, state string, source_id string"
+
+
+def judged(spark: SparkSession, parsed: DataFrame, entry, cache: str | None) -> DataFrame:
+    """`signals.judged` of all headers; with a cache folder only of records that are new or changed there.
+
+    The source's rows in the cache are replaced by those of now, so records that
+    are gone leave it. Records that can't be read aren't kept and are tried again.
+    """
+    scratch = Scratch(spark)
+    if not cache:
+        return scratch.table(signals.judged(spark, parsed, entry["directory"]), "judged")
+    spark.createDataFrame([], CACHED).write.mode("append").partitionBy("source_id").parquet(cache)  # the folder is there from now on
+    held = spark.read.schema(CACHED).parquet(cache).filter(F.col("source_id") == entry["source_id"]).drop("source_id")
+    now = scratch.table(states(spark, parsed, entry["directory"]), "states")
+    known = scratch.table(now.join(held, ["record_id", "state"]), "known")
+    rest = scratch.table(parsed.join(known.select("record_id"), "record_id", "left_anti"), "rest")
+    fresh = scratch.table(signals.judged(spark, rest, entry["directory"]).join(now, "record_id"), "fresh")
+    log.info("%s: %d records decoded, %d as before", entry["source_id"], fresh.count(), known.count())
+    every = known.unionByName(fresh)
+    kept = every.filter("error IS NULL").withColumn("source_id", F.lit(entry["source_id"]))
+    kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source_id").parquet(cache)
+    return every.drop("state")
+
+
+def sweep(spark: SparkSession, entry, declared: DataFrame, cache: str | None = None) -> tuple[dict[str, DataFrame], Swept]:
     """Tables of one distribution (a catalogue row), and what the screens need of it.
 
     Headers are parsed and signals decoded once: both go to the shared folder
-    before the tables are derived. A record that can't be read has all rows but
-    the one of quality.
+    before the tables are derived; with a cache folder, signals are decoded only
+    of records that changed. A record that can't be read has all rows but the one
+    of quality.
     """
     scratch = Scratch(spark)
     parsed = scratch.table(headers.scan(spark, entry["directory"], entry["source_id"]), "headers")
-    every = scratch.table(signals.judged(spark, parsed, entry["directory"]), "judged")
-    judged, unread = every.filter("error IS NULL").drop("error"), every.filter("error IS NOT NULL").select("record_id", "error")
+    every = judged(spark, parsed, entry, cache)
+    good, unread = every.filter("error IS NULL").drop("error"), every.filter("error IS NOT NULL").select("record_id", "error")
     made = {
         "source_file": tables.source_files(parsed, declared.withColumn("source_id", F.lit(entry["source_id"]))),
-        "record": tables.records(parsed), "lead": tables.leads(parsed), "label": tables.labels(parsed), "quality": tables.quality(judged),
+        "record": tables.records(parsed), "lead": tables.leads(parsed), "label": tables.labels(parsed), "quality": tables.quality(good),
     }
-    return made, Swept(entry["source_id"], entry["corpus"], judged.withColumn("source_id", F.lit(entry["source_id"])), first_declared(parsed, declared), unread, lambda: judged.select("record_id", "wave"))
+    return made, Swept(entry["source_id"], entry["corpus"], good.withColumn("source_id", F.lit(entry["source_id"])), first_declared(parsed, declared), unread, lambda: good.select("record_id", "wave"))
 
 
 def reswept(spark: SparkSession, entry, declared: DataFrame, quality: DataFrame) -> Swept:
@@ -146,13 +190,16 @@ def declared_of(spark: SparkSession, entry) -> DataFrame:
     return manifest.parse_lines(manifest.read_lines(spark, entry["manifest"]), entry["manifest_prefix"])
 
 
-def build(spark: SparkSession, source_ids: list[str] | None = None, catalogue: DataFrame | None = None) -> tuple[dict[str, DataFrame], list[Screened], DataFrame]:
-    """The tables that need no code table, of the chosen distributions; the screens of paired corpora; what couldn't be read (record_id, error)."""
+def build(spark: SparkSession, source_ids: list[str] | None = None, catalogue: DataFrame | None = None, cache: str | None = None) -> tuple[dict[str, DataFrame], list[Screened], DataFrame]:
+    """The tables that need no code table, of the chosen distributions; the screens of paired corpora; what couldn't be read (record_id, error).
+
+    `cache` is a folder of judged records that builds share.
+    """
     catalogue = catalog.only(catalog.sources(spark) if catalogue is None else catalogue, source_ids)
     made: dict[str, DataFrame] = {"source": catalog.source_table(catalogue)}
     swept = []
     for entry in catalogue.collect():  # the catalogue has a dozen rows
-        one, seen = sweep(spark, entry, declared_of(spark, entry))
+        one, seen = sweep(spark, entry, declared_of(spark, entry), cache)
         swept.append(seen)
         for name, df in one.items():
             made[name] = made[name].unionByName(df) if name in made else df

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,7 +47,6 @@ def trace(spark: SparkSession, record_id: str) -> dict | None:
     return row.asDict() if row else None
 
 
-def write_report(df: DataFrame, path: str) -> None:
-    """A small report, one JSON object per row, to a file on the driver."""
-    with open(path, "w") as f:
-        json.dump([r.asDict(recursive=True) for r in df.toLocalIterator()], f, indent=2)
+def write_report(df: DataFrame, directory: str, name: str) -> None:
+    """A small report as JSON lines below a folder, in place of the one that was there."""
+    df.coalesce(1).write.mode("overwrite").option("ignoreNullFields", False).json(f"{directory}/{name}")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 
 import numpy as np
@@ -258,8 +259,12 @@ def test_command_line(spark, tmp_path, monkeypatch, capsys):
     sums = "".join(f"{hashlib.sha256(p.read_bytes()).hexdigest()} {p.relative_to(root)}\n" for p in files)
     (root / "SHA256SUMS.txt").write_text(sums)
     args = ["--source", "physionet/ludb", "--locks", str(tmp_path), "--out", f"{tmp_path}/out"]
-    assert cli.main(["verify", *args]) == 0
-    assert cli.main(["build", *args]) == 0 and cli.main(["derive", *args]) == 0 and cli.main(["screen", *args]) == 0
+    assert cli.main(["verify", *args]) == 0 and cli.main(["scan", *args]) == 0
+    assert cli.main(["build", *args, "--reports", f"{tmp_path}/said"]) == 0
+    quality = json.loads(next((tmp_path / "said" / "quality_scan").glob("part-*.json")).read_text())
+    assert quality["source_id"] == "physionet/ludb" and quality["n_records"] == 1 and quality["window_samples"] == [5000]
+    assert {p.name for p in (tmp_path / "said").iterdir()} == {"quality_scan", "within_scan", "database_tables", "database_report", "traced_example", "unread"}
+    assert cli.main(["derive", *args]) == 0 and cli.main(["screen", *args]) == 0
     assert cli.main(["copies", *args]) == 1 and cli.main(["label", *args, "--mappings", f"{tmp_path}/none"]) == 2
     assert cli.main(["trace", *args, "--record", "physionet/ludb:1"]) == 0 and cli.main(["trace", *args, "--record", "x"]) == 1
     assert '"relative_path": "data/1.dat"' in capsys.readouterr().out
@@ -369,3 +374,37 @@ def test_label_pass(spark, tmp_path):
     got = {(r.section, r.key): r.n for r in reports.label_report(tables["label"], made["label_propagated"], made["label_map"], made["patient"]).collect()}
     assert got["map rows", "all"] == 3 and got["map rows by file", mappings.SCORED] == 1 and got["patients", "all"] == 2 and got["patients by source", mappings.WITH_CSV] == 1
     assert got["propagated by source", "b"] == got["records given a label", "all"] == got["label rows", "all"] == 1
+
+
+def test_builds_that_share_a_cache_decode_only_what_changed(spark, tmp_path, caplog):
+    import logging
+    import time
+
+    caplog.set_level(logging.INFO, "signalroot.plans.build")
+    rng = np.random.default_rng(4)
+    for name in ("r1", "r2", "r3"):
+        _record(tmp_path / "d", name, rng.integers(-900, 900, (5200, 12)))
+    (tmp_path / "d" / "bad.hea").write_text("bad 1 500 100\nbad.dat 16 100 16 0 0 0 0 I\n")
+    (tmp_path / "SUMS").write_text("")
+    entry = ("x/a", "a", "x", "1", "p", None, "a", str(tmp_path), "d", "SUMS", "")
+    catalogue = spark.createDataFrame([entry], catalog.COLUMNS).withColumns({"directory": F.concat("root", F.lit("/d")), "manifest": F.concat("root", F.lit("/SUMS")), "url": F.lit("")})
+
+    def built():
+        caplog.clear()
+        made, _, unread = build.build(spark, catalogue=catalogue, cache=f"{tmp_path}/cache")
+        found = {r.record_id: tuple(r) for r in made["quality"].collect()}
+        return found, {r.record_id for r in unread.collect()}, caplog.text.split("x/a: ")[1].strip()
+
+    first = built()
+    assert first[0].keys() == {"x/a:r1", "x/a:r2", "x/a:r3"} and first[1] == {"x/a:bad"} and first[2] == "4 records decoded, 0 as before"
+    assert built() == (first[0], first[1], "1 records decoded, 3 as before")  # the one that can't be read is tried again
+    time.sleep(0.01)
+    (tmp_path / "d" / "r2.dat").write_bytes(rng.integers(-900, 900, (5200, 12)).astype("<i2").tobytes())
+    (tmp_path / "d" / "bad.hea").unlink()
+    (tmp_path / "d" / "r3.hea").unlink()
+    _record(tmp_path / "d", "r4", rng.integers(-900, 900, (5200, 12)))
+    second = built()
+    assert second[2] == "2 records decoded, 1 as before" and second[0].keys() == {"x/a:r1", "x/a:r2", "x/a:r4"} and second[1] == set()
+    assert second[0]["x/a:r1"] == first[0]["x/a:r1"] and second[0]["x/a:r2"] != first[0]["x/a:r2"]
+    plain = build.build(spark, catalogue=catalogue)[0]["quality"].collect()
+    assert {r.record_id: tuple(r) for r in plain} == second[0]
