@@ -21,7 +21,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -187,10 +187,20 @@ def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, pool_text: np.nd
     return Model(*fits, *platts, _logit((y.sum() + 1) / (len(y) + 2)))
 
 
+def _views(docs: DataFrame, text_col: str) -> list[Column]:
+    """Text, source, language and declared length, as training and scoring read them.
+
+    Columns are found as Spark finds them, whatever their case; what isn't there,
+    or isn't a number where one is due, is null.
+    """
+    names = {c.lower(): c for c in docs.columns}
+    own = lambda c, kind: (docs[names[c]] if c in names else F.lit(None)).try_cast(kind)
+    return [docs[text_col].cast("string").cast("binary"), own("source", "string"), own("lang", "string"), own("n_chars", "long")]
+
+
 def _rows(docs: DataFrame, id_col: str, text_col: str, *more) -> DataFrame:
-    meta = [F.col(c).cast("string").alias(c) if c in docs.columns else F.lit(None).cast("string").alias(c) for c in ("source", "lang")]
-    size = F.col("n_chars").cast("long") if "n_chars" in docs.columns else F.lit(None).cast("long")
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"), *meta, size.alias("n_chars"), *more)
+    views = [c.alias(name) for c, name in zip(_views(docs, text_col), ("text", "source", "lang", "n_chars"))]
+    return docs.select(docs[id_col].alias("id"), *views, *more)
 
 
 def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,15 +282,23 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 
 
 def quality_filter(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", threshold: float = 0.5) -> DataFrame:
-    """The rows of `docs` that `quality_scores` keeps, with all their columns."""
+    """The rows of `docs` that `quality_scores` keeps, with all their columns.
+
+    Nulls, empty and long texts, repeated rows, labels and empty tables as there:
+    such rows are scored and kept or not like any other. Columns of any name and
+    type pass through, those named like the columns of a view too.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, id_col, text_col, label_col))
-    at = {c.lower(): i for i, c in enumerate(docs.columns)}
-    text, meta = at[text_col.lower()], [at.get(c) for c in ("source", "lang", "n_chars")]
+    n = len(docs.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
         for b in batches:
-            cols = [b.column(text).cast(pa.binary()).to_pylist()] + [[None] * b.num_rows if i is None else b.column(i).to_pylist() for i in meta]
-            yield b.filter(pa.array([scorer(*r)[2] >= threshold for r in zip(*cols)], pa.bool_()))
-
-    return docs.mapInArrow(common.tidy(run), docs.schema)
+            kept = [scorer(*r)[2] >= threshold for r in zip(*(b.column(i).to_pylist() for i in range(n, n + 4)))]
+            yield pa.RecordBatch.from_arrays(b.columns[:n], schema=pa.schema([b.schema.field(i) for i in range(n)])).filter(pa.array(kept, pa.bool_()))
+
+    mark = "view"
+    while any(c.lower().startswith(mark) for c in docs.columns):
+        mark += "_"
+    views = [c.alias(f"{mark}{k}") for k, c in enumerate(_views(docs, text_col))]
+    return docs.select(*(docs[c] for c in docs.columns), *views).mapInArrow(common.tidy(run), docs.schema)

@@ -396,6 +396,22 @@ def test_quality(spark):
     assert quality.quality_scores(docs.limit(0), train).count() == 0
 
 
+def test_quality_on_awkward_tables(spark):
+    """Metadata of other types, cases and names, nulls, a long text, repeated rows: one score each, the same in both forms."""
+    docs, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    odd = spark.createDataFrame([(-1, None, None, None, "x"), (-2, "", "en", "s", None), (-3, "long word. " * 100_000, None, "s", "12"), (-4, "same.", "en", "s", "3"), (-4, "same.", "en", "s", "3"), (None, "no id", "en", None, "3.5")], "doc_id long, text string, lang string, source string, n_chars string")
+    mixed = docs.withColumn("n_chars", F.col("n_chars").cast("string")).select("doc_id", "text", "lang", "source", "n_chars").unionByName(odd)
+    mixed = mixed.select("doc_id", "text", F.col("lang").alias("Lang"), F.col("source").alias("SOURCE"), F.col("n_chars").alias("N_chars"), F.lit(1).alias("view_0"), F.lit("y").alias("id"))
+    scores = quality.quality_scores(mixed, labels).collect()
+    kept = quality.quality_filter(mixed, labels)
+    assert kept.columns == mixed.columns and len(scores) == docs.count() + 6
+    key = lambda rows: sorted(str(r.doc_id) for r in rows)
+    assert key(kept.collect()) == key([r for r in scores if r.kept])
+    plain = {r.doc_id: round(r.score, 9) for r in quality.quality_scores(docs.unionByName(odd.withColumn("n_chars", F.col("n_chars").try_cast("long"))), labels).collect()}
+    assert {r.doc_id: round(r.score, 9) for r in scores} == plain
+    assert quality.quality_filter(mixed.limit(0), labels).count() == 0
+
+
 def test_quality_views_lend_labels():
     rng = np.random.default_rng(0)
     y = (rng.random(400) < 0.7).astype(float)
