@@ -555,6 +555,52 @@ def test_decontamination(spark):
     assert kept.count() == sum(not r.contaminated for r in got) and kept.columns == documents(spark, []).columns
 
 
+def test_decontamination_samples_rows_not_texts(spark):
+    """Of 200,000 equal rows no more than the bound are drawn."""
+    rows = spark.range(200_000).select(F.lit("the same text in every row").alias("text"))
+    n = rows.filter(decontaminate._chosen(20_000, 200_000)).count()
+    assert 18_000 < n <= 20_000
+    assert rows.limit(10).filter(decontaminate._chosen(20_000, 10)).count() == 10
+
+
+def test_decontamination_in_several_blocks(spark, monkeypatch):
+    """Items in blocks of three: the same findings, with one Python stage in the plan."""
+    docs, benchmark = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet")
+    facts = lambda df: sorted((r.doc_id, sorted(r.item_ids), round(r.share, 9)) for r in df.collect())
+    whole, kept = facts(decontaminate.leaks(docs, benchmark)), decontaminate.decontaminate(docs, benchmark).count()
+    monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", 15)
+    found = decontaminate.leaks(docs, benchmark)
+    assert facts(found) == whole and any(items for _, items, _ in whole)
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert decontaminate.decontaminate(docs, benchmark).count() == kept
+
+
+def test_decontamination_equals_judging_every_window(spark):
+    """Every window of every document judged against every item, without cosines or word counts; long and repeated rows too."""
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").limit(60).collect()]
+    source = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").limit(12).collect()]
+    filler = rows[1][1].split()
+    for k, (_, text) in enumerate(source):
+        w = text.split()
+        w[:: 5 + k] = ["other"] * len(w[:: 5 + k])
+        rows.append((1000 + k, " ".join([*filler[: 40 * k], *w, *filler[:200]])))
+    rows += [rows[-1], (3000, " ".join(filler * 30 + source[0][1].split() + filler * 30))]
+    want = {}
+    for doc, text in rows:
+        terms = decontaminate.terms_of(text or "")
+        for item, words in source:
+            one = decontaminate.Item(item, decontaminate.terms_of(words), decontaminate.terms_of(decontaminate.answer_of(words)))
+            size = next(n for n in decontaminate.LENGTHS if len(one.terms) <= n)
+            starts = sorted({*range(0, max(len(terms) - size, 0) + 1, size // 4), max(len(terms) - size, 0)}) if len(terms) else []
+            cache: dict = {}
+            for a in starts:
+                passage = terms[max(a - size // 4, 0) : a + size + size // 4].tolist()
+                if decontaminate.judge(one, passage, cache)[1]:
+                    want.setdefault(doc, set()).add(item)
+    got = {r.doc_id: set(r.item_ids) for r in decontaminate.leaks(documents(spark, rows), spark.createDataFrame(source, "item_id long, text string")).collect() if r.item_ids}
+    assert got == want and len(want) >= 12 and 3000 in want
+
+
 def test_decontamination_recall_of_paraphrases(spark):
     """Passages with 10 to 40 % of their words replaced and the answer kept, of short items and of long ones."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("length(text) > 6000").orderBy("doc_id").limit(40)
