@@ -5,40 +5,51 @@ words; a linear softmax over that mean gives the language. Both are trained by
 stochastic gradient descent in numpy on the driver, over a bounded sample of
 labelled rows; a temperature and a rejection threshold are calibrated on a part
 of the sample that training doesn't see. As the model is linear after the mean,
-executors hold one table of n-gram logits (buckets x languages) and add up.
+executors hold one table of n-gram logits, or of the embeddings themselves where
+languages outnumber their dimensions, and add up.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import common
 
 BUCKETS, DIM, SIZES = 1 << 16, 16, (2, 3, 4)
-#: Labelled rows that training reads per language at most, chosen by a hash.
-TRAIN_PER_LANG = 500
-#: Languages learned at most, the most frequent first: bounds the model's size.
-MAX_LANGS = 400
+#: Labelled rows that training reads per language at most, chosen by a hash, and
+#: bytes of text: of all languages together, of one row. A language has ten rows
+#: at least, however many languages there are.
+TRAIN_PER_LANG, TRAIN_BYTES, ROW_BYTES, LEAST_ROWS = 500, 64 << 20, 1 << 20, 10
 EPOCHS, RATE, SEED = 6, 8.0, 7
 #: Share of accepted calibration rows that must be right.
 PRECISION = 0.99
 UND = "und"
 #: Letters, not the numerals and marks that `\w` also takes.
 _LETTER = regex.compile(r"\p{L}")
+_PLAIN = re.compile("[A-Za-z]")
+
+
+def has_letter(text: str) -> bool:
+    """Most texts have an ASCII letter near their start, which is quicker to find."""
+    return bool(_PLAIN.search(text) or _LETTER.search(text))
 
 
 @dataclass
 class Model:
+    """Up to DIM languages, an n-gram has their logits; beyond, its embedding, which `out` turns into them."""
+
     langs: list[str]
-    grams: np.ndarray  # float32[BUCKETS, languages]: logits of an n-gram
+    grams: np.ndarray  # float32[BUCKETS, languages] or float32[BUCKETS, DIM]
+    out: np.ndarray | None  # float32[DIM, languages]
     bias: np.ndarray
     temperature: float
     reject_below: float
@@ -59,7 +70,8 @@ def train(texts: list[str], labels: list[str]) -> Model | None:
         _, grams = common.byte_grams(words, SIZES, BUCKETS)
         ids, counts = np.unique(grams, return_counts=True)
         docs.append((ids, (counts / max(len(grams), 1)).astype(np.float32)))
-    y = np.array([langs.index(x) for x in labels])
+    place = {x: k for k, x in enumerate(langs)}
+    y = np.array([place[x] for x in labels])
     order = rng.permutation(len(docs))
     held, fit = order[: len(order) // 5], order[len(order) // 5 :]
     if len(fit) == 0:
@@ -79,8 +91,8 @@ def train(texts: list[str], labels: list[str]) -> Model | None:
             out -= rate * 0.05 * np.outer(mean, p)
             bias -= rate * 0.002 * p
             emb[ids] -= rate * np.minimum(w * 50, 1)[:, None] * 0.05 * back
-    grams = (emb @ out).astype(np.float32)
-    logits = np.array([docs[i][1] @ grams[docs[i][0]] + bias for i in held])
+    grams, last = ((emb @ out).astype(np.float32), None) if len(langs) <= DIM else (emb, out)
+    logits = np.array([docs[i][1] @ emb[docs[i][0]] @ out + bias for i in held])
     temps = np.geomspace(0.05, 20, 60)
     smooth = 1 / (len(held) + 1)  # as if one row were mislabelled: a perfect split doesn't prove certainty
     goal = np.full(logits.shape, smooth / len(langs))
@@ -92,7 +104,7 @@ def train(texts: list[str], labels: list[str]) -> Model | None:
     rank = np.argsort(-top)
     good = np.cumsum(right[rank]) / np.arange(1, len(rank) + 1) >= PRECISION
     below = float(top[rank][np.flatnonzero(good)[-1]]) if good.any() else 1.0
-    return Model(langs, grams, bias, t, min(below, 1.0))
+    return Model(langs, grams, last, bias, t, min(below, 1.0))
 
 
 def _log_softmax(z: np.ndarray) -> np.ndarray:
@@ -101,23 +113,28 @@ def _log_softmax(z: np.ndarray) -> np.ndarray:
 
 
 def fit(docs: DataFrame, text_col: str, lang_col: str, learn_from, key, per_lang: int = TRAIN_PER_LANG) -> Model | None:
-    """Trains on at most `per_lang` rows of each language among those that satisfy `learn_from`."""
+    """Trains on at most `per_lang` rows of each language among those that satisfy `learn_from`.
+
+    Every language that has a row with a letter, of ROW_BYTES at most, is learned. With very many of
+    them a language has fewer rows, so that the sample stays within TRAIN_BYTES or
+    LEAST_ROWS of each; the order of a hash decides, on whole rows of up to ROW_BYTES.
+    """
     pool = docs.filter(learn_from & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"), F.pmod(F.xxhash64(key), F.lit(1 << 30)).alias("spread")
     )
-    counts = pool.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
-    if not counts:
+    pool = pool.withColumn("size", F.octet_length("text")).filter((F.col("size") <= ROW_BYTES) & F.rlike("text", F.lit(r"\p{L}")))
+    counts = pool.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"))
+    total = counts.agg(F.count(F.lit(1))).first()[0]
+    if not total:
         return None
-    cut = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], int((1 << 30) * min(1.0, 1.2 * per_lang / r["count"])))])
-    rows = pool.filter(F.col("spread") < F.try_element_at(cut, F.col("lang"))).orderBy("spread").limit(int(1.3 * per_lang) * len(counts)).collect()
-    taken: dict[str, int] = {}
-    texts, labels = [], []
-    for r in sorted(rows, key=lambda r: (r["spread"], r["lang"], r["text"])):
-        if _LETTER.search(r["text"]) and taken.get(r["lang"], 0) < per_lang:
-            taken[r["lang"]] = taken.get(r["lang"], 0) + 1
-            texts.append(r["text"])
-            labels.append(r["lang"])
-    return train(texts, labels)
+    # rows of each language: of a share of the bytes, by their mean size, in the order of the hash
+    fair = F.ceil(F.lit(TRAIN_BYTES / total) * F.col("n") / F.greatest("bytes", F.lit(1)))
+    wanted = counts.select("lang", F.least(F.lit(per_lang).cast("long"), F.greatest(fair, F.lit(LEAST_ROWS).cast("long"))).alias("wanted"), "n")
+    cut = wanted.withColumn("below", ((1 << 30) * F.least(F.lit(1.0), (2 * F.col("wanted") + 20) / F.col("n"))).cast("long"))  # twice the rows that are due: fewer are never met in practice
+    near = pool.join(cut, "lang").filter(F.col("spread") < F.col("below"))
+    ranked = near.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("spread", "text"))).filter(F.col("nth") <= F.col("wanted"))
+    rows = sorted(ranked.select("spread", "lang", "text").collect(), key=lambda r: (r["spread"], r["lang"], r["text"]))
+    return train([r["text"] for r in rows], [r["lang"] for r in rows])
 
 
 class Predictor:
@@ -131,12 +148,13 @@ class Predictor:
         return common.sum_by(who, values, len(words)).astype(np.float32)
 
     def __call__(self, text: str | None) -> tuple[str, float]:
-        if not text or not _LETTER.search(text):
+        if not text or not has_letter(text):
             return UND, 0.0
         words = _words(text)
         at = self.table.index(words)
         total = self.table.values[at].sum(axis=0, dtype=np.float64)
-        z = (total[:-1] / max(total[-1], 1) + self.model.bias) / self.model.temperature
+        mean = total[:-1] / max(total[-1], 1)
+        z = ((mean if self.model.out is None else mean @ self.model.out) + self.model.bias) / self.model.temperature
         p = np.exp(_log_softmax(z))
         k = int(p.argmax())
         return self.model.langs[k], float(min(p[k], 1.0))

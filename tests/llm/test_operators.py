@@ -383,6 +383,31 @@ def test_language_id(spark):
     assert language_id.language_id(odd.limit(0)).count() == 0
 
 
+def test_language_id_learns_every_language(spark):
+    """450 languages of a dozen rows each, more than there are dimensions: all are learned, and told apart on rows held out."""
+    rng = random.Random(9)
+    rows = []
+    for k in range(450):
+        vocabulary = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyzàéîõüñß") for _ in range(rng.randrange(3, 8))) for _ in range(12)]
+        rows += [(12 * k + j, " ".join(rng.choice(vocabulary) for _ in range(40)), f"l{k:03}") for j in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language_id.language_id(docs, per_lang=8).join(docs, "doc_id").collect()
+    held = [r for r in got if r.held_out]
+    assert len({r.lang_pred for r in got}) >= 445 and sum(r.lang_pred == r.lang for r in held) >= 0.9 * len(held)
+
+
+def test_language_id_on_awkward_tables(spark):
+    """Long and repeated rows, columns named like those of the result, a sample bounded in bytes."""
+    rows = [(k, "the cat sat on the mat and the dog ran" if k % 2 else "le chat est sur la table et le chien court", "en" if k % 2 else "fr") for k in range(60)]
+    rows += [(100, "the cat and the dog " * 60_000, "en"), (101, "the cat sat", "en"), (101, "the cat sat", "en"), (None, "le chien est sur la table", None)]
+    docs = spark.createDataFrame([(*r, "x", 1, 2, "y") for r in rows], "doc_id long, text string, lang string, lang_pred string, held_out int, spread int, size string")
+    got = language_id.language_id(docs).collect()
+    assert sorted((r.doc_id or -1) for r in got) == sorted((r[0] or -1) for r in rows)
+    said = {r.doc_id: r.lang_pred for r in got}
+    assert said[100] == said[101] == "en" and said[None] == "fr" and sum(r.doc_id == 101 for r in got) == 2
+    assert all(said[k] == lang for k, _, lang in rows[:60])
+
+
 def test_quality(spark):
     docs, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     train, test = labels.filter("doc_id % 4 != 0"), labels.filter("doc_id % 4 = 0")
