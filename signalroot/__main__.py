@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from .lock import Lock
 from .operators import groups, labels
 from .plans import build, copies, reports
+from .plans.profile import Profile
 from .schemas import empty, shaped
 from .scratch import Scratch
 from .sources import catalog, delivery, headers, manifest, mappings
@@ -34,6 +35,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--mappings", default=os.environ.get(mappings.MAPPINGS_ENV, "mappings"), help="folder of the code tables")
     parser.add_argument("--reports", help="folder that reports are written to as JSON, beside being printed")
     parser.add_argument("--cache", help="folder of judged records; `build` decodes only what is new or changed there")
+    parser.add_argument("--profile", action="store_true", help="`build` and `screen` also report what each phase cost")
     parser.add_argument("--locks", default=os.environ.get("SIGNALROOT_LOCK_DIR", ".locks"))
     options = parser.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
@@ -72,10 +74,13 @@ def main(argv: list[str] | None = None) -> int:
         return 0 if any(held) else 1
     if not entries or not all(os.path.exists(e["manifest"]) for e in entries):
         return 2
+    profile = Profile(spark)
     with Lock("heavy", options.locks, options.action):
         if options.action == "build":
-            made, screens, unread = build.build(spark, options.source, cache=options.cache)
-            delivery.write(made, options.out)
+            made, screens, unread = build.build(spark, options.source, cache=options.cache, phase=profile.phase)
+            with profile.phase("write"):
+                delivery.write(made, options.out)
+            _profiled(profile, options, say)
             _print_build(spark, options.out, screens, say)
             say(unread.groupBy("error").agg(F.count(F.lit(1)).alias("n_unread"), F.min("record_id").alias("first_unread")).orderBy("error"), "unread")
             return 0
@@ -83,8 +88,10 @@ def main(argv: list[str] | None = None) -> int:
             if "quality" not in delivery.present(spark, options.out):
                 return 2
             quality = delivery.read(spark, options.out, "quality")
-            links, screens = build.linked([build.reswept(spark, e, build.declared_of(spark, e), quality) for e in entries])
-            delivery.write({"duplicate_link": shaped(links, "duplicate_link")}, options.out)
+            links, screens = build.linked([build.reswept(spark, e, build.declared_of(spark, e), quality) for e in entries], profile.phase)
+            with profile.phase("write"):
+                delivery.write({"duplicate_link": shaped(links, "duplicate_link")}, options.out)
+            _profiled(profile, options, say)
             have = {name: delivery.read(spark, options.out, name) for name in delivery.present(spark, options.out)}
             _derive(spark, have, options.out)
             _print_build(spark, options.out, screens, say)
@@ -98,6 +105,12 @@ def main(argv: list[str] | None = None) -> int:
         return 0 if holds else 1
 
 
+def _profiled(profile: Profile, options, say) -> None:
+    if options.profile:
+        say(profile.report(), "profile")
+        say(profile.top_stages(), "profile_stages")
+
+
 def _derive(spark: SparkSession, have: dict, out: str) -> None:
     """The groups, and what labels there are to propagate, from delivered tables and links."""
     links = have.get("duplicate_link", empty(spark, "duplicate_link"))

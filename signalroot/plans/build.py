@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable
+from contextlib import nullcontext
 from functools import cache
 from itertools import groupby
 from typing import NamedTuple
@@ -20,6 +21,11 @@ from ..sources import catalog, headers, manifest, mappings, signals
 log = logging.getLogger(__name__)
 
 
+def unprofiled(name: str):
+    """Stands for `Profile.phase` where nothing is measured."""
+    return nullcontext()
+
+
 class Swept(NamedTuple):
     """What the links of a distribution come from: judged records, and the declared digest of a signal file each.
 
@@ -122,28 +128,32 @@ def reswept(spark: SparkSession, entry, declared: DataFrame, quality: DataFrame)
     return Swept(entry["source_id"], entry["corpus"], known, first_declared(parsed, declared), unread, waves)
 
 
-def screen(left: DataFrame, right: DataFrame, files: DataFrame, threshold: float = duplicates.THRESHOLD, waves: tuple | None = None) -> tuple[DataFrame, str | None]:
+def screen(left: DataFrame, right: DataFrame, files: DataFrame, threshold: float = duplicates.THRESHOLD, waves: tuple | None = None, phase=unprofiled) -> tuple[DataFrame, str | None]:
     """Links across two packagings of a corpus: by file digest, fingerprint, then correlation.
 
     `left` and `right` are judged records (record_id, source_id, signal_digest);
     `files` is (record_id, source_id, digest) of declared signal files. `waves`
     gives (record_id, wave) of each side if called; without it the records have a
-    column of that name.
+    column of that name. `phase(name)` is entered for each sieve.
     """
     both = left.select("record_id", "source_id", "signal_digest").unionByName(right.select("record_id", "source_id", "signal_digest"))
     across = lambda df: df.filter(F.col("scope") == S.ACROSS)
-    by_file = across(duplicates.pairs_by_digest(files, S.BY_FILE))
-    by_signal = across(duplicates.pairs_by_digest(both.select("record_id", "source_id", F.col("signal_digest").alias("digest")), "signal"))
     scratch = Scratch(both.sparkSession)
-    found = scratch.table(duplicates.merge(by_file, by_signal), "found")
-    rest = [scratch.table(duplicates.unmatched(side, found), name) for side, name in ((left, "left"), (right, "right"))]
+    with phase("screen by file"):
+        by_file = scratch.table(across(duplicates.pairs_by_digest(files, S.BY_FILE)), "by_file")
+    with phase("screen by signal"):
+        by_signal = scratch.table(across(duplicates.pairs_by_digest(both.select("record_id", "source_id", F.col("signal_digest").alias("digest")), "signal")), "by_signal")
+        found = scratch.table(duplicates.merge(by_file, by_signal), "found")
+        rest = [scratch.table(duplicates.unmatched(side, found), name) for side, name in ((left, "left"), (right, "right"))]
     if all(side.isEmpty() for side in rest):
         return found, None
-    held = [side() for side in waves] if waves else [side.select("record_id", "wave") for side in (left, right)]
-    held = [side.filter("wave IS NOT NULL") for side in held]
-    own = [wave.join(ids, "record_id", "left_semi") for wave, ids in zip(held, rest)]
-    by_wave, note = duplicates.correlate_both(*held, *own, threshold=threshold)
-    return duplicates.merge(by_file, by_signal, *([by_wave] if by_wave is not None else [])), note
+    with phase("screen by correlation"):
+        held = [side() for side in waves] if waves else [side.select("record_id", "wave") for side in (left, right)]
+        held = [side.filter("wave IS NOT NULL") for side in held]
+        own = [wave.join(ids, "record_id", "left_semi") for wave, ids in zip(held, rest)]
+        by_wave, note = duplicates.correlate_both(*held, *own, threshold=threshold)
+        by_wave = [scratch.table(by_wave, "by_wave")] if by_wave is not None else []
+    return duplicates.merge(by_file, by_signal, *by_wave), note
 
 
 def first_declared(parsed: DataFrame, declared: DataFrame) -> DataFrame:
@@ -160,25 +170,25 @@ def within(digests: DataFrame) -> DataFrame:
     return duplicates.pairs_by_digest(own, S.BY_SIGNAL)
 
 
-def screens(swept: list[Swept]) -> list[Screened]:
+def screens(swept: list[Swept], phase=unprofiled) -> list[Screened]:
     """A screen of each corpus that has exactly two of these distributions, by corpus."""
     done = []
     for corpus, both in groupby(sorted(swept, key=lambda s: s.corpus), key=lambda s: s.corpus):  # the sort keeps the catalogue's order inside a corpus
         both = list(both)
         if len(both) == 2:
             left, right = both
-            links, note = screen(left.judged, right.judged, left.files.unionByName(right.files), waves=(left.waves, right.waves))
+            links, note = screen(left.judged, right.judged, left.files.unionByName(right.files), waves=(left.waves, right.waves), phase=phase)
             done.append(Screened(corpus, left, right, Scratch(links.sparkSession).table(links, "across"), note))
     return done
 
 
-def linked(swept: list[Swept]) -> tuple[DataFrame, list[Screened]]:
+def linked(swept: list[Swept], phase=unprofiled) -> tuple[DataFrame, list[Screened]]:
     """All links, inside distributions and across pairs of them, and the screens they came from."""
     seen = None
     for one in swept:
         digests = one.judged.select("record_id", "source_id", F.col("signal_digest").alias("digest"))
         seen = digests if seen is None else seen.unionByName(digests)
-    done = screens(swept)
+    done = screens(swept, phase)
     links = within(seen)
     for one in done:
         links = links.unionByName(one.links)
@@ -190,22 +200,24 @@ def declared_of(spark: SparkSession, entry) -> DataFrame:
     return manifest.parse_lines(manifest.read_lines(spark, entry["manifest"]), entry["manifest_prefix"])
 
 
-def build(spark: SparkSession, source_ids: list[str] | None = None, catalogue: DataFrame | None = None, cache: str | None = None) -> tuple[dict[str, DataFrame], list[Screened], DataFrame]:
+def build(spark: SparkSession, source_ids: list[str] | None = None, catalogue: DataFrame | None = None, cache: str | None = None, phase=unprofiled) -> tuple[dict[str, DataFrame], list[Screened], DataFrame]:
     """The tables that need no code table, of the chosen distributions; the screens of paired corpora; what couldn't be read (record_id, error).
 
-    `cache` is a folder of judged records that builds share.
+    `cache` is a folder of judged records that builds share; `phase(name)` is
+    entered for each part of the work.
     """
     catalogue = catalog.only(catalog.sources(spark) if catalogue is None else catalogue, source_ids)
     made: dict[str, DataFrame] = {"source": catalog.source_table(catalogue)}
     swept = []
     for entry in catalogue.collect():  # the catalogue has a dozen rows
-        one, seen = sweep(spark, entry, declared_of(spark, entry), cache)
+        with phase("sweep"):
+            one, seen = sweep(spark, entry, declared_of(spark, entry), cache)
         swept.append(seen)
         for name, df in one.items():
             made[name] = made[name].unionByName(df) if name in made else df
     if not swept:
         return made | {name: empty(spark, name) for name in ("duplicate_link", "signal_group")}, [], spark.createDataFrame([], "record_id string, error string")
-    links, done = linked(swept)
+    links, done = linked(swept, phase)
     made["duplicate_link"] = shaped(links, "duplicate_link")
     made["signal_group"] = groups.signal_groups(made["quality"].select("record_id", F.col("signal_digest").alias("digest")), links)
     unread = swept[0].unread

@@ -7,12 +7,26 @@ from pyspark.sql import functions as F
 
 from ..schemas import TABLES
 
+#: What rows of a table are looked up by.
+KEYS = {"source_file": "file_id", **dict.fromkeys(("record", "lead", "label", "label_propagated", "patient", "quality", "signal_group"), "record_id"), "duplicate_link": "record_a"}
+
+
 def write(tables: dict[str, DataFrame], directory: str) -> None:
-    """One Parquet folder per table; what was there is replaced."""
+    """One Parquet folder per table; what was there is replaced.
+
+    Tables with a key are dealt by ranges of it and sorted, with a bloom filter
+    beside each column chunk: a look-up opens the files and row groups whose range
+    and filter admit its key, which is one of each.
+    """
     for name, df in tables.items():
         if name not in TABLES:
             raise KeyError(f"{name!r} is not a delivered table")
-        df.write.mode("overwrite").parquet(f"{directory}/{name}")
+        key = KEYS.get(name)
+        if key:
+            df = df.repartitionByRange(key).sortWithinPartitions(key)  # Spark merges small ranges into one file
+        writer = df.write.mode("overwrite")
+        writer = writer.option(f"parquet.bloom.filter.enabled#{key}", True) if key else writer
+        writer.parquet(f"{directory}/{name}")
 
 
 def present(spark: SparkSession, directory: str) -> list[str]:

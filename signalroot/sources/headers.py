@@ -7,13 +7,19 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..schemas import HEADER
+from . import files, header_source
 
 
 def read_texts(spark: SparkSession, directory: str, source_id: str) -> DataFrame:
-    """(source_id, header_path, text) of every header file below a folder."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.hea").load(directory)
+    """(source_id, header_path, text) of every header file below a folder.
+
+    Through `header_source`, or Spark's own reader where Arrow doesn't know the file system.
+    """
+    if files.reachable(directory):
+        return header_source.load(spark, directory).select(F.lit(source_id).alias("source_id"), "header_path", "text")
+    read = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.hea").load(directory)
     root = directory.rstrip("/") + "/"
-    return files.select(F.lit(source_id).alias("source_id"), F.substring_index("path", root, -1).alias("header_path"), F.col("content").cast("string").alias("text"))
+    return read.select(F.lit(source_id).alias("source_id"), F.substring_index("path", root, -1).alias("header_path"), F.col("content").cast("string").alias("text"))
 
 
 def declared_units(text: Column | str, n: Column) -> Column:
