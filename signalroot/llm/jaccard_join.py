@@ -26,17 +26,17 @@ verified, so no pair is left undecided.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql import Window
 
-from ..operators.components import connected_components
+from ..operators.components import connected_components, extended
 from . import common
 
 SHINGLE, PERCENT = 5, 80
@@ -298,13 +298,28 @@ def _verify(percent: int):
     return run
 
 
+def _oriented(pairs: DataFrame) -> DataFrame:
+    """(hub, other) of pairs (a, b): the hub is the end with more pairs."""
+    ends = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).groupBy("id").count()
+    for end in ("a", "b"):
+        pairs = pairs.join(ends.select(F.col("id").alias(end), F.col("count").alias(f"n_{end}")), end)
+    a_first = F.col("n_a") >= F.col("n_b")
+    return pairs.select(F.when(a_first, F.col("a")).otherwise(F.col("b")).alias("hub"), F.when(a_first, F.col("b")).otherwise(F.col("a")).alias("other"))
+
+
 def verified(pairs: DataFrame, rows: DataFrame, percent: int, scratch: common.Scratch, name: str) -> DataFrame:
-    """The pairs (a, b), a written table, whose texts in `rows` (id, text) are similar enough."""
-    ids = scratch.table(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), f"{name}_ids")
-    texts = rows.join(common.sized(ids), "id", "left_semi")
-    both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("y")), "b")
-    links = scratch.table(both.select("a", "b", "x", "y").mapInArrow(common.tidy(_verify(percent)), "a long, b long").distinct(), name)
-    scratch.drop(f"{name}_ids")
+    """The pairs (a, b), a written table, whose texts in `rows` (id, text) are similar enough.
+
+    Pairs are narrow and go to the texts of their other ends; those texts then
+    move once, to their hubs, whose own texts move once too.
+    """
+    oriented = scratch.table(_oriented(pairs), f"{name}_oriented")
+    hubs = scratch.table(oriented.select(F.col("hub").alias("id")).distinct(), f"{name}_hubs")
+    others = rows.join(common.sized(oriented), F.col("id") == F.col("other")).select("hub", "other", F.col("text").alias("y"))
+    both = others.join(rows.join(common.sized(hubs), "id", "left_semi").select(F.col("id").alias("hub"), F.col("text").alias("x")), "hub")
+    found = both.select("hub", "other", "x", "y").mapInArrow(common.tidy(_verify(percent)), "a long, b long")
+    links = scratch.table(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), name)
+    scratch.drop(f"{name}_oriented", f"{name}_hubs")
     common.release(scratch.spark)
     return links
 
@@ -345,20 +360,19 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     tried = [first]
     for turn in range(CENTRE_ROUNDS):
         members = _open(edges, components, scratch, f"members{turn}")
-        again = scratch.table(_centres(members).join(_union(tried), ["a", "b"], "left_anti"), f"again{turn}")
+        again = scratch.table(_centres(members, scratch).join(_union(tried), ["a", "b"], "left_anti"), f"again{turn}")
         more = verified(again, rows, percent, scratch, f"more{turn}")
         tried.append(again)
         if more.isEmpty():
             break
-        links = scratch.table(links.unionByName(more), f"links_with{turn}")
-        components = scratch.table(connected_components(links), f"components_with{turn}")
+        components = scratch.table(extended(components, more), f"components_with{turn}")
     else:
         members = _open(edges, components, scratch, "members")
     pairs = scratch.table(_across(members, rows, percent, scratch), "across")
     second = scratch.table(pairs.join(_union(tried), ["a", "b"], "left_anti"), "second")
     more = verified(second, rows, percent, scratch, "links2")
     if not more.isEmpty():
-        components = scratch.table(connected_components(links.unionByName(more)), "components2")
+        components = scratch.table(extended(components, more), "components2")
     return sizes, components
 
 
@@ -381,21 +395,21 @@ def _open(edges: DataFrame, components: DataFrame, scratch: common.Scratch, name
     return scratch.table(both.distinct(), name)
 
 
-def _tops(members: DataFrame) -> DataFrame:
+def _tops(members: DataFrame, scratch: common.Scratch) -> DataFrame:
     """(sig, c, of_c): the most popular member of each list, and its component."""
     lengths = members.groupBy("sig").agg(F.count(F.lit(1)).alias("length"))
-    popular = members.join(lengths, "sig").groupBy("id").agg(F.sum("length").alias("rank"))
-    top = members.join(popular, "id").groupBy("sig").agg(F.max_by(F.struct(F.col("id").alias("c"), F.col("of").alias("of_c")), F.struct("rank", -F.col("id"))).alias("top"))
+    popular = scratch.table(members.join(lengths, "sig").groupBy("id").agg(F.sum("length").alias("rank")), f"popular{uuid.uuid4().hex}")
+    top = members.join(common.sized(popular), "id").groupBy("sig").agg(F.max_by(F.struct(F.col("id").alias("c"), F.col("of").alias("of_c")), F.struct("rank", -F.col("id"))).alias("top"))
     return top.select("sig", "top.*")
 
 
-def _centres(members: DataFrame) -> DataFrame:
+def _centres(members: DataFrame, scratch: common.Scratch) -> DataFrame:
     """Pairs (a, b) of a member and, of the most popular members of its lists, the one it meets most often.
 
     A document is as popular as its lists are long: in a group of copies that
     were edited one by one, that is the text they were made from.
     """
-    centre = _tops(members)
+    centre = _tops(members, scratch)
     met = members.join(centre, "sig").filter("of != of_c").groupBy("id", "c").count()
     best = met.groupBy("id").agg(F.max_by("c", F.struct("count", -F.col("c"))).alias("c"))
     return best.select(F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b")).distinct()
@@ -409,7 +423,7 @@ def _pivots(members: DataFrame, scratch: common.Scratch) -> DataFrame:
     also get the pivot of the list's most popular member. That is at most one row
     per member of a list.
     """
-    met = scratch.table(members.join(_tops(members).select("sig", "c"), "sig"), "met")
+    met = scratch.table(members.join(_tops(members, scratch).select("sig", "c"), "sig"), "met")
     main = met.groupBy("id", "c").count().groupBy("id").agg(F.max_by("c", F.struct("count", -F.col("c"))).alias("pivot"))
     main = scratch.table(main, "main_pivots")
     for turn in range(PIVOT_STEPS):
@@ -494,18 +508,16 @@ def _across(members: DataFrame, rows: DataFrame, percent: int, scratch: common.S
     """
     much, less = 100 + percent, 100 - percent
     pivots = scratch.table(_pivots(members, scratch), "pivots")
-    ids = scratch.table(pivots.select("id").unionByName(pivots.select(F.col("pivot").alias("id"))).distinct(), "placed_ids")
-    texts = rows.join(common.sized(ids), "id", "left_semi")
-    chosen = texts.join(common.sized(scratch.table(pivots.select(F.col("pivot").alias("id")).distinct(), "pivot_ids")), "id", "left_semi")
+    chosen = rows.join(common.sized(scratch.table(pivots.select(F.col("pivot").alias("id")).distinct(), "pivot_ids")), "id", "left_semi")
     chosen = chosen.groupBy(F.col("id").alias("pivot")).agg(F.min("text").alias("y"))
     chosen = scratch.table(chosen, "chosen")
-    own = texts.select("id", F.col("text").alias("x"))
+    own = rows.select("id", F.col("text").alias("x"))  # narrow rows go to the texts, which move once, to their pivots
     crowds = scratch.table(pivots.groupBy("pivot").count().filter(F.col("count") > CROWD).select("pivot"), "crowds")
     nth = F.row_number().over(Window.partitionBy("pivot").orderBy(F.xxhash64("id")))
     some = pivots.join(common.sized(crowds), "pivot").select("id", "pivot").withColumn("nth", nth).filter(F.col("nth") <= CROWD_SAMPLE)
-    some = some.join(own, "id").join(chosen, "pivot").select("pivot", "x", "y")
+    some = own.join(common.sized(scratch.table(some.select("id", "pivot"), "some")), "id").join(chosen, "pivot").select("pivot", "x", "y")
     popular = scratch.table(some.groupBy("pivot").applyInArrow(_popular, "pivot long, popular array<bigint>"), "popular")
-    both = pivots.join(own, "id").join(chosen.join(popular, "pivot", "left"), "pivot").select("id", "of", "pivot", "x", "y", "popular")
+    both = own.join(common.sized(pivots), "id").join(chosen.join(popular, "pivot", "left"), "pivot").select("id", "of", "pivot", "x", "y", "popular")
     kinds = "id long, of long, pivot long, s long, s_pivot long, d long, first array<bigint>"
     placed = scratch.table(both.mapInArrow(common.tidy(_differences(percent)), kinds), "placed").withColumn("outer", F.expr(f"{much} * d > {less} * (s + s_pivot)"))
     direct = placed.filter(~F.col("outer") & (F.col("id") != F.col("pivot"))).select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b"))
@@ -516,9 +528,15 @@ def _across(members: DataFrame, rows: DataFrame, percent: int, scratch: common.S
     how_many = lambda other: F.greatest(F.lit(0), F.col("d") + 1 - F.greatest(F.lit(1), F.ceil((other + F.col("d") - F.col("t")) / 2))).cast("int")
 
     def end(x: str, other) -> DataFrame:
-        return near.select(F.explode(F.slice("first", 1, how_many(other))).alias("e"), *[F.col(c).alias(f"{c}_{x}") for c in ("pivot", "id", "of", "s", "d", "outer")]).withColumn("key", F.xxhash64(f"pivot_{x}", "e")).drop("e", f"pivot_{x}")
-
-    met = end("x", F.greatest("d_outer", "d")).join(end("y", F.greatest(F.col("d_least"), F.col("d") - F.col("t"))), "key")
+        """Rows by the key of a shingle of a pivot; sizes and difference travel in one number."""
+        sizes = (F.col("s") * (1 << 32) + F.col("d") * 2 + F.col("outer").cast("long")).alias(f"sizes_{x}")
+        dealt = near.select(F.explode(F.slice("first", 1, how_many(other))).alias("e"), "pivot", F.col("id").alias(f"id_{x}"), F.col("of").alias(f"of_{x}"), sizes)
+        return dealt.select(F.xxhash64("pivot", "e").alias("key"), f"id_{x}", f"of_{x}", f"sizes_{x}")
+
+    met = end("x", F.greatest("d_outer", "d")).join(end("y", F.greatest(F.col("d_least"), F.col("d") - F.col("t"))), "key").filter("of_x != of_y AND id_x != id_y")
+    for x in "xy":
+        sizes = F.col(f"sizes_{x}")
+        met = met.withColumns({f"s_{x}": F.shiftright(sizes, 32), f"d_{x}": F.shiftright(sizes.bitwiseAND((1 << 32) - 1), 1), f"outer_{x}": sizes.bitwiseAND(1) == 1})
     met = met.filter("of_x != of_y AND (d_x < d_y OR d_x = d_y AND id_x < id_y) AND (outer_x OR outer_y)")
     met = met.filter(f"100 * least(s_x, s_y) >= {percent} * greatest(s_x, s_y) AND {much} * (d_y - d_x) <= {less} * (s_x + s_y)")
     return direct.unionByName(met.select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b"))).distinct()
