@@ -38,6 +38,8 @@ SIDE, DIM, SEED = 2, 24, 3
 ROUNDS, BATCH, RATE = 2, 256, 0.3
 #: Slices in which weights are summed over tasks.
 SLICES = 16
+#: Words for a task that trains.
+TASK_WORDS = 2_000_000
 #: Distinct words that a task counts before it emits them.
 CHUNK_WORDS = 500_000
 BUCKET_BITS = 12
@@ -238,8 +240,8 @@ def targets(h: np.ndarray, words: np.ndarray, turn: int, rounds: int) -> np.ndar
     return np.flatnonzero(key % np.uint64(rounds) == turn)
 
 
-def _fit(shared, turn: int, rounds: int):
-    """Trains from the shared weights on a round's positions; (slice, positions and weights * positions)."""
+def _fit(shared, turn: int, rounds: int, groups: int = 1):
+    """Trains from the shared weights on a round's positions; (slice, group of tasks, positions and weights * positions)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, start = shared.value
@@ -260,20 +262,31 @@ def _fit(shared, turn: int, rounds: int):
         if seen:
             parts = np.array_split(net.weights * np.float32(seen), SLICES)
             data = [np.r_[np.float32(seen), x].astype("<f4").tobytes() for x in parts]
-            yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array(data, pa.binary())], names=["slice", "data"])
+            task = TaskContext.get()
+            mine = [task.partitionId() % groups if task else 0] * SLICES
+            yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array(mine, pa.int32()), pa.array(data, pa.binary())], names=["slice", "part", "data"])
 
     return run
 
 
-def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of each slice of the weights over all tasks."""
-    held: dict[int, np.ndarray] = {}
-    for b in batches:
-        for k, data in zip(b.column(0).to_pylist(), b.column(1)):
-            x = np.frombuffer(data.as_buffer(), "<f4").astype(np.float64)
-            held[k] = held[k] + x if k in held else x
-    if held:
-        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([x.astype("<f8").tobytes() for x in held.values()], pa.binary())], names=["slice", "data"])
+def _add_up(kind: str):
+    """Sums of each slice of the weights over the rows of a task, whose numbers are of `kind`."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for b in batches:
+            for k, data in zip(b.column(0).to_pylist(), b.column(b.num_columns - 1)):
+                x = np.frombuffer(data.as_buffer(), kind).astype(np.float64)
+                held[k] = held[k] + x if k in held else x
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([x.astype("<f8").tobytes() for x in held.values()], pa.binary())], names=["slice", "data"])
+
+    return run
+
+
+def _tasks(rows: DataFrame, words: int) -> int:
+    """Tasks that train: a task's weights take the same room however little it reads, so small partitions are read several to a task."""
+    return min(max(rows.rdd.getNumPartitions(), 1), max(2 * rows.sparkSession.sparkContext.defaultParallelism, words // TASK_WORDS + 1))
 
 
 def fit(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> tuple[Vocabulary, np.ndarray]:
@@ -300,9 +313,13 @@ def _learn(docs: DataFrame, text_col: str, rounds: int, scratch: common.Scratch)
     h = np.array([r["key"] for r in top], np.int64).view(np.uint64)
     vocabulary = Vocabulary.build(h, np.array([r["n"] for r in top], np.int64), total, distinct)
     weights = Network().weights
+    tasks = _tasks(rows, int(total.sum()) + sum(r["n"] for r in top))
+    groups = int(np.ceil(np.sqrt(tasks)))  # sums in two steps: nothing adds up more than about the root of the tasks
     for turn in range(rounds):
         shared = spark.sparkContext.broadcast((vocabulary, weights))
-        sums = rows.mapInArrow(_fit(shared, turn, rounds), "slice int, data binary").repartition(SLICES, "slice").mapInArrow(_add_up, "slice int, data binary")
+        fitted = rows.coalesce(tasks).mapInArrow(_fit(shared, turn, rounds, groups), "slice int, part int, data binary")
+        near = fitted.repartition(SLICES * groups, "slice", "part").mapInArrow(_add_up("<f4"), "slice int, data binary")
+        sums = near.repartition(SLICES, "slice").mapInArrow(_add_up("<f8"), "slice int, data binary")
         got = {r["slice"]: np.frombuffer(r["data"], "<f8") for r in sums.toLocalIterator()}  # SLICES rows of a fixed size
         if got:
             weights = np.concatenate([got[k][1:] / got[k][0] for k in range(SLICES)]).astype(np.float32)
