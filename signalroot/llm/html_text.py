@@ -30,7 +30,7 @@ BLOCK_TAGS = frozenset(
     "table tbody td tfoot th thead tr ul".split()
 )
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW_TAGS = frozenset("script style title textarea xmp iframe noembed noframes noscript template svg math object canvas audio video select button datalist head".split())
+RAW_TAGS = frozenset("script style title textarea xmp iframe noembed noframes noscript template svg object canvas audio video select button datalist head".split())
 BOILER_TAGS = frozenset("nav aside footer form menu dialog fieldset search".split())
 # Words in class, id and role attributes that name what is not main text.
 BOILER_WORDS = frozenset(
@@ -283,7 +283,12 @@ def main_text(page: str | None, root: trees.Node | None = None) -> str:
     lower = page.lower()
     if "<article" in lower and "<main" in lower:  # the narrower element counts
         found = _inside_article(page, found)
-    return "\n\n".join(b[0] for b, row in zip(found, features(found)) if trees.score(root, row) > 0)
+    rows = features(found)
+    kept = [b[0] for b, row in zip(found, rows) if trees.score(root, row) > 0]
+    if not kept:  # a page of a sentence or two: nothing speaks against them but their length
+        at = {name: k for k, name in enumerate(FEATURES)}
+        kept = [b[0] for b, row in zip(found, rows) if not row[at["shut"]] and not row[at["named"]] and row[at["links"]] < 0.5 and b[0].endswith((".", "!", "?", "…"))]
+    return "\n\n".join(kept)
 
 
 def _inside_article(page: str, found: list[Block]) -> list[Block]:

@@ -296,6 +296,17 @@ def test_html_text_by_blocks_and_neighbours(page, want):
     assert html_text.main_text(page).split("\n\n") == want
 
 
+def test_html_text_of_a_page_with_one_sentence():
+    page = "<html><body><nav><a href='/'>Home.</a></nav><div class='ad'>Buy now!</div><p>One sentence of main text only here.</p><footer>All rights.</footer></body></html>"
+    assert html_text.main_text(page) == "One sentence of main text only here."
+    assert html_text.main_text("<nav><a href='/'>Home.</a></nav><p><a href='/x'>More links here.</a></p>") == ""
+
+
+def test_html_text_keeps_formulas():
+    page = "<html><body><article><p>Let <math><mi>E</mi><mo>=</mo><mi>m</mi></math> be what the long and plain sentence of this paragraph is about, so that it is kept.</p></article></body></html>"
+    assert html_text.main_text(page).startswith("Let E=m be what")
+
+
 def test_html_text_of_deep_long_and_odd_pages(spark):
     import time
 
