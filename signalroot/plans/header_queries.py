@@ -6,8 +6,11 @@ signal line each, and everything after that is what a build does with headers.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,7 +18,7 @@ from pyspark.sql import types as T
 from ..functions import scalars as S
 from ..operators import groups, labels, tables
 from ..schemas import empty
-from ..sources import headers, mappings
+from ..sources import formats, headers, mappings
 from . import build, copies, queries, reports
 from .queries import _digests, _query, _t
 
@@ -139,6 +142,38 @@ def label_disagreements(spark, sf_dir):
     return labels.disagreements(queries.published_vs_counted(spark, sf_dir))
 
 
+#: Hundredths as integers, in storage of 16 or of 12 bits.
+_STEPS = "transform(embedding, x -> CAST(rint(CAST(x AS FLOAT) * CAST(100 AS FLOAT)) AS INT))"
+_BYTE = "lpad(hex({}), 2, '0')"
+_STORED = {
+    "16": f"transform({_STEPS}, v -> concat({_BYTE.format('v & 255')}, {_BYTE.format('shiftright(v, 8) & 255')}))",
+    "212": f"transform(sequence(1, size(embedding), 2), k -> transform(array(struct(element_at({_STEPS}, k) AS a, element_at({_STEPS}, k + 1) AS b)), p -> concat({_BYTE.format('p.a & 255')}, "
+    f"{_BYTE.format('(shiftright(p.a, 8) & 15) | shiftleft(shiftright(p.b, 8) & 15, 4)')}, {_BYTE.format('p.b & 255')}))[0])",
+}
+
+
+def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records of four leads, in physical units."""
+    for batch in batches:
+        rows = []
+        for vec, kind, data in zip(*(c.to_pylist() for c in batch.columns)):
+            leads = [{"format": kind, "gain": 100.0 * (k + 1), "baseline": k, "initial_value": 0} for k in range(4)]
+            n = formats.frames_in(len(data), leads)
+            for k, row in enumerate(formats.decode(data, leads, n, n).tolist()):
+                rows += [(vec, 4 * k + lead, value) for lead, value in enumerate(row)]
+        yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows) if rows else ([], [], []), (pa.int64(), pa.int64(), pa.float64()))], ["vec_id", "place", "value"])
+
+
+# Samples out of packed bytes, two storage formats
+@_query("""WITH v AS (SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS place FROM embeddings)
+    SELECT vec_id, place, (CAST(round_even(CAST(x * 100::FLOAT AS DOUBLE), 0) AS INT) - place % 4) / (100.0::DOUBLE * (place % 4 + 1)) AS value FROM v""")
+def signal_decode(spark, sf_dir):
+    e = _t(spark, sf_dir, "embeddings")
+    packed = F.when(F.col("vec_id") % 2 == 0, F.array_join(F.expr(_STORED["16"]), "")).otherwise(F.array_join(F.expr(_STORED["212"]), ""))
+    rows = e.select("vec_id", F.when(F.col("vec_id") % 2 == 0, "16").otherwise("212").alias("format"), F.unhex(packed).alias("data"))
+    return rows.mapInArrow(_decoded, "vec_id long, place long, value double")
+
+
 @F.pandas_udf(T.BinaryType())
 def _samples(waves: pd.Series) -> pd.Series:
     return waves.map(lambda w: np.asarray(w, np.float64).tobytes())

@@ -17,11 +17,13 @@ _made: dict[str, list[str]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; one of our own only if unset."""
+    """The folder named in spark.checkpoint.dir; one of our own only if unset, and only where driver and tasks share a machine."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         held = spark.sparkContext.getCheckpointDir()
         if held is None:
+            if not spark.sparkContext.master.startswith("local"):
+                raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
             spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="scratch-"))
             held = spark.sparkContext.getCheckpointDir()
         named = held

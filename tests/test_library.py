@@ -408,3 +408,13 @@ def test_builds_that_share_a_cache_decode_only_what_changed(spark, tmp_path, cap
     assert second[0]["x/a:r1"] == first[0]["x/a:r1"] and second[0]["x/a:r2"] != first[0]["x/a:r2"]
     plain = build.build(spark, catalogue=catalogue)[0]["quality"].collect()
     assert {r.record_id: tuple(r) for r in plain} == second[0]
+
+
+def test_a_cluster_has_to_name_its_shared_folder():
+    from types import SimpleNamespace
+
+    from signalroot import scratch
+
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    with pytest.raises(RuntimeError, match="checkpoint.dir"):
+        scratch.shared_dir(SimpleNamespace(conf={}, sparkContext=context))
