@@ -112,6 +112,17 @@ ORACLES: dict[str, str] = {
                   UNION SELECT r.a, e.b FROM reach r JOIN both_ways e ON e.a = r.b)
         SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, (SELECT min(b) FROM reach r WHERE r.a = d.doc_id) AS component_id
         FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id""",
+    "op6_substring_dedup": """
+        WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS k FROM d),
+        windows AS (SELECT doc_id, k, array_to_string(w[k:k + 12], ' ') AS s FROM starts),
+        firsts AS (SELECT s, min(doc_id) AS first_id FROM windows GROUP BY s),
+        gone AS (SELECT DISTINCT doc_id, k + i AS place FROM windows JOIN firsts USING (s), range(13) r(i) WHERE first_id < doc_id),
+        words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS place FROM d),
+        kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS t FROM words WHERE NOT EXISTS (SELECT 1 FROM gone WHERE gone.doc_id = words.doc_id AND gone.place = words.place) GROUP BY doc_id),
+        sums AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+        SELECT d.doc_id, len(w) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+        FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id LEFT JOIN sums ON sums.doc_id = d.doc_id""",
     "op7_url_filter": url_oracle(URL_RULES),
     "op11_conversation_repair": REPAIR_ORACLE,
 }
