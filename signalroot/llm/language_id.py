@@ -131,7 +131,8 @@ def fit(docs: DataFrame, text_col: str, lang_col: str, learn_from, key, per_lang
     fair = F.ceil(F.lit(TRAIN_BYTES / total) * F.col("n") / F.greatest("bytes", F.lit(1)))
     wanted = counts.select("lang", F.least(F.lit(per_lang).cast("long"), F.greatest(fair, F.lit(LEAST_ROWS).cast("long"))).alias("wanted"), "n")
     cut = wanted.withColumn("below", ((1 << 30) * F.least(F.lit(1.0), (2 * F.col("wanted") + 20) / F.col("n"))).cast("long"))  # twice the rows that are due: fewer are never met in practice
-    near = pool.join(cut, "lang").filter(F.col("spread") < F.col("below"))
+    cut = common.Scratch(docs.sparkSession).table(cut, "cut")
+    near = pool.join(common.sized(cut), "lang").filter(F.col("spread") < F.col("below"))  # few narrow rows go to the texts
     ranked = near.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("spread", "text"))).filter(F.col("nth") <= F.col("wanted"))
     rows = sorted(ranked.select("spread", "lang", "text").collect(), key=lambda r: (r["spread"], r["lang"], r["text"]))
     return train([r["text"] for r in rows], [r["lang"] for r in rows])
