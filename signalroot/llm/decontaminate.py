@@ -2,19 +2,19 @@
 
 Passages are runs of words; their terms are hashed words, lower-cased and
 without punctuation. One pass over all documents counts in how many passages
-each term occurs. The product A'(A W) of the passage-term matrix A with a random
-W is summed over the passages of a bounded sample of the documents
-(`SAMPLE_DOCS`): a randomised SVD from one pass (Nystrom's form, since A'A is
-positive), after the inverse document frequencies of all documents are applied
-to the rows of the sketch. A last pass slides windows of each benchmark length
+each term occurs, and sums the product A'(A W) of the passage-term matrix A with
+a random W of small integers: a randomised SVD from one pass (Nystrom's form, since
+A'A is positive), after the inverse document frequencies are applied to the rows
+of the sketch. Entries of A and W are integers, so the sums are exact and don't
+depend on how rows are dealt. A last pass slides windows of each benchmark length
 class over every document, compares them with the items by cosine in the latent
 space, and checks candidates: the longest common subsequence of the item and the
 passage, where they share enough words for it, and whether the item's answer
 (its last sentence) is there too.
 
-Counts are summed by term in the shuffle, the sketch over a fixed number of
-tasks; items are broadcast in blocks of a fixed number, one block after another
-in the same pass.
+Counts and sketch are summed by ranges of terms, from a few tasks a core; items
+are broadcast in blocks of a fixed number, one block after another in the same
+pass.
 """
 
 from __future__ import annotations
@@ -43,8 +43,10 @@ SLICE_BYTES = 1 << 18
 #: Share of the item's words that its longest common subsequence with the passage
 #: must have: alone, and if the answer is found as well.
 VERBATIM, PARAPHRASE, ANSWER = 0.8, 0.6, 0.5
-#: Documents, about, whose passages the axes are fitted on, and the tasks that share them.
-SAMPLE_DOCS, SKETCH_TASKS = 20_000, 16
+#: Words whose passages are summed at a time, and occurrences of a term that are summed first.
+SKETCH_WORDS, RUN = 1 << 20, 16
+#: Ranges of terms whose sums are added up apart, and tasks a core that read the documents for them.
+SLICES, TASKS = 16, 4
 #: Items of one broadcast block: a worker holds a byte for each of their pairs with a term.
 BLOCK_ITEMS = 4_000
 #: Window lengths in words; an item is compared with the first that holds it.
@@ -67,14 +69,9 @@ def chunks(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[tuple[pa.Re
 
 
 def random_matrix() -> np.ndarray:
-    return np.random.default_rng(SEED).standard_normal((TERMS, RANK)).astype(np.float32)
-
-
-def _sums(x: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Sums of the runs of x that begin at `starts`, the first at 0."""
-    held = np.cumsum(x, dtype=np.float64)[np.append(starts[1:], len(x)) - 1]
-    held[1:] -= held[:-1].copy()
-    return held
+    """int8[TERMS, RANK] of normal deviates, in steps of a 26th."""
+    drawn = np.random.default_rng(SEED).standard_normal((TERMS, RANK)).astype(np.float32)
+    return np.rint(26 * drawn).clip(-127, 127).astype(np.int8)
 
 
 def _passages(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -89,38 +86,86 @@ def _passages(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return ids, of, ids[order], row[order]
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text) -> (term, passages that have it); term -1 stands for all passages."""
-    df = np.zeros(TERMS + 1, np.int64)
+def _padded(values: np.ndarray, starts: np.ndarray, width: int, none: int) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of `values` that begin at `starts` as rows of `width`, padded with `none`, and the first row of each run."""
+    sizes = np.diff(np.r_[starts, len(values)])
+    rows = -(-sizes // width)
+    first = np.cumsum(rows) - rows
+    held = np.full(rows.sum() * width, none, np.int32)
+    held[np.arange(len(values)) + np.repeat(first * width - starts, sizes)] = values
+    return held.reshape(-1, width), first
+
+
+def _collected(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """Terms of texts that have some, about SKETCH_WORDS at a time."""
+    held, n = [], 0
     for _, docs in chunks(batches, 0):
-        if any(map(len, docs)):
-            _, of, i, r = _passages(docs)
-            once = np.r_[True, (i[1:] != i[:-1]) | (r[1:] != r[:-1])]
-            df[1:] += np.bincount(i[once], minlength=TERMS)
-            df[0] += len(of)
-    some = np.flatnonzero(df)
-    yield pa.RecordBatch.from_arrays([pa.array(some - 1, pa.int32()), pa.array(df[some])], names=["term", "n"])
+        some = [d for d in docs if len(d)]
+        held += some
+        n += sum(map(len, some))
+        if n >= SKETCH_WORDS:
+            yield held
+            held, n = [], 0
+    if held:
+        yield held
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text) -> one row of A'(A W)."""
-    w = np.ascontiguousarray(random_matrix().T)
-    total = np.zeros((RANK, TERMS))
-    for _, docs in chunks(batches, 0):
-        if any(map(len, docs)):
-            ids, of, i, r = _passages(docs)
-            first = np.flatnonzero(np.r_[True, i[1:] != i[:-1]])
-            for axis in range(RANK):  # one axis at a time stays in the cache
-                total[axis, i[first]] += _sums(_sums(w[axis].take(ids), of).take(r), first)
-    yield pa.RecordBatch.from_arrays([pa.array([total.T.astype("<f8").tobytes()], pa.binary())], names=["data"])
+    """(text) -> (slice, passages, data): of each term of a slice the passages that have it and its row of A'(A W)."""
+    w = np.r_[random_matrix(), np.zeros((1, RANK), np.int8)]
+    total, passages = np.zeros((TERMS, 1 + RANK), np.int64), 0
+    for docs in _collected(batches):
+        ids, of, i, r = _passages(docs)
+        passages += len(of)
+        once = np.r_[True, (i[1:] != i[:-1]) | (r[1:] != r[:-1])]
+        total[:, 0] += np.bincount(i[once], minlength=TERMS)
+        words, _ = _padded(ids, of, PASSAGE, TERMS)
+        has = np.zeros((len(of) + 1, RANK), np.int16)  # A W, at most 127 a term, and a row of zeros
+        for column in words.T:
+            has[:-1] += w.take(column, axis=0)
+        has = has.astype(np.int32)
+        first = np.flatnonzero(np.r_[True, i[1:] != i[:-1]])
+        found, runs = _padded(r, first, RUN, len(of))
+        some = np.zeros((len(found), RANK), np.int32)
+        for column in found.T:
+            some += has.take(column, axis=0)
+        total[i[first], 1:] += np.add.reduceat(some.astype(np.int64), runs, axis=0)
+    if passages:
+        parts = [_packed(x) for x in np.split(total, SLICES)]
+        yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array([passages] * SLICES), pa.array(parts, pa.binary())], names=["slice", "passages", "data"])
+
+
+def _packed(x: np.ndarray) -> bytes:
+    """Integers in four bytes each where those hold them, else in eight."""
+    return x.astype("<i4" if -(1 << 31) < x.min() and x.max() < 1 << 31 else "<i8").tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    n = TERMS // SLICES * (1 + RANK)
+    return np.frombuffer(data, f"<i{len(data) // n}").reshape(-1, 1 + RANK)
 
 
 def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held = np.zeros(TERMS * RANK)
+    """Rows of `_sketch`, one for each slice."""
+    held: dict[int, list] = {}
     for b in batches:
-        for data in b.column(0):
-            held += np.frombuffer(data.as_buffer(), "<f8")
-    yield pa.RecordBatch.from_arrays([pa.array([held.astype("<f8").tobytes()], pa.binary())], names=["data"])
+        for k, passages, data in zip(*(c.to_pylist() for c in b.columns)):
+            one = held.setdefault(k, [0, np.zeros((TERMS // SLICES, 1 + RANK), np.int64)])
+            one[0] += passages
+            one[1] += _unpacked(data)
+    for k, (passages, sums) in held.items():
+        yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([passages]), pa.array([_packed(sums)], pa.binary())], names=["slice", "passages", "data"])
+
+
+def learned(docs: DataFrame, text_col: str) -> tuple[int, np.ndarray, np.ndarray]:
+    """Passages of all documents, those of each term, and the sketch A'(A W)."""
+    rows = docs.select(F.col(text_col).cast("string").cast("binary").alias("text"))
+    schema, passages, total = "slice int, passages long, data binary", 0, np.zeros((SLICES, TERMS // SLICES, 1 + RANK), np.int64)
+    tasks = rows.coalesce(TASKS * docs.sparkSession.sparkContext.defaultParallelism)  # their sums don't grow with the documents
+    for r in tasks.mapInArrow(common.tidy(_sketch), schema).repartition(SLICES, "slice").mapInArrow(_add_up, schema).collect():  # SLICES rows of a fixed size
+        passages, total[r["slice"]] = r["passages"], _unpacked(r["data"])
+    total = total.reshape(TERMS, 1 + RANK)
+    return passages, total[:, 0], total[:, 1:]
 
 
 def inverse(passages: float, df: np.ndarray) -> np.ndarray:
@@ -281,20 +326,11 @@ class Finder:
                     found[d][k.item] = share
 
 
-def fit(docs: DataFrame, benchmark: DataFrame, text_col: str, item_col: str, item_text: str, sample_docs: int = SAMPLE_DOCS) -> Iterator[Block]:
-    """The items in blocks, with term weights from all documents and axes from about `sample_docs` of them."""
-    rows = docs.select(F.col(text_col).cast("string").cast("binary").alias("text"))
-    df, total = np.zeros(TERMS + 1), np.zeros((TERMS, RANK))
-    for r in rows.mapInArrow(common.tidy(_count), "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():  # TERMS + 1 rows at most
-        df[r["term"] + 1] = r["n"]
-    latent = np.zeros((TERMS, RANK), np.float32)
-    if df[0]:
-        sample = rows.filter(_chosen(sample_docs, docs.count()))
-        sums = sample.repartition(SKETCH_TASKS).mapInArrow(common.tidy(_sketch), "data binary").repartition(1).mapInArrow(_add_up, "data binary")
-        for r in sums.collect():  # one row
-            total += np.frombuffer(r["data"], "<f8").reshape(TERMS, RANK)
-        latent = latent_space(df[0], df[1:], total)
-    idf = inverse(df[0], df[1:]).astype(np.float32)
+def fit(docs: DataFrame, benchmark: DataFrame, text_col: str, item_col: str, item_text: str) -> Iterator[Block]:
+    """The items in blocks, with term weights and axes from all documents."""
+    passages, df, sketch = learned(docs, text_col)
+    latent = latent_space(passages, df, sketch) if passages else np.zeros((TERMS, RANK), np.float32)
+    idf = inverse(passages, df).astype(np.float32)
     items: list[Item] = []
     texts = benchmark.filter(F.col(item_col).isNotNull() & F.col(item_text).isNotNull()).select(F.col(item_col).cast("long").alias("item"), F.col(item_text).cast("string").alias("text"))
     for r in texts.orderBy("item", "text").toLocalIterator():
@@ -311,6 +347,7 @@ def fit(docs: DataFrame, benchmark: DataFrame, text_col: str, item_col: str, ite
 def _chosen(rows: int, total: int) -> Column:
     """Whether a row is drawn, each by itself, so that equal texts count one by one.
 
+    For callers who fit on fewer rows than they search; nothing here does.
     Four deviations are left free under the bound: more than `rows` of `total`
     rows are drawn once in tens of thousands of times.
     """

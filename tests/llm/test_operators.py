@@ -599,6 +599,42 @@ def test_decontamination_samples_rows_not_texts(spark):
     assert rows.limit(10).filter(decontaminate._chosen(20_000, 10)).count() == 10
 
 
+def test_decontamination_learns_from_every_row(spark):
+    """Term weights and axes of more rows than were once drawn are those of a plain loop over all, however rows are dealt."""
+    texts = [" ".join(f"w{(k * k + 7 * j * j) % 997}" for j in range(k % 90)) for k in range(24_000)]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "some words of an item")], "item_id long, text string")
+    w, n, df, sketch = decontaminate.random_matrix().astype(np.float64), 0, np.zeros(decontaminate.TERMS), np.zeros((decontaminate.TERMS, decontaminate.RANK))
+    known = {f"w{k}": decontaminate.bucket(decontaminate.terms_of(f"w{k}"))[0] for k in range(997)}
+    for t in texts:
+        ids = [known[x] for x in t.split()]
+        for lo in range(0, len(ids), decontaminate.PASSAGE):
+            one = ids[lo : lo + decontaminate.PASSAGE]
+            n += 1
+            df[list(set(one))] += 1
+            np.add.at(sketch, one, w[one].sum(axis=0))
+    for rows in (docs, docs.repartition(7)):
+        (block,) = decontaminate.fit(rows, items, "text", "item_id", "text")
+        assert np.array_equal(block.idf, decontaminate.inverse(n, df).astype(np.float32))
+        assert np.array_equal(block.latent, decontaminate.latent_space(n, df, sketch))
+
+
+def test_decontamination_sums_of_any_size():
+    """Sums beyond four bytes go on in eight; a long run of one word is summed whole."""
+    import pyarrow as pa
+
+    rows = np.arange(decontaminate.TERMS // decontaminate.SLICES * (1 + decontaminate.RANK)).reshape(-1, 1 + decontaminate.RANK)
+    for x in (rows - 9, rows - (1 << 40)):
+        assert np.array_equal(decontaminate._unpacked(decontaminate._packed(x)), x)
+    text = b"word " * 200_000
+    batch = pa.RecordBatch.from_arrays([pa.array([text, None, b"", text], pa.binary())], names=["text"])
+    parts = list(decontaminate._add_up(decontaminate._sketch(iter([batch, batch]))))
+    total = np.concatenate([decontaminate._unpacked(p["data"][0].as_py()) for p in parts])
+    term = decontaminate.bucket(decontaminate.terms_of("word"))[0]
+    assert parts[0]["passages"][0].as_py() == total[term, 0] == 4 * 3125
+    assert np.array_equal(total[term, 1:], 4 * 3125 * 64 * 64 * decontaminate.random_matrix()[term].astype(np.int64))
+
+
 def test_decontamination_in_several_blocks(spark, monkeypatch):
     """Items in blocks of three: the same findings, with one Python stage in the plan."""
     docs, benchmark = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet")
