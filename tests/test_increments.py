@@ -63,6 +63,23 @@ def test_groups_extended_equal_a_rebuild(spark):
     assert sorted(tuple(r) for r in groups.extended_groups(now, some([]).limit(0)).collect()) == sorted(tuple(r) for r in now.collect())
 
 
+def test_groups_make_every_digest_once(spark):
+    """However often groups and their extension read digests and groups, what makes them runs once a row."""
+    made = spark.sparkContext.accumulator(0)
+
+    def digest(k):
+        made.add(1)
+        return None if k % 11 == 0 else f"d{k % 17}"
+
+    rows = spark.range(120).select(F.concat(F.lit("r"), F.col("id").cast("string")).alias("record_id"), F.udf(digest)("id").alias("digest"), "id")
+    found = groups.extended_groups(groups.signal_groups(rows.filter("id < 80")), rows.filter("id >= 80"))
+    got = found.collect()
+    assert made.value == 120
+    assert len(got) == 109 and {r.group_size for r in got} == {6, 7}
+    once = sorted(tuple(r) for r in groups.signal_groups(rows).collect())
+    assert sorted(tuple(r) for r in got) == once and made.value == 240
+
+
 def test_pairs_of_large_groups_are_made_once_and_spread(spark, monkeypatch):
     monkeypatch.setattr(duplicates, "BLOCK", 20)
     rows = [(f"a{k:04}", f"s{k % 3}", "hot") for k in range(310)] + [(f"b{k}", "s", "few") for k in range(3)] + [("c", "s", None), ("d", "s", "one"), ("d", "s", "one")]
