@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from signalroot.llm import decontaminate, exact_dedup, jaccard_join, quality
 
@@ -31,6 +34,19 @@ def test_pipeline(spark):
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == {r.doc_id for r in left.collect()}
 
 
+def test_benchmark_stage_learns_from_every_row(spark, monkeypatch):
+    """Of 24,000 rows of one word each all are counted, and all are in the sketch of the axes."""
+    seen, made = [], decontaminate.latent_space
+    monkeypatch.setattr(decontaminate, "latent_space", lambda *x: seen.append(x) or made(*x))
+    docs = spark.range(24_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("word"), F.pmod("id", F.lit(5)).cast("string")).alias("text"))
+    assert corpus_pipeline.benchmark(spark, docs, SF).count() == 24_000
+    ((n, df, sketch),) = seen
+    assert n == 24_000
+    for k in range(5):
+        term = decontaminate.bucket(decontaminate.terms_of(f"word{k}"))[0]
+        assert df[term] == 4_800 and np.allclose(sketch[term], 4_800 * decontaminate.random_matrix()[term].astype(float))
+
+
 def test_exact_stage_keeps_one_of_repeated_rows(spark):
     rows = [(1, "a b"), (2, "a b"), (2, "a b"), (3, "c"), (3, "c"), (None, "d"), (4, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
