@@ -183,13 +183,14 @@ _ALNUM = np.array([c >= 0x80 or chr(c).isalnum() for c in range(256)])
 SLICE_BYTES = 1 << 20
 
 
-def _hash_words(data: np.ndarray, bounds: np.ndarray, lower: bool, plain: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _hash_words(data: np.ndarray, bounds: np.ndarray, lower: bool, plain: bool, cut: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hash of each word, words of each text, first byte and bytes of each word.
 
     A word's hash is a sum over its bytes, each weighed by its place, so a few
     passes over the bytes do for all words; words with more bytes than there are
     weights are hashed one by one. `lower` folds A-Z; `plain` also folds
     the Latin-1 letters and leaves punctuation out, dropping words without more.
+    A word ends before each byte marked in `cut`, too.
     """
     n = len(bounds) - 1
     none = np.empty(0, np.uint64), np.zeros(n, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
@@ -211,6 +212,8 @@ def _hash_words(data: np.ndarray, bounds: np.ndarray, lower: bool, plain: bool)
     starts = np.empty(len(data), bool)
     starts[0] = True
     starts[1:] = space[:-1]
+    if cut is not None:
+        starts |= cut
     inner = bounds[1:-1]
     starts[inner[inner < len(data)]] = True
     word = np.cumsum(starts, dtype=np.int32)
@@ -227,11 +230,13 @@ def _hash_words(data: np.ndarray, bounds: np.ndarray, lower: bool, plain: bool)
     return h, np.bincount(np.searchsorted(bounds, at[first], "right") - 1, minlength=n), at[first], size
 
 
-def word_spans(column, lower: bool = False, plain: bool = False, slice_bytes: int = SLICE_BYTES):
+def word_spans(column, lower: bool = False, plain: bool = False, slice_bytes: int = SLICE_BYTES, eased=None):
     """Slices of a string column: (first row, word hashes, words of each text, bytes, starts, lengths).
 
     A slice has about `slice_bytes`; a longer text is read in parts cut at white
     space, so memory follows the text's words, not many copies of its bytes.
+    `eased(bytes, bounds of texts)` may change bytes of a slice first, and mark those
+    before which a word ends.
     """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -245,20 +250,21 @@ def word_spans(column, lower: bool = False, plain: bool = False, slice_bytes: in
     while lo < len(column):
         hi = min(max(lo + 1, int(np.searchsorted(ends, ends[lo] + slice_bytes, "right")) - 1), len(column))
         a, z = int(ends[lo]), int(ends[hi])
+        data, cut = eased(raw[a:z], ends[lo : hi + 1] - a) if eased else (raw[a:z], None)
         if hi == lo + 1 and z - a > 4 * SLICE_BYTES:
-            parts, at = [], a
-            while at < z:
-                end = min(at + SLICE_BYTES, z)
-                while end < z and not _SPACE[raw[end]]:  # never inside a word
+            parts, at = [], 0
+            while at < len(data):
+                end = min(at + SLICE_BYTES, len(data))
+                while end < len(data) and not _SPACE[data[end]]:  # never inside a word
                     end += 1
-                h, _, start, size = _hash_words(raw[at:end], np.array([0, end - at]), lower, plain)
-                parts.append((h, start + (at - a), size))
+                h, _, start, size = _hash_words(data[at:end], np.array([0, end - at]), lower, plain, None if cut is None else cut[at:end])
+                parts.append((h, start + at, size))
                 at = end
             h, start, size = (np.concatenate(x) for x in zip(*parts))
-            yield lo, h, np.array([len(h)]), raw[a:z], start, size
+            yield lo, h, np.array([len(h)]), data, start, size
         else:
-            h, n, start, size = _hash_words(raw[a:z], ends[lo : hi + 1] - a, lower, plain)
-            yield lo, h, n, raw[a:z], start, size
+            h, n, start, size = _hash_words(data, ends[lo : hi + 1] - a, lower, plain, cut)
+            yield lo, h, n, data, start, size
         lo = hi
 
 

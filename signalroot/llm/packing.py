@@ -45,6 +45,8 @@ def tokenizer_path() -> str:
 
 #: Chunks whose ids a worker keeps, and word pieces; half of the chunks go when it is full.
 CACHE_CHUNKS, CACHE_PIECES = 1_000_000, 250_000
+#: Pieces that the tokenizer gets in one string.
+PIECES = 4_000
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
 
@@ -61,6 +63,54 @@ def _unsettled() -> re.Pattern:
     return re.compile("[" + "".join(f"\\U{r[0]:08x}-\\U{r[-1]:08x}" for r in runs) + "\U00010000-\U0010ffff\ufffd]")
 
 
+_MARK, _LETTER, _LOWER, _BIG = (np.zeros(256, bool) for _ in range(4))
+_MARK[list(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")] = True
+_BIG[0x41:0x5B] = True
+_LOWER[0x61:0x7B] = True
+_LETTER[:] = _BIG | _LOWER
+
+
+def _latin(raw: np.ndarray) -> np.ndarray:
+    """Second bytes of the letters of Latin-1."""
+    at = np.flatnonzero(raw[:-1] == 0xC3) + 1
+    second = raw[at]
+    return at[(second & 0xC0 == 0x80) & (second != 0x97) & (second != 0xB7)]
+
+
+def _eased(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes with capitals of ASCII and Latin-1 in lower case, and where an ASCII mark follows a letter of these.
+
+    The tokenizer lower-cases what it has composed and cuts between a letter and a
+    mark, so ids stay the same, while fewer chunks differ. Capitals before a
+    character that may combine with them stay, and slices with a special token.
+    """
+    cut = np.zeros(len(raw), bool)
+    if len(raw) < 2 or ((raw[:-1] == 0x3C) & (raw[1:] == 0x7C)).any():
+        return raw, cut
+    raw = raw.copy()
+    alone = np.append((raw[1:] < 0x80) | (raw[1:] == 0xC3), True)  # neither ASCII nor Latin-1 combines with what it follows
+    latin = _latin(raw)
+    latin = latin[~np.isin(latin, bounds)]
+    raw[_BIG[raw] & alone] |= 0x20
+    big = latin[(raw[latin] < 0x9F) & alone[latin]]
+    raw[big] |= 0x20
+    letter = _LETTER[raw]
+    letter[latin] = True
+    cut[1:] = _MARK[raw[1:]] & letter[:-1]
+    return raw, cut
+
+
+def _plain_words(raw: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Which chunks are small letters of ASCII and Latin-1 only: one piece, unchanged by the tokenizer's normaliser."""
+    good = _LOWER[raw]
+    latin = _latin(raw)
+    latin = latin[raw[latin] >= 0x9F]
+    good[latin] = good[latin - 1] = True
+    upto = np.append(0, np.cumsum(~good, dtype=np.int32))
+    broken = (raw[start] & 0xC0 == 0x80) | (raw[start + size - 1] == 0xC3)  # not UTF-8
+    return (upto[start + size] == upto[start]) & ~broken
+
+
 def _spans(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Positions of all members of runs, one run after another."""
     out = np.arange(int(size.sum()), dtype=np.int32)  # neither a slice nor a pool comes near 2 GB
@@ -68,6 +118,17 @@ def _spans(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return out
 
 
+def _distinct(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ascending distinct values, first place of each, number of each value): np.unique, sorting the distinct ones only."""
+    coded = pa.array(h).dictionary_encode()
+    values, where = coded.dictionary.to_numpy(), coded.indices.to_numpy()
+    first = np.flatnonzero(np.diff(np.maximum.accumulate(where), prepend=-1))
+    order = np.argsort(values)
+    rank = np.empty(len(order), np.int32)
+    rank[order] = np.arange(len(order), dtype=np.int32)
+    return values[order], first[order], rank[where]
+
+
 class Encoder:
     """Token ids of a text, with the ids of each white-space chunk kept.
 
@@ -75,14 +136,18 @@ class Encoder:
     pattern cuts, so the ids of a text are those of its pieces one after another.
     Unseen pieces are encoded many at a time in one string; each ends with the
     only ids whose token has the end-of-word mark, which part them again. Chunks
-    are found by their hashes and then compared byte for byte.
+    are found by their hashes and then compared byte for byte. Most are small
+    letters once marks and capitals are set aside (`_eased`): one piece as it is.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel, Sequence, Split
 
         self.tok = Tokenizer.from_file(path)
+        self.bare = Tokenizer(self.tok.model)  # the same merges, for pieces that are normalised and cut already
+        self.bare.pre_tokenizer = Sequence([Split(" ", "removed"), ByteLevel(add_prefix_space=False, use_regex=False)])
         vocab = self.tok.get_vocab(with_added_tokens=False)
         self.kind = np.dtype("<u2") if max(vocab.values()) < 1 << 16 else np.dtype("<u4")
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
@@ -96,6 +161,23 @@ class Encoder:
     def _plain(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
+    def _bare(self, pieces: str) -> np.ndarray:
+        """Ids of pieces between single spaces."""
+        return np.array(self.bare.encode_batch_fast([pieces], add_special_tokens=False)[0].ids, self.kind)
+
+    def _ids_of_words(self, raw: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all chunks, ids of each), where each chunk is one piece."""
+        ids, each = [], []
+        for lo in range(0, len(start), PIECES):
+            a, n = start[lo : lo + PIECES], size[lo : lo + PIECES]
+            text = np.full(int(n.sum()) + len(n), 0x20, np.uint8)
+            text[_spans(np.cumsum(n + 1) - n - 1, n)] = raw[_spans(a, n)]
+            got = self._bare(text[:-1].tobytes().decode())
+            stops = np.flatnonzero(self.ends[got]) + 1
+            ids.append(got)
+            each.append(np.diff(stops, prepend=0))
+        return np.concatenate(ids), np.concatenate(each)
+
     def _ids_of(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all chunks, ids of each)."""
         text = b"\n".join(chunks).decode("utf-8", "replace")
@@ -124,14 +206,14 @@ class Encoder:
             self.pieces.clear()
         have = self.pieces
         unseen = list(set(flat).difference(have))
-        for lo in range(0, len(unseen), 4000):
-            some = unseen[lo : lo + 4000]
-            ids = np.array(self.tok.encode(" ".join(some), add_special_tokens=False).ids, self.kind)
+        for lo in range(0, len(unseen), PIECES):
+            some = unseen[lo : lo + PIECES]
+            ids = self._bare(" ".join(some))
             stops = ((np.flatnonzero(self.ends[ids]) + 1) * self.kind.itemsize).tolist()
             if len(stops) == len(some):
                 data = ids.tobytes()
                 have.update((p, data[a:z]) for p, a, z in zip(some, [0, *stops], stops))
-            else:  # a piece that the tokenizer's own normaliser changes further
+            else:  # a token with the end-of-word mark inside a piece
                 have.update((p, self._plain(p)) for p in some)
         got = list(map(have.__getitem__, flat))
         upto = np.append(0, np.cumsum(np.fromiter(map(len, got), np.int64, len(got))))
@@ -158,19 +240,27 @@ class Encoder:
         self.turn += 1
         if len(self.keys) > CACHE_CHUNKS:
             self._shrink()
-        distinct, first, where = np.unique(h, return_index=True, return_inverse=True)
+        distinct, first, where = _distinct(h)
         k = np.searchsorted(self.keys, distinct)
         known = np.zeros(len(distinct), bool)
         inside = k < len(self.keys)
         known[inside] = self.keys[k[inside]] == distinct[inside]
         if not known.all():
             new = first[~known]
-            data = raw.tobytes()
-            got, n = self._ids_of([data[a : a + n] for a, n in zip(start[new].tolist(), size[new].tolist())])
+            plain = _plain_words(raw, start[new], size[new])
+            n, got = np.empty(len(new), np.int64), []
+            order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
+            for some, ids_of in ((new[plain], self._ids_of_words), (new[~plain], self._one_by_one)):
+                if len(some):
+                    got.append(ids_of(raw, start[some], size[some]))
+            n[order] = np.concatenate([x for _, x in got])
+            at = np.empty(len(new), np.int64)
+            at[order] = len(self.pool) + np.cumsum(n[order]) - n[order]
+            got = np.concatenate([x for x, _ in got])
             put = k[~known]
             more = {
                 "keys": distinct[~known], "used": np.full(len(new), self.turn), "size": n, "bytes": size[new],
-                "at": len(self.pool) + np.cumsum(n) - n, "byte": len(self.spelt) + np.cumsum(size[new]) - size[new],
+                "at": at, "byte": len(self.spelt) + np.cumsum(size[new]) - size[new],
             }
             for name, values in more.items():
                 setattr(self, name, np.insert(getattr(self, name), put, values))
@@ -185,12 +275,12 @@ class Encoder:
         return self.pool[_spans(self.at[mine], n)], n
 
     def _one_by_one(self, raw: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The same without the hashes, as two chunks share one."""
+        """The same without the hashes: for new chunks, or if two chunks share one."""
         return self._ids_of([raw[a : a + n].tobytes() for a, n in zip(start.tolist(), size.tolist())])
 
     def encode(self, column: pa.Array) -> Iterator[tuple[int, list[np.ndarray]]]:
         """Slices of a text column: (first row, ids of each text with the id that ends it)."""
-        for lo, h, words, raw, start, size in common.word_spans(column):
+        for lo, h, words, raw, start, size in common.word_spans(column, eased=_eased):
             ids, n = self.ids(h, raw, start, size)
             stops = np.append(0, np.cumsum(n))[np.append(0, np.cumsum(words))]
             ids = np.insert(ids, stops[1:], self.kind.type(END_ID))
@@ -202,31 +292,34 @@ class Bm25:
 
     def __init__(self, docs: list[np.ndarray]):
         self.n = len(docs)
-        terms, counts, self.terms = [], [], []
-        for d in docs:
-            t, c = np.unique(d, return_counts=True)
-            terms.append(t)
-            counts.append(c)
-            self.terms.append(t)
-        size = np.fromiter(map(len, terms), np.int64, self.n)
-        term, tf = np.concatenate(terms), np.concatenate(counts).astype(np.float32)
-        doc = np.repeat(np.arange(self.n), size)
         length = np.fromiter(map(len, docs), np.float32, self.n)
-        tf = tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[doc] / max(length.mean(), 1)))
-        order = np.argsort(term, kind="stable")
-        self.doc = doc[order]
-        self.keys, self.at, df = np.unique(term[order], return_index=True, return_counts=True)
+        # one sort puts the tokens in the order of terms, and those of a term in the order of documents
+        flat, bits = np.concatenate(docs), self.n.bit_length()
+        both = flat.astype(np.uint32 if int(flat.max(initial=0)).bit_length() + bits <= 32 else np.uint64) << bits
+        both |= np.repeat(np.arange(self.n, dtype=both.dtype), np.fromiter(map(len, docs), np.int64, self.n))
+        both.sort()
+        first = np.flatnonzero(np.append(True, both[1:] != both[:-1]))
+        tf = np.diff(first, append=len(both)).astype(np.float32)
+        self.doc = (both[first] & ((1 << bits) - 1)).astype(np.int64)
+        term = both[first] >> bits
+        self.at = np.flatnonzero(np.append(True, term[1:] != term[:-1]))
+        df = np.diff(self.at, append=len(term))
+        tf = tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[self.doc] / max(length.mean(), 1)))
         idf = np.log((self.n - df + 0.5) / (df + 0.5))
         self.df = np.where(idf > 0, df, 0)  # a term of half the shard or more weighs nothing
-        self.weight = tf[order] * np.repeat(np.maximum(idf, 0), df).astype(np.float32)
+        self.weight = (tf * np.repeat(np.maximum(idf, 0), df).astype(np.float32)).astype(np.float64)
+        # of each document the numbers of its terms
+        self.terms = np.repeat(np.arange(len(df)), df)[np.argsort(self.doc.astype(np.uint16 if bits <= 16 else np.int64), kind="stable")]  # two bytes are sorted by radix
+        self.ends = np.append(0, np.cumsum(np.bincount(self.doc, minlength=self.n)))
 
     def scores(self, seed: int) -> np.ndarray:
-        k = np.searchsorted(self.keys, self.terms[seed])
+        k = self.terms[self.ends[seed] : self.ends[seed + 1]]
         start, size = self.at[k], self.df[k]
         total = int(size.sum())
         if not total:
             return np.zeros(self.n)
-        take = np.arange(total) + np.repeat(start - (np.cumsum(size) - size), size)
+        take = np.arange(total)
+        take += np.repeat(start - (np.cumsum(size) - size), size)
         return np.bincount(self.doc[take], self.weight[take], self.n)
 
 

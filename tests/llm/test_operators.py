@@ -551,6 +551,50 @@ def test_encoder_equals_the_tokenizer_on_any_text():
     assert ids.tolist() == plain.encode("one two", add_special_tokens=False).ids
 
 
+def test_encoder_sets_capitals_and_marks_aside():
+    """A word is encoded once, however it is capitalised and whatever marks follow it, with the tokenizer's ids."""
+    from tokenizers import Tokenizer
+
+    path = packing.tokenizer_path()
+    plain, encoder = Tokenizer.from_file(path), packing.Encoder(path)
+    texts = ["Größe größe, GRÖSSE? GRÖßE! größe... Größe$$$ größe's", "größe", "Größe;"]
+    for lo, got in encoder.encode(pa.array([t.encode() for t in texts], pa.large_binary())):
+        for t, ids in zip(texts[lo:], got):
+            assert ids.tolist() == [*plain.encode(t, add_special_tokens=False).ids, 1], t
+    assert len(encoder.keys) == 9  # two words, seven kinds of marks
+    letters = [*"AHJTWYZahz\u00c4\u00d6\u00d7\u00df\u00e4\u00f7\u00ff\u0130\u03a3\u00b5"]
+    marks = [*"',.<=>`|-_9", "'s", "'LL", "'ve'D", "\u0301", "\u0308", "\u030a", "\u030c", "\u0331", "\u0338", "\u2019", "\u00a0", "\x00", "\x1c", "\x7f", ""]
+    words = [a + m + b + n for a in letters for m in marks for b in letters[:12] for n in marks]
+    texts = [" ".join(words[k : k + 50]) for k in range(0, len(words), 50)]
+    texts += ["ends in a letter", ",begins with a mark", "Ends in A", "\u0308begins with one that combines", "Special X<|endoftext|>.Y, <|ENDOFTEXT|>"]
+    for some in (texts, texts[-5:], texts[-5:-1]):
+        for lo, got in encoder.encode(pa.array([t.encode() for t in some], pa.large_binary())):
+            for t, ids in zip(some[lo:], got):
+                assert ids.tolist() == [*plain.encode(t, add_special_tokens=False).ids, 1], t
+    texts = [b"ab\xc3", b"\xa4, x", b"\xc3", None, b"\xa4\xa4"]  # not UTF-8: each text by itself, as ever
+    (_, together), = encoder.encode(pa.array(texts, pa.large_binary()))
+    for t, ids in zip(texts, together):
+        assert ids.tolist() == [*plain.encode((t or b"").decode("utf-8", "replace"), add_special_tokens=False).ids, 1], t
+
+
+def test_packing_index_scores_as_a_plain_loop():
+    """Weights of the index, with ids of two and of four bytes, against the formula."""
+    rng = np.random.default_rng(4)
+    for top, kind in ((300, np.uint16), (1 << 30, np.uint32)):
+        pool = rng.integers(0, top, 80)
+        docs = [rng.choice(pool, rng.integers(1, 60)).astype(kind) for _ in range(40)]
+        index, mean = packing.Bm25(docs), np.mean([len(d) for d in docs])
+        df = {t: sum(t in d for d in docs) for t in pool}
+        for seed in range(40):
+            want = np.zeros(40)
+            for t in set(docs[seed].tolist()):
+                for j, d in enumerate(docs):
+                    n = int((d == t).sum())
+                    if n:
+                        want[j] += n * (packing.K1 + 1) / (n + packing.K1 * (1 - packing.B + packing.B * len(d) / mean)) * max(np.log((40 - df[t] + 0.5) / (df[t] + 0.5)), 0)
+            assert np.allclose(index.scores(seed), want, rtol=1e-5)
+
+
 def test_vocabulary_is_a_distribution():
     rng = np.random.default_rng(5)
     h = rng.integers(1, 1 << 63, 9000).astype(np.uint64)
