@@ -22,6 +22,10 @@ lists whose members are still in different components get other centres. The
 members of lists that are still apart are compared by what they differ in from
 a pivot of the list, under a prefix filter (`_across`), and what that leaves is
 verified, so no pair is left undecided.
+
+Lists that documents share by chance or by a common passage make many pairs, more
+than in proportion to the input. Before texts move, each pair is judged by one bit
+for each place of its sets (`_parity`), which rules out almost all that aren't links.
 """
 
 from __future__ import annotations
@@ -104,6 +108,34 @@ def exact_shingles(words: list[bytes], n: int = SHINGLE) -> set:
     return set(zip(*(words[i:] for i in range(n))))
 
 
+def _parity_bytes(size: int) -> int:
+    """Bytes of a set's parities: a place for each element, in a power of two."""
+    return max(64, 1 << (size - 1).bit_length()) >> 3
+
+
+def _parity(s: np.ndarray) -> bytes:
+    """A bit for each place: whether an odd number of the set's elements falls there."""
+    places = 8 * _parity_bytes(len(s))
+    odd = np.bincount((s & np.uint64(places - 1)).astype(np.int64), minlength=places) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def _least_apart(x: bytes, y: bytes) -> int:
+    """Elements that only one of two sets has, at least: places where their parities differ.
+
+    The longer one is folded to the places of the shorter one.
+    """
+    n = 8 * min(len(x), len(y))
+    ends = []
+    for data in (x, y):
+        bits, have = int.from_bytes(data, "little"), 8 * len(data)
+        while have > n:
+            have >>= 1
+            bits = bits >> have ^ bits & (1 << have) - 1
+        ends.append(bits)
+    return (ends[0] ^ ends[1]).bit_count()
+
+
 def signatures(s: np.ndarray, percent: int) -> np.ndarray:
     """Signatures of a set; the salts of segments tell bands and segments apart."""
     starts = bands(percent)
@@ -171,9 +203,9 @@ def _map(percent: int, bits: int):
     told = np.uint64((1 << 64) - (1 << (64 - bits)) | (1 << 8 * SENT) - 1)
 
     def emit(state, base: int):
-        ids, sizes, nulls, sigs, owner, same = state
+        ids, sizes, nulls, sigs, owner, same, bits = state
         ids, sizes = np.array(ids, np.int64), np.array(sizes, np.int64)
-        rows: list[tuple[int, int, bytes]] = [(_INFO, base, _planes(np.concatenate([ids, sizes])))]
+        rows: list[tuple[int, int, bytes]] = [(_INFO, base, np.array([len(ids)], "<i8").tobytes() + _planes(np.concatenate([ids, sizes])) + b"".join(bits))]
         if nulls:
             rows.append((_INFO, -1, np.array(nulls, np.int64).tobytes()))
         if same:
@@ -202,7 +234,7 @@ def _map(percent: int, bits: int):
         return pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(at, pa.int64()), pa.array(data, pa.binary())], names=["kind", "bucket", "data"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fresh = lambda: ([], [], [], [], [], [])
+        fresh = lambda: ([], [], [], [], [], [], [])
         state, n, seen, base = fresh(), 0, {}, 0
         for b in batches:
             words = (x for _, some in common.word_streams(b.column(1), lower=True) for x in some)
@@ -213,6 +245,7 @@ def _map(percent: int, bits: int):
                     continue
                 state[0].append(i)
                 state[1].append(len(s))
+                state[6].append(_parity(s))
                 if len(s):
                     key = common.xxhash.xxh3_128_digest(s.tobytes())
                     if key in seen and seen[key][1].lower().split() == text.lower().split():
@@ -233,11 +266,12 @@ def _map(percent: int, bits: int):
 
 
 def _reduce(percent: int, bits: int):
-    names = ["kind", "sig", "a", "b", "n"]
+    names = ["kind", "sig", "a", "b", "n", "bits"]
 
-    def rows(kind: int, sig=None, a=None, b=None, n=None, size: int = 0):
+    def rows(kind: int, sig=None, a=None, b=None, n=None, size: int = 0, bits=None):
         null = pa.nulls(size, pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array(np.full(size, kind, np.int32)), *(null if x is None else pa.array(np.ascontiguousarray(x).view(np.int64)) for x in (sig, a, b, n))], names=names)
+        numbers = [null if x is None else pa.array(np.ascontiguousarray(x).view(np.int64)) for x in (sig, a, b, n)]
+        return pa.RecordBatch.from_arrays([pa.array(np.full(size, kind, np.int32)), *numbers, pa.nulls(size, pa.binary()) if bits is None else bits], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -247,8 +281,10 @@ def _reduce(percent: int, bits: int):
                     x = np.frombuffer(data, np.int64)
                     yield rows(_INFO, n=x, size=len(x))
                 elif kind == _INFO:
-                    a, n = _whole(data).reshape(2, -1)
-                    yield rows(_INFO, a=a, n=n, size=len(a))
+                    d = int(np.frombuffer(data, "<i8", 1)[0])
+                    a, n = _whole(data[8 : 8 + 16 * d]).reshape(2, d)
+                    ends = np.cumsum([8 + 16 * d, *map(_parity_bytes, n.tolist())])
+                    yield rows(_INFO, a=a, n=n, size=d, bits=pa.array([data[x:y] for x, y in zip(ends[:-1], ends[1:])], pa.binary()))
                 elif kind == _SAME:
                     a, b = np.frombuffer(data, np.int64).reshape(-1, 2).T
                     yield rows(_SAME, a=a, b=b, size=len(a))
@@ -307,19 +343,38 @@ def _oriented(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.when(a_first, F.col("a")).otherwise(F.col("b")).alias("hub"), F.when(a_first, F.col("b")).otherwise(F.col("a")).alias("other"))
 
 
-def verified(pairs: DataFrame, rows: DataFrame, percent: int, scratch: common.Scratch, name: str) -> DataFrame:
+def _may_link(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sizes, x, y = b.column(2).to_pylist(), b.column(3).to_pylist(), b.column(4).to_pylist()
+            keep = [(100 + percent) * _least_apart(p, q) <= (100 - percent) * n for n, p, q in zip(sizes, x, y)]
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in b.columns[:2]], names=["a", "b"])
+
+    return run
+
+
+def _plausible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b), a written table, that the parities in `sets` (id, size, bits) don't rule out."""
+    x, y = (sets.select(F.col("id").alias(end), F.col("size").alias(f"size_{end}"), F.col("bits").alias(f"bits_{end}")) for end in "ab")
+    both = x.join(common.sized(pairs), "a").join(y, "b").select("a", "b", F.expr("size_a + size_b"), "bits_a", "bits_b")
+    return both.mapInArrow(common.tidy(_may_link(percent)), "a long, b long").distinct()
+
+
+def verified(pairs: DataFrame, rows: DataFrame, sets: DataFrame, percent: int, scratch: common.Scratch, name: str) -> DataFrame:
     """The pairs (a, b), a written table, whose texts in `rows` (id, text) are similar enough.
 
-    Pairs are narrow and go to the texts of their other ends; those texts then
-    move once, to their hubs, whose own texts move once too.
+    Those that `sets` (id, size, bits) rules out go first. The others are narrow
+    and go to the texts of their other ends; those texts then move once, to their
+    hubs, whose own texts move once too.
     """
+    pairs = scratch.table(_plausible(pairs, sets, percent), f"{name}_plausible")
     oriented = scratch.table(_oriented(pairs), f"{name}_oriented")
     hubs = scratch.table(oriented.select(F.col("hub").alias("id")).distinct(), f"{name}_hubs")
     others = rows.join(common.sized(oriented), F.col("id") == F.col("other")).select("hub", "other", F.col("text").alias("y"))
     both = others.join(rows.join(common.sized(hubs), "id", "left_semi").select(F.col("id").alias("hub"), F.col("text").alias("x")), "hub")
     found = both.select("hub", "other", "x", "y").mapInArrow(common.tidy(_verify(percent)), "a long, b long")
     links = scratch.table(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), name)
-    scratch.drop(f"{name}_oriented", f"{name}_hubs")
+    scratch.drop(f"{name}_plausible", f"{name}_oriented", f"{name}_hubs")
     common.release(scratch.spark)
     return links
 
@@ -334,7 +389,7 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     n_bytes = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = common.partitions(spark, n_bytes / 10, 7.5e5)  # about one signature in ten bytes
     bits = max(8, int(np.ceil(np.log2(4 * parts))))
-    schema = T.StructType([T.StructField("kind", T.IntegerType())] + [T.StructField(c, T.LongType()) for c in ("sig", "a", "b", "n")])
+    schema = T.StructType([T.StructField("kind", T.IntegerType())] + [T.StructField(c, T.LongType()) for c in ("sig", "a", "b", "n")] + [T.StructField("bits", T.BinaryType())])
     # lists meet by their bucket; what needs no meeting is spread
     mapped = rows.mapInArrow(common.tidy(_map(percent, bits)), "kind int, bucket long, data binary")
     found = scratch.table(
@@ -343,6 +398,7 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     )
     common.release(spark)
     sizes = found.filter(F.col("kind") == _INFO).select(F.col("a").alias("id"), F.col("n").alias("n_shingles"))
+    sets = found.filter((F.col("kind") == _INFO) & F.col("a").isNotNull()).select(F.col("a").alias("id"), F.col("n").alias("size"), "bits")
     edges = found.filter(F.col("kind") == _EDGE)
     same = found.filter((F.col("kind") == _SAME) & (F.col("a") != F.col("b"))).select("a", "b")
 
@@ -352,7 +408,7 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         shared.groupBy("b").agg(F.max_by("a", F.struct("count", -F.col("a"))).alias("a")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(),
         "first",
     )
-    links = scratch.table(verified(first, rows, percent, scratch, "links1").unionByName(same), "links")
+    links = scratch.table(verified(first, rows, sets, percent, scratch, "links1").unionByName(same), "links")
     scratch.drop("links1")
     components = scratch.table(connected_components(links), "components1")
 
@@ -361,7 +417,7 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     for turn in range(CENTRE_ROUNDS):
         members = _open(edges, components, scratch, f"members{turn}")
         again = scratch.table(_centres(members, scratch).join(_union(tried), ["a", "b"], "left_anti"), f"again{turn}")
-        more = verified(again, rows, percent, scratch, f"more{turn}")
+        more = verified(again, rows, sets, percent, scratch, f"more{turn}")
         tried.append(again)
         if more.isEmpty():
             break
@@ -370,7 +426,8 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         members = _open(edges, components, scratch, "members")
     pairs = scratch.table(_across(members, rows, percent, scratch), "across")
     second = scratch.table(pairs.join(_union(tried), ["a", "b"], "left_anti"), "second")
-    more = verified(second, rows, percent, scratch, "links2")
+    scratch.drop(*_ACROSS)
+    more = verified(second, rows, sets, percent, scratch, "links2")
     if not more.isEmpty():
         components = scratch.table(extended(components, more), "components2")
     return sizes, components
@@ -491,6 +548,10 @@ def _differences(percent: int):
     return run
 
 
+#: Tables of `_across` and `_pivots`, which nothing reads once the pairs are written.
+_ACROSS = ("met", "main_pivots", *(f"main_pivots{turn}" for turn in range(PIVOT_STEPS)), "split", "pivots", "pivot_ids", "chosen", "crowds", "some", "popular", "placed", "bounds", "across")
+
+
 def _across(members: DataFrame, rows: DataFrame, percent: int, scratch: common.Scratch) -> DataFrame:
     """Pairs (a, b) of one list, in different components, that may be similar enough; no other pair is.
 

@@ -165,6 +165,36 @@ def test_jaccard_join_loses_no_link_at_the_threshold(spark):
     assert got == component and len(set(component.values())) < len(rows)
 
 
+def test_jaccard_join_moves_no_texts_of_pairs_that_are_far_apart(spark, monkeypatch):
+    """Documents with a common passage make many pairs; their texts stay where they are, and no link is lost."""
+    rng = random.Random(12)
+    text = lambda n: [f"v{rng.randrange(9000)}" for _ in range(n)]
+    passage, rows = text(60), []
+    for _ in range(80):
+        rows.append(text(35) + passage + text(35))
+    for w in rows[:6]:
+        rows.append([*w[:3], "edited", *w[4:]])
+    rows = [(k, " ".join(w)) for k, w in enumerate(rows)]
+    moved, old = [], jaccard_join._oriented
+    monkeypatch.setattr(jaccard_join, "_oriented", lambda pairs: moved.extend((r.a, r.b) for r in pairs.collect()) or old(pairs))
+    got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_join(documents(spark, rows)).collect()}
+    assert got == {k: k - 80 if k >= 80 else k for k, _ in rows}
+    assert {(k, 80 + k) for k in range(6)} <= set(moved) and len(moved) < 20
+
+
+def test_parities_never_pass_the_difference():
+    rng = np.random.default_rng(6)
+    for n in (0, 1, 5, 63, 64, 65, 300, 5000):
+        for change in (0, 1, n // 5, n):
+            x = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+            y = np.unique(np.concatenate([x[change:], rng.integers(0, 1 << 63, change // 2).astype(np.uint64)]))
+            apart = len(np.setxor1d(x, y))
+            found = jaccard_join._least_apart(jaccard_join._parity(x), jaccard_join._parity(y))
+            assert found <= apart and (found - apart) % 2 == 0
+            assert found == jaccard_join._least_apart(jaccard_join._parity(y), jaccard_join._parity(x))
+            assert len(jaccard_join._parity(x)) == jaccard_join._parity_bytes(len(x))
+
+
 def test_signatures_keep_the_pigeonhole():
     rng = np.random.default_rng(4)
     for n in (4, 7, 20, 33, 60, 150, 700):
