@@ -424,9 +424,11 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         components = scratch.table(extended(components, more), f"components_with{turn}")
     else:
         members = _open(edges, components, scratch, "members")
-    pairs = scratch.table(_across(members, rows, percent, scratch), "across")
+        scratch.drop(*(f"members{turn}" for turn in range(CENTRE_ROUNDS)))
+    inner = common.Scratch(spark)  # nothing reads its tables once the pairs are written
+    pairs = inner.table(_across(members, rows, percent, inner), "across")
     second = scratch.table(pairs.join(_union(tried), ["a", "b"], "left_anti"), "second")
-    scratch.drop(*_ACROSS)
+    inner.drop("")
     more = verified(second, rows, sets, percent, scratch, "links2")
     if not more.isEmpty():
         components = scratch.table(extended(components, more), "components2")
@@ -548,10 +550,6 @@ def _differences(percent: int):
     return run
 
 
-#: Tables of `_across` and `_pivots`, which nothing reads once the pairs are written.
-_ACROSS = ("met", "main_pivots", *(f"main_pivots{turn}" for turn in range(PIVOT_STEPS)), "split", "pivots", "pivot_ids", "chosen", "crowds", "some", "popular", "placed", "bounds", "across")
-
-
 def _across(members: DataFrame, rows: DataFrame, percent: int, scratch: common.Scratch) -> DataFrame:
     """Pairs (a, b) of one list, in different components, that may be similar enough; no other pair is.
 
@@ -569,6 +567,7 @@ def _across(members: DataFrame, rows: DataFrame, percent: int, scratch: common.S
     """
     much, less = 100 + percent, 100 - percent
     pivots = scratch.table(_pivots(members, scratch), "pivots")
+    scratch.drop("met", "main_pivots", *(f"main_pivots{turn}" for turn in range(PIVOT_STEPS)), "split")
     chosen = rows.join(common.sized(scratch.table(pivots.select(F.col("pivot").alias("id")).distinct(), "pivot_ids")), "id", "left_semi")
     chosen = chosen.groupBy(F.col("id").alias("pivot")).agg(F.min("text").alias("y"))
     chosen = scratch.table(chosen, "chosen")
@@ -578,9 +577,15 @@ def _across(members: DataFrame, rows: DataFrame, percent: int, scratch: common.S
     some = pivots.join(common.sized(crowds), "pivot").select("id", "pivot").withColumn("nth", nth).filter(F.col("nth") <= CROWD_SAMPLE)
     some = own.join(common.sized(scratch.table(some.select("id", "pivot"), "some")), "id").join(chosen, "pivot").select("pivot", "x", "y")
     popular = scratch.table(some.groupBy("pivot").applyInArrow(_popular, "pivot long, popular array<bigint>"), "popular")
-    both = own.join(common.sized(pivots), "id").join(chosen.join(popular, "pivot", "left"), "pivot").select("id", "of", "pivot", "x", "y", "popular")
     kinds = "id long, of long, pivot long, s long, s_pivot long, d long, first array<bigint>"
-    placed = scratch.table(both.mapInArrow(common.tidy(_differences(percent)), kinds), "placed").withColumn("outer", F.expr(f"{much} * d > {less} * (s + s_pivot)"))
+    slices, parts = -(-5 * pivots.count() // (4 * common.BROADCAST_ROWS)) or 1, []
+    for k in range(slices):  # by pivot, few enough rows for a broadcast each: else all texts would move, also those in no list
+        here = F.pmod(F.xxhash64("pivot"), F.lit(slices)) == k
+        some = scratch.table(pivots.filter(here), f"pivots{k}")
+        both = own.join(common.sized(some), "id").join(chosen.filter(here).join(popular, "pivot", "left"), "pivot").select("id", "of", "pivot", "x", "y", "popular")
+        parts.append(scratch.table(both.mapInArrow(common.tidy(_differences(percent)), kinds), f"placed{k}"))
+    placed = _union(parts).withColumn("outer", F.expr(f"{much} * d > {less} * (s + s_pivot)"))
+    scratch.drop("pivots", *(f"pivots{k}" for k in range(slices)), "pivot_ids", "chosen", "crowds", "some", "popular")
     direct = placed.filter(~F.col("outer") & (F.col("id") != F.col("pivot"))).select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b"))
 
     bounds = placed.groupBy("pivot").agg(F.max("s").alias("s_most"), F.min("d").alias("d_least"), F.min(F.when(F.col("outer"), F.col("d"))).alias("d_outer")).filter("d_outer IS NOT NULL")

@@ -182,6 +182,24 @@ def test_jaccard_join_moves_no_texts_of_pairs_that_are_far_apart(spark, monkeypa
     assert {(k, 80 + k) for k in range(6)} <= set(moved) and len(moved) < 20
 
 
+def test_jaccard_join_moves_texts_to_pivots_in_slices(spark, monkeypatch):
+    """Where documents have more pivots than may be broadcast, texts go to them slice by slice; no text outside of the lists moves."""
+    rng = random.Random(13)
+    text = lambda n: [f"v{rng.randrange(9000)}" for _ in range(n)]
+    passage, rows = text(60), []
+    for _ in range(40):
+        rows.append(text(35) + passage + text(35))
+    for w in rows[:6]:
+        rows.append([*w[:3], "edited", *w[4:]])
+    rows = [(k, " ".join(w)) for k, w in enumerate(rows)]
+    made, old = [], common.Scratch.table
+    monkeypatch.setattr(common.Scratch, "table", lambda self, df, name: made.append(name) or old(self, df, name))
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 25)
+    got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_join(documents(spark, rows)).collect()}
+    assert got == {k: k - 40 if k >= 40 else k for k, _ in rows}
+    assert {"placed0", "placed1"} <= set(made)
+
+
 def test_parities_never_pass_the_difference():
     rng = np.random.default_rng(6)
     for n in (0, 1, 5, 63, 64, 65, 300, 5000):
